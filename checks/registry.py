@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake import schemas
-from turnlake.functions import messages as M
 from turnlake.functions import tasks, text, times
 from turnlake.operators import adapters, boards, eda, evaluation, mining, models, ordered, quality, rollups, scoring
 from turnlake.operators import star, training, turns
 from turnlake.operators.features import comparison_records, prompt_records, with_lineage
 from turnlake.plans import workload as W
 from turnlake.plans.warehouse import Warehouse, load_name
-from turnlake.session import new_folder
+from turnlake.session import new_folder, stored
 from turnlake.sources import raw, records
 from turnlake.streaming import load as streaming
 
@@ -184,7 +183,7 @@ def token_estimates(spark, folder):
 
 @query(S.with_(S.DOCS, f"SELECT doc_id, {S.prog_lang('text', 'NULL')} AS programming_lang FROM docs"))
 def programming_language(spark, folder):
-    language = text.programming_language(F.col("text"), F.lit(None).cast("string"))
+    language = text.programming_language("text")
     return W.documents(spark, folder).select("doc_id", language.alias("programming_lang"))
 
 
@@ -217,18 +216,17 @@ def task_type(spark, folder):
     )
 )
 def prompt_type_and_language(spark, folder):
-    body, number = F.col("text"), F.col("doc_id")
-    return W.documents(spark, folder).select(
+    docs = W.documents(spark, folder).withColumn("label", W.chosen(("Mandarin", "Klingon", "", None), "doc_id"))
+    return docs.select(
         "doc_id",
-        text.prompt_type(body, W.chosen(("How To", "", None), number)).alias("prompt_type"),
-        text.spoken_language(body, W.chosen(("Mandarin", "Klingon", "", None), number)).alias("language"),
+        text.prompt_type(F.col("text"), W.chosen(("How To", "", None), "doc_id")).alias("prompt_type"),
+        text.spoken_language("text", "label").alias("language"),
     )
 
 
 @query(S.with_(S.DOCS, f"SELECT doc_id, lang, {S.detected(S.norm('text'))} AS detected FROM docs"))
 def detected_language(spark, folder):
-    detected = text.detected_language(text.normalize(F.col("text")))
-    return W.documents(spark, folder).select("doc_id", "lang", detected.alias("detected"))
+    return W.documents(spark, folder).select("doc_id", "lang", text.detected_language("text").alias("detected"))
 
 
 # --- quality -----------------------------------------------------------------------------------
@@ -332,7 +330,7 @@ def _dirty_records(spark, folder):
         F.col("turn").cast("int").alias("turn_number"),
         F.when(number % 9 == 5, "").otherwise(F.concat(F.lit("\x00a\r\nb\rc "), "text")).alias("prompt_text"),
         F.when(number % 3 == 0, F.upper(text.sha256(F.col("text")))).alias("prompt_hash"),
-        W.chosen(W.STAMPS, number).alias("timestamp"),
+        W.chosen(W.STAMPS, "conv_id + turn").alias("timestamp"),
         F.concat(F.lit("\x00"), "role").alias("dataset_name"),
     )
 
@@ -864,7 +862,7 @@ def target_summary(spark, folder):
 )
 def latency_quantiles(spark, folder):
     runs = W.executions(spark, folder)
-    values = ordered.exact_quantiles(runs, "latency", [0.5, 0.75, 0.99])
+    values = ordered.exact_quantiles(runs, {"latency": [0.5, 0.75, 0.99]})["latency"]
     return runs.limit(1).select(*[F.round(F.lit(v), S.R).alias(n) for v, n in zip(values, ("median", "q75", "q99"))])
 
 
@@ -888,7 +886,7 @@ def _extract(spark, folder):
     docs = W.prompts(spark, folder).drop("success_score", "tokens", "response_tokens", "response_text")
     return runs.withColumnsRenamed({"success_score": "success_rate", "latency": "latency_ms", "tokens": "tokens_used"}).join(
         docs, "doc_id"
-    ).withColumn("attempt_count", F.lit(1))
+    ).withColumns({"attempt_count": F.lit(1), "task_type": F.lit(None).cast("string")})
 
 
 @query(
@@ -969,7 +967,8 @@ def newest_executions(spark, folder):
 
 def _minable(spark, folder):
     prompts = W.prompts(spark, folder).where(F.col("success_score").isNotNull())
-    return prompts.withColumnsRenamed({"success_score": "success_rate", "tokens": "tokens_used"})
+    renamed = prompts.withColumnsRenamed({"success_score": "success_rate", "tokens": "tokens_used"})
+    return stored(renamed, "features")
 
 
 _ITEMS = S.PROMPTS + """,
@@ -1190,7 +1189,7 @@ def _model_table(spark, folder):
         }
     )
     table, features = training.training_set(extract, key="doc_id")
-    return training.train_val_test(table, "doc_id").persist(), features
+    return stored(training.train_val_test(table, "doc_id"), "training"), features
 
 
 def _fitted(spark, folder):
@@ -1241,7 +1240,7 @@ def cluster_quality(spark, folder):
 @query()
 def complexity_clusters(spark, folder):
     """Three clusters on three scaled columns, with their plane."""
-    rows = W.prompts(spark, folder).select("doc_id", "complexity_score", "prompt_length", "token_estimate")
+    rows = stored(W.prompts(spark, folder).select("doc_id", "complexity_score", "prompt_length", "token_estimate"), "features")
     columns = ["complexity_score", "prompt_length", "token_estimate"]
     model = models.fit_clusters(rows, columns, k=3, components=2, restarts=25)
     return models.projection(model.transform(rows))
@@ -1253,7 +1252,8 @@ def logistic_predictions(spark, folder):
     scored = W.prompts(spark, folder).where(F.col("success_score").isNotNull())
     flags = {name: F.col(name).cast("int") for name in ("contains_code", "contains_examples", "contains_constraints")}
     labelled = scored.withColumns(flags).withColumn("is_successful", (F.col("success_score") >= 0.5).cast("int"))
-    split = training.stratified_train_test(labelled, "is_successful", "doc_id").persist()
+    split = training.stratified_train_test(labelled, "is_successful", "doc_id")
+    split = stored(split, "split")
     model = models.fit_logistic(split.where(F.col("split") == "train"))
     held_out = split.where(F.col("split") == "test")
     return models.logistic_predictions(held_out, model, ["doc_id", "is_successful"])

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,22 +79,25 @@ SCRIPTS = {
 ANY_SCRIPT = r"[\x{0900}-\x{097f}\x{3040}-\x{30ff}\x{4e00}-\x{9fff}\x{ac00}-\x{d7af}]"
 
 
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strip(text: Column) -> Column:
     """Unicode-aware strip (Spark's one-argument `trim` removes spaces only)."""
     return F.trim(text, F.lit(BLANKS))
 
 
+def strip_sql(text: str) -> str:
+    return f"btrim({text}, {literal(BLANKS)})"
+
+
 def normalize(text: Column) -> Column:
     """Runs of whitespace to one space, then strip; NULL becomes the empty string."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), BLANK_RUN, " "))
 
 
-def lookup(table: dict[str, str], key: Column) -> Column:
-    """Value of a literal table, NULL for an unknown key."""
-    pairs = [F.lit(part) for entry in table.items() for part in entry]
-    return F.try_element_at(F.create_map(*pairs), key)
-
-
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
@@ -132,58 +132,55 @@ def prompt_type(text: Column, source_type: Column) -> Column:
     )
 
 
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` one time for an expression that reads it many times."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _once(value: str, name: str, use: str) -> str:
+    """SQL that evaluates `value` one time for an expression `use` that reads it many times as `name`."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
 
-def _first_keyword(lowered: Column) -> Column:
-    (keyword, language), *rest = KEYWORD_LANGUAGES
-    chain = F.when(F.contains(lowered, F.lit(keyword)), language)
-    return reduce(lambda c, rule: c.when(F.contains(lowered, F.lit(rule[0])), rule[1]), rest, chain)
+def _lookup(table: dict[str, str], key: str) -> str:
+    """SQL for the value of a literal table, NULL for an unknown key."""
+    entries = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in table.items())
+    return f"try_element_at(map({entries}), {key})"
 
 
-def programming_language(prompt: Column, response: Column) -> Column:
-    """First known fence label, else the first keyword of the priority list."""
-    joined = F.concat_ws("\n", F.nullif(prompt, F.lit("")), F.nullif(response, F.lit("")))
-    labels = F.regexp_extract_all(joined, F.lit(FENCE_LABEL), 1)
-    known = F.filter(F.transform(labels, lambda x: lookup(FENCE_LANGUAGES, F.lower(x))), lambda x: x.isNotNull())
-    fenced = F.when(F.contains(joined, F.lit("```")), F.get(known, F.lit(0)))
-    padded = F.concat(F.lit(" "), F.lower(joined), F.lit(" "))
-    return F.coalesce(fenced, once(padded, _first_keyword))
+def programming_language(prompt: str, response: str = "NULL") -> Column:
+    """First known fence label in the two texts (column names), else the first keyword of the priority list."""
+    joined = f"concat_ws('\\n', nullif({prompt}, ''), nullif({response}, ''))"
+    labels = f"transform(regexp_extract_all({joined}, {literal(FENCE_LABEL)}, 1), x -> {_lookup(FENCE_LANGUAGES, 'lower(x)')})"
+    rules = " ".join(f"WHEN contains(t, {literal(word)}) THEN {literal(name)}" for word, name in KEYWORD_LANGUAGES)
+    keyword = _once(f"concat(' ', lower({joined}), ' ')", "t", f"CASE {rules} END")
+    return F.expr(f"""
+        coalesce(
+          CASE WHEN contains({joined}, '```') THEN get(filter({labels}, x -> x IS NOT NULL), 0) END,
+          {keyword})""")
 
 
-def _hits(words: Column, known: list[str]) -> Column:
-    return F.size(F.filter(words, lambda word: word.isin(known)))
+def _detected(normalized: str) -> str:
+    scores = ", ".join(
+        f"named_struct('hits', size(filter(words, w -> w IN ({', '.join(map(literal, known.split()))}))), 'code', '{code}')"
+        for code, known in sorted(STOP_WORDS.items())
+    )
+    most = f"""reduce(array({scores}), named_struct('hits', 0, 'code', 'unknown'),
+        (top, one) -> CASE WHEN one.hits > top.hits THEN one ELSE top END).code"""
+    scripts = " ".join(f"WHEN n RLIKE {literal(script)} THEN '{code}'" for code, script in SCRIPTS.items())
+    by_script = f"CASE WHEN n RLIKE {literal(ANY_SCRIPT)} THEN CASE {scripts} END END"
+    return _once(normalized, "n", f"coalesce({by_script}, {_once('split(lower(n), \' \')', 'words', most)})")
 
 
-def _most_stop_words(words: Column) -> Column:
-    scores = F.array(
-        *[
-            F.struct(_hits(words, known.split()).alias("hits"), F.lit(code).alias("code"))
-            for code, known in sorted(STOP_WORDS.items())
-        ]
-    )
-    nothing = F.struct(F.lit(0).alias("hits"), F.lit("unknown").alias("code"))
-    best = F.reduce(scores, nothing, lambda top, one: F.when(one["hits"] > top["hits"], one).otherwise(top))
-    return best["code"]
+def normalize_sql(text: str) -> str:
+    return f"trim(regexp_replace(coalesce({text}, ''), {literal(BLANK_RUN)}, ' '))"
 
 
-def detected_language(normalized: Column) -> Column:
+def detected_language(text: str) -> Column:
     """Script first, then most stop words (ties by language code); `unknown` without any hit."""
-    (code, script), *rest = SCRIPTS.items()
-    by_script = reduce(lambda c, rule: c.when(normalized.rlike(rule[1]), rule[0]), rest, F.when(normalized.rlike(script), code))
-    return F.coalesce(
-        F.when(normalized.rlike(ANY_SCRIPT), by_script),
-        once(F.split(F.lower(normalized), " "), _most_stop_words),
-    )
+    return F.expr(_detected(normalize_sql(text)))
 
 
-def spoken_language(text: Column, label: Column) -> Column:
-    """An explicit label goes through the alias table and otherwise passes in lower case."""
-    given = F.lower(normalize(label))
-    aliased = F.coalesce(lookup(LANGUAGE_ALIASES, given), F.nullif(given, F.lit("")), F.lit("unknown"))
-    return F.when(label != "", aliased).otherwise(detected_language(normalize(text)))
+def spoken_language(text: str, label: str) -> Column:
+    """An explicit label goes through the alias table and otherwise passes in lower case; without one the text decides."""
+    given = f"lower({normalize_sql(label)})"
+    aliased = f"coalesce({_lookup(LANGUAGE_ALIASES, given)}, nullif({given}, ''), 'unknown')"
+    return F.expr(f"CASE WHEN {label} <> '' THEN {aliased} ELSE {_detected(normalize_sql(text))} END")
 
 
 def clean_payload(text: Column) -> Column:

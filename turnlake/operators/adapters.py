@@ -26,7 +26,8 @@ def _text_or_null(value: Column) -> Column:
 
 def _paired(rows: DataFrame, messages: str) -> DataFrame:
     """One output row per turn pair of an in-row conversation; stays inside the scan's partitions."""
-    pairs = M.turn_pairs(M.clean_messages(F.col(messages), "from", "value"))
+    pairs = M.turn_pairs("messages")
+    rows = rows.select("conversation_id", M.clean_messages(messages, "from", "value").alias("messages"))
     return rows.select("conversation_id", F.posexplode(pairs).alias("pos", "pair")).select(
         "conversation_id",
         (F.col("pos") + 1).alias("turn_number"),
@@ -55,7 +56,7 @@ def code_chat_events(rows: DataFrame, run_ts: dt.datetime, dataset: str) -> Data
                 "timestamp": instant(run_ts),
                 "dataset_name": F.lit(dataset),
                 "task_type": code_task(F.col("prompt_text")),
-                "programming_lang": programming_language(F.col("prompt_text"), F.col("response_text")),
+                "programming_lang": programming_language("prompt_text", "response_text"),
             }
         ),
         schemas.PROMPT_EVENT,
@@ -69,22 +70,22 @@ def _battles(rows: DataFrame, run_ts: dt.datetime, dataset: str) -> DataFrame:
         {
             "conversation_id": F.coalesce(_or_null(F.col("question_id")), M.content_id(dataset, payload, "null")),
             "timestamp": F.coalesce(utc_timestamp(F.col("tstamp")), instant(run_ts)),
-            "_a": M.clean_messages(F.col("conversation_a"), "role", "content"),
-            "_b": M.clean_messages(F.col("conversation_b"), "role", "content"),
+            "_a": M.clean_messages("conversation_a", "role", "content"),
+            "_b": M.clean_messages("conversation_b", "role", "content"),
         }
     )
-    prompt = F.coalesce(_or_null(M.first_user_text(F.col("_a"))), _or_null(M.first_user_text(F.col("_b"))))
-    return sides.withColumns({"prompt_text": prompt, "dataset_name": F.lit(dataset)}).where(prompt.isNotNull())
+    prompt = F.coalesce(M.first_user_text("_a"), M.first_user_text("_b"))
+    return sides.withColumns({"prompt_text": prompt, "dataset_name": F.lit(dataset)}).dropna(subset=["prompt_text"])
 
 
 def arena_events(rows: DataFrame, run_ts: dt.datetime, dataset: str) -> DataFrame:
     """Two prompt events per battle, one for each model."""
-    battles = _battles(rows, run_ts, dataset).withColumn("_outcome", M.outcome(F.col("winner")))
+    battles = _battles(rows, run_ts, dataset).withColumn("_outcome", M.outcome("winner"))
 
     def entrant(letter: str) -> Column:
         return F.struct(
             _text_or_null(F.col(f"model_{letter}")).alias("model_name"),
-            _or_null(M.assistant_text(F.col(f"_{letter}"))).alias("response_text"),
+            _or_null(M.assistant_text(f"_{letter}")).alias("response_text"),
             F.col(f"_outcome.label_{letter}").alias("quality_label"),
             F.col(f"_outcome.score_{letter}").alias("success_score"),
         )

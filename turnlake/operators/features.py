@@ -51,12 +51,12 @@ def with_prompt_features(df: DataFrame) -> DataFrame:
             "contains_code": X.has_code(prompt) | X.has_code(response),
             "contains_examples": examples > 0,
             "contains_constraints": constraints > 0,
-            "language": X.spoken_language(prompt, F.col("language")),
+            "language": X.spoken_language("prompt_text", "language"),
             "complexity_score": F.round(F.lit(0.4) * tokens + F.lit(0.3) * constraints + F.lit(0.3) * examples, 4),
             "instruction_density": F.round(F.col("_verbs") / F.greatest(F.col("_words"), F.lit(1)), 4),
             "response_tokens": F.nullif(F.col("_response_tokens"), F.lit(0)),
             "tokens": tokens + F.col("_response_tokens"),
-            "programming_lang": X.programming_language(prompt, response),
+            "programming_lang": X.programming_language("prompt_text", "response_text"),
         }
     ).drop("_norm", "_response_norm", "_response_tokens", "_words", "_verbs")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnlake.operators.ordered import exact_quantiles
@@ -22,18 +22,16 @@ def transactions(df: DataFrame, categories: tuple[str, ...] = (), score: str = "
     """
     items: list[Column] = [F.when(F.col(name).cast("boolean"), f"{name}=1") for name in FLAG_ITEMS if name in df.columns]
     items += [F.concat(F.lit(f"{name}_"), F.col(name), F.lit("=1")) for name in categories]
-    for names, probability in ((ABOVE_UPPER_QUARTILE, 0.75), (ABOVE_MEDIAN, 0.5)):
-        for name in names:
-            if name in df.columns:
-                [threshold] = exact_quantiles(df, name, [probability])
-                items.append(F.when(F.col(name) > threshold, f"{name}_high"))
+    marks = {name: [0.75] for name in ABOVE_UPPER_QUARTILE} | {name: [0.5] for name in ABOVE_MEDIAN}
+    thresholds = exact_quantiles(df, {name: p for name, p in marks.items() if name in df.columns})
+    items += [F.when(F.col(name) > threshold, f"{name}_high") for name, [threshold] in thresholds.items()]
     items.append(F.when(F.col(score) > 0.5, "success_high"))
     return df.select(F.array_sort(F.array_compact(F.array(*items))).alias("items")).where(F.size("items") > 0)
 
 
 def _subsets(items: Column, longest: int) -> Column:
     """All non-empty subsets of a sorted array, as sorted arrays."""
-    masks = F.sequence(F.lit(1), F.shiftleft(F.lit(1), F.size(items)).cast("int") - 1)
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(items)).cast("int") - 1)
     sets = F.transform(
         masks, lambda mask: F.filter(items, lambda _, i: F.getbit(mask.cast("bigint"), i).cast("int") == 1)
     )
@@ -142,7 +140,5 @@ def rule_stats(rules: DataFrame, n: int = 50) -> DataFrame:
 
 def rule_lookup(rules: DataFrame, limit: int = 20) -> DataFrame:
     """The best rules for display, each with the mean confidence of the page."""
-    from pyspark.sql import Window
-
     page = top_rules(rules, limit)
     return page.withColumn("avg_confidence", F.avg("confidence").over(Window.partitionBy()))

@@ -7,6 +7,7 @@ value bins, and only the bins that hold a wanted rank are ordered value by value
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -68,41 +69,63 @@ def score_summary(
     return median(inside.withColumn("before", F.col("before") + F.sum("w").over(in_bin) - F.col("w")))
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], bins: int = 1024) -> list[float | None]:
-    """Exact quantiles of one column with linear interpolation.
+def exact_quantiles(
+    df: DataFrame, wanted: dict[str, list[float]], bins: int = 1024
+) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns with linear interpolation, in three passes over those columns.
 
-    Approximate quantiles only place the bin borders; counts per bin (at most `bins` rows reach the driver) then
-    name the bins that hold the wanted ranks, and only the distinct values of those are ordered.
+    Approximate quantiles only place the bin borders; counts per bin (at most `bins` rows per column reach the
+    driver) then name the bins that hold the wanted ranks, and only the distinct values of those are ordered.
     """
-    values = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    names = list(wanted)
+    values = df.select(*[F.nanvl(F.col(name).cast("double"), F.lit(None)).alias(f"v{i}") for i, name in enumerate(names)])
     shares = [i / bins for i in range(1, bins)]
-    row = values.agg(F.count("*").alias("n"), F.percentile_approx("v", shares, 10 * bins).alias("borders")).first()
-    if not row["n"]:
-        return [None] * len(probabilities)
-    borders = [-math.inf, *sorted(set(row["borders"])), math.inf]
-    binned = Bucketizer(splits=borders, inputCol="v", outputCol="bin").transform(values)
-    counts = dict(binned.groupBy("bin").agg(F.count("*").alias("n")).collect())  # at most `bins` rows
-    starts, total = {}, 0
-    for b in sorted(counts):
-        starts[b], total = total, total + counts[b]
-
-    places = [p * (total - 1) for p in probabilities]
-    ranks = sorted({r for place in places for r in (math.floor(place), math.ceil(place))})
-    bin_of = {r: max(b for b in starts if starts[b] <= r) for r in ranks}
-    inside = binned.where(F.col("bin").isin(*set(bin_of.values()))).groupBy("bin", "v").agg(F.count("*").alias("w"))
-    in_bin = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = inside.withColumn("upto", F.sum("w").over(in_bin))
-    # One row: for every wanted rank the value that covers it.
+    row = values.agg(*[F.percentile_approx(f"v{i}", shares, 10 * bins).alias(f"b{i}") for i in range(len(names))]).first()
+    borders = [[-math.inf, *sorted(set(row[f"b{i}"] or [0.0])), math.inf] for i in range(len(names))]
+    places = range(len(names))
+    binned = Bucketizer(
+        splitsArray=borders,
+        inputCols=[f"v{i}" for i in places],
+        outputCols=[f"bin{i}" for i in places],
+        handleInvalid="keep",  # a missing value gets a bin of its own and is dropped below
+    ).transform(values)
+    cells = [F.struct(F.lit(i).alias("c"), F.col(f"bin{i}").alias("bin"), F.col(f"v{i}").alias("v")) for i in places]
+    long = binned.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("v").isNotNull())
+
+    sizes: dict[int, dict[float, int]] = {i: {} for i in places}
+    for c, b, n in long.groupBy("c", "bin").agg(F.count("*").alias("n")).collect():
+        sizes[c][b] = n
+    targets = {}  # (column, rank) -> (bin, rank inside the bin)
+    ranks: dict[int, list[float]] = {}
+    for i, name in enumerate(names):
+        total = sum(sizes[i].values())
+        ranks[i] = [p * (total - 1) for p in wanted[name]] if total else []
+        for rank in {r for place in ranks[i] for r in (math.floor(place), math.ceil(place))}:
+            start = 0
+            for b in sorted(sizes[i]):
+                if rank < start + sizes[i][b]:
+                    targets[i, rank] = (b, rank - start)
+                    break
+                start += sizes[i][b]
+    if not targets:
+        return {name: [None] * len(wanted[name]) for name in names}
+
+    in_bins = {(i, b) for (i, _), (b, _) in targets.items()}
+    hit = reduce(Column.__or__, [(F.col("c") == i) & (F.col("bin") == b) for i, b in sorted(in_bins)])
+    counted = long.where(hit).groupBy("c", "bin", "v").agg(F.count("*").alias("w"))
+    in_bin = Window.partitionBy("c", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = counted.withColumn("upto", F.sum("w").over(in_bin))
     picks = [
-        F.min(F.when((F.col("bin") == bin_of[r]) & (F.col("upto") > r - starts[bin_of[r]]), F.col("v"))).alias(f"r{r}")
-        for r in ranks
+        F.min(F.when((F.col("c") == i) & (F.col("bin") == b) & (F.col("upto") > inside), F.col("v"))).alias(f"r{i}_{rank}")
+        for (i, rank), (b, inside) in targets.items()
     ]
     found = ordered.agg(*picks).first()
-    result = []
-    for place in places:
-        low, high = found[f"r{math.floor(place)}"], found[f"r{math.ceil(place)}"]
-        result.append(low + (high - low) * (place - math.floor(place)))
-    return result
+
+    def at(i: int, place: float) -> float:
+        low, high = found[f"r{i}_{math.floor(place)}"], found[f"r{i}_{math.ceil(place)}"]
+        return low + (high - low) * (place - math.floor(place))
+
+    return {name: [at(i, place) for place in ranks[i]] or [None] * len(wanted[name]) for i, name in enumerate(names)}
 
 
 def hash_order(key: Column, seed: int) -> Column:

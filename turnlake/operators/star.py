@@ -103,7 +103,7 @@ def dim_model(stage: DataFrame) -> DataFrame:
 
 def dim_model_of_comparisons(stage: DataFrame) -> DataFrame:
     """Union of both contestants and the winner, exploded in one pass instead of three scans."""
-    winner = winner_model(F.col("winner"), F.col("model_a"), F.col("model_b"))
+    winner = winner_model("winner", "model_a", "model_b")
     return _models(stage.select(F.explode(F.array("model_a", "model_b", winner)).alias("model_name")))
 
 
@@ -180,7 +180,7 @@ def comparison_facts(stage: DataFrame) -> DataFrame:
             "prompt_key": F.col("prompt_hash"),
             "model_a_key": name_key(F.col("model_a")),
             "model_b_key": name_key(F.col("model_b")),
-            "winner_model_key": name_key(winner_model(F.col("winner"), F.col("model_a"), F.col("model_b"))),
+            "winner_model_key": name_key(winner_model("winner", "model_a", "model_b")),
             "time_key": time_key(F.col("timestamp")),
             "source_key": name_key(F.col("dataset_name")),
         }
@@ -211,7 +211,7 @@ def looked_up_execution_facts(stage: DataFrame, dims: dict[str, DataFrame]) -> D
 
 def looked_up_comparison_facts(stage: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Comparison facts with the model dimension in three roles."""
-    winner = winner_model(F.col("winner"), F.col("model_a"), F.col("model_b"))
+    winner = winner_model("winner", "model_a", "model_b")
     found = stage.withColumn("winner_name", winner).join(
         dims["dim_prompt"].select("prompt_key", "prompt_hash"), "prompt_hash"
     )

@@ -40,10 +40,10 @@ def clean_training(extract: DataFrame, key: str = "execution_key") -> DataFrame:
         }
     )
     gaps = [name for name in IMPUTED if name in filled.columns]
-    holes = filled.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in gaps]).first().asDict() if gaps else {}
-    medians = {name: exact_quantiles(filled, name, [0.5])[0] or 0.0 for name in gaps if holes[name]}
-    imputed = filled.withColumns({name: F.coalesce(name, F.lit(value)) for name, value in medians.items()})
-    [most] = exact_quantiles(imputed, "latency_ms", [0.99])
+    found = exact_quantiles(filled, {name: [0.5] for name in gaps} | {"latency_ms": [0.99]})
+    medians = {name: F.lit(found[name][0] or 0.0).cast(filled.schema[name].dataType) for name in gaps}
+    imputed = filled.withColumns({name: F.coalesce(name, value) for name, value in medians.items()})
+    [most] = found["latency_ms"]
     in_range = imputed if most is None else imputed.where(F.col("latency_ms") <= most)
     return in_range.where(F.col("tokens_used") > 0)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnlake.functions.messages import body, side
+from turnlake.functions.messages import body_sql, side_sql
 
 BLOCK = 4096
 
@@ -70,8 +70,8 @@ def with_running(
 
 
 def _messages(messages: DataFrame) -> DataFrame:
-    return messages.select(
-        "conversation_id", "turn", side(F.col("role")).alias("side"), body(F.col("text")).alias("body")
+    return messages.selectExpr(
+        "conversation_id", "turn", f"{side_sql('role')} AS side", f"{body_sql('text')} AS body"
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,16 +65,17 @@ def run_transform(
 
 
 def _finished(spark: SparkSession, output: str) -> set[tuple[str, str]]:
-    """Sources whose output folder carries the success mark."""
-    marks = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").option("recursiveFileLookup", "true")
+    """(dataset, kind) of the sources with data files in their output folder; a job puts them there when it commits."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
     kinds = {folder: kind for kind, folder in OUTPUTS.items()}
     try:
-        paths = [row["path"].split("/") for row in marks.load(output).select("path").collect()]
-    except Exception as error:  # nothing written yet
-        if "PATH_NOT_FOUND" not in str(error):
+        folders = files.load(output).select(F.split("path", "/").alias("p"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return set()
-    return {(path[-2], kinds[path[-3]]) for path in paths if path[-3] in kinds}
+    pairs = folders.select(F.element_at("p", -2).alias("dataset"), F.element_at("p", -3).alias("folder")).distinct()
+    return {(row["dataset"], kinds[row["folder"]]) for row in pairs.collect() if row["folder"] in kinds}
 
 
 def output_counts(spark: SparkSession, output: str) -> DataFrame:

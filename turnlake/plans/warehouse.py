@@ -8,6 +8,7 @@ after which reading starts from it and only merges the loads that came later.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +53,8 @@ class Warehouse:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
         try:
             return reader.parquet(f"{self.root}/{table}")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake import schemas
-from turnlake.functions.text import normalize, sha256
+from turnlake.functions.text import literal, normalize, sha256
 from turnlake.operators import star
 from turnlake.operators.adapters import union_events
 from turnlake.operators.features import with_prompt_features
@@ -54,10 +54,10 @@ def text_table(spark: SparkSession, folder: str, name: str, *keys: str) -> DataF
     return spread(table(spark, folder, name), *keys)
 
 
-def chosen(values: tuple, number: Column) -> Column:
-    """The value at `number` modulo the number of values."""
-    options = F.array(*[F.lit(value).cast("string") for value in values])
-    return F.get(options, F.pmod(number, F.lit(len(values))).cast("int"))
+def chosen(values: tuple, number: str) -> Column:
+    """The value at `number` (an expression) modulo the number of values."""
+    options = ", ".join("NULL" if value is None else literal(value) for value in values)
+    return F.expr(f"get(array({options}), cast(pmod({number}, {len(values)}) AS int))")
 
 
 # --- chat logs -------------------------------------------------------------------------------
@@ -66,8 +66,8 @@ def chosen(values: tuple, number: Column) -> Column:
 def chat_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Flat messages (conversation_id, turn, role, text)."""
     rows = table(spark, folder, "conversations")
-    prompt = chosen(PROMPT_SNIPPETS, F.col("conv_id") + F.col("turn"))
-    reply = chosen(REPLY_SNIPPETS, F.col("conv_id") + F.col("turn"))
+    prompt = chosen(PROMPT_SNIPPETS, "conv_id + turn")
+    reply = chosen(REPLY_SNIPPETS, "conv_id + turn")
     return rows.select(
         F.col("conv_id").cast("string").alias("conversation_id"),
         "turn",
@@ -84,7 +84,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels")
     scored = labels.select("doc_id", ((F.col("quality") + 1 - F.col("toxic")) / 2).alias("success_score"))
     docs = text_table(spark, folder, "documents", "doc_id").join(scored, "doc_id", "left")
-    return docs.withColumn("text", F.concat("text", chosen(PROMPT_SNIPPETS, F.col("doc_id"))))
+    return docs.withColumn("text", F.concat("text", chosen(PROMPT_SNIPPETS, "doc_id")))
 
 
 ROLES = ("human", "gpt", " User ", "BOT", "system", "user", "assistant")
@@ -120,12 +120,12 @@ def battles(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.pmod(number, F.lit(13)) != 5, number.cast("string")).alias("question_id"),
         F.concat(F.lit("m"), F.pmod(number, F.lit(7)).cast("string")).alias("model_a"),
         F.concat(F.lit(" m"), F.pmod(number, F.lit(5)).cast("string"), F.lit(" ")).alias("model_b"),
-        chosen(WINNERS, number).alias("winner"),
+        chosen(WINNERS, "doc_id").alias("winner"),
         a.alias("conversation_a"),
         side(F.reverse(lines), 0).alias("conversation_b"),
         F.when(F.pmod(number, F.lit(3)) > 0, F.pmod(number, F.lit(3))).cast("int").alias("turn"),
         F.element_at(F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair]), F.col("lang")).alias("language"),
-        chosen(STAMPS, number).alias("tstamp"),
+        chosen(STAMPS, "doc_id").alias("tstamp"),
     )
 
 

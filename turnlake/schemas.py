@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # --- raw sources -----------------------------------------------------------------------------
 RAW_CHAT = "id string, conversations array<struct<from: string, value: string>>"
@@ -112,8 +111,9 @@ def names(ddl: str) -> list[str]:
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Columns of the schema in its order; missing ones become NULL, unusable values too."""
     present = set(df.columns)
-
-    def column(name: str, kind: str) -> Column:
-        return (F.col(name).try_cast(kind) if name in present else F.lit(None).cast(kind)).alias(name)
-
-    return df.select([column(name, kind) for name, kind in fields(ddl)])
+    return df.selectExpr(
+        *[
+            f"try_cast({f'`{name}`' if name in present else 'NULL'} AS {kind}) AS `{name}`"
+            for name, kind in fields(ddl)
+        ]
+    )

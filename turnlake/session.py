@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "turnlake", cpus: int | str = "*", memory: str = "12g") -> SparkSession:
@@ -51,3 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back: later passes neither recompute them nor depend on
+    the executors that made them.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,9 +29,9 @@ def human_size(size: Column) -> Column:
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """(dataset, file, bytes, size) for all files below the datasets folder."""
-    parts = F.split(F.substring_index("path", F.lit(root.rstrip("/") + "/"), -1), "/", 2)
+    parts = F.split(F.substring_index("path", root.rstrip("/") + "/", -1), "/", 2)
     return _files(spark, root).select(
-        parts[0].alias("dataset"), parts[1].alias("file"), "bytes", human_size(F.col("bytes")).alias("size")
+        F.get(parts, F.lit(0)).alias("dataset"), F.get(parts, F.lit(1)).alias("file"), "bytes", human_size(F.col("bytes")).alias("size")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -39,8 +40,8 @@ def start_load(stream: DataFrame, kind: str, warehouse: Warehouse, checkpoint: s
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return False
     return True
