@@ -274,7 +274,7 @@ def _json_lines(spark, folder):
     )
     as_json = F.to_json(record, {"ignoreNullFields": "false"})
     line = F.when(number % 23 == 0, "{broken").when(number % 29 == 0, "  ").otherwise(as_json)
-    return W.table(spark, folder, "events").select(line.alias("value"))
+    return W.text_table(spark, folder, "events", "event_id").select(line.alias("value"))
 
 
 def _report_sql(flag: str) -> str:
@@ -488,13 +488,13 @@ def _named_facts(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 @query(S.with_(S.STAGE, _FACTS))
 def fact_prompt_execution(spark, folder):
-    stage = _stage(spark, folder)
+    stage = stored(_stage(spark, folder), "stage")
     return _named_facts(star.execution_facts(stage), _dims(stage))
 
 
 @query(S.with_(S.STAGE, _FACTS))
 def fact_prompt_execution_by_lookup(spark, folder):
-    stage = _stage(spark, folder)
+    stage = stored(_stage(spark, folder), "stage")
     dims = _dims(stage)
     return _named_facts(star.looked_up_execution_facts(stage, dims), dims)
 
@@ -527,13 +527,13 @@ def _comparison_dims(stage: DataFrame) -> dict[str, DataFrame]:
 
 @query(S.with_(S.COMPARISON_STAGE, _COMPARISON_FACTS))
 def fact_model_comparison(spark, folder):
-    stage = W.comparison_stage(spark, folder)
+    stage = stored(W.comparison_stage(spark, folder), "stage")
     return _named_comparisons(star.comparison_facts(stage), _comparison_dims(stage))
 
 
 @query(S.with_(S.COMPARISON_STAGE, _COMPARISON_FACTS))
 def fact_model_comparison_by_lookup(spark, folder):
-    stage = W.comparison_stage(spark, folder)
+    stage = stored(W.comparison_stage(spark, folder), "stage")
     dims = _comparison_dims(stage)
     return _named_comparisons(star.looked_up_comparison_facts(stage, dims), dims)
 
@@ -881,12 +881,13 @@ def file_inventory(spark, folder):
 
 
 def _extract(spark, folder):
-    """Scored executions with their prompt's features: the training extract."""
+    """Scored executions with their prompt's features, stored: the training extract."""
     runs = W.executions(spark, folder).where(F.col("success_score").isNotNull())
-    docs = W.prompts(spark, folder).drop("success_score", "tokens", "response_tokens", "response_text")
-    return runs.withColumnsRenamed({"success_score": "success_rate", "latency": "latency_ms", "tokens": "tokens_used"}).join(
-        docs, "doc_id"
-    ).withColumns({"attempt_count": F.lit(1), "task_type": F.lit(None).cast("string")})
+    unused = ("success_score", "tokens", "response_tokens", "response_text", "prompt_text")
+    docs = training.with_training_features(W.prompts(spark, folder)).drop(*unused)
+    renamed = runs.withColumnsRenamed({"success_score": "success_rate", "latency": "latency_ms", "tokens": "tokens_used"})
+    extra = {"attempt_count": F.lit(1), "task_type": F.lit(None).cast("string")}
+    return stored(renamed.drop("response_tokens").join(docs, "doc_id").withColumns(extra), "extract")
 
 
 @query(
@@ -905,9 +906,7 @@ def _extract(spark, folder):
     )
 )
 def training_features(spark, folder):
-    cleaned = training.clean_training(_extract(spark, folder))
-    # The text features are those of the prompt, so they are computed on the few prompts, not on every execution.
-    wide = training.with_training_features(cleaned)
+    wide = training.clean_training(_extract(spark, folder))
     counts = {name: F.col(name).cast("bigint") for name in ("prompt_word_count", "question_marks")}
     columns = (
         "execution_key", "latency_ms", "tokens_used", "success_rate", "prompt_word_count", "avg_word_length",
@@ -967,8 +966,8 @@ def newest_executions(spark, folder):
 
 def _minable(spark, folder):
     prompts = W.prompts(spark, folder).where(F.col("success_score").isNotNull())
-    renamed = prompts.withColumnsRenamed({"success_score": "success_rate", "tokens": "tokens_used"})
-    return stored(renamed, "features")
+    featured = training.with_training_features(prompts).drop("prompt_text", "response_text")
+    return stored(featured.withColumnsRenamed({"success_score": "success_rate", "tokens": "tokens_used"}), "features")
 
 
 _ITEMS = S.PROMPTS + """,

@@ -29,43 +29,48 @@ def score_counts(df: DataFrame, keys: list[str], score: str = "success_score") -
 def score_summary(
     counts: DataFrame, keys: list[str], score: str = "success_score", split: bool = True
 ) -> DataFrame:
-    """Per key (never NULL): `n`, `mean` and exact `median` of scores counted by `score_counts`.
+    """Per key: `n`, `mean` and exact `median` of scores counted by `score_counts`.
 
     `split=True` suits few keys with many rows each: value bins of one key are ordered in parallel.
     `split=False` suits many keys: the distinct scores of one key are ordered in one (spillable) window.
     """
     levels = counts.groupBy(*keys, F.col(score).alias("v")).agg(F.sum("weight").alias("w"))
-    whole = Window.partitionBy(*keys)
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
 
     def holds(rank: Column) -> Column:
         return (F.col("before") <= rank) & (rank < F.col("before") + F.col("w"))
 
-    def median(ranked: DataFrame) -> DataFrame:
-        hits = [F.max(F.when(holds(rank), F.col("v"))) for rank in (low, high)]
-        return ranked.groupBy(*keys).agg(
-            F.max("n").alias("n"),
-            (F.max("total") / F.max("n")).alias("mean"),
-            ((hits[0] + hits[1]) / 2).alias("median"),
-        )
-
-    def ranked(rows: DataFrame, weight: str, total: Column, order: str) -> DataFrame:
+    def placed(rows: DataFrame, by: list[str], order: str, total: Column) -> DataFrame:
+        whole = Window.partitionBy(*by)
         so_far = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return rows.withColumns(
             {
-                "n": F.sum(weight).over(whole),
+                "n": F.sum("w").over(whole),
                 "total": F.sum(total).over(whole),
-                "before": F.sum(weight).over(so_far) - F.col(weight),
+                "before": F.sum("w").over(so_far) - F.col("w"),
             }
         )
 
+    def median(rows: DataFrame) -> DataFrame:
+        hits = [F.max(F.when(holds(rank), F.col("v"))) for rank in (low, high)]
+        return rows.groupBy(*keys).agg(
+            F.max("n").alias("n"),
+            (F.max("total") / F.max("n")).alias("mean"),
+            ((hits[0] + hits[1]) / 2).alias("median"),
+        )
+
     if not split:
-        return median(ranked(levels, "w", F.col("v") * F.col("w"), "v"))
+        return median(placed(levels, keys, "v", F.col("v") * F.col("w")))
     binned = levels.withColumn("bin", score_bin(F.col("v")))
     bins = binned.groupBy(*keys, "bin").agg(F.sum("w").alias("w"), F.sum(F.col("v") * F.col("w")).alias("vw"))
-    wanted = ranked(bins, "w", F.col("vw"), "bin").where(holds(low) | holds(high)).drop("w", "vw")
-    inside = binned.join(wanted, [*keys, "bin"])
-    in_bin = Window.partitionBy(*keys, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = placed(bins, keys, "bin", F.col("vw")).where(holds(low) | holds(high)).drop("w", "vw")
+    # Null-safe on purpose: an ordinary equality would push null filters into one side only, and the two sides
+    # could no longer share the one exchange (and the one scan) that `levels` comes from.
+    sides = [*keys, "bin"]
+    marks = wanted.withColumnsRenamed({name: f"_{name}" for name in sides})
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in sides])
+    inside = binned.join(marks, same).drop(*[f"_{name}" for name in sides])
+    in_bin = Window.partitionBy(*sides).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     return median(inside.withColumn("before", F.col("before") + F.sum("w").over(in_bin) - F.col("w")))
 
 

@@ -38,79 +38,87 @@ def clean_contract(df: DataFrame) -> DataFrame:
 
 
 # --- JSON lines ------------------------------------------------------------------------------
+# A line is parsed once; every field it is judged by becomes `k_<field>` (its JSON type, NULL when absent) and
+# `t_<field>` (its value as text).
 
-
-def _field(record: Column, name: str) -> Column:
-    return F.try_variant_get(record, f"$.{name}", "variant")
+PROMPT_FIELDS = (
+    "conversation_id", "turn_number", "prompt_text", "prompt_hash", "prompt_length", "token_estimate", "timestamp",
+    "dataset_name", "tokens", "response_tokens", "success_score",
+)
+COMPARISON_FIELDS = (
+    "conversation_id", "prompt_text", "prompt_hash", "timestamp", "dataset_name", "model_a", "model_b", "winner",
+)
 
 
-def _text(record: Column, name: str) -> Column:
-    return F.try_variant_get(record, f"$.{name}", "string")
+def _is_text(name: str) -> Column:
+    return F.col(f"k_{name}") == "STRING"
 
 
-def _kind(record: Column, name: str) -> Column:
-    return F.schema_of_variant(_field(record, name))
+def _text(name: str) -> Column:
+    return F.col(f"t_{name}")
 
 
-def _present(record: Column, name: str) -> Column:
-    return _field(record, name).isNotNull()
+def _present(name: str) -> Column:
+    return F.col(f"k_{name}").isNotNull()
 
 
-def _filled(record: Column, name: str) -> Column:
-    return (_kind(record, name) == "STRING") & (strip(_text(record, name)) != "")
+def _filled(name: str) -> Column:
+    return _is_text(name) & (strip(_text(name)) != "")
 
 
-def _is_number(record: Column, name: str) -> Column:
-    return _kind(record, name).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*|BOOLEAN)$")
+def _is_number(name: str) -> Column:
+    return F.col(f"k_{name}").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*|BOOLEAN)$")
 
 
-def _whole(record: Column, name: str) -> Column:
-    as_text = (_kind(record, name) == "STRING") & strip(_text(record, name)).rlike(r"^[+-]?\d+$")
-    return _is_number(record, name) | as_text
+def _whole(name: str) -> Column:
+    return _is_number(name) | (_is_text(name) & strip(_text(name)).rlike(r"^[+-]?\d+$"))
 
 
-def _real(record: Column, name: str) -> Column:
-    as_text = (_kind(record, name) == "STRING") & strip(_text(record, name)).try_cast("double").isNotNull()
-    return _is_number(record, name) | as_text
+def _real(name: str) -> Column:
+    return _is_number(name) | (_is_text(name) & strip(_text(name)).try_cast("double").isNotNull())
 
 
-def _optional(record: Column, name: str, rule) -> Column:
-    return ~_present(record, name) | (_kind(record, name) == "VOID") | rule(record, name)
+def _missing(name: str) -> Column:
+    return ~_present(name) | (F.col(f"k_{name}") == "VOID")
 
 
-def _time(record: Column) -> Column:
-    return (_kind(record, "timestamp") == "STRING") & iso_timestamp(_text(record, "timestamp")).isNotNull()
+def _time(name: str = "timestamp") -> Column:
+    return _is_text(name) & iso_timestamp(_text(name)).isNotNull()
 
 
-def prompt_rules(record: Column) -> dict[str, Column]:
-    """One boolean per rule for a prompt record held as VARIANT."""
-    rules = {f"{name}_filled": _filled(record, name) for name in ("conversation_id", "prompt_text", "dataset_name")}
-    rules["prompt_hash_64"] = (_kind(record, "prompt_hash") == "STRING") & (F.length(_text(record, "prompt_hash")) == 64)
-    rules["timestamp_iso"] = _time(record)
-    for name in ("turn_number", "prompt_length", "token_estimate", "tokens"):
-        rules[f"{name}_whole"] = _whole(record, name)
-    rules["response_tokens_whole"] = _optional(record, "response_tokens", _whole)
-    rules["success_score_real"] = _optional(record, "success_score", _real)
+def prompt_rules() -> dict[str, Column]:
+    """One boolean per rule for a prompt record."""
+    rules = {f"{name}_filled": _filled(name) for name in ("conversation_id", "prompt_text", "dataset_name")}
+    rules["prompt_hash_64"] = _is_text("prompt_hash") & (F.length(_text("prompt_hash")) == 64)
+    rules["timestamp_iso"] = _time()
+    rules |= {f"{name}_whole": _whole(name) for name in ("turn_number", "prompt_length", "token_estimate", "tokens")}
+    rules["response_tokens_whole"] = _missing("response_tokens") | _whole("response_tokens")
+    rules["success_score_real"] = _missing("success_score") | _real("success_score")
     return rules
 
 
-def comparison_rules(record: Column) -> dict[str, Column]:
-    """One boolean per rule for a comparison record held as VARIANT."""
-    rules = {f"{name}_present": _present(record, name) for name in ("conversation_id", "prompt_hash", "dataset_name", "winner")}
-    rules |= {f"{name}_filled": _filled(record, name) for name in ("prompt_text", "model_a", "model_b")}
-    rules["timestamp_iso"] = _time(record)
+def comparison_rules() -> dict[str, Column]:
+    """One boolean per rule for a comparison record."""
+    rules = {f"{name}_present": _present(name) for name in ("conversation_id", "prompt_hash", "dataset_name", "winner")}
+    rules |= {f"{name}_filled": _filled(name) for name in ("prompt_text", "model_a", "model_b")}
+    rules["timestamp_iso"] = _time()
     return rules
 
 
-RULES = {"prompt": prompt_rules, "comparison": comparison_rules}
+RULES = {"prompt": (PROMPT_FIELDS, prompt_rules), "comparison": (COMPARISON_FIELDS, comparison_rules)}
 
 
 def validated(lines: DataFrame, kind: str = "prompt") -> DataFrame:
     """JSON lines (column `value`) with one column per rule and `valid`; blank lines are skipped."""
+    names, rules_of = RULES[kind]
     parsed = lines.where(strip(F.col("value")) != "").withColumn("record", F.try_parse_json(F.col("value")))
-    rules = {name: F.coalesce(rule, F.lit(False)) for name, rule in RULES[kind](F.col("record")).items()}
-    checked = parsed.withColumns(rules)
-    return checked.withColumn("valid", reduce(Column.__and__, [F.col(name) for name in rules])).drop("record")
+    fields = [f"try_variant_get(record, '$.{name}', 'variant') AS v_{name}" for name in names]
+    kinds = [f"schema_of_variant(v_{name}) AS k_{name}" for name in names]
+    texts = [f"try_variant_get(v_{name}, '$', 'string') AS t_{name}" for name in names]
+    taken = parsed.selectExpr("value", *fields).selectExpr("value", *kinds, *texts)
+    rules = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules_of().items()}
+    judged = taken.select("value", *[rule.alias(name) for name, rule in rules.items()])
+    return judged.withColumn("valid", reduce(Column.__and__, [F.col(name) for name in rules]))
 
 
 def validity_report(lines: DataFrame, kind: str = "prompt") -> DataFrame:

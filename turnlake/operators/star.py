@@ -17,6 +17,7 @@ from turnlake import schemas
 from turnlake.functions.messages import winner_model
 from turnlake.functions.text import sha256
 from turnlake.functions.times import calendar
+from turnlake.operators.ordered import hash_order
 
 TASK_KEYS = ("task_type", "domain", "language", "programming_lang", "difficulty", "benchmark_id", "category")
 
@@ -55,40 +56,49 @@ def _task_sources(category: str) -> list[str]:
 # --- dimensions ------------------------------------------------------------------------------
 
 
-def dim_prompt(stage: DataFrame, policy: str = "longest", arrival: Sequence[str] = ()) -> DataFrame:
-    """One row per prompt hash.
+PROMPT_DEFAULTS = {
+    "prompt_text": ("''",),
+    "prompt_type": ("'standard'",),
+    "contains_code": ("false",),
+    "contains_examples": ("false",),
+    "contains_constraints": ("false",),
+    "language": ("'unknown'",),
+    "complexity_score": ("0.0D",),
+    "length": ("prompt_length",),
+    "token_count": ("token_estimate",),
+    "type": ("prompt_type", "'standard'"),
+}
+
+
+def dim_prompt(
+    stage: DataFrame, policy: str = "longest", arrival: Sequence[str] = (), only: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per prompt hash, with all attributes or `only` some.
 
     `longest`: the longest variant, then the smallest text. `first`: the first one in the order of the `arrival`
     columns. Both are a minimum over a struct, which combines map-side, so a hot prompt is reduced before the
     shuffle.
     """
-    attributes = [name for name in schemas.names(schemas.DIM_PROMPT) if name not in ("prompt_key", "prompt_hash")]
+    named = [name for name in schemas.names(schemas.DIM_PROMPT) if name not in ("prompt_key", "prompt_hash")]
+    attributes = [name for name in named if only is None or name in only]
     if policy == "longest":
-        order = [F.coalesce(-F.col("prompt_length"), F.lit(2**31 - 1)).alias("_order")]
+        order = [F.coalesce(-F.col("prompt_length"), F.lit(2**31 - 1)).alias("_order"), F.col("prompt_text").alias("_text")]
     elif policy == "first":
         order = [F.col(name).alias(f"_order_{name}") for name in arrival]
     else:
         raise ValueError(f"unknown policy {policy!r}")
+    carried = [name for name in attributes if name != "prompt_text" or policy == "first"]
     kept = stage.where(F.col("prompt_hash").isNotNull())
-    best = kept.groupBy("prompt_hash").agg(F.min(F.struct(*order, *attributes)).alias("best"))
-    flat = best.select("prompt_hash", "best.*")
-    return flat.select(
-        F.col("prompt_hash").alias("prompt_key"),
-        F.coalesce("prompt_text", F.lit("")).alias("prompt_text"),
-        "prompt_hash",
-        "prompt_length",
-        "token_estimate",
-        F.coalesce("prompt_type", F.lit("standard")).alias("prompt_type"),
-        *[
-            F.coalesce(name, F.lit(False)).alias(name)
-            for name in ("contains_code", "contains_examples", "contains_constraints")
-        ],
-        F.coalesce("language", F.lit("unknown")).alias("language"),
-        F.coalesce("complexity_score", F.lit(0.0)).alias("complexity_score"),
-        "instruction_density",
-        F.coalesce("length", "prompt_length").alias("length"),
-        F.coalesce("token_count", "token_estimate").alias("token_count"),
-        F.coalesce("type", "prompt_type", F.lit("standard")).alias("type"),
+    best = kept.groupBy("prompt_hash").agg(F.min(F.struct(*order, *carried)).alias("best")).select("prompt_hash", "best.*")
+    if "prompt_text" in attributes and policy == "longest":
+        best = best.withColumnRenamed("_text", "prompt_text")
+
+    def filled(name: str) -> str:
+        usable = [d for d in PROMPT_DEFAULTS.get(name, ()) if d not in named or d in attributes]
+        return f"coalesce({', '.join([name, *usable])}) AS {name}"
+
+    return best.selectExpr("prompt_hash AS prompt_key", "prompt_hash", *map(filled, attributes)).select(
+        *[name for name in schemas.names(schemas.DIM_PROMPT) if name in ("prompt_key", "prompt_hash", *attributes)]
     )
 
 
@@ -229,10 +239,14 @@ def looked_up_comparison_facts(stage: DataFrame, dims: dict[str, DataFrame]) ->
 
 
 def training_extract(facts: DataFrame, prompts: DataFrame, models: DataFrame, tasks: DataFrame) -> DataFrame:
-    """fact, left joined with prompt, model and task: the columns the models train on."""
+    """Scored facts, left joined with prompt, model and task: the columns the models train on.
+
+    `prompts` carries its text features (see `with_training_features`) instead of the text: they are computed once
+    per prompt, and the joined rows stay narrow.
+    """
     wide = (
         facts.where(F.col("success_score").isNotNull())
-        .join(prompts.drop("prompt_hash"), "prompt_key", "left")
+        .join(prompts, "prompt_key", "left")
         .join(models.select("model_key", "model_name", F.col("version").alias("model_version"), "provider"), "model_key", "left")
         .join(tasks.select("task_key", "task_type", "domain", "difficulty"), "task_key", "left")
     )
@@ -258,7 +272,5 @@ def newest(facts: DataFrame, order: Sequence[str], n: int = 100_000) -> DataFram
 
 def random_rows(df: DataFrame, key: str, n: int = 25_000, seed: int = 42) -> DataFrame:
     """A reproducible sample of exactly n rows (all, if there are fewer)."""
-    from turnlake.operators.ordered import hash_order
-
     top = df.select(key).orderBy(hash_order(F.col(key), seed), key).limit(n)
     return df.join(top, key, "left_semi")

@@ -24,11 +24,30 @@ def occurrences(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
+def with_training_features(prompts: DataFrame) -> DataFrame:
+    """Word count, mean word length, question marks, code marks, list items and the share of capitals.
+
+    These are functions of the prompt text, so they belong on the prompt dimension, not on every execution.
+    """
+    text = F.col("prompt_text")
+    words = prompts.withColumn("prompt_word_count", word_count(normalize(text)))
+    return words.withColumns(
+        {
+            "prompt_word_count": F.when(text.isNotNull(), F.col("prompt_word_count")),
+            "avg_word_length": F.length(F.replace(text, F.lit(" "), F.lit(""))) / (F.col("prompt_word_count") + 1),
+            "question_marks": occurrences(text, "?"),
+            "code_blocks": F.regexp_count(text, F.lit("```|<code>")),
+            "list_items": F.regexp_count(text, F.lit(r"\n-|\n\d+\.")),
+            "capital_ratio": occurrences(text, CAPITALS) / (F.length(text) + 1),
+        }
+    )
+
+
 def clean_training(extract: DataFrame, key: str = "execution_key") -> DataFrame:
-    """Defaults, medians and outliers: latency 100 and 10 tokens when missing, rows without text dropped, `unknown`
-    labels, medians for missing numbers, latency up to its 99th percentile, at least one token.
+    """Defaults, medians and outliers: latency 100 and 10 tokens when missing, rows without a prompt dropped,
+    `unknown` labels, medians for missing numbers, latency up to its 99th percentile, at least one token.
     """
-    known = extract.dropDuplicates([key]).where(F.col("prompt_text").isNotNull())
+    known = extract.dropDuplicates([key]).where(F.col("prompt_word_count").isNotNull())
     filled = known.withColumns(
         {
             "latency_ms": F.coalesce("latency_ms", F.lit(DEFAULT_LATENCY)),
@@ -48,21 +67,6 @@ def clean_training(extract: DataFrame, key: str = "execution_key") -> DataFrame:
     return in_range.where(F.col("tokens_used") > 0)
 
 
-def with_training_features(df: DataFrame) -> DataFrame:
-    """Word count, mean word length, question marks, code marks, list items and the share of capitals."""
-    text = F.col("prompt_text")
-    words = df.withColumn("prompt_word_count", word_count(normalize(text)))
-    return words.withColumns(
-        {
-            "avg_word_length": F.length(F.replace(text, F.lit(" "), F.lit(""))) / (F.col("prompt_word_count") + 1),
-            "question_marks": occurrences(text, "?"),
-            "code_blocks": F.regexp_count(text, F.lit("```|<code>")),
-            "list_items": F.regexp_count(text, F.lit(r"\n-|\n\d+\.")),
-            "capital_ratio": occurrences(text, CAPITALS) / (F.length(text) + 1),
-        }
-    )
-
-
 def category_values(df: DataFrame, names: tuple[str, ...] = CATEGORIES) -> dict[str, list]:
     """Distinct values per category: these become columns, so their number is the width of the feature table."""
     return {
@@ -85,10 +89,13 @@ def one_hot(df: DataFrame, values: dict[str, list]) -> DataFrame:
 def training_set(
     extract: DataFrame, values: dict[str, list] | None = None, key: str = "execution_key", target: str = "success_rate"
 ) -> tuple[DataFrame, list[str]]:
-    """The table of key, features and target, and the feature names. NULL features become 0."""
+    """The table of key, features and target, and the feature names. NULL features become 0.
+
+    `extract` should be a stored table: the thresholds take a few passes over its narrow columns.
+    """
     cleaned = clean_training(extract, key)
     values = category_values(cleaned) if values is None else values
-    wide = one_hot(with_training_features(cleaned), values)
+    wide = one_hot(cleaned, values)
     flags = [name for name in CATEGORIES if name.startswith("contains_")]
     dummies = [f"{name}_{value}" for name, choices in values.items() for value in choices]
     features = [name for name in NUMERIC if name in wide.columns] + flags + dummies

@@ -17,6 +17,7 @@ from turnlake.functions.text import literal, normalize, sha256
 from turnlake.operators import star
 from turnlake.operators.adapters import union_events
 from turnlake.operators.features import with_prompt_features
+from turnlake.operators.rollups import FLAGS
 from turnlake.plans.transform import transform_rows
 from turnlake.session import use_utc
 from turnlake.sources.raw import spread
@@ -237,7 +238,8 @@ def execution_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     hashes = docs.select("doc_id", sha256(normalize(F.col("text"))).alias("prompt_key"))
     return {
         "fact_promptexecution": run_facts(spark, folder).join(hashes, "doc_id"),
-        "dim_prompt": star.dim_prompt(prompts(spark, folder)),
+        # The rollups read the flags and the text; the other features are not computed for them.
+        "dim_prompt": star.dim_prompt(prompts(spark, folder), only=["prompt_text", *FLAGS]),
     }
 
 
