@@ -76,30 +76,28 @@ def confusion_metrics(counts: DataFrame) -> DataFrame:
 
 
 def _beta_share(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta function by its continued fraction."""
+    """Regularized incomplete beta function: the share of a Beta(a, b) below x, by its continued fraction."""
     if x <= 0.0 or x >= 1.0:
         return float(x >= 1.0)
     if x > (a + 1) / (a + b + 2):
         return 1.0 - _beta_share(b, a, 1.0 - x)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-    tiny, c, d, total = 1e-300, 1.0, 0.0, 1.0
-    for step in range(1, 10_000):
-        m = step // 2
-        if step == 1:
-            term = 1.0
-        elif step % 2:
-            term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        else:
-            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        d = 1.0 / (1.0 + term * d or tiny)
-        if step == 1:
-            total, c, d = 1.0, 1.0, 1.0
-            continue
-        c = 1.0 + term / c or tiny
-        total *= c * d
-        if abs(c * d - 1.0) < 1e-14:
+
+    def terms() -> Iterator[float]:
+        m = 0
+        while True:
+            yield -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            m += 1
+            yield m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+
+    value, above, below = 1.0, 1.0, 0.0
+    for term in terms():
+        below = 1.0 / (1.0 + term * below)
+        above = 1.0 + term / above
+        value *= above * below
+        if abs(above * below - 1.0) < 1e-15:
             break
-    return front / total if total else 0.0
+    scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return math.exp(scale) / a / value
 
 
 def _beta_quantile(p: float, a: float, b: float) -> float:
