@@ -294,12 +294,22 @@ def comparison_validity_report(spark, folder):
     return quality.validity_report(_json_lines(spark, folder), "comparison")
 
 
-_CONTRACT = (
-    "SELECT event_id, trim(' ' || event_type || chr(9), ' ' || chr(9)) AS prompt_text, event_type AS task_type, 'm' || (user_id % 7) AS model, "
-    "strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.%g') AS timestamp, "
-    "CAST(json_extract(props, '$.k') AS INTEGER) AS tokens, value AS success_score, "
-    "CASE WHEN event_id % 3 > 0 THEN value END AS latency FROM events "
-    "WHERE event_id % 5 <> 4 AND event_id % 7 <> 3 AND event_id % 11 <> 2"
+_CONTRACT = S.with_(
+    """
+written AS (
+  SELECT event_id, ' ' || event_type || chr(9) AS prompt_text, event_type AS task_type, 'm' || (user_id % 7) AS model,
+    CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+      WHEN 2 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') WHEN 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') ELSE 'soon' END AS timestamp,
+    CASE WHEN event_id % 7 = 3 THEN 'n/a' ELSE json_extract_string(props, '$.k') END AS tokens,
+    CASE WHEN event_id % 11 <> 2 THEN CAST(value AS VARCHAR) END AS success_score,
+    CASE WHEN event_id % 3 = 0 THEN 'slow' ELSE CAST(value AS VARCHAR) END AS latency FROM events),
+read_ AS (
+  SELECT event_id, trim(prompt_text, ' ' || chr(9)) AS prompt_text, task_type, model,
+    coalesce(try_strptime(timestamp, ['%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M:%S', '%Y/%m/%d %H:%M:%S', '%Y-%m-%dT%H:%M:%SZ'])) AS at_time,
+    TRY_CAST(tokens AS INTEGER) AS tokens, TRY_CAST(success_score AS DOUBLE) AS success_score, TRY_CAST(latency AS DOUBLE) AS latency
+  FROM written)""",
+    f"""SELECT * EXCLUDE (at_time), {TS('at_time')} AS timestamp FROM read_
+    WHERE at_time IS NOT NULL AND tokens IS NOT NULL AND success_score IS NOT NULL""",
 )
 
 
@@ -877,6 +887,19 @@ def file_inventory(spark, folder):
     return raw.inventory(spark, folder)
 
 
+@query(
+    S.with_(
+        S.RUNS + "," + S.PROMPT_DIM,
+        f"""SELECT r.execution_key, {', '.join('p.' + c for c in eda.EXTRACT if c not in ('success_score', 'tokens', 'response_tokens'))},
+        r.success_score, r.tokens, r.response_tokens, CAST(r.success_score >= 0.5 AS INTEGER) AS is_successful
+        FROM run_prompts r JOIN prompt_dim p USING (prompt_hash) WHERE r.success_score IS NOT NULL""",
+    )
+)
+def eda_extract(spark, folder):
+    tables = W.full_star(spark, folder)
+    return eda.eda_extract(tables["fact_promptexecution"], tables["dim_prompt"], ("execution_key",))
+
+
 # --- training ----------------------------------------------------------------------------------
 
 
@@ -957,7 +980,7 @@ def random_sample(spark, folder):
     )
 )
 def newest_executions(spark, folder):
-    newest = star.newest(W.executions(spark, folder), ["timestamp", "execution_key"], 1000)
+    newest = star.newest(W.executions(spark, folder), "timestamp", "execution_key", 1000)
     return as_text(newest.select("execution_key", "timestamp"), "timestamp")
 
 

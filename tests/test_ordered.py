@@ -63,11 +63,14 @@ def test_stratified_split(spark):
 
 
 def test_samples(spark):
-    df = spark.range(300).select(F.col("id").alias("key"), (F.col("id") * 7 % 300).alias("at"))
+    at = F.timestamp_seconds(F.col("id") * 7 % 300)
+    df = spark.range(300).select(F.col("id").alias("key"), at.alias("at"))
     assert star.random_rows(df, "key", 50).count() == 50
     assert values(star.random_rows(df, "key", 50)) == values(star.random_rows(df.repartition(9), "key", 50))
     assert star.random_rows(df, "key", 1000).count() == 300
-    assert sorted(r["at"] for r in star.newest(df, ["at", "key"], 5).collect()) == [295, 296, 297, 298, 299]
+    assert sorted(r["at"].second for r in star.newest(df, "at", "key", 5).collect()) == [55, 56, 57, 58, 59]
+    tied = spark.range(300).select(F.col("id").alias("key"), F.timestamp_seconds(F.least(F.col("id"), F.lit(9))).alias("at"))
+    assert sorted(r["key"] for r in star.newest(tied, "at", "key", 3).collect()) == [297, 298, 299]
 
 
 def test_roc_equals_brute_force(spark):

@@ -10,6 +10,23 @@ from pyspark.sql import functions as F
 from turnlake.operators.ordered import score_counts, score_summary
 
 
+EXTRACT = (
+    "prompt_length", "token_estimate", "contains_code", "contains_examples", "contains_constraints", "language",
+    "complexity_score", "instruction_density", "success_score", "tokens", "response_tokens",
+)
+
+
+def eda_extract(facts: DataFrame, prompts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Scored facts with their prompt's features and the outcome `is_successful`, without latency; rows without
+    score, complexity or length are left out.
+    """
+    own = [name for name in prompts.columns if name not in facts.columns or name == "prompt_key"]
+    joined = facts.where(F.col("success_score").isNotNull()).join(prompts.select(*own), "prompt_key")
+    outcome = (F.col("success_score") >= 0.5).cast("int").alias("is_successful")
+    rows = joined.select(*keep, *EXTRACT, outcome)
+    return rows.dropna(subset=["success_score", "complexity_score", "prompt_length"])
+
+
 def language_success(df: DataFrame, more_than: int = 50) -> DataFrame:
     """Mean score and size per language, rare languages left out."""
     per_language = df.groupBy("language").agg(F.avg("success_score").alias("avg_success"), F.count("*").alias("sample_size"))

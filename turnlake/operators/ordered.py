@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 SCORE_BINS = 4096  # bins per unit of a score; scores lie in [0, 1]
 HASH_BITS = 12  # 4096 equally likely hash bins
+FEW_STRATA = 100
 
 
 def score_bin(score: Column) -> Column:
@@ -171,11 +172,31 @@ def with_split(
             chain = chain.when(rank < cut, name)
         return chain.otherwise(names[-1])
 
+    # At most 4096 rows per stratum: small enough to send along, so the wide rows stay where they are.
+    strata_count = 1 if strata is None else df.select(strata).distinct().limit(FEW_STRATA + 1).count()
     first, last = split_at(F.col("_before")), split_at(F.col("_before") + F.col("_size") - 1)
     bins = bins.withColumn("split", F.when(first == last, first))
-    placed = keyed.join(bins, place)
+    placed = keyed.join(F.broadcast(bins) if strata_count <= FEW_STRATA else bins, place)
     in_bin = Window.partitionBy(*place).orderBy("_hash", key)
     cut_rows = placed.where(F.col("split").isNull()).withColumn("_rank", F.row_number().over(in_bin) - 1)
     cut_rows = cut_rows.withColumn("split", split_at(F.col("_before") + F.col("_rank"))).drop("_rank")
     done = placed.where(F.col("split").isNotNull()).unionByName(cut_rows)
     return done.select(*df.columns, "split")
+
+
+def first_rows(df: DataFrame, order: Column, ties: list[Column], n: int) -> DataFrame:
+    """The n rows with the smallest `order` (a number), then the smallest `ties`; all rows if there are fewer.
+
+    An ordered limit alone would send n candidates from every partition to one task. An approximate quantile with
+    some slack first cuts the table down to a little more than n rows; the cut is only used after its count has
+    shown that it holds at least n.
+    """
+    ranked = df.withColumn("_order", order.cast("double"))
+    total = ranked.count()
+    if total <= n:
+        return df
+    share = min(1.0, 1.2 * n / total + 0.001)
+    cut = ranked.agg(F.percentile_approx("_order", share, 100_000).alias("cut")).first()["cut"]
+    near = ranked.where(F.col("_order") <= cut)
+    kept = near if near.count() >= n else ranked
+    return kept.orderBy("_order", *ties).limit(n).select(*df.columns)

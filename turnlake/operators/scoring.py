@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml import Transformer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnlake.functions.text import normalize, word_count
@@ -132,6 +132,12 @@ def is_degenerate(probes: DataFrame, models: Sequence[Transformer]) -> bool:
     return spread is None or spread < 1e-6
 
 
+def usable_models(spark: SparkSession, models: Sequence[Transformer]) -> list[Transformer]:
+    """The models, or none (the heuristic then scores) if they cannot tell the probe prompts apart."""
+    probes = spark.createDataFrame([(text,) for text in PROBES], "prompt_text string")
+    return [] if is_degenerate(probes, models) else list(models)
+
+
 def success_scores(prompts: DataFrame, models: Sequence[Transformer] = ()) -> DataFrame:
     """Scoring features and `score`: the models' where usable, else the heuristic."""
     scored = model_score(scoring_features(prompts), models)

@@ -17,7 +17,7 @@ from turnlake import schemas
 from turnlake.functions.messages import winner_model
 from turnlake.functions.text import sha256
 from turnlake.functions.times import calendar
-from turnlake.operators.ordered import hash_order
+from turnlake.operators.ordered import first_rows, hash_order
 
 TASK_KEYS = ("task_type", "domain", "language", "programming_lang", "difficulty", "benchmark_id", "category")
 
@@ -261,16 +261,17 @@ def training_extract(facts: DataFrame, prompts: DataFrame, models: DataFrame, ta
     )
 
 
-def newest(facts: DataFrame, order: Sequence[str], n: int = 100_000) -> DataFrame:
-    """The n newest facts by the `order` columns, which must identify a row.
+def newest(facts: DataFrame, at: str, key: str, n: int = 100_000) -> DataFrame:
+    """The n newest facts by the timestamp `at`, then by the unique `key`.
 
-    The ordered limit sees only those columns; the wide rows are then fetched by a semi join.
+    Only these two columns are ordered; the wide rows are then fetched by a semi join.
     """
-    top = facts.select(*order).orderBy(*[F.desc_nulls_last(c) for c in order]).limit(n)
-    return facts.join(top, list(order), "left_semi")
+    known = facts.select(key, F.unix_micros(at).alias("_at")).where(F.col("_at").isNotNull())
+    top = first_rows(known, -F.col("_at"), [F.desc(key)], n)
+    return facts.join(top.select(key), key, "left_semi")
 
 
 def random_rows(df: DataFrame, key: str, n: int = 25_000, seed: int = 42) -> DataFrame:
-    """A reproducible sample of exactly n rows (all, if there are fewer)."""
-    top = df.select(key).orderBy(hash_order(F.col(key), seed), key).limit(n)
+    """A reproducible sample of exactly n rows (all, if there are fewer); `key` is unique."""
+    top = first_rows(df.select(key), hash_order(F.col(key), seed), [F.asc(key)], n)
     return df.join(top, key, "left_semi")

@@ -16,19 +16,24 @@ from turnlake.functions.messages import body_sql, side_sql
 BLOCK = 4096
 
 
-def _has_long_groups(df: DataFrame, order: str, block: int) -> bool:
-    """Reads one column, and with parquet statistics usually no row group at all."""
-    return not df.where(F.col(order) >= block).select(order).isEmpty()
+def has_long(messages: DataFrame, block: int = BLOCK) -> bool:
+    """Whether any conversation goes beyond one block. Asked of the source table: it reads one column, and with
+    parquet statistics usually no row group at all.
+    """
+    return not messages.where(F.col("turn") >= block).select("turn").isEmpty()
 
 
 def _blocked(df: DataFrame, order: str, block: int) -> DataFrame:
     return df.withColumn("_block", F.floor(F.col(order) / block))
 
 
-def with_next(df: DataFrame, key: str, order: str, columns: list[str], block: int = BLOCK) -> DataFrame:
-    """Add `next`: struct of `columns` of the following row of the same key, NULL on the last row."""
+def with_next(df: DataFrame, key: str, order: str, columns: list[str], block: int | None) -> DataFrame:
+    """Add `next`: struct of `columns` of the following row of the same key, NULL on the last row.
+
+    `block` is None when every key has a bounded number of rows.
+    """
     following = F.struct(*columns)
-    if not _has_long_groups(df, order, block):
+    if block is None:
         return df.withColumn("next", F.lead(following).over(Window.partitionBy(key).orderBy(order)))
     in_block = Window.partitionBy(key, "_block").orderBy(order)
     marked = _blocked(df, order, block).withColumns(
@@ -48,11 +53,9 @@ def with_next(df: DataFrame, key: str, order: str, columns: list[str], block: in
     )
 
 
-def with_running(
-    df: DataFrame, key: str, order: str, measures: dict[str, Column], block: int = BLOCK
-) -> DataFrame:
+def with_running(df: DataFrame, key: str, order: str, measures: dict[str, Column], block: int | None) -> DataFrame:
     """Add running totals (current row included) of the measures within each key."""
-    if not _has_long_groups(df, order, block):
+    if block is None:
         so_far = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(value).over(so_far) for name, value in measures.items()})
     blocked = _blocked(df, order, block)
@@ -77,10 +80,11 @@ def _messages(messages: DataFrame) -> DataFrame:
 
 def turn_pairs(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     """Non-blank user messages directly followed by an assistant message, numbered from 1 per conversation."""
-    paired = with_next(_messages(messages), "conversation_id", "turn", ["side", "body"], block).where(
+    cut = block if has_long(messages, block) else None
+    paired = with_next(_messages(messages), "conversation_id", "turn", ["side", "body"], cut).where(
         (F.col("side") == "user") & (F.col("next.side") == "assistant") & (F.col("body") != "")
     )
-    numbered = with_running(paired, "conversation_id", "turn", {"turn_number": F.lit(1)}, block)
+    numbered = with_running(paired, "conversation_id", "turn", {"turn_number": F.lit(1)}, cut)
     return numbered.select(
         "conversation_id",
         F.col("turn_number").cast("int").alias("turn_number"),
@@ -104,7 +108,8 @@ def assistant_transcript(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     parts = _messages(messages).where((F.col("side") == "assistant") & (F.col("body") != ""))
     sizes = {"part": F.lit(1), "char_end": F.length("body") + 2}
-    placed = with_running(parts, "conversation_id", "turn", sizes, block)
+    cut = block if has_long(messages, block) else None
+    placed = with_running(parts, "conversation_id", "turn", sizes, cut)
     return placed.select(
         "conversation_id",
         "part",

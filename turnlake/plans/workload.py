@@ -243,6 +243,11 @@ def execution_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def full_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Executions with the whole prompt dimension."""
+    return execution_star(spark, folder) | {"dim_prompt": star.dim_prompt(prompts(spark, folder))}
+
+
 def prompt_facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Scored documents as facts, and their tasks."""
     stage = schemas.conform(prompts(spark, folder), schemas.PROMPT_STAGE)
