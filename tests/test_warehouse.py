@@ -7,6 +7,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from turnlake import schemas
+from turnlake.operators import star
 from turnlake.plans.transform import run_transform, transform_rows
 from turnlake.plans.warehouse import Warehouse, load_name
 from turnlake.session import new_folder
@@ -71,13 +72,27 @@ def test_later_load_updates_prompts_and_keeps_keys(spark, arena):
     assert house.totals().first()["loaded"] == 96
 
 
-def test_unfinished_load_is_invisible(spark, arena):
+def test_daily_rollup_follows_later_loads(spark, arena):
+    prompts, _ = arena
     house = Warehouse(spark, new_folder(spark, "wh"))
-    house._write("fact_promptexecution", load_name(1, "prompt"), spark.createDataFrame([], schemas.FACT_EXECUTION))
-    arena[0].selectExpr("conversation_id").limit(1)
-    from turnlake.operators import star
+    with pytest.raises(ValueError, match="no rollups"):
+        house.rollup("daily_model_success")
+    house.load(prompts, "prompt", load_name(1, "prompt"))
+    assert house.current_daily().count() > 0
+    house.refresh_rollups()
+    stored = values(house.rollup("daily_model_success"))
+    assert values(house.current_daily()) == stored
+    late = prompts.where("timestamp >= timestamp'2024-01-03'").withColumn("success_score", F.lit(0.25))
+    house.load(late, "prompt", load_name(2, "prompt"))
+    current = values(house.current_daily())
+    assert values(house.rollup("daily_model_success")) == stored != current
+    house.refresh_rollups()
+    assert values(house.rollup("daily_model_success")) == current
+
 
-    house._write("fact_promptexecution", load_name(2, "prompt"), star.execution_facts(arena[0]))
+def test_unfinished_load_is_invisible(spark, arena):
+    house = Warehouse(spark, new_folder(spark, "wh"))
+    house._write("fact_promptexecution", load_name(1, "prompt"), star.execution_facts(arena[0]))
     assert house.table("fact_promptexecution").count() == 0
 
 

@@ -115,7 +115,9 @@ class Warehouse:
             self._write("dim_model", load, star.dim_model(rows))
             self._write("dim_task", load, star.dim_task(rows))
             self._write("dim_session", load, star.dim_session(rows))
-            loaded = self._write("fact_promptexecution", load, star.execution_facts(rows), "loaded")
+            # Sorted inside each task, so that row-group statistics prune readers that ask for some days only.
+            facts = star.execution_facts(rows).sortWithinPartitions("time_key")
+            loaded = self._write("fact_promptexecution", load, facts, "loaded")
         else:
             self._write("dim_model", load, star.dim_model_of_comparisons(rows))
             loaded = self._write("fact_model_comparison", load, star.comparison_facts(rows), "loaded")
@@ -158,10 +160,43 @@ class Warehouse:
             return None
         for name, rollup in rollups.all_rollups(self.tables()).items():
             rollup.write.mode("overwrite").parquet(f"{self.root}/rollups/{name}/version={latest}")
-        self.spark.createDataFrame([(latest,)], "version string").write.mode("append").parquet(f"{self.root}/rollups/_versions")
+        self.spark.createDataFrame([(latest,)], "version string").write.mode("append").parquet(f"{self.root}/rollup_versions")
         return latest
 
+    def _version(self) -> str | None:
+        try:
+            return self.spark.read.schema("version string").parquet(f"{self.root}/rollup_versions").agg(F.max("version")).first()[0]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def rollup(self, name: str) -> DataFrame:
         """The newest complete version of a rollup."""
-        version = self.spark.read.parquet(f"{self.root}/rollups/_versions").agg(F.max("version")).first()[0]
+        version = self._version()
+        if version is None:
+            raise ValueError("no rollups yet: call refresh_rollups first")
         return self.spark.read.parquet(f"{self.root}/rollups/{name}/version={version}")
+
+    def current_daily(self) -> DataFrame:
+        """The daily rollup brought up to the latest load: only days that loads since the last refresh touched are
+        counted anew (a median cannot be merged), the others are taken from the stored version.
+        """
+        version = self._version()
+        facts, models = self.table("fact_promptexecution"), self.table("dim_model")
+        if version is None:
+            return rollups.daily_model_success(facts, models)
+        day = F.to_date(F.timestamp_micros("time_key"))
+        done = self.loads().select("load")
+        new = self._read("fact_promptexecution", schemas.FACT_EXECUTION).where(F.col("load") > version)
+        touched = new.join(done, "load", "left_semi").where(F.col("time_key").isNotNull()).select(day.alias("day")).distinct()
+        span = touched.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+        stored = self.rollup("daily_model_success")
+        if span["first"] is None:
+            return stored
+        # The span reaches the parquet scan as a range filter on the time key; the semi join then keeps the days.
+        from_key = F.unix_micros(F.lit(span["first"]).cast("timestamp"))
+        to_key = F.unix_micros(F.date_add(F.lit(span["last"]), 1).cast("timestamp"))
+        in_span = facts.where((F.col("time_key") >= from_key) & (F.col("time_key") < to_key)).withColumn("day", day)
+        again = rollups.daily_model_success(in_span.join(touched, "day", "left_semi"), models)
+        return stored.join(touched, "day", "left_anti").unionByName(again.select(*stored.columns))
