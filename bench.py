@@ -17,11 +17,10 @@ from turnlake.session import local_session
 
 HEADLINES = (
     "chat_turn_pairs", "nested_turn_pairs", "arena_events", "prompt_library_events", "prompt_features",
-    "document_features", "prompt_validity_report", "stage_hygiene", "dim_prompt", "fact_prompt_execution",
-    "warehouse_load", "stream_load", "stream_daily_counts", "daily_model_success", "arena_model_performance",
-    "language_performance", "feature_impact", "top_templates", "model_efficiency", "model_board", "feature_board",
-    "template_board", "dashboard_kpis", "timeline_pivot", "feature_correlation", "latency_quantiles",
-    "training_features", "train_split_counts", "frequent_itemsets", "association_rules", "regression_metrics",
+    "document_features", "prompt_validity_report", "stage_hygiene", "dim_prompt", "warehouse_load", "stream_load",
+    "stream_daily_counts", "daily_model_success", "arena_model_performance", "language_performance", "feature_impact",
+    "top_templates", "model_efficiency", "model_board", "feature_board", "timeline_pivot", "feature_correlation",
+    "latency_quantiles", "training_features", "train_split_counts", "association_rules", "regression_metrics",
     "roc_points", "heuristic_scores", "what_if_text", "what_if_features",
 )
 

@@ -149,14 +149,15 @@ def roc_points(df: DataFrame, probability: str, label: str) -> DataFrame:
     every = Window.partitionBy()
     bins = binned.groupBy("bin").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     bins = bins.select(
-        "bin",
+        F.col("bin").alias("_bin"),
         F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
         F.sum("p").over(every).alias("all_pos"),
         F.sum("n").over(every).alias("all_neg"),
     )
     in_bin = Window.partitionBy("bin").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = binned.join(bins, "bin").withColumns(
+    # Null-safe, so that no filter is pushed into one side only and both sides share one exchange and one scan.
+    placed = binned.join(bins, F.col("bin").eqNullSafe(F.col("_bin"))).withColumns(
         {"tp": F.col("p_above") + F.sum("pos").over(in_bin), "fp": F.col("n_above") + F.sum("neg").over(in_bin)}
     )
     width = F.col("neg") / F.col("all_neg")

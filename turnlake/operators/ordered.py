@@ -144,44 +144,46 @@ def with_split(
 ) -> DataFrame:
     """Add `split` with exact group sizes: a cut of the hash order, per stratum if one is given.
 
-    Every stratum is cut at the rounded-up cumulative shares. Counts per hash bin (at most 4096 per stratum) decide
-    every bin that lies inside one share; only the rows of the bins that a cut goes through are ranked.
+    Every stratum is cut at the rounded-up cumulative shares. Counts per hash bin (at most 4096 per stratum) name the
+    bins that a cut goes through; only keys of those bins are ranked, which gives the first row of every part. The
+    table itself is then read once and compared with those rows in place.
     """
-    place = ["_stratum", "_bin"]
-    keyed = df.withColumns(
-        {
-            "_stratum": F.col(strata) if strata else F.lit(0),
-            "_hash": hash_order(F.col(key), seed),
-            "_bin": F.shiftrightunsigned(hash_order(F.col(key), seed), 64 - HASH_BITS),
-        }
-    )
+    stratum = F.col(strata) if strata else F.lit(0)
+    few = strata is None or df.select(strata).distinct().limit(FEW_STRATA + 1).count() <= FEW_STRATA
+
+    def sent_along(small: DataFrame) -> DataFrame:
+        """At most 4096 rows per stratum: with few strata that is a bounded broadcast, otherwise an ordinary join."""
+        return F.broadcast(small) if few else small
+
+    keys = df.select(stratum.alias("_stratum"), F.col(key).alias("_key"), hash_order(F.col(key), seed).alias("_hash"))
+    keys = keys.withColumn("_bin", F.shiftrightunsigned("_hash", 64 - HASH_BITS))
+    # The bins are unsigned, so the order inside a cut is by bin first and then by the signed hash and the key.
     whole = Window.partitionBy("_stratum")
     so_far = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = keyed.groupBy(*place).agg(F.count("*").alias("_size"))
+    bins = keys.groupBy("_stratum", "_bin").agg(F.count("*").alias("_size"))
     bins = bins.withColumns(
         {"_before": F.sum("_size").over(so_far) - F.col("_size"), "_total": F.sum("_size").over(whole)}
     )
 
     names = list(shares)
-    sums = [sum(list(shares.values())[: i + 1]) for i in range(len(names))]
-    cuts = [F.ceil(F.round(F.col("_total") * s, 6)) for s in sums[:-1]]
-
-    def split_at(rank: Column) -> Column:
-        chain = F.when(rank < cuts[0], names[0])
-        for cut, name in zip(cuts[1:], names[1:-1]):
-            chain = chain.when(rank < cut, name)
-        return chain.otherwise(names[-1])
-
-    # At most 4096 rows per stratum: small enough to send along, so the wide rows stay where they are.
-    strata_count = 1 if strata is None else df.select(strata).distinct().limit(FEW_STRATA + 1).count()
-    first, last = split_at(F.col("_before")), split_at(F.col("_before") + F.col("_size") - 1)
-    bins = bins.withColumn("split", F.when(first == last, first))
-    placed = keyed.join(F.broadcast(bins) if strata_count <= FEW_STRATA else bins, place)
-    in_bin = Window.partitionBy(*place).orderBy("_hash", key)
-    cut_rows = placed.where(F.col("split").isNull()).withColumn("_rank", F.row_number().over(in_bin) - 1)
-    cut_rows = cut_rows.withColumn("split", split_at(F.col("_before") + F.col("_rank"))).drop("_rank")
-    done = placed.where(F.col("split").isNotNull()).unionByName(cut_rows)
-    return done.select(*df.columns, "split")
+    sums = [sum(list(shares.values())[: i + 1]) for i in range(len(names) - 1)]
+    cuts = [F.ceil(F.round(F.col("_total") * s, 6)) for s in sums]
+    crossed = reduce(Column.__or__, [(F.col("_before") <= c) & (c < F.col("_before") + F.col("_size")) for c in cuts])
+    near = keys.join(sent_along(bins.where(crossed)), ["_stratum", "_bin"])
+    in_bin = Window.partitionBy("_stratum", "_bin").orderBy("_hash", "_key")
+    ranked = near.withColumn("_rank", F.col("_before") + F.row_number().over(in_bin) - 1)
+    place = F.struct("_bin", "_hash", "_key")
+    firsts = ranked.groupBy("_stratum").agg(
+        *[F.min(F.when(F.col("_rank") == cut, place)).alias(f"_first{i}") for i, cut in enumerate(cuts)]
+    )
+
+    hashed = hash_order(F.col(key), seed)
+    mine = F.struct(F.shiftrightunsigned(hashed, 64 - HASH_BITS).alias("_bin"), hashed.alias("_hash"), F.col(key).alias("_key"))
+    placed = df.withColumns({"_stratum": stratum, "_place": mine}).join(sent_along(firsts), "_stratum", "left")
+    split = F.when(F.col("_first0").isNull() | (F.col("_place") < F.col("_first0")), names[0])
+    for i, name in enumerate(names[1:-1], start=1):
+        split = split.when(F.col(f"_first{i}").isNull() | (F.col("_place") < F.col(f"_first{i}")), name)
+    return placed.withColumn("split", split.otherwise(names[-1])).select(*df.columns, "split")
 
 
 def first_rows(df: DataFrame, order: Column, ties: list[Column], n: int) -> DataFrame:

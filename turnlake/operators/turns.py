@@ -8,7 +8,7 @@ the rows, are then ordered per conversation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from turnlake.functions.messages import body_sql, side_sql
@@ -28,29 +28,25 @@ def _blocked(df: DataFrame, order: str, block: int) -> DataFrame:
 
 
 def with_next(df: DataFrame, key: str, order: str, columns: list[str], block: int | None) -> DataFrame:
-    """Add `next`: struct of `columns` of the following row of the same key, NULL on the last row.
+    """Add `next_<column>` of the following row of the same key; all NULL on the last row.
 
-    `block` is None when every key has a bounded number of rows.
+    `block` is None when every key has a bounded number of rows. Each column has a lead of its own: a lead over a
+    struct would send every text through the shuffle twice.
     """
-    following = F.struct(*columns)
+
+    def following(over: WindowSpec) -> dict[str, Column]:
+        return {f"next_{name}": F.lead(name).over(over) for name in [order, *columns]}
+
     if block is None:
-        return df.withColumn("next", F.lead(following).over(Window.partitionBy(key).orderBy(order)))
+        return df.withColumns(following(Window.partitionBy(key).orderBy(order)))
     in_block = Window.partitionBy(key, "_block").orderBy(order)
-    marked = _blocked(df, order, block).withColumns(
-        {"next": F.lead(following).over(in_block), "_at": F.row_number().over(in_block)}
-    )
-    tails = marked.where(F.col("next").isNull()).withColumns({"_tail": F.lit(1), "_head": F.col("next")})
-    heads = marked.where((F.col("_at") == 1) & (F.col("_block") > 0)).select(
-        key, order, F.lit(0).alias("_tail"), following.alias("_head")
-    )
-    edges = tails.unionByName(heads, allowMissingColumns=True)
+    marked = _blocked(df, order, block).withColumns(following(in_block) | {"_at": F.row_number().over(in_block)})
+    tails = marked.where(F.col(f"next_{order}").isNull()).withColumn("_tail", F.lit(1))
+    heads = marked.where((F.col("_at") == 1) & (F.col("_block") > 0)).withColumn("_tail", F.lit(0))
     over_edges = Window.partitionBy(key).orderBy(order, "_tail")
-    joined_up = edges.withColumn("next", F.lead("_head").over(over_edges)).where(F.col("_tail") == 1)
-    return (
-        marked.where(F.col("next").isNotNull())
-        .unionByName(joined_up.select(*marked.columns))
-        .drop("_block", "_at")
-    )
+    joined_up = tails.unionByName(heads).withColumns(following(over_edges)).where(F.col("_tail") == 1).drop("_tail")
+    inside = marked.where(F.col(f"next_{order}").isNotNull())
+    return inside.unionByName(joined_up).drop("_block", "_at")
 
 
 def with_running(df: DataFrame, key: str, order: str, measures: dict[str, Column], block: int | None) -> DataFrame:
@@ -82,14 +78,14 @@ def turn_pairs(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     """Non-blank user messages directly followed by an assistant message, numbered from 1 per conversation."""
     cut = block if has_long(messages, block) else None
     paired = with_next(_messages(messages), "conversation_id", "turn", ["side", "body"], cut).where(
-        (F.col("side") == "user") & (F.col("next.side") == "assistant") & (F.col("body") != "")
+        (F.col("side") == "user") & (F.col("next_side") == "assistant") & (F.col("body") != "")
     )
     numbered = with_running(paired, "conversation_id", "turn", {"turn_number": F.lit(1)}, cut)
     return numbered.select(
         "conversation_id",
         F.col("turn_number").cast("int").alias("turn_number"),
         F.col("body").alias("prompt_text"),
-        F.nullif(F.col("next.body"), F.lit("")).alias("response_text"),
+        F.nullif(F.col("next_body"), F.lit("")).alias("response_text"),
     )
 
 
