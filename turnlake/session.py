@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -36,15 +40,20 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: `spark.checkpoint.dir`.
 
-    Only a local-mode session without that setting (tests) gets a folder of its own.
+    Only a local-mode session without that setting (tests) gets a folder of its own, which goes with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
     folder = tempfile.mkdtemp(prefix="turnlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
