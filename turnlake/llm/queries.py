@@ -1,36 +1,51 @@
-"""The registered queries of the subpackage and their SQL."""
+"""The registered queries of the subpackage."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnlake.llm import exact_dedup, simhash
+from turnlake.llm import exact_dedup, licenses, mixing, secret_scan, simhash, token_files
+from turnlake.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
+
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(_table(spark, folder, "documents"))
+
+
 def op4_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op5_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(mixing.plan(_table(spark, folder, "documents")))
+
+
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scanned(_table(spark, folder, "documents"))
+
+
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.written(_table(spark, folder, "documents"), WORD_VOCABULARY)
+
+
 def op10_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicated(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
-    "op10_exact_duplicates": op10_exact_duplicates,
-}
-
-ORACLES: dict[str, str] = {
-    "op10_exact_duplicates": """
-        WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
-        g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
-        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
-        FROM t JOIN g USING (text_sha256)
-    """,
+    query.__name__: query
+    for query in (
+        op3_license_scan, op4_simhash_near_duplicates, op5_mixture, op6_secret_scan, op7_token_files, op10_exact_duplicates,
+    )
 }

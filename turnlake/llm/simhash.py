@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
             yield record({"doc_id": batch.column(0), "fp": pa.array(found.view(np.int64))})
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, schema(("doc_id", id_type(docs)), ("fp", "long")))
+    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, schema(("doc_id", id_type(docs)), ("fp", "bigint")))
 
 
 def gray_rank(fp: Column) -> Column:

@@ -37,7 +37,7 @@ def id_type(docs: DataFrame, name: str = "doc_id") -> T.DataType:
 def schema(*fields: tuple[str, T.DataType | str]) -> T.StructType:
     out = T.StructType()
     for name, kind in fields:
-        out.add(name, kind)
+        out.add(name, T.DataType.fromDDL(kind) if isinstance(kind, str) else kind)
     return out
 
 
