@@ -7,18 +7,38 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnlake.llm import exact_dedup, licenses, mixing, secret_scan, simhash, token_files
+from turnlake.llm import (
+    decontamination,
+    exact_dedup,
+    licenses,
+    mixing,
+    quality_model,
+    secret_scan,
+    simhash,
+    suffix_tree,
+    token_counts,
+    token_files,
+)
 from turnlake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, folder, "documents"), PIECE_VOCABULARY)
+
+
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(_table(spark, folder, "documents"))
 
@@ -39,6 +59,16 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.written(_table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return quality_model.rated(docs, quality_model.trained(docs, _table(spark, folder, "labels")))
+
+
+def op9_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return suffix_tree.scores(docs, suffix_tree.trained(docs))
+
+
 def op10_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicated(_table(spark, folder, "documents"))
 
@@ -46,6 +76,7 @@ def op10_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op3_license_scan, op4_simhash_near_duplicates, op5_mixture, op6_secret_scan, op7_token_files, op10_exact_duplicates,
+        op1_benchmark_decontamination, op2_token_counts, op3_license_scan, op4_simhash_near_duplicates, op5_mixture, op6_secret_scan, op7_token_files,
+        op8_quality_classifier, op9_suffix_tree_scores, op10_exact_duplicates,
     )
 }
