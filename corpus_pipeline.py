@@ -4,23 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnlake.llm import simhash
+from turnlake.llm import decontamination, mixing, quality_model, simhash, token_files
 from turnlake.session import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it is fitted on the rated ones among the documents."""
+    model = quality_model.trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_model.selected(docs, model)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their SimHash fingerprints, the one with the smallest id stays."""
     return simhash.one_of_each(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a benchmark contaminates go."""
+    return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them, in shuffled shards."""
+    return mixing.mixed(docs, mixing.plan(docs))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mixture; the result is what they hold of each row."""
+    return token_files.written(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality),
     ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("source_mixture", mix),
+    ("token_files", tokens),
 ]
 
+#: The classifier, the fingerprints and the tokenizer can't be expressed in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
