@@ -17,7 +17,7 @@ equal ids and sources share a block. An empty table gives an empty mix. Only `do
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -98,6 +98,22 @@ def _capacity(total: int, shards: int, first: int, last: int) -> int:
     return total * min(last, shards) // shards - total * min(first, shards) // shards
 
 
+def _splitter(width: int, total: int, shards: int, seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Splits a node of `width` shards among its children."""
+    below = width // FAN
+
+    def split(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("source_no")
+        node = int(rows["node"].iloc[0])
+        cuts = [node * width + i * below for i in range(FAN + 1)]
+        capacities = np.array([_capacity(total, shards, a, b) for a, b in zip(cuts, cuts[1:], strict=False)])
+        made = _split(node * 64 + int(np.log2(width)), rows["quota"].to_numpy(), capacities, seed)
+        child, source = np.nonzero(made)
+        return pd.DataFrame({"node": node * FAN + child, "source_no": rows["source_no"].to_numpy()[source], "quota": made[child, source]})
+
+    return split
+
+
 def splitting_tree(quotas: DataFrame, total: int, shards: int, seed: int) -> DataFrame:
     """`quotas(source_no, quota)` split to `shard, source_no, quota`; nodes of a level are split in parallel tasks."""
     width = 1
@@ -105,19 +121,8 @@ def splitting_tree(quotas: DataFrame, total: int, shards: int, seed: int) -> Dat
         width *= FAN
     level = quotas.select(F.lit(0).cast("long").alias("node"), "source_no", "quota")
     while width > 1:
-        below = width // FAN
-
-        def split(rows: pd.DataFrame, width: int = width, below: int = below) -> pd.DataFrame:
-            rows = rows.sort_values("source_no")
-            node = int(rows["node"].iloc[0])
-            cuts = [node * width + i * below for i in range(FAN + 1)]
-            capacities = np.array([_capacity(total, shards, a, b) for a, b in zip(cuts, cuts[1:], strict=False)])
-            made = _split(node * 64 + int(np.log2(width)), rows["quota"].to_numpy(), capacities, seed)
-            child, source = np.nonzero(made)
-            return pd.DataFrame({"node": node * FAN + child, "source_no": rows["source_no"].to_numpy()[source], "quota": made[child, source]})
-
-        level = level.groupBy("node").applyInPandas(split, "node long, source_no long, quota long")
-        width = below
+        level = level.groupBy("node").applyInPandas(_splitter(width, total, shards, seed), "node long, source_no long, quota long")
+        width //= FAN
     return level.select(F.col("node").alias("shard"), "source_no", "quota")
 
 
