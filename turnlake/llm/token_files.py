@@ -29,14 +29,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnlake.llm.words import batches, id_type, record, schema, text_bytes
+from turnlake.llm.words import batches, id_type, record, schema, space_words, text_bytes
 from turnlake.session import new_folder, stored
 
 END = 1
 CHUNK = 65_536
 SHARD = 32 << 20  # bytes of text in a shard
-CACHE = 1_000_000  # words whose ids a worker remembers
-_TAIL = ".,!?;:%$&#*|"
+CACHE = 700_000  # new words after which a worker forgets those that it has not met again
+_TAIL = b".,!?;:%$&#*|"
 
 
 @dataclass(frozen=True)
@@ -50,57 +50,75 @@ class TokenFiles:
         return spark.read.parquet(f"{self.folder}/shards")
 
 
+class Words(dict):
+    """Ids of words, each made when it is first met.
+
+    A word that is not yet known is divided once more between letters or digits and the punctuation after them, where the
+    tokenizer divides as well, so that "word", "word," and "word." share their work. A part of letters only is a single
+    pre-token, so the library's model alone can encode it.
+    """
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer, self.model, self.normalizer = tokenizer, tokenizer.model, tokenizer.normalizer
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        self[word] = ids = self._made(word) if ids is None else ids
+        return ids
+
+    def _made(self, word: bytes) -> bytes:
+        stem = word.rstrip(_TAIL)
+        if stem and stem != word and stem.decode()[-1].isalnum():
+            return self[stem] + self[word[len(stem) :]]
+        text = word.decode()
+        plain = text if text.isascii() else self.normalizer.normalize_str(text)
+        if plain.isalpha():
+            ids = [token.id for token in self.model.tokenize(plain if plain.isascii() else _byte_letters(plain))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def forget(self) -> None:
+        """Drops the words that were not used since the last time."""
+        self.older = dict(self)
+        self.clear()
+
+
 class Encoder:
     """Encodes texts word by word and remembers the words.
 
     White space always ends a token of the vocabulary named by `path`, so a text's ids are its words' ids one after
-    another. A word that is not yet known is divided once more between letters or digits and the punctuation after
-    them, where the tokenizer divides as well, so that "word", "word," and "word." share their work.
+    another; the tokenizer lower-cases as well.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.words = Words(self.tokenizer)
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def __call__(self, text: bytes) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        if b"<|" in text:  # the vocabulary's special tokens may be in it
+            return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.words) > CACHE:
+            self.words.forget()
+        return b"".join(map(self.words.__getitem__, space_words(text)))
 
-    def _word(self, word: str) -> bytes:
-        stem = word.rstrip(_TAIL)
-        if stem and stem != word and stem[-1].isalnum() and "<|" not in word:
-            return self._part(stem) + self._part(word[len(stem) :])
-        return self._ids(word)
-
-    def _part(self, part: str) -> bytes:
-        ids = self.known.get(part)
-        if ids is None:
-            ids = self.known[part] = self._ids(part)
-        return ids
 
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if "<|" in text:
-            return self._ids(text)
-        if len(self.known) > CACHE:
-            self.known = {"": b""}
-        words, known = _lowered(text).split(" "), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            for word in words:
-                if word not in known:
-                    known[word] = self._word(word)
-            return b"".join([known[w] for w in words])
+def _byte_alphabet() -> dict[int, str]:
+    """The printable stand-ins of the byte-level alphabet: printable bytes stand for themselves, the others for 256 and on."""
+    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_BREAKS = str.maketrans({"\n": " ", "\t": " ", "\r": " "} | {chr(c): chr(c + 32) for c in range(65, 91)})
+_ALPHABET = _byte_alphabet()
 
 
-def _lowered(text: str) -> str:
-    """ASCII letters in lower case and the common white space as spaces: the tokenizer does both itself."""
-    return text.translate(_BREAKS) if not text.isascii() else text.lower().replace("\n", " ").replace("\t", " ").replace("\r", " ")
+def _byte_letters(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_ALPHABET)
 
 
 @functools.cache
@@ -152,7 +170,7 @@ def write(docs: DataFrame, path: str, folder: str, chunk: int = CHUNK, end: int
 
         for batch in batches(stream, 256):
             for i, text in enumerate(batch.column(2).to_pylist()):
-                ids, shard = np.frombuffer(encode(text.decode()) + last, "<u4"), batch.column(0)[0].as_py()
+                ids, shard = np.frombuffer(encode(text) + last, "<u4"), batch.column(0)[0].as_py()
                 while len(ids):
                     piece = ids[: chunk - filled]
                     held.append(piece)
