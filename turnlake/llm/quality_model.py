@@ -38,8 +38,8 @@ GRADES = 3
 SELECT = 0.5
 ROUNDS = 200
 LEAST = 3  # documents of the sample that a word is in, for a weight
-L1 = 2e-4
-L2 = 1e-6
+PRICE = 2.0  # documents' worth of evidence that a word needs for a weight: the L1 penalty times the sample's size
+L2 = 1e-4
 _MARKS = frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
@@ -61,7 +61,7 @@ class Features:
             if at is None:
                 at = known[word] = xxhash.xxh64_intdigest(word, 7) % BUCKETS
             out.append(at)
-        return np.unique(np.array(out, np.int64))
+        return np.unique(np.array(out, np.int32))
 
     @staticmethod
     def shares(text: bytes) -> tuple[float, float, float, float]:
@@ -94,16 +94,19 @@ def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.nd
     n, present = len(grades), np.unique(grades)
     if len(present) < 2:
         return Ordinal(np.zeros(BUCKETS + SHARES), np.full(GRADES - 1, -50.0))
-    known = np.bincount(buckets, minlength=BUCKETS)[buckets] >= LEAST  # rarer words get no weight
-    rows, buckets = rows[known], buckets[known]
-    used, columns = np.unique(buckets, return_inverse=True)
-    size = np.bincount(columns, minlength=len(used))
+    counts = np.bincount(buckets, minlength=BUCKETS)
+    used = np.flatnonzero(counts >= LEAST)  # rarer words get no weight
+    column = np.full(BUCKETS, -1, np.int32)
+    column[used] = np.arange(len(used), dtype=np.int32)
+    columns = column[buckets]
+    rows, columns, size = rows[columns >= 0], columns[columns >= 0], counts[used]
     scale = 1 / np.sqrt(np.maximum(size, 1) / n + 0.01)  # rarer words take larger steps
     spread = shares.std(axis=0) + 1e-6
     dense = shares / spread
     weights, dense_weights = np.zeros(len(used)), np.zeros(SHARES)
     share_below = np.clip([(grades < k).mean() for k in range(1, GRADES)], 1e-3, 1 - 1e-3)
     thresholds = np.sort(np.log(share_below / (1 - share_below)))
+    held_back, price = np.ones(len(used)), PRICE / n
     steps = [np.zeros_like(weights), np.zeros_like(dense_weights), np.zeros_like(thresholds)]
 
     def below(score: np.ndarray, k: int) -> np.ndarray:
@@ -111,14 +114,17 @@ def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.nd
         padded = np.concatenate(([-50.0], thresholds, [50.0]))
         return 1 / (1 + np.exp(np.clip(score - padded[k + 1], -50, 50)))
 
-    for _ in range(ROUNDS):
+    for turn in range(2 * ROUNDS):
+        if turn == ROUNDS:  # the chosen words are fitted again without the penalty, which had held their weights down
+            held_back, price = (weights != 0).astype(float), 0.0
+            steps[0] = np.zeros_like(weights)
         score = np.bincount(rows, weights[columns], n) + dense @ dense_weights
         high, low = below(score, grades), below(score, grades - 1)
         chance = np.maximum(high - low, 1e-9)
         slope_high, slope_low = high * (1 - high) / chance, low * (1 - low) / chance
         pull = (slope_high - slope_low) / n  # of the loss, by the score
         gradients = (
-            np.bincount(columns, pull[rows], len(used)) + L2 * weights,
+            held_back * (np.bincount(columns, pull[rows], len(used)) + L2 * weights),
             dense.T @ pull,
             np.array([(-slope_high[grades == k].sum() + slope_low[grades == k + 1].sum()) / n for k in range(GRADES - 1)]),
         )
@@ -127,7 +133,7 @@ def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.nd
         rates = [0.5 / np.sqrt(held + 1e-8) for held in steps]
         rates[0] = np.minimum(rates[0], 50 * scale)
         weights = weights - rates[0] * gradients[0]
-        weights = np.sign(weights) * np.maximum(np.abs(weights) - rates[0] * L1, 0)
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - rates[0] * price, 0)
         dense_weights = dense_weights - rates[1] * gradients[1]
         thresholds = np.sort(thresholds - rates[2] * gradients[2])
     out = np.zeros(BUCKETS + SHARES)
@@ -150,7 +156,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal
         features = Features()
         for batch in batches(stream, 500):
             found = [(features.words(t), features.shares(t)) for t in batch.column(0).to_pylist()]
-            yield record({"words": pa.array([w for w, _ in found], pa.list_(pa.int64())), "shares": pa.array([s for _, s in found], pa.list_(pa.float64())), "grade": batch.column(1)})
+            yield record({"words": pa.array([w for w, _ in found], pa.list_(pa.int32())), "shares": pa.array([s for _, s in found], pa.list_(pa.float64())), "grade": batch.column(1)})
 
     def fitted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, buckets, shares, grades, n = [], [], [], [], 0
@@ -163,10 +169,12 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal
             grades.append(batch.column(2).to_numpy())
             n += batch.num_rows
         if n:
-            model = fit(np.concatenate(rows), np.concatenate(buckets), np.concatenate(shares), np.concatenate(grades).astype(np.int64))
+            words = np.concatenate(rows), np.concatenate(buckets)
+            del rows, buckets
+            model = fit(*words, np.concatenate(shares), np.concatenate(grades).astype(np.int64))
             yield record({"weights": pa.array([model.weights], pa.list_(pa.float64())), "thresholds": pa.array([model.thresholds], pa.list_(pa.float64()))})
 
-    read = texts.select("text", "grade").mapInArrow(featured, "words array<bigint>, shares array<double>, grade int")
+    read = texts.select("text", "grade").mapInArrow(featured, "words array<int>, shares array<double>, grade int")
     found = read.repartition(1).mapInArrow(fitted, "weights array<double>, thresholds array<double>").first()
     if found is None:
         return Ordinal(np.zeros(BUCKETS + SHARES), np.full(GRADES - 1, -50.0))
