@@ -20,9 +20,7 @@ def brute_sets(rows, support):
     return {s: c / len(rows) for s, c in counts.items() if c / len(rows) >= support}
 
 
-@pytest.mark.parametrize("enumerable", [16, 0])
-def test_itemsets_by_both_ways(spark, monkeypatch, enumerable):
-    monkeypatch.setattr(mining, "ENUMERABLE", enumerable)
+def test_itemsets_equal_all_subsets(spark):
     rows, df = baskets(spark)
     got = {tuple(r["items"]): r["support"] for r in mining.frequent_itemsets(df, 0.08).collect()}
     expected = brute_sets(rows, 0.08)
@@ -86,3 +84,14 @@ def test_categorical_rules(spark):
     assert rules[(), ("code=true",)] == pytest.approx(0.7) and rules[(), ("outcome=Success",)] == pytest.approx(0.6)
     assert rules[("code=true",), ("outcome=Success",)] == pytest.approx(6 / 7) and rules[("code=false",), ("outcome=Failure",)] == 1.0
     assert all(len(right) == 1 for _, right in rules) and values(mining.categorical_rules(df, ["code"], longest=1).select("consequents")) != []
+
+
+def test_wide_baskets_keep_every_rule(spark):
+    """One set of 18 items with a 17-item and a one-item subset; 33 items in a basket run as well."""
+    names = [f"i{i:02}" for i in range(18)]
+    rows = [(tuple(names), 0.5), (tuple(names[:17]), 0.5), ((names[17],), 0.5)]
+    itemsets = spark.createDataFrame(rows, "items array<string>, support double")
+    found = {(tuple(r["antecedents"]), tuple(r["consequents"])) for r in mining.all_rules(itemsets).collect()}
+    assert found == {(tuple(names[:17]), (names[17],)), ((names[17],), tuple(names[:17]))}
+    wide = spark.createDataFrame([([f"x{i}" for i in range(33)],)] + [([f"x{i}", "y"],) for i in range(33)], "items array<string>")
+    assert {tuple(r["items"]) for r in mining.frequent_itemsets(wide, 0.5).collect()} == {("y",)}

@@ -53,7 +53,7 @@ def confusion_metrics(counts: DataFrame) -> DataFrame:
     """Closed-form statistics of a row {tp, fp, fn, tn}."""
     tp, fp, fn, tn = (F.col(name) for name in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
-    accuracy, prevalence, claimed = (tp + tn) / n, (tp + fn) / n, (tp + fp) / n
+    accuracy, prevalence, claimed = (F.try_divide(part, n) for part in (tp + tn, tp + fn, tp + fp))
     chance = prevalence * claimed + (1 - prevalence) * (1 - claimed)
     sensitivity, specificity = F.try_divide(tp, tp + fn), F.try_divide(tn, tn + fp)
     return counts.withColumns(
@@ -68,7 +68,7 @@ def confusion_metrics(counts: DataFrame) -> DataFrame:
             "pos_pred_value": F.try_divide(tp, tp + fp),
             "neg_pred_value": F.try_divide(tn, tn + fn),
             "prevalence": prevalence,
-            "detection_rate": tp / n,
+            "detection_rate": F.try_divide(tp, n),
             "detection_prevalence": claimed,
             "balanced_accuracy": (sensitivity + specificity) / 2,
         }

@@ -7,11 +7,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnlake.operators.ordered import exact_quantiles
+from turnlake.session import stored
 
 FLAG_ITEMS = ("contains_code", "contains_examples", "contains_constraints")
 ABOVE_UPPER_QUARTILE = ("prompt_length", "token_estimate", "tokens_used")
 ABOVE_MEDIAN = ("instruction_density", "complexity_score")
-ENUMERABLE = 16  # items per transaction up to which all its subsets are listed (65,535)
 
 
 def transactions(df: DataFrame, categories: tuple[str, ...] = (), score: str = "success_rate") -> DataFrame:
@@ -29,32 +29,17 @@ def transactions(df: DataFrame, categories: tuple[str, ...] = (), score: str = "
     return df.select(F.array_sort(F.array_compact(F.array(*items))).alias("items")).where(F.size("items") > 0)
 
 
-def _subsets(items: Column, longest: int) -> Column:
-    """All non-empty subsets of a sorted array, as sorted arrays."""
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(items)).cast("int") - 1)
-    sets = F.transform(
-        masks, lambda mask: F.filter(items, lambda _, i: F.getbit(mask.cast("bigint"), i).cast("int") == 1)
-    )
-    return F.filter(sets, lambda s: F.size(s) <= longest)
-
-
 def frequent_itemsets(baskets: DataFrame, min_support: float = 0.08, longest: int | None = None) -> DataFrame:
-    """(items, freq, support) of all itemsets with at least the support.
+    """(items, freq, support) of all itemsets with at least the support, found by FP-Growth at every basket width.
 
-    Equal baskets are counted first. With short baskets there are few distinct ones whatever the table's size, and
-    their subsets are summed up directly; longer baskets go to FP-Growth.
+    The itemsets are written once: rules read them several times.
     """
-    patterns = baskets.groupBy("items").agg(F.count("*").alias("n"))
-    size = patterns.agg(F.sum("n").alias("total"), F.max(F.size("items")).alias("longest")).first()
-    total, widest = size["total"] or 0, size["longest"] or 0
-    if widest <= ENUMERABLE:
-        each = patterns.select(F.explode(_subsets(F.col("items"), longest or widest)).alias("items"), "n")
-        counted = each.groupBy("items").agg(F.sum("n").alias("freq"))
-    else:
-        found = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
-        counted = found.select(F.array_sort("items").alias("items"), "freq")
-        counted = counted.where(F.size("items") <= longest) if longest else counted
-    return counted.withColumn("support", F.col("freq") / max(total, 1)).where(F.col("support") >= min_support)
+    total = baskets.count()
+    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
+    counted = found.select(F.array_sort("items").alias("items"), "freq")
+    counted = counted.where(F.size("items") <= longest) if longest else counted
+    counted = counted.withColumn("support", F.col("freq") / max(total, 1)).where(F.col("support") >= min_support)
+    return stored(counted, "itemsets")
 
 
 def _measured(splits: DataFrame) -> DataFrame:
@@ -73,27 +58,34 @@ def _measured(splits: DataFrame) -> DataFrame:
     )
 
 
-def all_rules(itemsets: DataFrame) -> DataFrame:
-    """Every split of every itemset into antecedents and consequents, with its measures."""
-    sides = itemsets.where(F.size("items") > 1).select(
-        "items", "support", F.explode(_subsets(F.col("items"), ENUMERABLE)).alias("antecedents")
-    )
-    sides = sides.where(F.size("antecedents") < F.size("items")).withColumn(
-        "consequents", F.array_except("items", "antecedents")
-    )
-    left = itemsets.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
+def all_rules(itemsets: DataFrame, min_confidence: float = 0.0, widest: int | None = None) -> DataFrame:
+    """Splits of the itemsets into antecedents and consequents with at least the confidence, with their measures.
+
+    The left sides are looked up among the itemsets by their first and last item, both of which the whole set has, so
+    no subsets are listed and neither the number of items nor that of rules is capped. `widest` bounds the consequents
+    if given.
+    """
+    ends = F.array_distinct(F.flatten(F.transform("items", lambda a: F.transform(F.filter("items", lambda b: b >= a), lambda b: F.struct(a.alias("a"), b.alias("b"))))))
+    whole = itemsets.where(F.size("items") > 1).select("items", "support", F.explode(ends).alias("ends"))
+    left = itemsets.select(
+        F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"),
+        F.struct(F.element_at("items", 1).alias("a"), F.element_at("items", -1).alias("b")).alias("ends"),
+    )
     right = itemsets.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
-    return _measured(sides.join(left, "antecedents").join(right, "consequents"))
+    sides = whole.join(left, "ends").where((F.size("antecedents") < F.size("items")) & (F.size(F.array_except("antecedents", "items")) == 0))
+    sides = sides.where(F.col("support") / F.col("antecedent_support") >= min_confidence)
+    sides = sides.where(F.size("items") - F.size("antecedents") <= widest) if widest else sides
+    sides = sides.withColumn("consequents", F.array_except("items", "antecedents")).drop("items", "ends")
+    return _measured(sides.join(right, "consequents"))
 
 
 def association_rules(
     itemsets: DataFrame, min_confidence: float = 0.5, min_lift: float = 2.0, fallback_confidence: float = 0.3
 ) -> DataFrame:
     """Rules above confidence and lift; if none reaches the confidence, the lower one applies."""
-    rules = all_rules(itemsets)
-    confident = rules.where(F.col("confidence") >= min_confidence)
+    confident = stored(all_rules(itemsets, min_confidence), "rules")
     if confident.isEmpty():
-        confident = rules.where(F.col("confidence") >= fallback_confidence)
+        confident = all_rules(itemsets, fallback_confidence)
     return confident.where(F.col("lift") >= min_lift)
 
 
@@ -112,7 +104,7 @@ def categorical_rules(
     items = [F.concat(F.lit(f"{name}="), F.col(name).cast("string")) for name in columns]
     baskets = df.select(F.array_sort(F.array_compact(F.array(*items))).alias("items"))
     itemsets = frequent_itemsets(baskets, min_support, longest)
-    single = all_rules(itemsets).where(F.size("consequents") == 1)
+    single = all_rules(itemsets, min_confidence, widest=1)
     alone = itemsets.where(F.size("items") == 1).select(
         F.array().cast("array<string>").alias("antecedents"),
         F.col("items").alias("consequents"),
