@@ -89,10 +89,25 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
+def distinct_rows(rows: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
+    """The first of the rows with the same MinHash signature: copies would count a chance word several times."""
+    cuts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1]))) if len(rows) else np.zeros(0, np.int64)
+    signature = np.full((n, 4), -1, np.int64)
+    for i, factor in enumerate((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)):
+        if len(cuts):
+            signature[rows[cuts], i] = np.minimum.reduceat(((buckets.astype(np.uint32) + np.uint32(1)) * np.uint32(factor)).astype(np.int64), cuts)
+    return np.sort(np.unique(signature, axis=0, return_index=True)[1])
+
+
 def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.ndarray) -> Ordinal:
     """Accelerated proximal gradient descent; `rows` and `buckets` list the words present."""
-    n, present = len(grades), np.unique(grades)
-    if len(present) < 2:
+    n = len(grades)
+    stay = distinct_rows(rows, buckets, n)
+    number = np.full(n, -1, np.int32)
+    number[stay] = np.arange(len(stay), dtype=np.int32)
+    known = number[rows] >= 0
+    rows, buckets, shares, grades, n = number[rows][known], buckets[known], shares[stay], grades[stay], len(stay)
+    if len(np.unique(grades)) < 2:
         return Ordinal(np.zeros(BUCKETS + SHARES), np.full(GRADES - 1, -50.0))
     counts = np.bincount(buckets, minlength=BUCKETS)
     used = np.flatnonzero(counts >= LEAST)  # rarer words get no weight
