@@ -564,6 +564,73 @@ def warehouse_load(spark, folder):
     return house.totals().select("target", "processed", "loaded", "rejected")
 
 
+_LATEST_PROMPTS = """
+offered AS (
+  SELECT 3 AS place, prompt_hash, prompt_length, prompt_text, language FROM comparison_stage
+  UNION ALL SELECT 2, prompt_hash, prompt_length, prompt_text, language FROM stage
+  UNION ALL SELECT 1, prompt_hash, prompt_length, prompt_text, 'zz' FROM stage WHERE prompt_hash < '8')
+SELECT prompt_hash, prompt_text, language FROM (SELECT *, row_number() OVER (
+  PARTITION BY prompt_hash ORDER BY place, prompt_length DESC, prompt_text, language) AS pick FROM offered) WHERE pick = 1"""
+
+
+@query(
+    S.with_(
+        S.STAGE + "," + S._after_docs(S.COMPARISON_STAGE).replace(S._after_docs(S.BATTLES) + ",", "") + "," + _LATEST_PROMPTS, ""
+    )
+)
+def dim_prompt_after_second_load(spark, folder):
+    """Prompts of three loads, the latest of which wins: comparisons, merged and stored; prompts under a name that sorts
+    below; the half of those prompts once more with another language.
+    """
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    house.load(W.comparison_stage(spark, folder), "comparison", load_name(2, "comparison"))
+    house.snapshot("dim_prompt")
+    prompts = stored(_stage(spark, folder), "stage")
+    house.load(prompts, "prompt", load_name(1, "prompt", 2))
+    again = prompts.where(F.col("prompt_hash") < "8").withColumn("language", F.lit("zz"))
+    house.load(again, "prompt", load_name(1, "prompt", 1))
+    return house.table("dim_prompt").select("prompt_hash", "prompt_text", "language")
+
+
+def _loaded_late(spark, folder) -> Warehouse:
+    """A warehouse whose rollups were refreshed before a load with rows of an earlier day came."""
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    prompts = stored(_stage(spark, folder), "stage")
+    early = F.col("timestamp") < F.lit("2024-01-21").cast("timestamp")
+    house.load(prompts.where(~F.coalesce(early, F.lit(False))), "prompt", load_name(2, "prompt"))
+    house.refresh_rollups()
+    house.load(prompts.where(early), "prompt", load_name(1, "prompt"))
+    return house
+
+
+@query(
+    S.with_(
+        S.STAGE,
+        f"""SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, coalesce(model_name, 'unknown') AS model_name,
+        count(*) AS attempts, round(avg(success_score), {S.R}) AS avg_success, median(success_score) AS median_success
+        FROM stage WHERE success_score IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2""",
+    )
+)
+def current_daily_after_late_load(spark, folder):
+    """The daily rollup after a late load, without a refresh."""
+    return rounded(day_text(_loaded_late(spark, folder).current_daily()), "avg_success")
+
+
+@query(
+    S.with_(
+        S.STAGE,
+        f"""SELECT model_name, count(*) AS attempts, round(avg(success_score), {S.R}) AS avg_success,
+        median(success_score) AS median_success FROM stage
+        WHERE dataset_name ILIKE '%arena%' AND success_score IS NOT NULL AND model_name <> '' GROUP BY 1""",
+    )
+)
+def rollup_refresh(spark, folder):
+    """The board of arena models after a second refresh, which covers the late load."""
+    house = _loaded_late(spark, folder)
+    house.refresh_rollups()
+    return rounded(house.rollup("model_performance_arena"), "avg_success")
+
+
 # --- rollups -----------------------------------------------------------------------------------
 
 
@@ -1414,10 +1481,16 @@ def cluster_assignment(spark, folder):
 
 
 def _write_sources(spark, folder) -> str:
-    """The raw datasets as parquet folders."""
+    """The raw datasets as they are saved: a train and a test split (rows of the train split once more), with the info
+    file beside the rows.
+    """
     root = new_folder(spark, "datasets")
-    for name, rows in W.RAW.items():
-        rows(spark, folder).write.parquet(f"{root}/{name}")
+    sources = {W.CHAT: W.nested_chats, **W.RAW}
+    for name, rows in sources.items():
+        for split in ("train", "test"):
+            rows(spark, folder).write.parquet(f"{root}/{name}/{split}")
+        info = spark.createDataFrame([(("1.0.0",),)], "version struct<version_str: string>")
+        info.coalesce(1).write.json(f"{root}/{name}/train/dataset_info.json")
     return root
 
 
@@ -1425,6 +1498,7 @@ def _write_sources(spark, folder) -> str:
     S.with_(
         S.EVENTS,
         f"""SELECT dataset_name, 'prompt' AS record_type, count(*) AS n FROM events_all WHERE dataset_name <> '{W.CHAT}' GROUP BY 1
+        UNION ALL SELECT '{W.CHAT}', 'prompt', count(*) FROM code_pairs
         UNION ALL SELECT '{W.ARENA}', 'comparison', count(*) FROM battles WHERE prompt_text IS NOT NULL""",
     )
 )
@@ -1468,10 +1542,11 @@ def stream_load(spark, folder):
     )
 )
 def stream_daily_counts(spark, folder):
-    """Executions as a stream, counted per day and model; the state after the last micro-batch."""
+    """Executions as a stream of eight files, newest days first, counted per day and model; the sum of all batches."""
+    source = new_folder(spark, "events")
     events = W.table(spark, folder, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events*.parquet")
-    updates = streaming.daily_updates(W.as_executions(stream))
+    events.repartitionByRange(8, F.desc("ts")).write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     out = new_folder(spark, "daily")
-    streaming.start_daily(updates, out, new_folder(spark, "checkpoint")).awaitTermination()
+    streaming.start_daily(W.as_executions(stream), out, new_folder(spark, "checkpoint")).awaitTermination()
     return rounded(day_text(streaming.daily_state(spark, out)), "avg_success")

@@ -16,11 +16,10 @@ def hot_scores(seed=1):
     return [("hot" if i % 3 == 0 else f"k{i % 7}", rng.random() if i % 3 == 0 else rng.choice([0.0, 0.5, 1.0])) for i in range(900)]
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_score_summary(spark, split):
+def test_score_summary(spark):
     rows = hot_scores() + [("hot", None), (None, 0.25)]
     df = spark.createDataFrame(rows, "k string, success_score double")
-    got = {r["k"]: r for r in ordered.score_summary(ordered.score_counts(df, ["k"]), ["k"], split=split).collect()}
+    got = {r["k"]: r for r in ordered.score_summary(ordered.score_counts(df, ["k"]), ["k"]).collect()}
     for key in {k for k, _ in rows}:
         scores = [s for k, s in rows if k == key and s is not None]
         assert got[key]["n"] == len(scores)
@@ -83,3 +82,11 @@ def test_roc_equals_brute_force(spark):
         assert math.isclose(row["fpr"], sum(1 - y for p, y in rows if p >= row["threshold"]) / neg)
     wins = sum((a > b) + 0.5 * (a == b) for a, y in rows if y for b, z in rows if not z)
     assert math.isclose(evaluation.auc(points).first()["auc"], wins / (pos * neg))
+
+
+@pytest.mark.parametrize("n", [0, 2, 4, 9])
+def test_first_rows_puts_missing_orders_last(spark, n):
+    df = spark.createDataFrame([(1, 3.0), (2, None), (3, 1.0), (4, float("nan")), (5, 1.0)], "id int, v double")
+    got = [r["id"] for r in ordered.first_rows(df, F.col("v"), [F.asc("id")], n).collect()]
+    assert got == [3, 5, 1, 2, 4][:n]
+    assert ordered.first_rows(df.where("false"), F.col("v"), [F.asc("id")], 3).count() == 0

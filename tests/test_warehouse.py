@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from turnlake import schemas
 from turnlake.operators import star
+from turnlake.plans import transform
 from turnlake.plans.transform import run_transform, transform_rows
 from turnlake.plans.warehouse import Warehouse, load_name
 from turnlake.session import new_folder
@@ -90,9 +91,33 @@ def test_daily_rollup_follows_later_loads(spark, arena):
     assert values(house.rollup("daily_model_success")) == current
 
 
+def test_loads_count_in_the_order_they_finish(spark, arena):
+    """A load whose name sorts below an earlier one still comes later: for dimensions, snapshots and the daily rollup."""
+    prompts, comparisons = arena
+    house = Warehouse(spark, new_folder(spark, "wh"))
+    house.load(comparisons.withColumn("language", F.lit("old")), "comparison", load_name(9, "comparison"))
+    house.snapshot()
+    house.load(prompts.where("timestamp < timestamp'2024-01-02'").withColumn("language", F.lit("mid")), "prompt", load_name(2, "prompt"))
+    first = house.refresh_rollups()
+    house.load(prompts.where("timestamp >= timestamp'2024-01-02'").withColumn("language", F.lit("new")), "prompt", load_name(1, "prompt"))
+    dim = house.table("dim_prompt")
+    late = prompts.where("timestamp >= timestamp'2024-01-02'").select("prompt_hash").distinct()
+    assert dim.count() == prompts.select("prompt_hash").distinct().count()
+    assert {r["language"] for r in dim.join(late, "prompt_hash", "left_semi").collect()} == {"new"}
+    assert house.current_daily().select("day").distinct().count() == 4
+    assert house.refresh_rollups() > first
+    assert values(house.rollup("daily_model_success")) == values(house.current_daily())
+    before = state(house)
+    house.snapshot()
+    assert state(house) == before
+    house.load(comparisons.withColumn("language", F.lit("old")), "comparison", load_name(9, "comparison"))  # a replay
+    assert state(house) == before
+    assert values(house.loads(), "load", "seq") == [(load_name(1, "prompt"), 3), (load_name(2, "prompt"), 2), (load_name(9, "comparison"), 1)]
+
+
 def test_unfinished_load_is_invisible(spark, arena):
     house = Warehouse(spark, new_folder(spark, "wh"))
-    house._write("fact_promptexecution", load_name(1, "prompt"), star.execution_facts(arena[0]))
+    house._write_facts("fact_promptexecution", load_name(1, "prompt"), star.execution_facts(arena[0]))
     assert house.table("fact_promptexecution").count() == 0
 
 
@@ -140,22 +165,29 @@ def test_first_variant_policy(spark):
 
 def test_transform_run_with_discovery_and_resume(spark, tmp_path):
     root, out = f"{tmp_path}/datasets", f"{tmp_path}/out"
-    battles(spark, 6).write.parquet(f"{root}/chatbot_arena")
-    battles(spark, 6).write.parquet(f"{root}/unknown_set")
-    spark.createDataFrame([("a", "do it", None, True)], schemas.RAW_LIBRARY).write.parquet(f"{root}/prompt_library")
-    (tmp_path / "datasets/prompt_library/train").mkdir()
+    battles(spark, 6).write.parquet(f"{root}/chatbot_arena/train")
+    battles(spark, 9).write.parquet(f"{root}/chatbot_arena/test")
+    battles(spark, 6).write.parquet(f"{root}/unknown_set/train")
+    spark.createDataFrame([("a", "do it", None, True)], schemas.RAW_LIBRARY).write.parquet(f"{root}/prompt_library/train")
     info = tmp_path / "datasets/prompt_library/train/dataset_info.json"
     info.write_text(json.dumps({"version": {"version_str": "1.2.3"}}, indent=2))
     assert raw.discover(spark, root) == ["chatbot_arena", "prompt_library"]
     assert raw.discover(spark, root, ["prompt_library", "other"]) == ["prompt_library"]
     assert raw.metadata(spark, f"{root}/prompt_library", "prompt_library")["version"] == "1.2.3"
     assert raw.metadata(spark, f"{root}/chatbot_arena", "chatbot_arena")["version"] is None
-    info.unlink()  # the reader below takes every file of the folder as parquet
     counts = run_transform(spark, root, out, limit=4)
-    expected = [("chatbot_arena", "comparison", 4), ("chatbot_arena", "prompt", 8), ("prompt_library", "prompt", 1)]
-    assert values(counts) == expected
-    assert values(run_transform(spark, root, out, resume=True)) == expected
-    assert values(run_transform(spark, root, out))[0] == ("chatbot_arena", "comparison", 6)
+    library = ("prompt_library", "prompt", 1)
+    assert values(counts) == [("chatbot_arena", "comparison", 4), ("chatbot_arena", "prompt", 8), library]
+    assert values(run_transform(spark, root, out, limit=4, resume=True)) == values(counts)
+    # A run with a limit is not a finished run without one.
+    whole = [("chatbot_arena", "comparison", 6), ("chatbot_arena", "prompt", 12), library]
+    assert values(run_transform(spark, root, out, resume=True)) == whole
+    # Finished outputs are kept; one that was never marked as whole is written again.
+    records.write_records(spark.createDataFrame([("x", "chatbot_arena")], "conversation_id string, dataset_name string"), f"{out}/prompt_events/chatbot_arena")
+    assert values(run_transform(spark, root, out, resume=True))[1] == ("chatbot_arena", "prompt", 1)
+    transform._mark(spark, out, "chatbot_arena", "prompt", False, None)
+    assert values(transform.output_counts(spark, out)) == [whole[0], library]
+    assert values(run_transform(spark, root, out, resume=True)) == whole
 
 
 def test_arrow_shards(spark, tmp_path):
@@ -192,11 +224,13 @@ def test_profile_and_inventory(spark, tmp_path):
 
 
 def test_daily_stream(spark, tmp_path):
-    rows = [(f"2024-01-0{1 + i % 3} 0{i % 9}:00:00", f"m{i % 2}" if i % 5 else None, (i % 3) / 2) for i in range(60)]
+    """Files whose days go back in time: no row is too late."""
+    rows = [(f"2024-0{1 + i % 3}-01 0{i % 9}:00:00", f"m{i % 2}" if i % 5 else None, (i % 3) / 2) for i in range(60)]
     df = spark.createDataFrame(rows, "t string, model_name string, success_score double").selectExpr("cast(t AS timestamp) AS timestamp", "model_name", "success_score")
-    df.repartition(4).write.parquet(f"{tmp_path}/in")
+    for month in (3, 2, 1):
+        df.where(F.month("timestamp") == month).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    streaming.start_daily(streaming.daily_updates(stream), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    streaming.start_daily(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     expected = df.groupBy(F.to_date("timestamp").alias("day"), F.coalesce("model_name", F.lit("unknown")).alias("model_name")).agg(
         F.count("*").alias("attempts"), F.avg("success_score").alias("avg_success")
     )

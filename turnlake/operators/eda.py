@@ -7,7 +7,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnlake.operators.ordered import score_counts, score_summary
+from turnlake.operators.ordered import exact_quantiles
 
 
 EXTRACT = (
@@ -59,7 +59,9 @@ def score_density(df: DataFrame, group: str, score: str = "success_score", width
 
 
 def target_summary(df: DataFrame, target: str = "success_rate") -> DataFrame:
-    """Mean, sample deviation, min, max, median and missing values of the target."""
+    """Mean, sample deviation, min, max, median and missing values of the target. The bins in which the median is
+    looked for follow the data, so a column of any range is ordered in parallel.
+    """
     shape = df.agg(
         F.count("*").alias("total_records"),
         F.count_if(F.col(target).isNull()).alias("missing"),
@@ -67,10 +69,9 @@ def target_summary(df: DataFrame, target: str = "success_rate") -> DataFrame:
         F.stddev_samp(target).alias("std"),
         F.min(target).alias("min"),
         F.max(target).alias("max"),
-    ).withColumn("one", F.lit(1))
-    counted = score_counts(df.withColumn("one", F.lit(1)), ["one"], target)
-    median = score_summary(counted, ["one"], target).select("one", "median")
-    return shape.join(median, "one", "left").drop("one")
+    )
+    median = exact_quantiles(df, {target: [0.5]})[target][0]
+    return shape.withColumn("median", F.lit(median).cast("double"))
 
 
 def missing_values(df: DataFrame) -> DataFrame:

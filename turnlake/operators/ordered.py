@@ -27,13 +27,9 @@ def score_counts(df: DataFrame, keys: list[str], score: str = "success_score") -
     return df.where(F.col(score).isNotNull()).groupBy(*keys, score).agg(F.count("*").alias("weight"))
 
 
-def score_summary(
-    counts: DataFrame, keys: list[str], score: str = "success_score", split: bool = True
-) -> DataFrame:
-    """Per key: `n`, `mean` and exact `median` of scores counted by `score_counts`.
-
-    `split=True` suits few keys with many rows each: value bins of one key are ordered in parallel.
-    `split=False` suits many keys: the distinct scores of one key are ordered in one (spillable) window.
+def score_summary(counts: DataFrame, keys: list[str], score: str = "success_score") -> DataFrame:
+    """Per key: `n`, `mean` and exact `median` of scores counted by `score_counts`. Value bins of one key are ordered in
+    parallel, so a hot key with many distinct scores is never ordered in one task.
     """
     levels = counts.groupBy(*keys, F.col(score).alias("v")).agg(F.sum("weight").alias("w"))
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
@@ -60,8 +56,6 @@ def score_summary(
             ((hits[0] + hits[1]) / 2).alias("median"),
         )
 
-    if not split:
-        return median(placed(levels, keys, "v", F.col("v") * F.col("w")))
     binned = levels.withColumn("bin", score_bin(F.col("v")))
     bins = binned.groupBy(*keys, "bin").agg(F.sum("w").alias("w"), F.sum(F.col("v") * F.col("w")).alias("vw"))
     wanted = placed(bins, keys, "bin", F.col("vw")).where(holds(low) | holds(high)).drop("w", "vw")
@@ -187,18 +181,17 @@ def with_split(
 
 
 def first_rows(df: DataFrame, order: Column, ties: list[Column], n: int) -> DataFrame:
-    """The n rows with the smallest `order` (a number), then the smallest `ties`; all rows if there are fewer.
+    """The n rows with the smallest `order` (a number; NULL and NaN come last), then the smallest `ties`; all rows if
+    there are fewer.
 
-    An ordered limit alone would send n candidates from every partition to one task. An approximate quantile with
-    some slack first cuts the table down to a little more than n rows; the cut is only used after its count has
-    shown that it holds at least n.
+    An ordered limit alone would send n candidates from every partition to one task. An approximate quantile a
+    little beyond n rows therefore cuts the table first; where its count shows that it falls short of n, nothing is cut.
     """
-    ranked = df.withColumn("_order", order.cast("double"))
+    last = F.lit(math.inf)
+    ranked = df.withColumn("_order", F.coalesce(F.nanvl(order.cast("double"), last), last))
     total = ranked.count()
-    if total <= n:
-        return df
-    share = min(1.0, 1.2 * n / total + 0.001)
+    share = min(1.0, 1.2 * n / max(total, 1) + 0.001)
     cut = ranked.agg(F.percentile_approx("_order", share, 100_000).alias("cut")).first()["cut"]
-    near = ranked.where(F.col("_order") <= cut)
-    kept = near if near.count() >= n else ranked
-    return kept.orderBy("_order", *ties).limit(n).select(*df.columns)
+    if cut is None or ranked.where(F.col("_order") <= cut).count() < n:
+        cut = math.inf
+    return ranked.where(F.col("_order") <= cut).orderBy("_order", *ties).limit(n).select(*df.columns)

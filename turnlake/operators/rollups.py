@@ -56,7 +56,7 @@ def feature_impact(facts: DataFrame, prompts: DataFrame) -> DataFrame:
 
 def template_performance(facts: DataFrame, prompts: DataFrame) -> DataFrame:
     """Prompts by use. Grouped by the narrow key; the text joins the finished groups."""
-    per_prompt = score_summary(score_counts(facts, ["prompt_key"]), ["prompt_key"], split=False)
+    per_prompt = score_summary(score_counts(facts, ["prompt_key"]), ["prompt_key"])
     rows = per_prompt.join(prompts.select("prompt_key", "prompt_hash", "prompt_text"), "prompt_key")
     return _named(rows, ["prompt_hash", "prompt_text"], "uses")
 

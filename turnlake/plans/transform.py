@@ -47,11 +47,13 @@ def run_transform(
 ) -> DataFrame:
     """Transform every discovered dataset and return (dataset_name, record_type, n).
 
-    Each source is written to a folder of its own, complete or not at all. With `resume`, sources that a former
-    run finished are kept as they are; otherwise they are written anew.
+    Each source is written to a folder of its own, followed by a row that says it is whole and with which limit. With
+    `resume`, sources that a former run finished with the same limit are kept as they are; all others are written anew.
     """
     started = run_ts or dt.datetime.now(dt.timezone.utc)
-    done = _finished(spark, output) if resume else set()
+    output = output.rstrip("/")
+    finished = _finished(spark, output)
+    done = {key for key, rows in finished.items() if rows == limit} if resume else set()
     found = raw.discover(spark, datasets_root, datasets)
     for dataset in found:
         path = f"{datasets_root.rstrip('/')}/{dataset}"
@@ -60,30 +62,38 @@ def run_transform(
         parts = transform_rows(dataset, rows, started, about["collection_method"], about["version"])
         for kind, part in zip(OUTPUTS, parts):
             if part is not None and (dataset, kind) not in done:
-                records.write_records(part, f"{output.rstrip('/')}/{OUTPUTS[kind]}/{dataset}")
+                _mark(spark, output, dataset, kind, False, limit)
+                records.write_records(part, f"{output}/{OUTPUTS[kind]}/{dataset}")
+                _mark(spark, output, dataset, kind, True, limit)
     return output_counts(spark, output)
 
 
-def _finished(spark: SparkSession, output: str) -> set[tuple[str, str]]:
-    """(dataset, kind) of the sources with data files in their output folder; a job puts them there when it commits."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
-    kinds = {folder: kind for kind, folder in OUTPUTS.items()}
+def _mark(spark: SparkSession, output: str, dataset: str, kind: str, whole: bool, limit: int | None) -> None:
+    """State of one output folder: not whole before it is written, whole afterwards."""
+    row = spark.createDataFrame([(whole, limit)], "whole boolean, row_limit bigint")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{output}/states/dataset={dataset}/kind={kind}")
+
+
+def _finished(spark: SparkSession, output: str) -> dict[tuple[str, str], int | None]:
+    """(dataset, kind) of the whole outputs (at most two rows per registered adapter) with their row limit."""
+    schema = "whole boolean, row_limit bigint, dataset string, kind string"
     try:
-        folders = files.load(output).select(F.split("path", "/").alias("p"))
+        states = spark.read.schema(schema).parquet(f"{output}/states")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return set()
-    pairs = folders.select(F.element_at("p", -2).alias("dataset"), F.element_at("p", -3).alias("folder")).distinct()
-    return {(row["dataset"], kinds[row["folder"]]) for row in pairs.collect() if row["folder"] in kinds}
+        return {}
+    return {(row["dataset"], row["kind"]): row["row_limit"] for row in states.where("whole").collect()}
 
 
 def output_counts(spark: SparkSession, output: str) -> DataFrame:
-    """Records per dataset and type in an output folder."""
+    """Records per dataset and type in an output folder; sources that are not whole are left out."""
+    output = output.rstrip("/")
+    whole = list(_finished(spark, output))
     parts = []
-    present = {kind for _, kind in _finished(spark, output)}
-    for kind in sorted(present):
-        read = records.read_records(spark, f"{output.rstrip('/')}/{OUTPUTS[kind]}", kind)
+    for kind in sorted({kind for _, kind in whole}):
+        folders = [f"{output}/{OUTPUTS[kind]}/{dataset}" for dataset, of in whole if of == kind]
+        read = records.read_records(spark, folders, kind)
         counted = read.groupBy("dataset_name").agg(F.count("*").alias("n"))
         parts.append(counted.select("dataset_name", F.lit(kind).alias("record_type"), "n"))
     if not parts:

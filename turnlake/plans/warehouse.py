@@ -1,13 +1,18 @@
 """The persisted warehouse: one parquet folder per table, one partition per load.
 
-A load overwrites nothing but its own partition, so a replayed load leaves the same state behind, and it becomes
-visible with its row in `loads`, which is written last. Dimension rows of a load are the load's own distinct rows;
-reading a dimension merges the loads (latest wins for prompts and sources). `snapshot` stores the merged dimension,
-after which reading starts from it and only merges the loads that came later.
+A load overwrites nothing but its own partitions (facts: one per day and load), so a replayed load leaves the same
+state behind, and it becomes visible with its row in `loads`, which is written last and numbers the loads in the order
+in which they finished; a replay keeps its number. Dimension rows of a load are the load's own distinct rows; reading
+a dimension merges the loads (the latest finished one wins for prompts and sources). `snapshot` stores the merged
+dimension and the list of loads in it, after which reading starts from it and only merges the loads not in that list.
+The same lists tell which loads a version of the rollups has counted.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +22,8 @@ from turnlake.operators import rollups, star
 from turnlake.operators.quality import accepted, staged
 
 STAGES = {"prompt": ("stage_prompts", schemas.PROMPT_STAGE), "comparison": ("stage_comparisons", schemas.COMPARISON_STAGE)}
-LOADS = "target string, processed bigint, staged bigint, loaded bigint, rejected bigint"
+LOADS = "target string, processed bigint, staged bigint, loaded bigint, rejected bigint, seq bigint"
+FACTS = ("fact_promptexecution", "fact_model_comparison")
 KEYS = {
     "dim_prompt": "prompt_key",
     "dim_model": "model_key",
@@ -30,7 +36,7 @@ LATEST_WINS = ("dim_prompt", "dim_source")
 
 
 def load_name(run: int, kind: str, step: int = 0) -> str:
-    """Names sort in load order: run, prompts before comparisons, step."""
+    """A name for the load of one step: a repeated step has the same name. It says nothing about the order of loads."""
     return f"{run:06d}-{'prompt comparison'.split().index(kind)}-{step:08d}"
 
 
@@ -40,57 +46,104 @@ class Warehouse:
 
     # --- storage -----------------------------------------------------------------------------
 
-    def _write(self, table: str, load: str, df: DataFrame, count: str | None = None) -> int | None:
-        seen = Observation() if count else None
-        if seen:
-            df = df.observe(seen, F.count(F.lit(1)).alias(count))
+    def _write(self, table: str, load: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{table}/load={load}")
-        return seen.get[count] if seen else None
 
-    def _read(self, table: str, ddl: str) -> DataFrame:
-        """All loads of a table with their name; empty before the first one."""
-        schema = f"{ddl}, load string"
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
+    def _write_facts(self, table: str, load: str, facts: DataFrame) -> int:
+        """Facts by day and load. The rebalancing makes few files per day and splits a day with a large share of them;
+        only the partitions of this load are overwritten.
+        """
+        seen = Observation()
+        day = F.to_date(F.timestamp_micros("time_key"))
+        dated = facts.observe(seen, F.count(F.lit(1)).alias("loaded")).withColumns({"day": day, "load": F.lit(load)})
+        writer = dated.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("day", "load").parquet(f"{self.root}/{table}")
+        return seen.get["loaded"]
+
+    def _read(self, folder: str, ddl: str) -> DataFrame:
+        """All rows below a folder of partitions; empty before the first one."""
+        reader = self.spark.read.schema(ddl).option("basePath", f"{self.root}/{folder}")
         try:
-            return reader.parquet(f"{self.root}/{table}")
+            return reader.parquet(f"{self.root}/{folder}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], ddl)
 
     def loads(self) -> DataFrame:
         """The audit of all finished loads."""
-        return self._read("loads", LOADS)
+        return self._read("loads", f"{LOADS}, load string")
+
+    def _rows(self, name: str, among: list[str] | None = None) -> DataFrame:
+        """Rows of the finished (or of the given) loads of a table, with `load` and `seq` (facts: and `day`)."""
+        part = "day date, load string" if name in FACTS else "load string"
+        loads = self.loads().select("load", "seq")
+        if among is not None:
+            loads = loads.join(self._names(among), "load", "left_semi")
+        return self._read(name, f"{schemas.WAREHOUSE[name]}, {part}").join(loads, "load")
+
+    def _names(self, loads: list[str]) -> DataFrame:
+        return self.spark.createDataFrame([(load,) for load in loads], "load string")
+
+    # --- versions: derived tables that know which loads they cover ---------------------------------
+
+    def _version(self, kind: str) -> str | None:
+        return self._read(f"covered/{kind}", "load string, version string").agg(F.max("version")).first()[0]
+
+    def _new_version(self) -> str:
+        """Fresh for every refresh, so that no version in use is overwritten; versions sort by time."""
+        return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+    def _covered(self, kind: str, version: str) -> DataFrame:
+        return self._read(f"covered/{kind}", "load string, version string").where(F.col("version") == version).select("load")
+
+    def _publish(self, kind: str, version: str, names: list[str]) -> None:
+        """Make a stored version the current one: the last write of a refresh."""
+        self._names(names).coalesce(1).write.parquet(f"{self.root}/covered/{kind}/version={version}")
+
+    def _finished(self) -> list[str]:
+        """Names of the finished loads (one row of the audit each)."""
+        return sorted(row["load"] for row in self.loads().select("load").distinct().collect())
 
-    def table(self, name: str) -> DataFrame:
-        """The current content of a dimension or fact table."""
-        ddl = schemas.WAREHOUSE[name]
-        rows = self._read(name, ddl).join(self.loads().select("load"), "load", "left_semi")
+    # --- tables --------------------------------------------------------------------------------
+
+    def table(self, name: str, among: list[str] | None = None) -> DataFrame:
+        """The current content of a dimension or fact table, or its content as of the given loads."""
+        columns = schemas.names(schemas.WAREHOUSE[name])
+        rows = self._rows(name, among)
         if name not in KEYS:
-            return rows.select(*schemas.names(ddl))
-        since = self._read(f"{name}_snapshots", ddl)
-        latest = since.agg(F.max("load")).first()[0]
-        if latest is not None:
-            rows = since.where(F.col("load") == latest).unionByName(rows.where(F.col("load") > latest))
-        return self._merged(name, rows)
+            return rows.select(*columns)
+        version = self._version(name)
+        if version is None:
+            return self._merged(name, rows)
+        stored = self.spark.read.schema(schemas.WAREHOUSE[name]).parquet(f"{self.root}/{name}_snapshots/version={version}")
+        later = self._merged(name, rows.join(self._covered(name, version), "load", "left_anti"))
+        merge = star.upsert if name in LATEST_WINS else star.insert_if_absent
+        return merge(stored, later, KEYS[name])
 
     def _merged(self, name: str, rows: DataFrame) -> DataFrame:
+        """One row per key: a key's latest load is found on numbers alone, its row by a join."""
         columns = schemas.names(schemas.WAREHOUSE[name])
         key = KEYS[name]
         if name not in LATEST_WINS:
             return rows.dropDuplicates([key]).select(*columns)
-        rest = [column for column in columns if column != key]
-        last = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "load").alias("last"))
-        return last.select(key, "last.*").select(*columns)
+        last = rows.groupBy(key).agg(F.max(F.struct("seq", "load")).alias("last")).select(key, "last.*")
+        return rows.join(last, [key, "seq", "load"], "left_semi").select(*columns)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in schemas.WAREHOUSE}
 
-    def snapshot(self, name: str) -> None:
-        """Store the merged dimension as of the latest finished load."""
-        latest = self.loads().agg(F.max("load")).first()[0]
-        if latest is not None:
-            self._write(f"{name}_snapshots", latest, self.table(name))
+    def snapshot(self, *names: str) -> None:
+        """Store the merged dimensions (all, if none is named) as of the loads finished by now; bounds what reading them
+        merges. Loads that finish meanwhile are merged when read.
+        """
+        covered = self._finished()
+        if not covered:
+            return
+        for name in names or KEYS:
+            version = self._new_version()
+            self.table(name, covered).write.parquet(f"{self.root}/{name}_snapshots/version={version}")
+            self._publish(name, version, covered)
 
     # --- loading -----------------------------------------------------------------------------
 
@@ -115,12 +168,10 @@ class Warehouse:
             self._write("dim_model", load, star.dim_model(rows))
             self._write("dim_task", load, star.dim_task(rows))
             self._write("dim_session", load, star.dim_session(rows))
-            # Sorted inside each task, so that row-group statistics prune readers that ask for some days only.
-            facts = star.execution_facts(rows).sortWithinPartitions("time_key")
-            loaded = self._write("fact_promptexecution", load, facts, "loaded")
+            loaded = self._write_facts("fact_promptexecution", load, star.execution_facts(rows))
         else:
             self._write("dim_model", load, star.dim_model_of_comparisons(rows))
-            loaded = self._write("fact_model_comparison", load, star.comparison_facts(rows), "loaded")
+            loaded = self._write_facts("fact_model_comparison", load, star.comparison_facts(rows))
 
         processed, unusable = seen.get["processed"], seen.get["unusable"]
         usable = processed - unusable
@@ -131,10 +182,15 @@ class Warehouse:
             "loaded": loaded,
             "rejected": unusable + max(usable - loaded, 0),
         }
-        row = self.spark.createDataFrame([tuple(audit.values())], LOADS)
+        row = self.spark.createDataFrame([(*audit.values(), self._number(load))], LOADS)
         self._write("loads", load, row)
         return audit
 
+    def _number(self, load: str) -> int:
+        """The place of a load among the finished ones; a replay keeps the one it has."""
+        mine = F.max(F.when(F.col("load") == load, F.col("seq")))
+        return self.loads().agg(F.coalesce(mine, F.max("seq") + 1, F.lit(1))).first()[0]
+
     def totals(self) -> DataFrame:
         """Rows processed, loaded and rejected per target."""
         return self.loads().groupBy("target").agg(
@@ -154,49 +210,36 @@ class Warehouse:
     # --- rollups -----------------------------------------------------------------------------
 
     def refresh_rollups(self) -> str | None:
-        """Rebuild the five rollups as a new version, named by the latest load; readers move on when it is whole."""
-        latest = self.loads().agg(F.max("load")).first()[0]
-        if latest is None:
-            return None
-        for name, rollup in rollups.all_rollups(self.tables()).items():
-            rollup.write.mode("overwrite").parquet(f"{self.root}/rollups/{name}/version={latest}")
-        self.spark.createDataFrame([(latest,)], "version string").write.mode("append").parquet(f"{self.root}/rollup_versions")
-        return latest
-
-    def _version(self) -> str | None:
-        try:
-            return self.spark.read.schema("version string").parquet(f"{self.root}/rollup_versions").agg(F.max("version")).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """Rebuild the five rollups over the loads finished by now as a new version; readers move on when it is whole."""
+        covered = self._finished()
+        if not covered:
             return None
+        version = self._new_version()
+        tables = {name: self.table(name, covered) for name in schemas.WAREHOUSE}
+        for name, rollup in rollups.all_rollups(tables).items():
+            rollup.write.parquet(f"{self.root}/rollups/{name}/version={version}")
+        self._publish("rollups", version, covered)
+        return version
 
     def rollup(self, name: str) -> DataFrame:
         """The newest complete version of a rollup."""
-        version = self._version()
+        version = self._version("rollups")
         if version is None:
             raise ValueError("no rollups yet: call refresh_rollups first")
         return self.spark.read.parquet(f"{self.root}/rollups/{name}/version={version}")
 
     def current_daily(self) -> DataFrame:
-        """The daily rollup brought up to the latest load: only days that loads since the last refresh touched are
-        counted anew (a median cannot be merged), the others are taken from the stored version.
+        """The daily rollup brought up to date: only days that loads outside the stored version touched are counted
+        anew (a median cannot be merged), the others are taken from that version.
         """
-        version = self._version()
-        facts, models = self.table("fact_promptexecution"), self.table("dim_model")
+        version = self._version("rollups")
+        models = self.table("dim_model")
+        facts = self._rows("fact_promptexecution")
         if version is None:
             return rollups.daily_model_success(facts, models)
-        day = F.to_date(F.timestamp_micros("time_key"))
-        done = self.loads().select("load")
-        new = self._read("fact_promptexecution", schemas.FACT_EXECUTION).where(F.col("load") > version)
-        touched = new.join(done, "load", "left_semi").where(F.col("time_key").isNotNull()).select(day.alias("day")).distinct()
-        span = touched.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+        later = facts.join(self._covered("rollups", version), "load", "left_anti")
+        touched = later.where(F.col("day").isNotNull()).select("day").distinct()
+        # Facts lie in a folder per day: the semi join prunes the folders of days that nothing touched.
+        again = rollups.daily_model_success(facts.join(touched, "day", "left_semi").drop("day"), models)
         stored = self.rollup("daily_model_success")
-        if span["first"] is None:
-            return stored
-        # The span reaches the parquet scan as a range filter on the time key; the semi join then keeps the days.
-        from_key = F.unix_micros(F.lit(span["first"]).cast("timestamp"))
-        to_key = F.unix_micros(F.date_add(F.lit(span["last"]), 1).cast("timestamp"))
-        in_span = facts.where((F.col("time_key") >= from_key) & (F.col("time_key") < to_key)).withColumn("day", day)
-        again = rollups.daily_model_success(in_span.join(touched, "day", "left_semi"), models)
         return stored.join(touched, "day", "left_anti").unionByName(again.select(*stored.columns))

@@ -72,25 +72,30 @@ def _arrow_batches(schema: pa.Schema):
     return read
 
 
+FILES = {"parquet": "*.parquet", "json": "{*.jsonl,*.jsonl.gz,part-*.json,data-*.json}", "arrow": "*.arrow"}
+
+
 def read_rows(
     spark: SparkSession, path: str, dataset: str, form: str = "parquet", limit: int | None = None
 ) -> DataFrame:
-    """Raw rows of a dataset under its fixed schema. `form` is parquet, json, or arrow (a dataset saved to disk as
-    Arrow shards below `train/`); only the first `limit` rows if one is given.
+    """Raw rows of the `train` split of a dataset folder under its fixed schema. `form` is parquet, json (lines), or
+    arrow (a dataset saved to disk as Arrow shards); other files of the folder, such as `dataset_info.json`, are left
+    alone, and so are other splits. Only the first `limit` rows if one is given.
     """
     use_utc(spark)
+    if form not in FILES:
+        raise ValueError(f"unknown form {form!r}")
     ddl = adapter_for(dataset).raw_schema
+    reader = spark.read.option("pathGlobFilter", FILES[form]).option("recursiveFileLookup", "true")
+    train = f"{path.rstrip('/')}/train"
     if form == "arrow":
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        shards = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").option("recursiveFileLookup", "true")
         schema = to_arrow_schema(spark.createDataFrame([], ddl).schema)
-        # One shard per task row: shards are cut to a few hundred MB when they are saved.
-        rows = shards.load(path).select("content").repartition(F.xxhash64("content")).mapInArrow(_arrow_batches(schema), ddl)
-    elif form in ("parquet", "json"):
-        rows = spark.read.schema(ddl).option("recursiveFileLookup", "true").format(form).load(path)
+        # The scan deals out whole shards, which are cut to a few hundred MB when they are saved.
+        rows = reader.format("binaryFile").load(train).select("content").mapInArrow(_arrow_batches(schema), ddl)
     else:
-        raise ValueError(f"unknown form {form!r}")
+        rows = reader.schema(ddl).format(form).load(train)
     return rows if limit is None else rows.limit(limit)
 
 

@@ -23,7 +23,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_records(spark: SparkSession, path: str, kind: str = "prompt") -> DataFrame:
+def read_records(spark: SparkSession, path: str | list[str], kind: str = "prompt") -> DataFrame:
     """JSON lines as records; blank lines are skipped, unreadable ones end up in `_corrupt_record`."""
     return (
         spark.read.schema(record_schema(kind))

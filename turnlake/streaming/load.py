@@ -56,7 +56,9 @@ def load_all(
     files_per_trigger: int = 16,
     run: int = 1,
 ) -> DataFrame:
-    """Prompts (must exist), then comparisons (skipped when missing), then the rollups; returns the load totals."""
+    """Prompts (must exist), then comparisons (skipped when missing), then merged dimensions and rollups; returns the
+    load totals.
+    """
     if not _exists(spark, prompts):
         raise FileNotFoundError(f"prompt records not found: {prompts}")
     sources = [("prompt", prompts)]
@@ -65,6 +67,7 @@ def load_all(
     for kind, path in sources:
         stream = record_stream(spark, path, kind, files_per_trigger)
         start_load(stream, kind, warehouse, f"{checkpoints}/{kind}", run).awaitTermination()
+    warehouse.snapshot()
     warehouse.refresh_rollups()
     return warehouse.totals()
 
@@ -97,33 +100,29 @@ class ProgressLog(StreamingQueryListener):
         self.report({"phase": "failed" if event.exception else "finished", "query": str(event.id)})
 
 
-def daily_updates(executions: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Attempts and score sums per (day, model) of a stream with `timestamp`, `model_name`, `success_score`.
+def daily_counts(executions: DataFrame) -> DataFrame:
+    """Attempts and score sums per (day, model) of rows with `timestamp`, `model_name`, `success_score`."""
+    scored = executions.where(F.col("success_score").isNotNull() & F.col("timestamp").isNotNull())
+    days = scored.groupBy(F.to_date("timestamp").alias("day"), F.coalesce("model_name", F.lit("unknown")).alias("model_name"))
+    return days.agg(F.count("*").alias("attempts"), F.sum("success_score").alias("score_sum"))
 
-    State is one row per day and model within the allowed lateness; rows are combined before they are shuffled.
-    """
-    scored = executions.where(F.col("success_score").isNotNull()).withWatermark("timestamp", lateness)
-    days = scored.groupBy(
-        F.window("timestamp", "1 day").alias("window"), F.coalesce("model_name", F.lit("unknown")).alias("model_name")
-    )
-    counted = days.agg(F.count("*").alias("attempts"), F.sum("success_score").alias("score_sum"))
-    return counted.select(F.to_date("window.start").alias("day"), "model_name", "attempts", "score_sum")
 
+def start_daily(executions: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Count every micro-batch of a stream of executions into a partition of its own (a replay overwrites it).
 
-def start_daily(updates: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed rows of every micro-batch to a partition of its own (a replay overwrites it)."""
+    Counts and sums of batches add up, so no state is kept between batches and no row can come too late: there is no
+    watermark behind which rows would be lost.
+    """
 
     def keep(batch: DataFrame, step: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/step={step}")
+        daily_counts(batch).write.mode("overwrite").parquet(f"{folder}/step={step}")
 
-    writer = updates.writeStream.outputMode("update").foreachBatch(keep)
+    writer = executions.writeStream.foreachBatch(keep)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def daily_state(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest row per (day, model) over all written updates."""
-    updates = spark.read.parquet(folder)
-    last = updates.groupBy("day", "model_name").agg(F.max_by(F.struct("attempts", "score_sum"), "step").alias("last"))
-    return last.select(
-        "day", "model_name", "last.attempts", (F.col("last.score_sum") / F.col("last.attempts")).alias("avg_success")
-    )
+    """Attempts and mean score per (day, model) over all batches counted so far."""
+    parts = spark.read.schema("day date, model_name string, attempts bigint, score_sum double").parquet(folder)
+    added = parts.groupBy("day", "model_name").agg(F.sum("attempts").alias("attempts"), F.sum("score_sum").alias("score_sum"))
+    return added.select("day", "model_name", "attempts", (F.col("score_sum") / F.col("attempts")).alias("avg_success"))
