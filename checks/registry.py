@@ -564,13 +564,15 @@ def warehouse_load(spark, folder):
     return house.totals().select("target", "processed", "loaded", "rejected")
 
 
-_LATEST_PROMPTS = """
+_TIES = "token_estimate, prompt_type, contains_code, contains_examples, contains_constraints"  # as in `dim_prompt`
+_LATEST_PROMPTS = f"""
 offered AS (
-  SELECT 3 AS place, prompt_hash, prompt_length, prompt_text, language FROM comparison_stage
-  UNION ALL SELECT 2, prompt_hash, prompt_length, prompt_text, language FROM stage
-  UNION ALL SELECT 1, prompt_hash, prompt_length, prompt_text, 'zz' FROM stage WHERE prompt_hash < '8')
+  SELECT 3 AS place, prompt_hash, prompt_length, prompt_text, {_TIES}, language FROM comparison_stage
+  UNION ALL SELECT 2, prompt_hash, prompt_length, prompt_text, {_TIES}, language FROM stage
+  UNION ALL SELECT 1, prompt_hash, prompt_length, prompt_text, {_TIES}, 'zz' FROM stage WHERE prompt_hash < '8')
 SELECT prompt_hash, prompt_text, language FROM (SELECT *, row_number() OVER (
-  PARTITION BY prompt_hash ORDER BY place, prompt_length DESC, prompt_text, language) AS pick FROM offered) WHERE pick = 1"""
+  PARTITION BY prompt_hash ORDER BY place, prompt_length DESC, prompt_text, {_TIES}, language) AS pick
+  FROM offered) WHERE pick = 1"""
 
 
 @query(
