@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -398,6 +400,23 @@ def dim_prompt(spark, folder):
     return star.dim_prompt(_stage(spark, folder)).select(*_PROMPT_COLUMNS)
 
 
+_FIRST = ("ts", "conversation_id", "turn_number", "prompt_text", "token_estimate", "prompt_type", "contains_code", "contains_examples",
+          "contains_constraints", "language", "complexity_score", "instruction_density")
+
+
+@query(
+    S.with_(
+        S.STAGE,
+        f"""SELECT {', '.join(c for c in _PROMPT_COLUMNS if c not in ('length', 'token_count'))}, prompt_length AS length,
+        token_estimate AS token_count FROM (SELECT *, row_number() OVER (PARTITION BY prompt_hash
+        ORDER BY {', '.join(c + ' NULLS FIRST' for c in _FIRST)}) AS place FROM stage) WHERE place = 1""",
+    )
+)
+def dim_prompt_first_variant(spark, folder):
+    arrival = ("timestamp", "conversation_id", "turn_number")
+    return star.dim_prompt(_stage(spark, folder), "first", arrival).select(*_PROMPT_COLUMNS)
+
+
 @query(
     S.with_(
         S.STAGE + "," + S._after_docs(S.COMPARISONS).replace(S._after_docs(S.BATTLES) + ",", ""),
@@ -945,9 +964,14 @@ def latency_quantiles(spark, folder):
     return runs.limit(1).select(*[F.round(F.lit(v), S.R).alias(n) for v, n in zip(values, ("median", "q75", "q99"))])
 
 
-@query("SELECT column_name AS \"column\", (SELECT count(*) FROM documents) AS rows FROM (DESCRIBE SELECT * FROM documents)")
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", '{kind}' AS type, true AS nullable, count(*) AS rows, count(*) - count({name}) AS missing FROM documents"
+        for name, kind in (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"))
+    )
+)
 def table_profile(spark, folder):
-    return raw.profile(W.table(spark, folder, "documents")).select("column", "rows")
+    return raw.profile(W.table(spark, folder, "documents"))
 
 
 @query()
@@ -982,6 +1006,34 @@ def _extract(spark, folder):
     return stored(renamed.drop("response_tokens").join(docs, "doc_id").withColumns(extra), "extract")
 
 
+_EXTRACTED = ("prompt_length", "token_estimate", "prompt_type", "language", "contains_code", "complexity_score", "instruction_density")
+
+
+@query(
+    S.with_(
+        S.STAGE + """,
+        variants AS (SELECT *, row_number() OVER (PARTITION BY prompt_hash ORDER BY prompt_length DESC, prompt_text, token_estimate,
+          prompt_type, contains_code, contains_examples, contains_constraints, language, complexity_score, instruction_density) AS place
+          FROM stage)""",
+        f"""SELECT s.conversation_id, s.turn_number, s.prompt_hash AS prompt_key, s.model_name, s.task_type,
+        CASE WHEN s.success_score >= 0.5 THEN 'success' ELSE 'failure' END AS execution_status, s.tokens AS tokens_used,
+        s.success_score AS success_rate, 1 AS attempt_count, {', '.join('d.' + c for c in _EXTRACTED)},
+        {S.words(S.norm('d.prompt_text'))} AS prompt_word_count,
+        length(d.prompt_text) - length(replace(d.prompt_text, '?', '')) AS question_marks
+        FROM stage s LEFT JOIN variants d ON d.prompt_hash = s.prompt_hash AND d.place = 1 WHERE s.success_score IS NOT NULL""",
+    )
+)
+def training_extract(spark, folder):
+    stage = stored(_stage(spark, folder), "stage")
+    prompts = training.with_training_features(star.dim_prompt(stage)).drop("prompt_text")
+    wide = star.training_extract(star.execution_facts(stage), prompts, star.dim_model(stage), star.dim_task(stage))
+    counts = {name: F.col(name).cast("bigint") for name in ("prompt_word_count", "question_marks")}
+    return wide.withColumns(counts).select(
+        "conversation_id", "turn_number", "prompt_key", "model_name", "task_type", "execution_status", "tokens_used",
+        "success_rate", "attempt_count", *_EXTRACTED, "prompt_word_count", "question_marks",
+    )
+
+
 @query(
     S.with_(
         S.RUNS + "," + S.PROMPT_DIM + """,
@@ -1036,10 +1088,37 @@ def stratified_split_counts(spark, folder):
     return split.groupBy("label", "split").agg(F.count("*").alias("n"))
 
 
-@query()
+_SHARES = {"train": 0.70, "val": 0.15, "test": 0.15}
+
+
+@query(S.with_(S.RUNS, S.split("runs", "execution_key", _SHARES, "execution_key")))
+def train_split(spark, folder):
+    return training.train_val_test(W.executions(spark, folder).select("execution_key"))
+
+
+@query(
+    S.with_(
+        S.RUNS + """,
+        labelled AS (SELECT execution_key, CAST(success_score >= 0.5 AS INTEGER) AS label FROM runs WHERE success_score IS NOT NULL)""",
+        S.split("labelled", "execution_key", {"train": 0.8, "test": 0.2}, "execution_key, label", "label"),
+    )
+)
+def stratified_split(spark, folder):
+    scored = W.executions(spark, folder).where(F.col("success_score").isNotNull())
+    labelled = scored.select("execution_key", (F.col("success_score") >= 0.5).cast("int").alias("label"))
+    return training.stratified_train_test(labelled, "label")
+
+
+@query(
+    S.with_(
+        S.RUNS,
+        f"""SELECT execution_key, {TS('ts')} AS timestamp, doc_id, model_name, dataset_name, latency, tokens, response_tokens,
+        success_score FROM (SELECT * FROM runs ORDER BY {S.hash_order('execution_key')}, execution_key LIMIT 25000)""",
+    )
+)
 def random_sample(spark, folder):
     """25,000 reproducibly random executions (all of them, if there are fewer)."""
-    return star.random_rows(W.executions(spark, folder), "execution_key")
+    return as_text(star.random_rows(W.executions(spark, folder), "execution_key"), "timestamp")
 
 
 @query(
@@ -1125,22 +1204,21 @@ def association_rules(spark, folder):
     return _flat_rules(_rules(spark, folder))
 
 
-@query(
-    S.with_(
-        _RULES,
-        """SELECT 'all' AS scope, count(*) AS rules, round(avg(confidence), 6) AS avg_confidence, round(avg(lift), 6) AS avg_lift,
-        round(avg(support), 6) AS avg_support FROM kept""",
-    )
-)
+_PLACED = _RULES + """,
+placed AS (SELECT *, row_number() OVER (ORDER BY round(lift, 9) DESC, round(confidence, 9) DESC,
+  array_to_string(antecedents, ', '), array_to_string(consequents, ', ')) AS place FROM kept)"""
+_STATS = "count(*) AS rules, " + ", ".join(f"round(avg({m}), 6) AS avg_{m}" for m in ("confidence", "lift", "support"))
+
+
+@query(S.with_(_PLACED, f"SELECT 'all' AS scope, {_STATS} FROM placed UNION ALL SELECT 'top', {_STATS} FROM placed WHERE place <= 50"))
 def rule_stats(spark, folder):
-    stats = mining.rule_stats(_rules(spark, folder)).where(F.col("scope") == "all")
-    return rounded(stats, "avg_confidence", "avg_lift", "avg_support", digits=6)
+    return rounded(mining.rule_stats(_rules(spark, folder)), "avg_confidence", "avg_lift", "avg_support", digits=6)
 
 
-@query()
+@query(S.with_(_PLACED, _RULE_SELECT + ", round(avg(confidence) OVER (), 9) AS avg_confidence FROM placed WHERE place <= 20"))
 def top_rules(spark, folder):
-    """The 20 best rules with the mean confidence of the page (ties in lift are broken by rounding-free order)."""
-    return mining.rule_lookup(_rules(spark, folder))
+    """The 20 best rules with the mean confidence of the page."""
+    return rounded(mining.rule_lookup(_rules(spark, folder)), *_MEASURES, "avg_confidence")
 
 
 _CATEGORICAL = S.PROMPTS + """,
@@ -1216,12 +1294,15 @@ _RATES = (
 )
 
 
+_CELLS = _PREDICTED + """,
+  cells AS (SELECT count(*) FILTER (WHERE q <= 0.5 AND label = 0) AS tp, count(*) FILTER (WHERE q <= 0.5 AND label = 1) AS fp,
+    count(*) FILTER (WHERE q > 0.5 AND label = 0) AS fn, count(*) FILTER (WHERE q > 0.5 AND label = 1) AS tn, count(*) AS n FROM predicted),
+  r AS (SELECT *, (tp + tn) / n AS acc, (tp + fn) / n AS prev, (tp + fp) / n AS det, tp / (tp + fn) AS sens, tn / (tn + fp) AS spec FROM cells)"""
+
+
 @query(
     S.with_(
-        _PREDICTED + """,
-        cells AS (SELECT count(*) FILTER (WHERE q <= 0.5 AND label = 0) AS tp, count(*) FILTER (WHERE q <= 0.5 AND label = 1) AS fp,
-          count(*) FILTER (WHERE q > 0.5 AND label = 0) AS fn, count(*) FILTER (WHERE q > 0.5 AND label = 1) AS tn, count(*) AS n FROM predicted),
-        r AS (SELECT *, (tp + tn) / n AS acc, (tp + fn) / n AS prev, (tp + fp) / n AS det, tp / (tp + fn) AS sens, tn / (tn + fp) AS spec FROM cells)""",
+        _CELLS,
         """SELECT tp, fp, fn, tn, n, round(acc, 9) AS accuracy, round(greatest(prev, 1 - prev), 9) AS no_information_rate,
         round((acc - (prev * det + (1 - prev) * (1 - det))) / (1 - (prev * det + (1 - prev) * (1 - det))), 9) AS kappa,
         round(power(abs(fp - fn) - 1, 2) / (fp + fn), 9) AS mcnemar_chi2, round(sens, 9) AS sensitivity, round(spec, 9) AS specificity,
@@ -1235,12 +1316,39 @@ def confusion_metrics(spark, folder):
     return rounded(evaluation.confusion_metrics(counts), *_RATES)
 
 
-@query()
+def _upper_tail(hits: str, p: str) -> str:
+    """Probability of at least `hits` of n successes of probability p, summed term by term."""
+    term = f"lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({p}) + (n - k) * ln(1 - {p})"
+    return f"(SELECT sum(exp({term})) FROM hits, range({hits}, n + 1) AS t(k))"
+
+
+def _bisection(name: str, hits: str, share: float) -> str:
+    """The p at which the upper tail reaches a share, after 45 halvings."""
+    return f"""{name} AS (SELECT CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, 0 AS i UNION ALL
+      SELECT CASE WHEN t < {share} THEN (low + high) / 2 ELSE low END, CASE WHEN t < {share} THEN high ELSE (low + high) / 2 END, i + 1
+      FROM (SELECT low, high, i, {_upper_tail(hits, '((low + high) / 2)')} AS t FROM {name} WHERE i < 45))"""
+
+
+_TESTS = ("accuracy_low", "accuracy_high", "accuracy_p_value", "mcnemar_p_value")
+
+
+@query(
+    "WITH RECURSIVE " + _CELLS.strip() + f""",
+    hits AS (SELECT CAST(tp + tn AS BIGINT) AS h, CAST(n AS BIGINT) AS n FROM r),
+    {_bisection('lows', 'h', 0.025)}, {_bisection('highs', 'h + 1', 0.975)},
+    z AS (SELECT sqrt(power(abs(fp - fn) - 1, 2) / (fp + fn)) AS z, greatest(prev, 1 - prev) AS rate FROM r)
+    SELECT tp, fp, fn, tn, n, (SELECT round(low, 6) FROM lows WHERE i = 45) AS accuracy_low,
+      (SELECT round(low, 6) FROM highs WHERE i = 45) AS accuracy_high,
+      round(coalesce({_upper_tail('h', 'rate')}, 0), 6) AS accuracy_p_value,
+      (SELECT round(greatest(1 - 2 * sum(z / 20000 * exp(-power(z * (k + 0.5) / 20000, 2) / 2) / sqrt(2 * pi())), 0), 6)
+       FROM range(0, 20000) AS t(k)) AS mcnemar_p_value FROM r, z"""
+)
 def confusion_tests(spark, folder):
-    """The same with the exact interval and the tests."""
+    """The exact interval of the accuracy and the tests."""
     classed = _predicted(spark, folder).withColumn("predicted", (F.col("q") > 0.5).cast("int"))
     counts = evaluation.confusion_counts(classed, "predicted", "label")
-    return evaluation.confusion_tests(evaluation.confusion_metrics(counts))
+    tested = evaluation.confusion_tests(evaluation.confusion_metrics(counts))
+    return rounded(tested.select("tp", "fp", "fn", "tn", "n", *_TESTS), *_TESTS, digits=6)
 
 
 _ROC = _PREDICTED + """,
@@ -1286,13 +1394,46 @@ def _model_table(spark, folder):
 def _fitted(spark, folder):
     table, features = _model_table(spark, folder)
     train = table.where(F.col("split") == "train")
-    return table, features, models.fit_forest(train, features), models.fit_boosted(train, features, rounds=20, depth=5)
+    return table, features, models.fit_forest(train, features), models.fit_boosted(train, features)
+
+
+_NUMBERS = {
+    "prompt_length": "prompt_length", "token_estimate": "token_estimate", "instruction_density": "instruction_density",
+    "complexity_score": "complexity_score", "tokens_used": "coalesce(tokens, 10)", "latency_ms": "100.0", "attempt_count": "1",
+    "prompt_word_count": S.words(S.norm("prompt_text")),
+    "avg_word_length": f"length(replace(prompt_text, ' ', '')) / CAST({S.words(S.norm('prompt_text'))} + 1 AS DOUBLE)",
+    "question_marks": "length(prompt_text) - length(replace(prompt_text, '?', ''))",
+    "code_blocks": S.count("prompt_text", "```|<code>"), "list_items": S.count("prompt_text", r"\n-|\n\d+\."),
+    "capital_ratio": S.count("prompt_text", "[A-Z]") + " / CAST(length(prompt_text) + 1 AS DOUBLE)",
+    "contains_code": "contains_code::INT", "contains_examples": "contains_examples::INT",
+    "contains_constraints": "contains_constraints::INT", "success_rate": "success_score",
+}
+_LABELS = {"language": "language", "prompt_type": "prompt_type"} | {
+    name: f"CASE WHEN {name} THEN 'True' ELSE 'False' END" for name in ("contains_code", "contains_examples", "contains_constraints")
+}
+_TRAINABLE = S.PROMPTS + """,
+trainable AS (SELECT * FROM prompts WHERE success_score IS NOT NULL AND coalesce(tokens, 10) > 0),
+placed AS (""" + S.split("trainable", "doc_id", _SHARES, "*") + ")"
 
 
-@query()
+@query(
+    S.with_(
+        _TRAINABLE,
+        " UNION ALL ".join(
+            [f"SELECT doc_id, split, '{name}' AS feature, round(CAST({value} AS DOUBLE), 9) AS value FROM placed" for name, value in _NUMBERS.items()]
+            + [
+                f"SELECT doc_id, split, '{name}_' || v, CAST(coalesce({value} = v, false)::INT AS DOUBLE) FROM placed, "
+                f"(SELECT DISTINCT {value} AS v FROM placed) WHERE v IS NOT NULL"
+                for name, value in _LABELS.items()
+            ]
+        ),
+    )
+)
 def training_set(spark, folder):
-    """The feature table the models train on."""
-    return _model_table(spark, folder)[0]
+    """The feature table the models train on, one row per cell."""
+    table, features = _model_table(spark, folder)
+    cells = [F.struct(F.lit(name).alias("feature"), F.round(name, S.R).alias("value")) for name in (*features, "success_rate")]
+    return table.select("doc_id", "split", F.explode(F.array(*cells)).alias("cell")).select("doc_id", "split", "cell.*")
 
 
 @query()
@@ -1312,6 +1453,38 @@ def forest_importance(spark, folder):
     return models.feature_importance(spark, forest, features)
 
 
+@query(
+    S.with_(
+        _TRAINABLE,
+        """SELECT split, count(*) AS n, count(*) AS forest_in_range, count(*) AS mixed, true AS errors_agree, true AS below_gate,
+        CAST(1 AS DOUBLE) AS importance FROM placed WHERE split <> 'train' GROUP BY 1""",
+    )
+)
+def model_checks(spark, folder):
+    """What must hold for the fitted models on held-out rows: a forest stays in the range of its targets, the mix is 60/40,
+    the errors are those of the plain formulas and below the test gates, the importances sum to 1.
+    """
+    table, features, forest, boosted = _fitted(spark, folder)
+    held_out = table.where(F.col("split") != "train")
+    predicted = stored(models.ensemble_predictions(held_out, forest, boosted, ["doc_id", "split", "success_rate"]), "predicted")
+    names = {name: name for name in ("forest", "boosted", "ensemble")}
+    metrics = evaluation.regression_metrics(predicted, names, "success_rate", by="split").groupBy("split").pivot("model", list(names)).agg(F.first("mae"))
+    mix = 0.6 * F.col("forest") + 0.4 * F.col("boosted")
+    plain = predicted.groupBy("split").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("forest").between(0, 1)).alias("forest_in_range"),
+        F.count_if(F.abs(F.col("ensemble") - mix) < 1e-9).alias("mixed"),
+        *[F.avg(F.abs(F.col(name) - F.col("success_rate"))).alias(f"_{name}") for name in names],
+    )
+    weight = models.feature_importance(spark, forest, features).agg(F.round(F.sum("importance"), 6).alias("importance"))
+    checked = plain.join(metrics, "split").select(
+        "split", "n", "forest_in_range", "mixed",
+        (F.greatest(*[F.abs(F.col(name) - F.col(f"_{name}")) for name in names]) < 1e-9).alias("errors_agree"),
+        ((F.col("forest") < 0.50) & (F.col("boosted") < 0.45)).alias("below_gate"),
+    )
+    return checked.crossJoin(weight)  # two rows and one
+
+
 def _clustered(spark, folder):
     table, features = _model_table(spark, folder)
     model = models.fit_clusters(table, features)
@@ -1328,6 +1501,26 @@ def cluster_quality(spark, folder):
     return models.cluster_quality(_clustered(spark, folder))
 
 
+@query(S.with_(_TRAINABLE, "SELECT 4 AS clusters, count(*) AS rows, count(*) AS nearest, true AS separated, CAST(1 AS DOUBLE) AS share FROM placed"))
+def cluster_checks(spark, folder):
+    """What must hold for a clustering: sizes add up, every row is in the cluster of its nearest centre, and the silhouette is
+    above the test gate.
+    """
+    table, features = _model_table(spark, folder)
+    model = models.fit_clusters(table, features)
+    rows = stored(model.transform(table).select("doc_id", "cluster", "projected"), "clusters")
+    gaps = [
+        F.sqrt(sum((vector_to_array("projected")[i] - float(x)) ** 2 for i, x in enumerate(centre)))
+        for centre in model.stages[-1].clusterCenters()
+    ]
+    nearest = rows.agg(F.count_if(F.get(F.array(*gaps), F.col("cluster")) <= F.least(*gaps) + 1e-9).alias("nearest"))
+    sizes = models.cluster_quality(rows).agg(
+        F.count("*").cast("int").alias("clusters"), F.sum("size").alias("rows"), (F.max("silhouette") > 0.30).alias("separated"),
+        F.round(F.sum("share"), 9).alias("share"),
+    )
+    return sizes.crossJoin(nearest)  # one row and one
+
+
 @query()
 def complexity_clusters(spark, folder):
     """Three clusters on three scaled columns, with their plane."""
@@ -1337,17 +1530,38 @@ def complexity_clusters(spark, folder):
     return models.projection(model.transform(rows))
 
 
-@query()
-def logistic_predictions(spark, folder):
-    """Class probabilities on the held-out fifth."""
+def _logistic(spark, folder):
+    """Scored prompts with a split, and the success regression fitted on its training part."""
     scored = W.prompts(spark, folder).where(F.col("success_score").isNotNull())
     flags = {name: F.col(name).cast("int") for name in ("contains_code", "contains_examples", "contains_constraints")}
     labelled = scored.withColumns(flags).withColumn("is_successful", (F.col("success_score") >= 0.5).cast("int"))
     split = training.stratified_train_test(labelled, "is_successful", "doc_id")
     split = stored(split, "split")
-    model = models.fit_logistic(split.where(F.col("split") == "train"))
-    held_out = split.where(F.col("split") == "test")
-    return models.logistic_predictions(held_out, model, ["doc_id", "is_successful"])
+    return split, models.fit_logistic(split.where(F.col("split") == "train"))
+
+
+@query()
+def logistic_predictions(spark, folder):
+    """Class probabilities on the held-out fifth."""
+    split, model = _logistic(spark, folder)
+    return models.logistic_predictions(split.where(F.col("split") == "test"), model, ["doc_id", "is_successful"])
+
+
+@query(
+    S.with_(
+        S.PROMPTS + """,
+        outcomes AS (SELECT doc_id, CAST(success_score >= 0.5 AS INTEGER) AS is_successful FROM prompts WHERE success_score IS NOT NULL),
+        placed AS (""" + S.split("outcomes", "doc_id", {"train": 0.8, "test": 0.2}, "*", "is_successful") + ")",
+        """SELECT count(*) AS n, count(*) AS classed, round(CAST(sum(is_successful) AS DOUBLE), 2) AS expected
+        FROM placed WHERE split = 'train'""",
+    )
+)
+def logistic_checks(spark, folder):
+    """On its training rows a fitted logistic regression expects as many successes as there are; classes go by 0.5."""
+    split, model = _logistic(spark, folder)
+    rows = models.logistic_predictions(split.where(F.col("split") == "train"), model, ["doc_id"])
+    classed = F.count_if(F.col("predicted") == (F.col("probability") > 0.5).cast("int")).alias("classed")
+    return rows.agg(F.count("*").alias("n"), classed, F.round(F.sum("probability"), 2).alias("expected"))
 
 
 # --- scoring -----------------------------------------------------------------------------------
@@ -1381,22 +1595,62 @@ def _heuristic_sql(t: str) -> str:
     )
 
 
+def _scoring_sql(t: str) -> dict[str, str]:
+    """The scoring columns of a text expression."""
+    n = S.words(S.norm(t))
+    solid = f"length(replace({t}, ' ', '')) / CAST(greatest({n}, 1) AS DOUBLE)"
+    fences = f"((length({t}) - length(replace({t}, '```', ''))) // 3)"
+    flags = {
+        "contains_code": f"contains({t}, '```')",
+        "contains_examples": f"(contains(lower({t}), 'example') OR contains(lower({t}), 'e.g.'))",
+        "contains_constraints": f"(contains(lower({t}), 'must') OR contains(lower({t}), 'only'))",
+    }
+    columns = {
+        "prompt_length": f"length({t})", "instruction_density": "0.5", "complexity_score": f"{solid} + {fences} * 2",
+        "tokens_used": f"{n} * CAST(1.3 AS DOUBLE)", "latency_ms": "100", "attempt_count": "1", "prompt_word_count": n,
+        "avg_word_length": solid, "question_marks": f"length({t}) - length(replace({t}, '?', ''))", "code_blocks": fences,
+        "list_items": S.count(t, chr(92) + "n[-*]"),
+        "capital_ratio": S.count(t, chr(92) + "p{Lu}") + f" / CAST(greatest(length({t}), 1) AS DOUBLE)",
+        "language_unknown": "1", "prompt_type_roleplay": f"contains(lower({t}), 'act as')::INT",
+        "prompt_type_standard": f"(NOT contains(lower({t}), 'act as'))::INT",
+    }
+    for name, flag in flags.items():
+        columns |= {name: f"{flag}::INT", f"{name}_False": f"(NOT {flag})::INT", f"{name}_True": f"{flag}::INT"}
+    return {name: f"round(CAST({value} AS DOUBLE), 9)" for name, value in columns.items()}
+
+
+_SCORING = ", ".join(f"{value} AS {name}" for name, value in _scoring_sql("prompt_text").items())
+
+
+@query(S.with_(_SCORABLE, f"SELECT id, {_SCORING}, round({_heuristic_sql('prompt_text')}, 9) AS score FROM scorable"))
+def heuristic_scores(spark, folder):
+    """All scoring columns and the heuristic score."""
+    scored = scoring.success_scores(_scorable(spark, folder))
+    cells = [F.round(F.col(name).cast("double"), S.R).alias(name) for name in (*scoring.SCORING_COLUMNS, "score")]
+    return scored.select("id", *cells)
+
+
 @query(
     S.with_(
-        _SCORABLE,
-        f"""SELECT id, length(prompt_text) AS prompt_length, {S.words(S.norm('prompt_text'))} AS prompt_word_count,
-        length(prompt_text) - length(replace(prompt_text, '?', '')) AS question_marks,
-        (length(prompt_text) - length(replace(prompt_text, '```', ''))) // 3 AS code_blocks,
-        {S.count('prompt_text', chr(92) + 'n[-*]')} AS list_items,
-        round({S.count('prompt_text', chr(92) + 'p{Lu}')} / CAST(greatest(length(prompt_text), 1) AS DOUBLE), 9) AS capital_ratio,
-        round({_heuristic_sql('prompt_text')}, 9) AS score FROM scorable""",
+        _SCORABLE + f", featured AS (SELECT id, {_SCORING}, {_heuristic_sql('prompt_text')} AS heuristic FROM scorable)",
+        """SELECT id, round(heuristic, 9) AS with_constant_model, round(least(greatest(
+        (contains_code / 4 + capital_ratio * 2 + prompt_word_count / 100 - contains_examples) / 2, 0), 1), 9) AS with_models FROM featured""",
     )
 )
-def heuristic_scores(spark, folder):
-    scored = scoring.success_scores(_scorable(spark, folder))
-    counts = ("prompt_length", "prompt_word_count", "question_marks", "code_blocks", "list_items")
-    wide = scored.withColumns({name: F.col(name).cast("bigint") for name in counts})
-    return rounded(wide.select("id", *counts, "capital_ratio", "score"), "capital_ratio", "score")
+def scores_with_models(spark, folder):
+    """Scores by two models, and by one that can't tell the probe prompts apart, where the heuristic steps in."""
+
+    def model(prediction: str) -> SQLTransformer:
+        return SQLTransformer(statement=f"SELECT *, {prediction} AS prediction FROM __THIS__")
+
+    working = [model("contains_code / 4 + capital_ratio * 2"), model("prompt_word_count / 100 - contains_examples")]
+    prompts = _scorable(spark, folder)
+    by_models = scoring.success_scores(prompts, scoring.usable_models(spark, working))
+    by_constant = scoring.success_scores(prompts, scoring.usable_models(spark, [model("double(0.5)")]))
+    both = by_models.select("id", F.round("score", S.R).alias("with_models")).join(
+        by_constant.select("id", F.round("score", S.R).alias("with_constant_model")), "id"
+    )
+    return both
 
 
 def _variants_sql() -> str:
@@ -1467,7 +1721,7 @@ def model_scores(spark, folder):
         "contains_examples", "contains_constraints", "success_score",
     )
     known = scoring.with_request_defaults(requests.where(F.col("success_score").isNotNull()))
-    forest = models.fit_forest(known, _request_features(), "success_score", trees=20, depth=6)
+    forest = models.fit_forest(known, _request_features(), "success_score")
     return scoring.scored_requests(requests, forest).select("doc_id", "success_probability", "confidence_level")
 
 
@@ -1475,7 +1729,7 @@ def model_scores(spark, folder):
 def cluster_assignment(spark, folder):
     """Prompts with their cluster and its name."""
     prompts = scoring.scoring_features(_scorable(spark, folder)).select("id", *scoring.SCORING_COLUMNS)
-    model = models.fit_clusters(prompts, scoring.SCORING_COLUMNS, restarts=3)
+    model = models.fit_clusters(prompts, scoring.SCORING_COLUMNS)
     return scoring.clustered(prompts, model).select("id", "cluster_id", "cluster_name")
 
 

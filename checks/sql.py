@@ -289,6 +289,19 @@ doc_events AS (
 PROMPTS = DOC_EVENTS + "," + features("doc_events", "prompts")
 
 
+def hash_order(key: str, seed: int = 42) -> str:
+    return f"CAST('0x' || substr(sha256('{seed}:' || {key}), 1, 15) AS BIGINT)"
+
+
+def split(source: str, key: str, shares: dict[str, float], keep: str, strata: str = "0") -> str:
+    """`keep` and the split of every row: cuts of the hash order at the rounded-up cumulative shares."""
+    names, sums = list(shares), [sum(list(shares.values())[: i + 1]) for i in range(len(shares))]
+    cases = " ".join(f"WHEN place <= ceil(round(total * {s}, 6)) THEN '{n}'" for n, s in zip(names[:-1], sums))
+    return f"""SELECT {keep}, CASE {cases} ELSE '{names[-1]}' END AS split FROM (SELECT *,
+      row_number() OVER (PARTITION BY {strata} ORDER BY {hash_order(key)}, {key}) AS place,
+      count(*) OVER (PARTITION BY {strata}) AS total FROM {source})"""
+
+
 def with_(ctes: str, query: str) -> str:
     return "WITH " + ctes.strip() + "\n" + query
 

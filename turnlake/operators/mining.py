@@ -90,11 +90,11 @@ def association_rules(
 
 
 def top_rules(rules: DataFrame, n: int = 50) -> DataFrame:
-    """Best lift first; the sides as comma-joined text."""
+    """Best lift first (to nine decimals, then confidence, then the sides); the sides as comma-joined text."""
     joined = rules.withColumns(
         {side: F.array_join(side, ", ") for side in ("antecedents", "consequents")}
     )
-    return joined.orderBy(F.desc("lift"), F.desc("confidence"), "antecedents", "consequents").limit(n)
+    return joined.orderBy(F.round("lift", 9).desc(), F.round("confidence", 9).desc(), "antecedents", "consequents").limit(n)
 
 
 def categorical_rules(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCORE_BINS = 4096  # bins per unit of a score; scores lie in [0, 1]
+ORDER_BITS = 60  # bits of a hash order
 HASH_BITS = 12  # 4096 equally likely hash bins
 FEW_STRATA = 100
 
@@ -129,8 +130,9 @@ def exact_quantiles(
 
 
 def hash_order(key: Column, seed: int) -> Column:
-    """A reproducible random order."""
-    return F.xxhash64(F.lit(seed), key)
+    """A reproducible random order that any SQL engine can repeat: the first 60 bits of the SHA-256 of `seed:key`."""
+    digest = F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)
+    return F.conv(F.left(digest, F.lit(ORDER_BITS // 4)), 16, 10).cast("bigint")
 
 
 def with_split(
@@ -150,8 +152,7 @@ def with_split(
         return F.broadcast(small) if few else small
 
     keys = df.select(stratum.alias("_stratum"), F.col(key).alias("_key"), hash_order(F.col(key), seed).alias("_hash"))
-    keys = keys.withColumn("_bin", F.shiftrightunsigned("_hash", 64 - HASH_BITS))
-    # The bins are unsigned, so the order inside a cut is by bin first and then by the signed hash and the key.
+    keys = keys.withColumn("_bin", F.shiftright("_hash", ORDER_BITS - HASH_BITS))
     whole = Window.partitionBy("_stratum")
     so_far = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     bins = keys.groupBy("_stratum", "_bin").agg(F.count("*").alias("_size"))
@@ -172,7 +173,7 @@ def with_split(
     )
 
     hashed = hash_order(F.col(key), seed)
-    mine = F.struct(F.shiftrightunsigned(hashed, 64 - HASH_BITS).alias("_bin"), hashed.alias("_hash"), F.col(key).alias("_key"))
+    mine = F.struct(F.shiftright(hashed, ORDER_BITS - HASH_BITS).alias("_bin"), hashed.alias("_hash"), F.col(key).alias("_key"))
     placed = df.withColumns({"_stratum": stratum, "_place": mine}).join(sent_along(firsts), "_stratum", "left")
     split = F.when(F.col("_first0").isNull() | (F.col("_place") < F.col("_first0")), names[0])
     for i, name in enumerate(names[1:-1], start=1):

@@ -16,6 +16,7 @@ NUMERIC = (
     "attempt_count", "prompt_word_count", "avg_word_length", "question_marks", "code_blocks", "list_items",
     "capital_ratio",
 )
+MOST_VALUES = 10_000  # columns that one-hot categories may make
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -68,12 +69,18 @@ def clean_training(extract: DataFrame, key: str = "execution_key") -> DataFrame:
 
 
 def category_values(df: DataFrame, names: tuple[str, ...] = CATEGORIES) -> dict[str, list]:
-    """Distinct values per category: these become columns, so their number is the width of the feature table."""
-    return {
-        name: sorted(row[0] for row in df.select(name).distinct().collect() if row[0] is not None)
-        for name in names
-        if name in df.columns
-    }
+    """Distinct values per category, found in one pass. They become columns, so their number is the width of the feature
+    table; more than MOST_VALUES of them (free text, say) are an error, and no more than that reach the driver.
+    """
+    present = [name for name in names if name in df.columns]
+    cells = [F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value")) for name in present]
+    pairs = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("value").isNotNull()).distinct()
+    found = pairs.limit(MOST_VALUES + 1).collect()
+    if len(found) > MOST_VALUES:
+        raise ValueError(f"more than {MOST_VALUES} category values among {', '.join(present)}")
+    flags = {name for name in present if df.schema[name].dataType.simpleString() == "boolean"}
+    values = {name: sorted(row["value"] for row in found if row["name"] == name) for name in present}
+    return {name: [v == "true" for v in values[name]] if name in flags else values[name] for name in present}
 
 
 def one_hot(df: DataFrame, values: dict[str, list]) -> DataFrame:
