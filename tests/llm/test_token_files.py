@@ -13,7 +13,7 @@ from turnlake.session import new_folder
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     None, "", " \n\t ", "a\x0bb \x0c c d\x1ce", "Don't we'll I'm's 3,5.4 a.b,c!! <|endoftext|> <| x", "İstanbul ΟΔΟΣ. ΟΔΟΣ, Σ", "é ́x İ K",
-    "\U0001f600..:) a\x00b x\r\ny  \t z ", "½, ①. 三!", 'She said "yes"', '"', "naïve, Straße. œuvre; DŽ ǅ", "a-b_c|d #tag $5,", "a b a c",
+    "\U0001f600..:) a\x00b x\r\ny  \t z ", "½, ①. 三!", 'She said "yes"', '"', "naïve, Straße. œuvre; DŽ ǅ", "a-b_c|d #tag $5,", "a b a c", "İ! aİ\\İ&",
 ]
 
 

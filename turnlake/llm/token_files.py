@@ -69,7 +69,7 @@ class Words(dict):
 
     def _made(self, word: bytes) -> bytes:
         stem = word.rstrip(_TAIL)
-        if stem and stem != word and stem.decode()[-1].isalnum():
+        if stem and stem != word and self.normalizer.normalize_str(stem.decode())[-1:].isalnum():
             return self[stem] + self[word[len(stem) :]]
         text = word.decode()
         plain = text if text.isascii() else self.normalizer.normalize_str(text)
