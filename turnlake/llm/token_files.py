@@ -69,16 +69,19 @@ class Words(dict):
 
     def _made(self, word: bytes) -> bytes:
         stem = word.rstrip(_TAIL)
-        if stem and stem != word and self.normalizer.normalize_str(stem.decode())[-1:].isalnum():
+        if stem and stem != word and self._plain(stem)[-1:].isalnum():
             return self[stem] + self[word[len(stem) :]]
-        text = word.decode()
-        plain = text if text.isascii() else self.normalizer.normalize_str(text)
+        text, plain = word.decode(), self._plain(word)
         if plain.isalpha():
             ids = [token.id for token in self.model.tokenize(plain if plain.isascii() else _byte_letters(plain))]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
+    def _plain(self, word: bytes) -> str:
+        """As the tokenizer normalizes it; ASCII words are lower-case already."""
+        return word.decode() if word.isascii() else self.normalizer.normalize_str(word.decode())
+
     def forget(self) -> None:
         """Drops the words that were not used since the last time."""
         self.older = dict(self)
