@@ -160,3 +160,13 @@ def test_request_defaults_and_labels(spark):
     assert [r["l"] for r in levels.collect()] == ["high", "medium", "medium", "low"]
     clamped = spark.createDataFrame([(float("nan"),), (float("inf"),), (-1.0,), (2.0,), (None,)], "p double").select(scoring.clamp(F.col("p")).alias("c"))
     assert [r["c"] for r in clamped.collect()] == [0.0, 0.0, 0.0, 1.0, 0.0]
+
+
+def test_category_values(spark, monkeypatch):
+    rows = [("b", True), ("a", False), (None, None), ("a", True)]
+    df = spark.createDataFrame(rows, "language string, contains_code boolean")
+    assert training.category_values(df) == {"language": ["a", "b"], "contains_code": [False, True]}
+    assert training.category_values(df.where("false")) == {"language": [], "contains_code": []}
+    monkeypatch.setattr(training, "MOST_VALUES", 3)
+    with pytest.raises(ValueError):
+        training.category_values(df)

@@ -10,6 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 QUICK = (
     "chat_turn_pairs", "arena_events", "prompt_features", "clean_events", "stage_hygiene", "prompt_validity_report",
     "fact_prompt_execution", "daily_model_success", "feature_board", "what_if_features", "stream_daily_counts", "eda_extract",
+    "train_split", "stratified_split", "random_sample", "training_extract", "training_set", "confusion_tests", "scores_with_models",
 )
 
 pytestmark = pytest.mark.skipif(not Path(SMALL).is_dir(), reason="no test data")
