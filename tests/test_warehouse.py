@@ -1,4 +1,6 @@
+import bz2
 import datetime as dt
+import gzip
 import json
 
 import pyarrow as pa
@@ -235,3 +237,17 @@ def test_daily_stream(spark, tmp_path):
         F.count("*").alias("attempts"), F.avg("success_score").alias("avg_success")
     )
     assert values(streaming.daily_state(spark, f"{tmp_path}/out")) == values(expected)
+
+
+def test_json_reads_every_data_file_whatever_its_name(spark, tmp_path):
+    folder = tmp_path / "prompt_library" / "train"
+    (folder / "deep").mkdir(parents=True)
+    packed = {"part-0.json.gz": gzip.compress, "x.json.gz": gzip.compress, "y.jsonl.bz2": bz2.compress}
+    names = [*packed, "train.json", "rows.ndjson", "plain", "a.jsonl", "deep/data-1.json"]
+    for name in names:
+        (folder / name).write_bytes(packed.get(name, bytes)(json.dumps({"prompt": name, "act": "x"}).encode() + b"\n"))
+    (folder / "dataset_info.json").write_text(json.dumps({"version": {"version_str": "1.2.3"}}, indent=2))
+    (folder / "state.json").write_text(json.dumps({"_data_files": [{"filename": "a"}]}))
+    rows = raw.read_rows(spark, str(tmp_path / "prompt_library"), "prompt_library", "json")
+    assert sorted(r["prompt"] for r in rows.collect()) == sorted(names)
+    assert raw.read_rows(spark, str(tmp_path / "prompt_library"), "prompt_library", "json", 3).count() == 3

@@ -72,15 +72,17 @@ def _arrow_batches(schema: pa.Schema):
     return read
 
 
-FILES = {"parquet": "*.parquet", "json": "{*.jsonl,*.jsonl.gz,part-*.json,data-*.json}", "arrow": "*.arrow"}
+FILES = {"parquet": "*.parquet", "json": "*", "arrow": "*.arrow"}
+#: Files of a saved dataset that hold no rows. JSON data has no fixed names, so it is all but these.
+METADATA = ("dataset_info.json", "state.json")
 
 
 def read_rows(
     spark: SparkSession, path: str, dataset: str, form: str = "parquet", limit: int | None = None
 ) -> DataFrame:
     """Raw rows of the `train` split of a dataset folder under its fixed schema. `form` is parquet, json (lines), or
-    arrow (a dataset saved to disk as Arrow shards); other files of the folder, such as `dataset_info.json`, are left
-    alone, and so are other splits. Only the first `limit` rows if one is given.
+    arrow (a dataset saved to disk as Arrow shards); the metadata files of the folder, such as `dataset_info.json`, are
+    left alone, and so are other splits. Only the first `limit` rows if one is given.
     """
     use_utc(spark)
     if form not in FILES:
@@ -95,7 +97,7 @@ def read_rows(
         # The scan deals out whole shards, which are cut to a few hundred MB when they are saved.
         rows = reader.format("binaryFile").load(train).select("content").mapInArrow(_arrow_batches(schema), ddl)
     else:
-        rows = reader.schema(ddl).format(form).load(train)
+        rows = reader.schema(ddl).format(form).load(train).where(~F.col("_metadata.file_name").isin(*METADATA))
     return rows if limit is None else rows.limit(limit)
 
 
