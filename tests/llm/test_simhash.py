@@ -96,3 +96,14 @@ def test_null_ids_empty_table_and_one_of_each(spark):
     kept = op.one_of_each(docs)
     assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "None"]
     assert op.near_duplicates(no_docs(spark)).count() == 0
+
+
+def test_one_of_each_keeps_texts_that_share_an_id_or_have_none(spark):
+    old, other = "m n o p q r", "the quick brown fox jumps over"
+    rows = [(None, "a b c d"), (None, "z y x w v"), (None, "z y x w v"), (None, "e f g h i"), (3, old), (None, old), (5, old), (5, other), (7, ""), (8, None), (9, "k l k l j"), (9, "t u t s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_digest", F.lit(1)).repartition(3)
+    assert len({brute_fingerprint(t) for _, t in rows}) == len(set(brute_components({brute_fingerprint(t) for _, t in rows}).values())) == 8
+    kept = op.one_of_each(docs)
+    assert kept.columns == docs.columns
+    expected = [(None, "a b c d"), (None, "z y x w v"), (None, "e f g h i"), (3, old), (5, other), (7, ""), (9, "k l k l j"), (9, "t u t s")]
+    assert sorted(map(str, [(r["doc_id"], r["text"]) for r in kept.collect()])) == sorted(map(str, expected))

@@ -218,8 +218,16 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """The documents whose id names their component, one row each; rows without an id stay only if nothing names them."""
-    found = near_duplicates(docs, width)
-    name = fresh(docs, "stays")
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component: the one with the smallest id, and of that id's texts the one with the smallest digest.
+
+    A row is named by id and text, so different texts that share an id, or have none, stay apart; a row without an id
+    stays only if no linked row has one. Rows with the same id and text count once.
+    """
+    id_name, text_name = fresh(docs, "stays"), fresh(docs, "stays_text")
+    digest = F.unhex(F.sha2(F.col("text"), 256))
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    found = near_duplicates(docs.select(name.alias("doc_id"), "text"), width)
+    stays = found.select(F.col("component_id.id").alias(id_name), F.col("component_id.digest").alias(text_name)).distinct()
+    keyed = docs.withColumn(own := fresh(docs, "text_digest"), digest)
+    same = F.col("doc_id").eqNullSafe(F.col(id_name)) & F.col(own).eqNullSafe(F.col(text_name))
+    return keyed.join(stays, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
