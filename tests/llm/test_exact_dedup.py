@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from llm.common import docs_of, no_docs
@@ -58,3 +59,10 @@ def test_later_batches_leave_snapshots_alone(spark):
     assert [r["keep_id"] for r in known.collect()] == [10] and [r["keep_id"] for r in new.collect()] == [12]
     passed = {r[0] for r in op.screened(op.grouped(op.digests(second)), snapshot, 2).collect()}
     assert passed >= {r[0] for r in known.select("digest").collect()}
+
+
+def test_a_filter_that_misses_texts_is_an_error(spark, monkeypatch):
+    docs, asked = docs_of(spark, ["a", "b", "c", "d"] * 6), op.screened
+    monkeypatch.setattr(op, "screened", lambda groups, snapshot, size: asked(groups, snapshot, size).where("digest % 2 = 0"))
+    with pytest.raises(Exception, match="not in one snapshot but in [23]: text"):
+        op.deduplicated(docs).collect()

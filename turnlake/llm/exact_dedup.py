@@ -197,7 +197,9 @@ def absorb(batch: DataFrame, snapshots: Iterable[Snapshot], name: str) -> tuple[
 def exact_duplicates(batch_list: list[DataFrame]) -> DataFrame:
     """`doc_id, keep_id, group_size, kept, text_sha256` for every row of the batches, taken in order.
 
-    Batches have the columns of `digests`. Of equal texts, the row with the largest id is kept.
+    Batches have the columns of `digests`. Of equal texts, the row with the largest id is kept. A text's total is its row in
+    the one snapshot that holds it and its increments; a text in two snapshots, which a filter would have missed, or an
+    increment to none is an error.
     """
     snapshots, increments = [], None
     for number, batch in enumerate(batch_list):
@@ -208,9 +210,12 @@ def exact_duplicates(batch_list: list[DataFrame]) -> DataFrame:
     groups, rows = snapshots[0].groups, batch_list[0]
     for snapshot, batch in zip(snapshots[1:], batch_list[1:], strict=True):
         groups, rows = groups.unionByName(snapshot.groups), rows.unionByName(batch)
+    groups = groups.withColumn("held", F.lit(1))
     if increments is not None:
-        groups = groups.unionByName(increments)  # each text: its row in one snapshot and its increments
-    totals = groups.groupBy("text_sha256", "n_bytes").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+        groups = groups.unionByName(increments.withColumn("held", F.lit(0)))  # each text: its row in one snapshot and its increments
+    wrong = F.raise_error(F.concat(F.lit("not in one snapshot but in "), F.sum("held").cast("string"), F.lit(": text "), F.col("text_sha256")))
+    size = F.when(F.sum("held") == 1, F.sum("group_size")).otherwise(wrong.cast("bigint"))
+    totals = groups.groupBy("text_sha256", "n_bytes").agg(F.max("keep_id").alias("keep_id"), size.alias("group_size"))
     return rows.join(totals, ["text_sha256", "n_bytes"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
