@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from turnlake.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     licenses,
@@ -24,6 +25,7 @@ from turnlake.llm.oracles import ORACLES
 __all__ = ["ORACLES", "QUERIES"]
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -73,10 +75,14 @@ def op10_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicated(_table(spark, folder, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.link_counts(_table(spark, folder, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_benchmark_decontamination, op2_token_counts, op3_license_scan, op4_simhash_near_duplicates, op5_mixture, op6_secret_scan, op7_token_files,
-        op8_quality_classifier, op9_suffix_tree_scores, op10_exact_duplicates,
+        op8_quality_classifier, op9_suffix_tree_scores, op10_exact_duplicates, op12_tokenizer_alignment,
     )
 }
