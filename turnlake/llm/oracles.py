@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnlake.llm import licenses, secret_scan
+from turnlake.llm import bundles, licenses, prefix_trie, secret_scan
 
 
 def _text(value: str) -> str:
@@ -70,8 +70,40 @@ def license_scan() -> str:
     """
 
 
+def prefix_nodes() -> str:
+    steps = "list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    checksum = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda crc, b: {steps}), 4294967295)"
+    return f"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, {checksum} % {prefix_trie.SHARED} AS h, list(struct_pack(r := role, x := text) ORDER BY turn NULLS FIRST, role, text) AS seq FROM t GROUP BY conv_id),
+        made AS (SELECT a.conv_id, list_concat(coalesce(b.seq[:a.h], []), a.seq[a.h + 1:]) AS seq
+                 FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % {prefix_trie.GROUP}),
+        parts AS (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM made),
+        nodes AS (SELECT seq[:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = depth), '')) AS ends_sha256,
+                  (count(*) - 1) * coalesce(strlen(any_value(seq[depth].x)), 0) AS saved FROM parts GROUP BY 1, 2),
+        kin AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.node[:n.depth] = n.node) AS n_children
+                FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND n.node[:n.depth - 1] = p.node)
+        SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, (count(*) FILTER (b.n_children = 0))::BIGINT AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens, a.ends_sha256
+        FROM kin a JOIN kin b ON b.depth >= a.depth AND b.node[:a.depth] = a.node GROUP BY ALL
+    """
+
+
+def warc_bundles() -> str:
+    """Ids are taken to be unique here."""
+    return f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= {bundles.SMALL} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= {bundles.SMALL} AND page_id <> first THEN first END AS refers_to
+        FROM d
+    """
+
+
 ORACLES = {
     "op3_license_scan": license_scan(),
     "op6_secret_scan": secrets(),
     "op10_exact_duplicates": exact_duplicates(),
+    "op11_prefix_trie": prefix_nodes(),
+    "op13_warc_bundles": warc_bundles(),
 }

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from turnlake.llm import (
     alignment,
+    bundles,
     decontamination,
     exact_dedup,
     licenses,
     mixing,
+    prefix_trie,
     quality_model,
     secret_scan,
     simhash,
@@ -75,14 +77,22 @@ def op10_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicated(_table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(_table(spark, folder, "conversations"))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.link_counts(_table(spark, folder, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)
 
 
+def op13_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    return bundles.archived(_table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_benchmark_decontamination, op2_token_counts, op3_license_scan, op4_simhash_near_duplicates, op5_mixture, op6_secret_scan, op7_token_files,
-        op8_quality_classifier, op9_suffix_tree_scores, op10_exact_duplicates, op12_tokenizer_alignment,
+        op8_quality_classifier, op9_suffix_tree_scores, op10_exact_duplicates, op11_prefix_trie, op12_tokenizer_alignment, op13_warc_bundles,
     )
 }
