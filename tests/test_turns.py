@@ -8,6 +8,21 @@ from turnlake.operators import turns
 SIDES = {"user": "user", "Human": "user", "assistant": "assistant", "gpt": "assistant", "system": None}
 
 
+@pytest.fixture
+def partitions(spark):
+    """Sets the number of range partitions, small ones included, for one test."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+
+    def use(n):
+        spark.conf.set(names[0], n)
+        spark.conf.set(names[1], False)
+
+    yield use
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
 def messages(seed=3, conversations=6, hot=200):
     """One conversation holds most of the rows; turn numbers have gaps."""
     rng, rows = random.Random(seed), []
@@ -30,18 +45,20 @@ def brute_pairs(rows):
     return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("block", [1, 3, 16, 4096])
-def test_flat_pairs_at_any_block_size(spark, block):
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_flat_pairs_at_any_number_of_partitions(spark, parts, partitions):
+    partitions(parts)
     rows = messages()
     df = spark.createDataFrame(rows, "conversation_id string, turn long, role string, text string").repartition(5)
-    assert values(turns.turn_pairs(df, block)) == brute_pairs(rows)
+    assert values(turns.turn_pairs(df)) == brute_pairs(rows)
 
 
-@pytest.mark.parametrize("block", [4, 4096])
-def test_transcript_parts_join_to_the_transcript(spark, block):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_transcript_parts_join_to_the_transcript(spark, parts, partitions):
+    partitions(parts)
     rows = messages(seed=5)
     df = spark.createDataFrame(rows, "conversation_id string, turn long, role string, text string")
-    parts = turns.assistant_transcript(df, block).collect()
+    parts = turns.assistant_transcript(df).collect()
     for c in {r[0] for r in rows}:
         whole = "\n\n".join(r[3].strip() for r in sorted(rows) if r[0] == c and SIDES[r[2]] == "assistant" and r[3].strip())
         mine = sorted((p["part"], p["char_offset"], p["response_text"]) for p in parts if p["conversation_id"] == c)
@@ -58,3 +75,20 @@ def test_first_user_message(spark):
         if SIDES[role] == "user" and body.strip():
             expected.setdefault(c, body.strip())
     assert dict(values(turns.first_user_message(df))) == expected
+
+
+def test_sparse_turns_and_no_window_over_a_conversation(spark, partitions):
+    """A third of the rows in one conversation, turns up to a billion, ids that are missing."""
+    partitions(8)
+    rng, rows = random.Random(11), []
+    for c in (None, *range(40)):
+        turns_ = rng.sample(range(10**9), 300 if c == 3 else rng.randint(1, 30))
+        rows += [(c if c is None else f"c{c}", t, rng.choice(list(SIDES)), rng.choice(["", "a", f"text {t}"])) for t in turns_]
+    df = spark.createDataFrame(rows, "conversation_id string, turn long, role string, text string")
+    found = turns.turn_pairs(df)
+    by_name = [(r[0] or "", *r[1:]) for r in rows]
+    expected = [(c or None, *rest) for c, *rest in brute_pairs(by_name)]
+    assert values(found) == sorted(expected, key=lambda r: tuple((v is None, str(v)) for v in r))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
+    assert windows and all("windowspecdefinition(part#" in line or "windowspecdefinition(last_key#" in line for line in windows)

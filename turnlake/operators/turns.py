@@ -1,71 +1,23 @@
 """Turn operators on flat message tables: (conversation_id, turn, role, text), turn counted from 0.
 
-(conversation_id, turn) is unique, so a conversation whose turns stay below `BLOCK` has at most `BLOCK` rows
-and one window per conversation is a bounded piece of work. Longer conversations (one may hold a third of the
-table) are cut into blocks of `BLOCK` turns that sort in parallel; only block edges and block totals, 1/BLOCK of
-the rows, are then ordered per conversation.
+(conversation_id, turn) is unique. Which messages belong together is found on narrow rows without text: they are laid out in
+the order of conversation and turn over range partitions, which are scanned once each (see `scan`). A conversation with a
+third of all rows, or with gaps between its turns, is spread like any other, and there is one plan for all. Texts then join
+by (conversation_id, turn), a key that no two rows share.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnlake.functions.messages import body_sql, side_sql
+from turnlake.operators import scan
+from turnlake.session import stored
 
-BLOCK = 4096
-
-
-def has_long(messages: DataFrame, block: int = BLOCK) -> bool:
-    """Whether any conversation goes beyond one block. Asked of the source table: it reads one column, and with
-    parquet statistics usually no row group at all.
-    """
-    return not messages.where(F.col("turn") >= block).select("turn").isEmpty()
-
-
-def _blocked(df: DataFrame, order: str, block: int) -> DataFrame:
-    return df.withColumn("_block", F.floor(F.col(order) / block))
-
-
-def with_next(df: DataFrame, key: str, order: str, columns: list[str], block: int | None) -> DataFrame:
-    """Add `next_<column>` of the following row of the same key; all NULL on the last row.
-
-    `block` is None when every key has a bounded number of rows. Each column has a lead of its own: a lead over a
-    struct would send every text through the shuffle twice.
-    """
-
-    def following(over: WindowSpec) -> dict[str, Column]:
-        return {f"next_{name}": F.lead(name).over(over) for name in [order, *columns]}
-
-    if block is None:
-        return df.withColumns(following(Window.partitionBy(key).orderBy(order)))
-    in_block = Window.partitionBy(key, "_block").orderBy(order)
-    marked = _blocked(df, order, block).withColumns(following(in_block) | {"_at": F.row_number().over(in_block)})
-    tails = marked.where(F.col(f"next_{order}").isNull()).withColumn("_tail", F.lit(1))
-    heads = marked.where((F.col("_at") == 1) & (F.col("_block") > 0)).withColumn("_tail", F.lit(0))
-    over_edges = Window.partitionBy(key).orderBy(order, "_tail")
-    joined_up = tails.unionByName(heads).withColumns(following(over_edges)).where(F.col("_tail") == 1).drop("_tail")
-    inside = marked.where(F.col(f"next_{order}").isNotNull())
-    return inside.unionByName(joined_up).drop("_block", "_at")
-
-
-def with_running(df: DataFrame, key: str, order: str, measures: dict[str, Column], block: int | None) -> DataFrame:
-    """Add running totals (current row included) of the measures within each key."""
-    if block is None:
-        so_far = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(value).over(so_far) for name, value in measures.items()})
-    blocked = _blocked(df, order, block)
-    totals = blocked.groupBy(key, "_block").agg(*[F.sum(v).alias(f"_sum_{n}") for n, v in measures.items()])
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        key, "_block", *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in measures]
-    )
-    so_far = Window.partitionBy(key, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    running = blocked.withColumns({n: F.sum(v).over(so_far) for n, v in measures.items()})
-    placed = running.join(offsets, [key, "_block"])
-    return placed.withColumns({n: F.col(n) + F.col(f"_off_{n}") for n in measures}).drop(
-        "_block", *[f"_off_{n}" for n in measures]
-    )
+PLACE = ["conversation_id", "turn"]
 
 
 def _messages(messages: DataFrame) -> DataFrame:
@@ -74,41 +26,48 @@ def _messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def turn_pairs(messages: DataFrame, block: int = BLOCK) -> DataFrame:
+def _with_text(rows: DataFrame, texts: DataFrame, turn: str = "turn") -> DataFrame:
+    """The rows with the columns of the messages at (conversation_id, `turn`)."""
+    named = texts.withColumnsRenamed({name: f"_{name}" for name in PLACE})
+    same = [F.col("conversation_id").eqNullSafe(F.col("_conversation_id")), F.col(turn).eqNullSafe(F.col("_turn"))]
+    return rows.join(named, reduce(Column.__and__, same)).drop("_conversation_id", "_turn")
+
+
+def turn_pairs(messages: DataFrame) -> DataFrame:
     """Non-blank user messages directly followed by an assistant message, numbered from 1 per conversation."""
-    cut = block if has_long(messages, block) else None
-    paired = with_next(_messages(messages), "conversation_id", "turn", ["side", "body"], cut).where(
-        (F.col("side") == "user") & (F.col("next_side") == "assistant") & (F.col("body") != "")
-    )
-    numbered = with_running(paired, "conversation_id", "turn", {"turn_number": F.lit(1)}, cut)
-    return numbered.select(
-        "conversation_id",
-        F.col("turn_number").cast("int").alias("turn_number"),
-        F.col("body").alias("prompt_text"),
-        F.nullif(F.col("next_body"), F.lit("")).alias("response_text"),
+    texts = _messages(messages)
+    rows = scan.laid(texts.select(*PLACE, "side", (F.col("body") != "").alias("filled")), PLACE, "turns")
+    asked = (F.col("side") == "user") & F.col("filled")
+    answered = F.col("next_conversation_id").eqNullSafe(F.col("conversation_id")) & (F.col("next_side") == "assistant")
+    pairs = scan.following(rows, [*PLACE, "side"]).where(asked & answered).select(*PLACE, "next_turn", "part", "place", F.lit(1).alias("n"))
+    numbered = scan.running_within(stored(pairs, "turn-pairs"), "conversation_id", ["n"])
+    prompts = texts.where((F.col("side") == "user") & (F.col("body") != "")).select(*PLACE, F.col("body").alias("prompt_text"))
+    replies = texts.where(F.col("side") == "assistant").select(*PLACE, F.nullif(F.col("body"), F.lit("")).alias("response_text"))
+    return _with_text(_with_text(numbered, prompts), replies, "next_turn").select(
+        "conversation_id", F.col("running_n").cast("int").alias("turn_number"), "prompt_text", "response_text"
     )
 
 
 def first_user_message(messages: DataFrame) -> DataFrame:
-    """First non-blank user message per conversation; combined map-side, so a hot conversation costs nothing extra."""
-    users = _messages(messages).where((F.col("side") == "user") & (F.col("body") != ""))
-    return users.groupBy("conversation_id").agg(F.min_by("body", "turn").alias("prompt_text"))
+    """First non-blank user message per conversation: its turn is a minimum of numbers, its text joins by that turn."""
+    users = _messages(messages).where((F.col("side") == "user") & (F.col("body") != "")).select(*PLACE, F.col("body").alias("prompt_text"))
+    first = users.groupBy("conversation_id").agg(F.min("turn").alias("turn"))
+    return _with_text(first, users).select("conversation_id", "prompt_text")
 
 
-def assistant_transcript(messages: DataFrame, block: int = BLOCK) -> DataFrame:
+def assistant_transcript(messages: DataFrame) -> DataFrame:
     """The assistant transcript of each conversation as ordered parts.
 
     Joining the parts of a conversation with a blank line in the order of `part` gives the whole transcript;
     `char_offset` is the place of the part in it. The parts stay separate rows because a flat conversation
     has no size limit and must not be collected into one value.
     """
-    parts = _messages(messages).where((F.col("side") == "assistant") & (F.col("body") != ""))
-    sizes = {"part": F.lit(1), "char_end": F.length("body") + 2}
-    cut = block if has_long(messages, block) else None
-    placed = with_running(parts, "conversation_id", "turn", sizes, cut)
-    return placed.select(
+    texts = _messages(messages).where((F.col("side") == "assistant") & (F.col("body") != "")).drop("side")
+    rows = scan.laid(texts.select(*PLACE, F.lit(1).alias("n"), (F.length("body") + 2).alias("chars")), PLACE, "transcript")
+    placed = scan.running_within(rows, "conversation_id", ["n", "chars"])
+    return _with_text(placed, texts).select(
         "conversation_id",
-        "part",
-        (F.col("char_end") - F.length("body") - 2).alias("char_offset"),
+        F.col("running_n").cast("int").alias("part"),
+        (F.col("running_chars") - F.col("chars")).alias("char_offset"),
         F.col("body").alias("response_text"),
     )
