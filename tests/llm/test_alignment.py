@@ -105,3 +105,11 @@ def test_spans_of_one_text(spark):
         sharing = [j for j in range(len(b_ends)) if b_ends[j] > begin and ([0, *b_ends][j]) < end]
         assert [range_["first_b"], range_["last_b"]] == [sharing[0], sharing[-1]]
     assert row[1]["a"] == [] and row[1]["groups"] == []
+
+
+def test_both_encoders_agree():
+    pick, tokens = random.Random(8), op.aligner(A, B).a
+    assert tokens.ranks is not None
+    texts = ["".join(chr(pick.choice([pick.randrange(256), pick.randrange(32, 127), 32, 10, 39])) for _ in range(pick.randrange(30))) for _ in range(20_000)]
+    texts += ["<|endoftext|>", "a<|endoftext|>b", "x" * 30_000]
+    assert tokens.encode(texts) == [found.ids for found in tokens.tokenizer.encode_batch([f" {t}" for t in texts], add_special_tokens=False)]

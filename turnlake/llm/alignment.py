@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -42,6 +43,8 @@ RUN = 32  # elements that start their search at the same place
 HOT = 1 << 20  # pairs whose counts are broadcast: 13 bytes each
 BATCH = 1 << 20  # bytes of text that are aligned at once; a longer text is a batch of its own
 HELD = 1 << 22  # pairs that a task adds up before it hands them on
+# Fixed value: the pattern by which byte-level BPE divides texts before it merges.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WIDTH = 1 << 15  # ids of B in a pair's number
 
 
@@ -118,8 +121,37 @@ class ByteTokens:
         for entry, i in vocabulary.items():
             self.bytes[i] = bytes(decode[c] for c in entry) if all(c in decode for c in entry) else entry.encode()
 
+        self.ranks = self._in_merge_order(json.loads(self.tokenizer.to_str())["model"])
+
+    def _in_merge_order(self, model: dict):
+        """tiktoken's encoder of the same entries, if ids follow the order of the merges, which it goes by; else None."""
+        merges = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
+        if any(model["vocab"].get("".join(pair)) != 256 + i for i, pair in enumerate(merges)) or len(model["vocab"]) != 256 + len(merges):
+            return None
+        import tiktoken
+
+        ranks = {self.bytes[i]: i for i in model["vocab"].values()}
+        return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.tokenizer.encode_batch([f" {text}" for text in texts], add_special_tokens=False)]
+        """Texts of Latin-1 characters, which all libraries' patterns class alike, go through the faster encoder of the two."""
+        out, rest = [None] * len(texts), []
+        for i, text in enumerate(texts):
+            if self.ranks is not None and _is_latin(text):
+                out[i] = self.ranks.encode_ordinary(f" {text}")
+            else:
+                rest.append(i)
+        for i, found in zip(rest, self.tokenizer.encode_batch([f" {texts[i]}" for i in rest], add_special_tokens=False), strict=True):
+            out[i] = found.ids
+        return out
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class PieceTokens:
