@@ -1193,6 +1193,32 @@ def transactions(spark, folder):
     return _baskets(spark, folder).select(F.array_join("items", ",").alias("items"))
 
 
+def _words_of_texts(spark, folder):
+    """A basket of distinct words per document."""
+    words = F.array_remove(F.split(F.lower("text"), " "), "")
+    return W.text_table(spark, folder, "documents", "doc_id").select(F.array_distinct(words).alias("items"))
+
+
+_WORD_SETS = """
+words AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split(lower(text), ' '), lambda w: w <> ''))) AS w FROM documents),
+n AS (SELECT count(*) AS n FROM documents),
+known AS (SELECT w FROM words GROUP BY w HAVING count(*) / (SELECT n FROM n) >= 0.3),
+baskets AS (SELECT doc_id, w FROM words SEMI JOIN known USING (w)),
+sets AS (SELECT w AS items, count(*) AS freq FROM baskets GROUP BY ALL
+  UNION ALL SELECT a.w || ' ' || b.w, count(*) FROM baskets a JOIN baskets b ON a.doc_id = b.doc_id AND a.w < b.w GROUP BY ALL
+  UNION ALL SELECT a.w || ' ' || b.w || ' ' || c.w, count(*) FROM baskets a JOIN baskets b ON a.doc_id = b.doc_id AND a.w < b.w
+    JOIN baskets c ON b.doc_id = c.doc_id AND b.w < c.w GROUP BY ALL
+  UNION ALL SELECT a.w || ' ' || b.w || ' ' || c.w || ' ' || d.w, count(*) FROM baskets a JOIN baskets b ON a.doc_id = b.doc_id AND a.w < b.w
+    JOIN baskets c ON b.doc_id = c.doc_id AND b.w < c.w JOIN baskets d ON c.doc_id = d.doc_id AND c.w < d.w GROUP BY ALL)"""
+
+
+@query(S.with_(_WORD_SETS, f"SELECT items, freq, round(freq / n, {S.R}) AS support FROM sets, n WHERE freq / n >= 0.3"))
+def word_sets(spark, folder):
+    """Up to four words that 30 % of the documents share: baskets of hundreds of items, of which dozens are frequent."""
+    sets = mining.frequent_itemsets(_words_of_texts(spark, folder), 0.3, longest=4)
+    return rounded(sets.withColumn("items", F.array_join("items", " ")), "support")
+
+
 @query(S.with_(_SETS, "SELECT array_to_string(items, ',') AS items, freq, round(support, 9) AS support FROM sets"))
 def frequent_itemsets(spark, folder):
     sets = mining.frequent_itemsets(_baskets(spark, folder))

@@ -95,3 +95,17 @@ def test_wide_baskets_keep_every_rule(spark):
     assert found == {(tuple(names[:17]), (names[17],)), ((names[17],), tuple(names[:17]))}
     wide = spark.createDataFrame([([f"x{i}" for i in range(33)],)] + [([f"x{i}", "y"],) for i in range(33)], "items array<string>")
     assert {tuple(r["items"]) for r in mining.frequent_itemsets(wide, 0.5).collect()} == {("y",)}
+
+
+def test_wide_equal_baskets_stop_at_the_longest(spark):
+    """30 items in each of 50 baskets have a billion frequent sets; up to three items there are 4,525."""
+    df = spark.createDataFrame([([f"x{i:02}" for i in range(30)],)] * 50, "items array<string>")
+    sets = mining.frequent_itemsets(df, 0.5, longest=3).collect()
+    assert Counter(len(r["items"]) for r in sets) == {1: 30, 2: 435, 3: 4060} and {r["freq"] for r in sets} == {50}
+
+
+def test_repeated_items_and_no_baskets(spark):
+    df = spark.createDataFrame([(["a", "a", "b"],), (["b"],), ([],)], "items array<string>")
+    assert {tuple(r["items"]): r["freq"] for r in mining.frequent_itemsets(df, 0.3).collect()} == {("a",): 1, ("b",): 2, ("a", "b"): 1}
+    none = mining.frequent_itemsets(df.where("false"))
+    assert none.count() == 0 and mining.all_rules(none).count() == 0

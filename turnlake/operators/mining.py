@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnlake.operators.ordered import exact_quantiles
-from turnlake.session import stored
+from turnlake.session import stored, stored_observed
 
 FLAG_ITEMS = ("contains_code", "contains_examples", "contains_constraints")
 ABOVE_UPPER_QUARTILE = ("prompt_length", "token_estimate", "tokens_used")
@@ -30,16 +31,58 @@ def transactions(df: DataFrame, categories: tuple[str, ...] = (), score: str = "
 
 
 def frequent_itemsets(baskets: DataFrame, min_support: float = 0.08, longest: int | None = None) -> DataFrame:
-    """(items, freq, support) of all itemsets with at least the support, found by FP-Growth at every basket width.
+    """(items, freq, support) of all itemsets with at least the support and, if given, at most `longest` items.
 
-    The itemsets are written once: rules read them several times.
+    Level by level: candidates of k items are joined from frequent sets that share their first k-2 items, those with a
+    rare subset go, and the others are counted where they occur. Work ends with the last level asked for. Baskets keep
+    their frequent items only (there are at most mean width / support of those), and equal ones are worked on once, with
+    their number as weight; an occurrence carries the items of its basket that may follow, so no level reads the baskets
+    again.
     """
-    total = baskets.count()
-    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
-    counted = found.select(F.array_sort("items").alias("items"), "freq")
-    counted = counted.where(F.size("items") <= longest) if longest else counted
-    counted = counted.withColumn("support", F.col("freq") / max(total, 1)).where(F.col("support") >= min_support)
-    return stored(counted, "itemsets")
+    baskets, seen = stored_observed(baskets.select(F.array_distinct("items").alias("items")), "baskets", n=F.count(F.lit(1)))
+    total = seen["n"]
+
+    def counted(found: DataFrame) -> tuple[DataFrame, int]:
+        sums = found.groupBy("items").agg(F.sum("weight").alias("freq")).withColumn("support", F.col("freq") / max(total, 1))
+        rows, seen = stored_observed(sums.where(F.col("support") >= min_support), "itemsets", n=F.count(F.lit(1)))
+        return rows, seen["n"]
+
+    one = F.lit(1).cast("bigint").alias("weight")
+    level, _ = counted(baskets.select(F.explode("items").alias("item"), one).select(F.array("item").alias("items"), "weight"))
+    levels, names = [level], sorted(row["items"][0] for row in level.collect())
+    known = F.array_sort(F.array_intersect("items", F.array(*map(F.lit, names)).cast("array<string>")))
+    distinct = baskets.select(known.alias("rest")).where(F.size("rest") > 1).groupBy("rest").agg(F.count("*").alias("weight"))
+    found = _extended(distinct.withColumn("items", F.array().cast("array<string>")))
+    size, left = 1, len(names) > 1
+    while (longest is None or size < longest) and left:
+        if size > 1:
+            found = found.join(level.select("items"), "items", "left_semi")
+        found = _extended(found)
+        if size > 1:  # all pairs of frequent items are candidates
+            found = found.join(_candidates(level, size), "items", "left_semi")
+        found, seen = stored_observed(found, "occurrences", rest=F.max(F.size("rest")))
+        level, n = counted(found)
+        levels.append(level)
+        size, left = size + 1, n > 0 and seen["rest"] > 0
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _extended(found: DataFrame) -> DataFrame:
+    """Occurrences (weight, items, rest) with one more item: each of the rest, which sorts behind the others."""
+    each = found.select("weight", "items", "rest", F.posexplode("rest").alias("at", "added"))
+    return each.select("weight", F.concat("items", F.array("added")).alias("items"), F.expr("slice(rest, at + 2, size(rest))").alias("rest"))
+
+
+def _candidates(level: DataFrame, size: int) -> DataFrame:
+    """Sets of size + 1 items, all of whose subsets of `size` (2 or more) items are in the level."""
+    sides = level.select(F.slice("items", 1, size - 1).alias("prefix"), F.element_at("items", -1).alias("last"))
+    joined = sides.join(sides.withColumnRenamed("last", "later"), "prefix").where("last < later")
+    joined = joined.select(F.concat("prefix", F.array("last", "later")).alias("items"))
+    # The subsets without the last or the last but one are the two that were joined.
+    parts = F.transform(F.sequence(F.lit(0), F.lit(size - 2)), lambda gone: F.filter("items", lambda _, at: at != gone))
+    subsets = joined.select("items", F.explode(parts).alias("part"))
+    known = subsets.join(level.select(F.col("items").alias("part")), "part", "left_semi")
+    return known.groupBy("items").agg(F.count("*").alias("n")).where(F.col("n") == size - 1).select("items")
 
 
 def _measured(splits: DataFrame) -> DataFrame:
@@ -61,22 +104,33 @@ def _measured(splits: DataFrame) -> DataFrame:
 def all_rules(itemsets: DataFrame, min_confidence: float = 0.0, widest: int | None = None) -> DataFrame:
     """Splits of the itemsets into antecedents and consequents with at least the confidence, with their measures.
 
-    The left sides are looked up among the itemsets by their first and last item, both of which the whole set has, so
-    no subsets are listed and neither the number of items nor that of rules is capped. `widest` bounds the consequents
+    A rule's confidence only falls when an item moves to the right side, so consequents grow item by item from those that
+    passed: no subsets are listed, and what is looked up is the rules kept and one item more. A left side that isn't among
+    the itemsets (a mined table has them all) gives no rule, but its consequent grows on. `widest` bounds the consequents
     if given.
     """
-    ends = F.array_distinct(F.flatten(F.transform("items", lambda a: F.transform(F.filter("items", lambda b: b >= a), lambda b: F.struct(a.alias("a"), b.alias("b"))))))
-    whole = itemsets.where(F.size("items") > 1).select("items", "support", F.explode(ends).alias("ends"))
-    left = itemsets.select(
-        F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"),
-        F.struct(F.element_at("items", 1).alias("a"), F.element_at("items", -1).alias("b")).alias("ends"),
-    )
+    left = itemsets.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
     right = itemsets.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
-    sides = whole.join(left, "ends").where((F.size("antecedents") < F.size("items")) & (F.size(F.array_except("antecedents", "items")) == 0))
-    sides = sides.where(F.col("support") / F.col("antecedent_support") >= min_confidence)
-    sides = sides.where(F.size("items") - F.size("antecedents") <= widest) if widest else sides
-    sides = sides.withColumn("consequents", F.array_except("items", "antecedents")).drop("items", "ends")
-    return _measured(sides.join(right, "consequents"))
+
+    def passed(splits: DataFrame) -> tuple[DataFrame, int]:
+        sides = splits.withColumn("antecedents", F.array_except("items", "consequents")).join(left, "antecedents", "left")
+        confidence = F.col("support") / F.col("antecedent_support")
+        kept = sides.where(confidence.isNull() | (confidence >= min_confidence))
+        rows, seen = stored_observed(kept, "rules", widest=F.max(F.size("antecedents")))
+        return rows, seen["widest"] or 0
+
+    each = F.explode(F.transform("items", lambda item: F.array(item))).alias("consequents")
+    level, most = passed(itemsets.where(F.size("items") > 1).select("items", "support", each))
+    levels = [level]
+    while (widest is None or len(levels) < widest) and most > 1:  # an item that could move is left
+        shorter = level.where(F.size("antecedents") > 1).select(
+            "items", "support", F.slice("consequents", 1, len(levels) - 1).alias("prefix"), F.element_at("consequents", -1).alias("last")
+        )
+        wider = shorter.join(shorter.select("items", "prefix", F.col("last").alias("later")), ["items", "prefix"]).where("last < later")
+        level, most = passed(wider.select("items", "support", F.concat("prefix", F.array("last", "later")).alias("consequents")))
+        levels.append(level)
+    known = reduce(DataFrame.unionByName, levels).drop("items").where(F.col("antecedent_support").isNotNull())
+    return _measured(known.join(right, "consequents"))
 
 
 def association_rules(

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from turnlake import schemas
@@ -18,6 +19,7 @@ from turnlake.functions.messages import winner_model
 from turnlake.functions.text import sha256
 from turnlake.functions.times import calendar
 from turnlake.operators.ordered import first_rows, hash_order
+from turnlake.session import stored
 
 TASK_KEYS = ("task_type", "domain", "language", "programming_lang", "difficulty", "benchmark_id", "category")
 
@@ -71,33 +73,62 @@ PROMPT_DEFAULTS = {
 
 
 def dim_prompt(
-    stage: DataFrame, policy: str = "longest", arrival: Sequence[str] = (), only: Sequence[str] | None = None
+    stage: DataFrame,
+    policy: str = "longest",
+    arrival: Sequence[str] = (),
+    only: Sequence[str] | None = None,
+    at_rest: bool = False,
 ) -> DataFrame:
     """One row per prompt hash, with all attributes or `only` some.
 
     `longest`: the longest variant, then the smallest text. `first`: the first one in the order of the `arrival`
-    columns. Both are a minimum over a struct, which combines map-side, so a hot prompt is reduced before the
-    shuffle.
+    columns. The winner is found on narrow rows, the distinct variants of a hash, with a digest in place of the text.
+    Texts are fetched by row: those of the variants that tie, where a hash has several, and then those of the winners.
+
+    The stage is read a few times, by row number, so it is written first unless it is a table of files (`at_rest`).
     """
     named = [name for name in schemas.names(schemas.DIM_PROMPT) if name not in ("prompt_key", "prompt_hash")]
     attributes = [name for name in named if only is None or name in only]
     if policy == "longest":
-        order = [F.coalesce(-F.col("prompt_length"), F.lit(2**31 - 1)).alias("_order"), F.col("prompt_text").alias("_text")]
+        order = {"_order0": F.coalesce(-F.col("prompt_length"), F.lit(2**31 - 1))}
     elif policy == "first":
-        order = [F.col(name).alias(f"_order_{name}") for name in arrival]
+        order = {f"_order{i}": F.col(name) for i, name in enumerate(arrival)}
     else:
         raise ValueError(f"unknown policy {policy!r}")
-    carried = [name for name in attributes if name != "prompt_text" or policy == "first"]
+    carried = [name for name in attributes if name != "prompt_text"]
     kept = stage.where(F.col("prompt_hash").isNotNull())
-    best = kept.groupBy("prompt_hash").agg(F.min(F.struct(*order, *carried)).alias("best")).select("prompt_hash", "best.*")
-    if "prompt_text" in attributes and policy == "longest":
-        best = best.withColumnRenamed("_text", "prompt_text")
+    if not at_rest:
+        needed = {"prompt_hash", "prompt_text", "prompt_length", *attributes, *arrival}
+        needed |= {d for name in attributes for d in PROMPT_DEFAULTS.get(name, ()) if d in stage.columns}
+        kept = stored(kept.select(*[name for name in stage.columns if name in needed]), "prompt-stage")
+    kept = kept.withColumn("_row", F.monotonically_increasing_id())
+    rows = kept.select("prompt_hash", *[c.alias(n) for n, c in order.items()], *carried, F.xxhash64("prompt_text").alias("_digest"), "_row")
+    variants = rows.groupBy("prompt_hash", *order, "_digest", *carried).agg(F.min("_row").alias("_row"))
+    if policy == "longest":  # a hash has few lengths
+        first = W.partitionBy("prompt_hash")
+        variants = variants.withColumn("_best", F.min("_order0").over(first)).where("_order0 = _best").drop("_best")
+    else:
+        best = rows.groupBy("prompt_hash").agg(F.min(F.struct(*order)).alias("best")).select("prompt_hash", "best.*")
+        keys = ("prompt_hash", *order)
+        best = best.withColumnsRenamed({name: f"_best_{name}" for name in keys})
+        same = [F.col(name).eqNullSafe(F.col(f"_best_{name}")) for name in keys]
+        variants = variants.join(best, reduce(Column.__and__, same), "left_semi")
+    place = F.row_number().over(W.partitionBy("prompt_hash", "_digest").orderBy(*carried, "_row"))
+    variants = variants.drop(*order).withColumn("_place", place).where("_place = 1").drop("_place")
+    several = (F.min("_digest").over(W.partitionBy("prompt_hash")) != F.max("_digest").over(W.partitionBy("prompt_hash")))
+    variants = stored(variants.withColumn("_several", several), "prompt-variants")
+    tied = stored(variants.where("_several"), "prompt-ties").join(kept.select("_row", "prompt_text"), "_row")
+    least = F.row_number().over(W.partitionBy("prompt_hash").orderBy("prompt_text", *carried))
+    tied = tied.withColumn("_place", least).where("_place = 1").select(variants.columns)
+    chosen = variants.where("not _several").unionByName(tied)
+    if "prompt_text" in attributes:
+        chosen = chosen.join(kept.select("_row", "prompt_text"), "_row")
 
     def filled(name: str) -> str:
         usable = [d for d in PROMPT_DEFAULTS.get(name, ()) if d not in named or d in attributes]
         return f"coalesce({', '.join([name, *usable])}) AS {name}"
 
-    return best.selectExpr("prompt_hash AS prompt_key", "prompt_hash", *map(filled, attributes)).select(
+    return chosen.selectExpr("prompt_hash AS prompt_key", "prompt_hash", *map(filled, attributes)).select(
         *[name for name in schemas.names(schemas.DIM_PROMPT) if name in ("prompt_key", "prompt_hash", *attributes)]
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnlake.functions.text import normalize, word_count
 from turnlake.operators.ordered import exact_quantiles, with_split
+from turnlake.session import stored
 
 DEFAULT_LATENCY, DEFAULT_TOKENS = 100.0, 10
 IMPUTED = ("prompt_length", "token_count", "instruction_density")
@@ -47,8 +48,10 @@ def with_training_features(prompts: DataFrame) -> DataFrame:
 def clean_training(extract: DataFrame, key: str = "execution_key") -> DataFrame:
     """Defaults, medians and outliers: latency 100 and 10 tokens when missing, rows without a prompt dropped,
     `unknown` labels, medians for missing numbers, latency up to its 99th percentile, at least one token.
+
+    Repeated keys go once, into a stored table: the thresholds then read two or three of its columns.
     """
-    known = extract.dropDuplicates([key]).where(F.col("prompt_word_count").isNotNull())
+    known = stored(extract.dropDuplicates([key]).where(F.col("prompt_word_count").isNotNull()), "training-rows")
     filled = known.withColumns(
         {
             "latency_ms": F.coalesce("latency_ms", F.lit(DEFAULT_LATENCY)),

@@ -161,7 +161,7 @@ class Warehouse:
         accepted(stage).write.mode("overwrite").parquet(f"{self.root}/{folder}/load={load}")
         rows = self.spark.read.schema(ddl).parquet(f"{self.root}/{folder}/load={load}")
 
-        self._write("dim_prompt", load, star.dim_prompt(rows, policy, arrival))
+        self._write("dim_prompt", load, star.dim_prompt(rows, policy, arrival, at_rest=True))
         self._write("dim_time", load, star.dim_time(rows))
         self._write("dim_source", load, star.dim_source(rows))
         if kind == "prompt":

@@ -8,18 +8,19 @@ The text of the tables is synthetic and holds no code, examples or instructions,
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake import schemas
-from turnlake.functions.text import literal, normalize, sha256
+from turnlake.functions.text import literal
 from turnlake.operators import star
 from turnlake.operators.adapters import union_events
 from turnlake.operators.features import with_prompt_features
 from turnlake.operators.rollups import FLAGS
 from turnlake.plans.transform import transform_rows
-from turnlake.session import use_utc
+from turnlake.session import stored, use_utc
 from turnlake.sources.raw import spread
 
 RUN_TS = dt.datetime(2024, 2, 1, 12, 30, 0, tzinfo=dt.timezone.utc)
@@ -232,20 +233,23 @@ def run_sources(spark: SparkSession, folder: str) -> DataFrame:
     return schemas.conform(names.withColumn("source_key", star.name_key(F.col("dataset_name"))), schemas.DIM_SOURCE)
 
 
-def execution_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Executions with their prompts. The hash is computed per document and joined to the executions."""
-    docs = documents(spark, folder)
-    hashes = docs.select("doc_id", sha256(normalize(F.col("text"))).alias("prompt_key"))
+def execution_star(spark: SparkSession, folder: str, only: Sequence[str] | None = ("prompt_text", *FLAGS)) -> dict[str, DataFrame]:
+    """Executions with their prompts, by default with the flags and the text alone. Prompts are worked on once: their
+    features are stored, and the executions get their prompt's hash from there.
+    """
+    columns = None if only is None else ["doc_id", "prompt_hash", "prompt_length", *only]
+    texts = prompts(spark, folder)
+    texts = stored(texts if columns is None else texts.select(*columns), "prompts")
+    hashes = texts.select("doc_id", F.col("prompt_hash").alias("prompt_key"))
     return {
         "fact_promptexecution": run_facts(spark, folder).join(hashes, "doc_id"),
-        # The rollups read the flags and the text; the other features are not computed for them.
-        "dim_prompt": star.dim_prompt(prompts(spark, folder), only=["prompt_text", *FLAGS]),
+        "dim_prompt": star.dim_prompt(texts, only=only, at_rest=True),
     }
 
 
 def full_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Executions with the whole prompt dimension."""
-    return execution_star(spark, folder) | {"dim_prompt": star.dim_prompt(prompts(spark, folder))}
+    return execution_star(spark, folder, None)
 
 
 def prompt_facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

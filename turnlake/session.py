@@ -10,7 +10,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(app: str = "turnlake", cpus: int | str = "*", memory: str = "12g") -> SparkSession:
@@ -69,3 +69,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """`stored`, with aggregates of the rows that are taken while they are written."""
+    seen = Observation()
+    rows = stored(df.observe(seen, *(measure.alias(key) for key, measure in measures.items())), name)
+    return rows, seen.get
