@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from turnlake import schemas
 from turnlake.functions import tasks, text, times
-from turnlake.operators import adapters, boards, eda, evaluation, mining, models, ordered, quality, rollups, scoring
+from turnlake.operators import adapters, boards, eda, evaluation, language, mining, models, ordered, quality, rollups, scoring
 from turnlake.operators import star, training, turns
 from turnlake.operators.features import comparison_records, prompt_records, with_lineage
 from turnlake.plans import workload as W
@@ -227,10 +227,51 @@ def prompt_type_and_language(spark, folder):
 
 
 @query(S.with_(S.DOCS, f"SELECT doc_id, lang, {S.detected(S.norm('text'))} AS detected FROM docs"))
-def detected_language(spark, folder):
+def language_by_stop_words(spark, folder):
     return W.documents(spark, folder).select("doc_id", "lang", text.detected_language("text").alias("detected"))
 
 
+def _held_out(spark, folder):
+    """Documents with every fifth (in a hash order) held out, and the profile of the others."""
+    docs = W.documents(spark, folder).withColumn("held_out", ordered.hash_order(F.col("doc_id"), 42) % 5 == 0)
+    return docs, language.fitted(docs.where("not held_out"))
+
+
+_PROFILE = S.DOCS + "," + S.language_profile(f"SELECT text, lang FROM docs WHERE {S.hash_order('doc_id')} % 5 <> 0")
+
+
+@query(S.with_(_PROFILE, "SELECT * FROM language_profile"))
+def language_profile(spark, folder):
+    return _held_out(spark, folder)[1]
+
+
+@query(
+    S.with_(
+        _PROFILE + "," + S.profiled("SELECT doc_id AS id, text FROM docs"),
+        f"SELECT doc_id, lang, coalesce(detected, 'unknown') AS detected, {S.hash_order('doc_id')} % 5 = 0 AS held_out "
+        "FROM docs LEFT JOIN profiled ON id = doc_id",
+    )
+)
+def detected_language(spark, folder):
+    """The language of every document by a profile that was fitted on four fifths of them."""
+    docs, table = _held_out(spark, folder)
+    return docs.select("doc_id", "lang", language.Profile.read(table).detected("text").alias("detected"), "held_out")
+
+
+@query(
+    S.with_(
+        S.PAIRS + "," + _PROFILE + "," + S.profiled("SELECT conversation_id || ':' || turn_number AS id, prompt_text AS text FROM pairs"),
+        "SELECT conversation_id, turn_number, coalesce(detected, 'unknown') AS language FROM pairs "
+        "LEFT JOIN profiled ON id = conversation_id || ':' || turn_number",
+    )
+)
+def prompt_languages(spark, folder):
+    """Languages of unlabelled chat prompts, by the profile of the labelled documents."""
+    profile = language.Profile.read(_held_out(spark, folder)[1])
+    pairs = turns.turn_pairs(W.chat_messages(spark, folder))
+    return prompt_records(schemas.conform(pairs, schemas.PROMPT_EVENT), profile).select("conversation_id", "turn_number", "language")
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 _HASH = "CASE WHEN event_id % 11 = 0 THEN 'short' ELSE sha256(event_type) END"

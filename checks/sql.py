@@ -103,6 +103,35 @@ def detected(n: str) -> str:
     return f"(CASE WHEN {best} = 0 THEN 'unknown' {cases} END)"
 
 
+def _trigrams(source: str, keys: str) -> str:
+    """One row per trigram of each distinct word of (keys, text)."""
+    points = " + ".join(f"unicode(substring(p, i + {k}, 1))::BIGINT * {factor}" for k, factor in enumerate((7919, 131, 1)))
+    return f"""SELECT {keys}, ({points}) % 8191 AS bucket FROM (SELECT {keys}, p, unnest(range(1, length(p) - 1)) AS i FROM (
+        SELECT {keys}, ' ' || w || ' ' AS p FROM (SELECT {keys}, unnest(list_distinct(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}]+'))) AS w FROM ({source}))
+        WHERE length(w) BETWEEN 1 AND 40))"""
+
+
+def language_profile(source: str) -> str:
+    """CTEs up to `language_profile` (lang, bucket, weight) of the labelled texts (text, lang)."""
+    return f"""
+trigram_counts AS (SELECT lang, CAST(bucket AS INTEGER) AS bucket, count(*) AS n FROM ({_trigrams(source, 'lang')}) WHERE lang IS NOT NULL GROUP BY ALL),
+trigram_totals AS (SELECT lang, sum(n) + 0.5 * 8191 AS total FROM trigram_counts GROUP BY lang),
+language_profile AS (
+  SELECT lang, bucket, CAST(round(1000 * ln((n + 0.5) / total)) AS BIGINT) AS weight FROM trigram_counts JOIN trigram_totals USING (lang)
+  UNION ALL SELECT lang, -1, CAST(round(1000 * ln(0.5 / total)) AS BIGINT) FROM trigram_totals)"""
+
+
+def profiled(source: str) -> str:
+    """CTE `profiled` (id, detected) of texts (id, text) by the CTE `language_profile`; texts without letters have no row."""
+    return f"""
+profiled AS (
+  SELECT id, lang AS detected FROM (
+    SELECT id, r.lang, sum(coalesce(s.weight, r.weight)) AS score FROM ({_trigrams(source, 'id')}) g
+    CROSS JOIN (SELECT lang, weight FROM language_profile WHERE bucket = -1) r
+    LEFT JOIN language_profile s ON s.lang = r.lang AND s.bucket = g.bucket GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) = 1)"""
+
+
 def spoken(label: str, n: str) -> str:
     given = f"lower({norm(label)})"
     return (

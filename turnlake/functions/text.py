@@ -163,9 +163,13 @@ def _detected(normalized: str) -> str:
     )
     most = f"""reduce(array({scores}), named_struct('hits', 0, 'code', 'unknown'),
         (top, one) -> CASE WHEN one.hits > top.hits THEN one ELSE top END).code"""
-    scripts = " ".join(f"WHEN n RLIKE {literal(script)} THEN '{code}'" for code, script in SCRIPTS.items())
-    by_script = f"CASE WHEN n RLIKE {literal(ANY_SCRIPT)} THEN CASE {scripts} END END"
-    return _once(normalized, "n", f"coalesce({by_script}, {_once('split(lower(n), \' \')', 'words', most)})")
+    return _once(normalized, "n", f"coalesce({by_script_sql('n')}, {_once('split(lower(n), \' \')', 'words', most)})")
+
+
+def by_script_sql(text: str) -> str:
+    """SQL for the language that a text's script names, else NULL."""
+    scripts = " ".join(f"WHEN {text} RLIKE {literal(script)} THEN '{code}'" for code, script in SCRIPTS.items())
+    return f"CASE WHEN {text} RLIKE {literal(ANY_SCRIPT)} THEN CASE {scripts} END END"
 
 
 def normalize_sql(text: str) -> str:
@@ -177,11 +181,13 @@ def detected_language(text: str) -> Column:
     return F.expr(_detected(normalize_sql(text)))
 
 
-def spoken_language(text: str, label: str) -> Column:
-    """An explicit label goes through the alias table and otherwise passes in lower case; without one the text decides."""
+def spoken_language(text: str, label: str, detected: str | None = None) -> Column:
+    """An explicit label goes through the alias table and otherwise passes in lower case; without one the text decides:
+    by `detected`, the SQL of a fitted profile (`language.Profile`), or else by stop words.
+    """
     given = f"lower({normalize_sql(label)})"
     aliased = f"coalesce({_lookup(LANGUAGE_ALIASES, given)}, nullif({given}, ''), 'unknown')"
-    return F.expr(f"CASE WHEN {label} <> '' THEN {aliased} ELSE {_detected(normalize_sql(text))} END")
+    return F.expr(f"CASE WHEN {label} <> '' THEN {aliased} ELSE {detected or _detected(normalize_sql(text))} END")
 
 
 def clean_payload(text: Column) -> Column:

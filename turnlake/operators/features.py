@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turnlake.functions import text as X
 from turnlake.functions.tasks import task_type
 from turnlake.functions.times import batch_name, instant
+from turnlake.operators.language import Profile
 
 FEATURES = (
     "prompt_hash", "prompt_length", "length", "token_estimate", "token_count", "prompt_type", "type",
@@ -18,8 +19,9 @@ FEATURES = (
 )
 
 
-def with_prompt_features(df: DataFrame) -> DataFrame:
-    """Add the 18 feature columns. Reads prompt_text and, when present, response_text, language and prompt_type.
+def with_prompt_features(df: DataFrame, profile: Profile | None = None) -> DataFrame:
+    """Add the 18 feature columns. Reads prompt_text and, when present, response_text, language and prompt_type; a profile
+    tells the language of unlabelled texts.
 
     One row in, one row out, no shuffle: all of it is a projection over the scan.
     """
@@ -51,7 +53,7 @@ def with_prompt_features(df: DataFrame) -> DataFrame:
             "contains_code": X.has_code(prompt) | X.has_code(response),
             "contains_examples": examples > 0,
             "contains_constraints": constraints > 0,
-            "language": X.spoken_language("prompt_text", "language"),
+            "language": X.spoken_language("prompt_text", "language", profile.detected_sql("prompt_text") if profile else None),
             "complexity_score": F.round(F.lit(0.4) * tokens + F.lit(0.3) * constraints + F.lit(0.3) * examples, 4),
             "instruction_density": F.round(F.col("_verbs") / F.greatest(F.col("_words"), F.lit(1)), 4),
             "response_tokens": F.nullif(F.col("_response_tokens"), F.lit(0)),
@@ -77,13 +79,13 @@ def with_lineage(
     )
 
 
-def prompt_records(events: DataFrame) -> DataFrame:
+def prompt_records(events: DataFrame, profile: Profile | None = None) -> DataFrame:
     """Prompt events to records: session id, features, task type."""
     with_session = events.withColumn("session_id", X.sha256(F.col("conversation_id")))
-    featured = with_prompt_features(with_session)
+    featured = with_prompt_features(with_session, profile)
     return featured.withColumn("task_type", task_type(F.col("task_type"), F.col("prompt_text")))
 
 
-def comparison_records(events: DataFrame) -> DataFrame:
+def comparison_records(events: DataFrame, profile: Profile | None = None) -> DataFrame:
     """Comparison events to records: features only, no task type."""
-    return with_prompt_features(events)
+    return with_prompt_features(events, profile)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from turnlake import schemas
 from turnlake.operators.adapters import adapter_for
 from turnlake.operators.features import comparison_records, prompt_records, with_lineage
+from turnlake.operators.language import Profile
 from turnlake.sources import raw, records
 
 OUTPUTS = {"prompt": "prompt_events", "comparison": "model_comparisons"}
@@ -23,14 +24,15 @@ def transform_rows(
     run_ts: dt.datetime,
     method: str | None = "fixture",
     version: str | None = "test",
+    profile: Profile | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Prompt and comparison records of one source's rows. One plan per source, no shuffle."""
     adapter = adapter_for(dataset)
-    prompts = prompt_records(adapter.prompts(rows, run_ts, dataset))
+    prompts = prompt_records(adapter.prompts(rows, run_ts, dataset), profile)
     prompts = schemas.conform(with_lineage(prompts, run_ts, dataset, method, version), schemas.PROMPT_STAGE)
     if adapter.comparisons is None:
         return prompts, None
-    battles = comparison_records(adapter.comparisons(rows, run_ts, dataset))
+    battles = comparison_records(adapter.comparisons(rows, run_ts, dataset), profile)
     battles = schemas.conform(with_lineage(battles, run_ts, dataset, method, version), schemas.COMPARISON_STAGE)
     return prompts, battles
 
@@ -44,9 +46,12 @@ def run_transform(
     resume: bool = False,
     form: str = "parquet",
     run_ts: dt.datetime | None = None,
+    profile: Profile | None = None,
 ) -> DataFrame:
     """Transform every discovered dataset and return (dataset_name, record_type, n).
 
+    A language profile, if given, labels the texts without a language label.
+
     Each source is written to a folder of its own, followed by a row that says it is whole and with which limit. With
     `resume`, sources that a former run finished with the same limit are kept as they are; all others are written anew.
     """
@@ -59,7 +64,7 @@ def run_transform(
         path = f"{datasets_root.rstrip('/')}/{dataset}"
         about = raw.metadata(spark, path, dataset)
         rows = raw.read_rows(spark, path, dataset, form, limit)
-        parts = transform_rows(dataset, rows, started, about["collection_method"], about["version"])
+        parts = transform_rows(dataset, rows, started, about["collection_method"], about["version"], profile)
         for kind, part in zip(OUTPUTS, parts):
             if part is not None and (dataset, kind) not in done:
                 _mark(spark, output, dataset, kind, False, limit)
