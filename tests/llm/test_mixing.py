@@ -1,4 +1,4 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from llm.common import DOCS, no_docs
 from turnlake.llm import mixing as op
+from turnlake.session import stored
 
 
 def brute_targets(sizes, weights=(1, 2, 3)):
@@ -66,7 +67,7 @@ def test_shards_take_equal_numbers_of_disjoint_draws(spark, docs):
 
 
 def test_mixed_documents(spark, docs):
-    one_each = docs.dropDuplicates(["doc_id"])
+    one_each = stored(docs.dropDuplicates(["doc_id"]), "docs")
     made = op.plan(one_each)
     out = op.mixed(one_each, made)
     assert out.columns == docs.columns
@@ -88,3 +89,26 @@ def test_empty_table_and_no_words(spark):
     blank = spark.createDataFrame([(1, None, "en", None, 0), (2, " ", "en", "a", 0)], DOCS)
     assert {(r["size"], r["target"], r["taken"]) for r in op.taken(op.plan(blank)).collect()} == {(0, 0.0, 0)}
     assert op.mixed(blank, op.plan(blank)).count() == 0
+
+
+def test_a_third_of_the_rows_without_an_id(spark):
+    """Every source comes within 2 % of its target or one largest document, equal and nameless rows included."""
+    rng = np.random.default_rng(3)
+    rows = [(None, " ".join(["w"] * int(rng.integers(1, 30))), "en", "a", 0) for _ in range(300)] + [(None, "one and the same", "en", "a", 0)] * 200
+    rows += [(i, " ".join(["w"] * int(rng.integers(1, 30))), "en", "b", 0) for i in range(400)] + [(5, "again", "en", None, 0)] * 300
+    docs = stored(spark.createDataFrame(rows, DOCS).repartition(5), "docs")
+    for part in (docs, docs.where("text <> 'again'")):
+        made = op.plan(part)
+        found = made.documents.join(made.draws, ["source_no", "block"], "left").groupBy("source").agg(
+            F.first("target").alias("target"), F.sum(F.when(F.col("copy").isNotNull(), F.col("size"))).alias("taken"), F.max("size").alias("largest")
+        )
+        for r in found.collect():
+            assert abs(r["taken"] - r["target"]) <= max(0.02 * r["target"], r["largest"])
+        assert max(r["taken"] / max(1, r["size"]) for r in op.taken(made).collect()) <= 3
+        assert op.taken(made).count() == part.count()
+    made = op.plan(docs)
+    out = Counter((r["doc_id"], r["text"]) for r in op.mixed(docs, made).collect())
+    sizes = op.taken(made).groupBy("doc_id").agg(F.sum("taken").alias("taken")).collect()
+    assert {r["doc_id"]: r["taken"] for r in sizes if r["taken"]} == {
+        i: sum(n * len(t.split()) for (j, t), n in out.items() if j == i) for i in {i for i, _ in out}
+    }

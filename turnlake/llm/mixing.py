@@ -1,6 +1,6 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Every source is dealt into blocks of whole documents (by a hash of the id), at most `BLOCKS` of them, in a permuted
+Every source is dealt into blocks of whole documents (by a hash of id and text), at most `BLOCKS` of them, in a permuted
 order. A source's quota is the exact number of block draws whose words come nearest its target: whole rounds over all
 its blocks, then a prefix of the permuted order. Output shards take equal numbers of draws. The tree splits the quotas
 of a node among its children by multivariate-hypergeometric draws, level by level, so every shard gets a random share of
@@ -11,8 +11,10 @@ The tree and the block table are small (shards x sources, at most `BLOCKS` rows
 over bounded groups; documents are only joined with their block's draws, so no text is shuffled before the mix itself.
 
 All randomness comes from hashes of `seed`, so reruns agree. Null texts have no words; they and other texts without
-words are dealt like any document and take no words. The null source is a source of its own and comes last. Rows with
-equal ids and sources share a block. An empty table gives an empty mix. Only `doc_id`, `text` and `source` are read.
+words are dealt like any document and take no words. The null source is a source of its own and comes last. Rows that are
+equal in id, text and source are numbered (by an ordered scan, however many there are) and dealt one by one like others. An
+empty table gives an empty mix. Only `doc_id`, `text` and `source` are read; `mixed` finds rows again by their number, so the
+table must give its rows in the same order when read again, as files do.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from turnlake.llm.words import fresh
+from turnlake.operators.scan import laid, running_within
 from turnlake.session import stored
 
 BLOCKS = 65_536  # blocks of a source at most
@@ -38,7 +41,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 @dataclass(frozen=True)
 class Plan:
-    """`documents`: one row per input row (`doc_id, source, size, source_size, target, block`); `draws`: one row per draw of
+    """`documents`: one row per input row (`row, doc_id, source, size, source_size, target, block`); `draws`: one row per draw of
     a block (`source_no, block, copy, shard`); `shards`: their number."""
 
     documents: DataFrame
@@ -126,14 +129,23 @@ def splitting_tree(quotas: DataFrame, total: int, shards: int, seed: int) -> Dat
     return level.select(F.col("node").alias("shard"), "source_no", "quota")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """`row, doc_id, source, size, digest, twin`: `twin` numbers the rows that are equal in id, text and source."""
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("digest"),
+    ).withColumn("same", F.xxhash64("source", "doc_id", "digest"))
+    rows = laid(rows.withColumn("one", F.lit(1)), ["same", "row"], "mix-rows")
+    return running_within(rows, "same", ["one"]).select("row", "doc_id", "source", "size", "digest", F.col("running_one").alias("twin"))
+
+
 def plan(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 42, shard_words: int = SHARD_WORDS) -> Plan:
-    rows = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    rows = stored(_numbered(docs), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     sources = stored(targets(sizes, weights), "mix-sources")
     slots = F.least(F.lit(BLOCKS), F.col("n_docs") * 4)
     documents = rows.withColumnRenamed("source", "name").join(sources, F.col("name").eqNullSafe(F.col("source")))
-    documents = documents.withColumn("block", F.pmod(_order("doc_id", seed=seed), slots)).select(
-        "doc_id", "source", "source_no", "size", "source_size", "target", "block"
+    documents = documents.withColumn("block", F.pmod(_order("doc_id", "digest", "twin", seed=seed), slots)).select(
+        "row", "doc_id", "digest", "twin", "source", "source_no", "size", "source_size", "target", "block"
     )
     blocks = documents.groupBy("source_no", "block").agg(
         F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target")
@@ -187,12 +199,12 @@ def mixed(docs: DataFrame, plan: Plan, seed: int = 42) -> DataFrame:
 
     Shards are ranges of the output's partitions; the columns are those of `docs`.
     """
-    keys = {c: fresh(docs, f"mix_{c}") for c in ("id", "name", "shard", "order")}
-    places = plan.documents.select("doc_id", "source", "source_no", "block").distinct().join(plan.draws, ["source_no", "block"])
-    places = places.select(
-        F.col("doc_id").alias(keys["id"]), F.col("source").alias(keys["name"]), F.col("shard").alias(keys["shard"]),
-        _order("shard", "doc_id", "copy", seed=seed + 2).alias(keys["order"]),
+    row, named, shard, order = (fresh(docs, f"mix_{c}") for c in ("row", "id", "shard", "order"))
+    places = plan.documents.join(plan.draws, ["source_no", "block"]).select(
+        F.col("row").alias(row), F.col("doc_id").alias(named), F.col("shard").alias(shard),
+        _order("shard", "doc_id", "digest", "twin", "copy", seed=seed + 2).alias(order),
     )
-    here = F.col("doc_id").eqNullSafe(F.col(keys["id"])) & F.col("source").eqNullSafe(F.col(keys["name"]))
-    drawn = docs.join(places, here).repartitionByRange(plan.shards, keys["shard"], keys["order"])
-    return drawn.sortWithinPartitions(keys["shard"], keys["order"]).select(*docs.columns)
+    drawn = docs.withColumn(row, F.monotonically_increasing_id()).join(places, row)
+    moved = F.raise_error(F.lit("the table gave its rows in another order than when the mix was planned")).cast("bigint")
+    drawn = drawn.withColumn(shard, F.when(F.col("doc_id").eqNullSafe(F.col(named)), F.col(shard)).otherwise(moved))
+    return drawn.repartitionByRange(plan.shards, shard, order).sortWithinPartitions(shard, order).select(*docs.columns)
