@@ -70,3 +70,70 @@ def test_awkward_tables(spark):
     model = op.trained(docs, odd)
     assert op.rated(docs, model).count() == 5 and op.rated(no_docs(spark), model).count() == 0 and op.selected(no_docs(spark), model).count() == 0
     assert op.rated(docs.withColumn("doc_id", F.lit(None).cast("long")), model).count() == 5
+
+
+def test_row_order_changes_no_bit(spark):
+    texts, labels = corpus(150)
+    docs, rated = docs_of(spark, [*texts, *texts[:20]]), spark.createDataFrame(labels, LABELS)
+    docs = docs.unionByName(docs.where("doc_id < 9").withColumn("text", F.concat("text", F.lit(" once more"))))  # ids of several texts
+    first = op.trained(docs, rated)
+    again = op.trained(docs.orderBy(F.rand(3)).repartition(7), rated.repartition(3))
+    assert first.weights.tobytes() == again.weights.tobytes() and first.thresholds.tobytes() == again.thresholds.tobytes()
+
+
+def test_one_row_of_each_id_is_fitted(spark):
+    texts, labels = corpus(60)
+    docs, rated = docs_of(spark, texts), spark.createDataFrame(labels, LABELS)
+    many = docs.unionByName(docs.where("doc_id = 3").crossJoin(spark.range(500).select()))
+    assert op.trained(many, rated).weights.tobytes() == op.trained(docs, rated).weights.tobytes()
+
+
+def test_slopes_are_finite_differences():
+    rng = np.random.default_rng(4)
+    score, thresholds, grades = rng.normal(size=40), np.array([-0.7, 0.9]), rng.integers(0, 3, 40)
+    _, by_score, by_threshold = op.cumulative_link(score, thresholds, grades)
+    step = 1e-6
+    for i in range(40):
+        up, down = (op.cumulative_link(score + sign * step * (np.arange(40) == i), thresholds, grades)[0] for sign in (1, -1))
+        assert by_score[i] == pytest.approx((up - down) / (2 * step), abs=1e-7)
+    for k in range(2):
+        up, down = (op.cumulative_link(score, thresholds + sign * step * (np.arange(2) == k), grades)[0] for sign in (1, -1))
+        assert by_threshold[k] == pytest.approx((up - down) / (2 * step), abs=1e-7)
+
+
+def test_fit_against_a_plain_optimiser():
+    """A dense model fitted by thousands of small equal steps: the fit's loss is as low, its probabilities are near."""
+    rng = np.random.default_rng(6)
+    n, kinds = 400, 12
+    present = rng.random((n, kinds)) < 0.4
+    score = present @ rng.normal(size=kinds) * 1.2
+    grades = (score + rng.logistic(size=n) > -0.5).astype(int) + (score + rng.logistic(size=n) > 1.5)
+    # Words of its own keep each document's signature apart; they are too rare for weights.
+    own = np.arange(n * 4).reshape(n, 4) + 1000
+    rows = np.concatenate([np.repeat(np.arange(n), present.sum(axis=1)), np.repeat(np.arange(n), 4)])
+    words = np.concatenate([np.nonzero(present)[1], own.ravel()])
+    order = np.lexsort((words, rows))
+    shares = np.zeros((n, op.SHARES))
+    model = op.fit(rows[order], words[order], shares, grades)
+    weights, thresholds = np.zeros(kinds), np.array([-1.0, 1.0])
+    for _ in range(20_000):
+        _, pull, by_threshold = op.cumulative_link(present @ weights, thresholds, grades)
+        weights, thresholds = weights - 0.5 * (present.T @ pull + op.L2 * weights), thresholds - 0.5 * by_threshold
+    best, _, _ = op.cumulative_link(present @ weights, thresholds, grades)
+    mine = present @ model.weights[:kinds]
+    found, _, _ = op.cumulative_link(mine, model.thresholds, grades)
+    assert found <= best + 0.01
+    plain = 1 / (1 + np.exp(thresholds[None, :] - (present @ weights)[:, None]))
+    assert np.abs(model.tails(mine) - plain).max() < 0.1
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").is_dir(), reason="no test data")
+def test_rated_documents_of_the_given_tables(spark):
+    """Three quarters of the ratings fitted, the others held out."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(4)) == 0
+    held = op.graded(labels.where(unseen))
+    rows = op.rated(docs.join(held, "doc_id", "left_semi"), op.trained(docs, labels.where(~unseen))).join(held, "doc_id").collect()
+    toxic, good = [r for r in rows if r["grade"] == 0], [r for r in rows if r["grade"] == 2]
+    assert np.mean([not r["selected"] for r in toxic]) > 0.85 and np.mean([r["selected"] for r in good]) > 0.97

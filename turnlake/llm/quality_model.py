@@ -9,8 +9,9 @@ Features are the document's distinct words (lower-cased, hashed to `BUCKETS`) an
 are no letters, words with a run of marks, distinct words. An L1 penalty leaves weight only on words that matter, so long
 documents of many rare words don't drift.
 
-The model is fitted on at most `SAMPLE` labelled documents (a documented bound), chosen by the hash of their id; their
-features are made in parallel and fitted in one task. Scoring reads every whole text where it lies, with the weights
+The model is fitted on at most `SAMPLE` labelled documents (a documented bound), chosen by the hash of their id, one row of
+each id (of several, the text with the least hash); their features are made in parallel and fitted in one task, in an order
+that the ids and texts give, so the rows' places in the table change nothing, not a bit. Scoring reads every whole text where it lies, with the weights
 broadcast (`BUCKETS` numbers).
 
 Ratings that are null or whose document is missing or has no text are ignored; several ratings of an id count as their
@@ -99,8 +100,23 @@ def distinct_rows(rows: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
     return np.sort(np.unique(signature, axis=0, return_index=True)[1])
 
 
+def cumulative_link(score: np.ndarray, thresholds: np.ndarray, grades: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The mean loss, and its slopes by each row's score and by each threshold."""
+    padded, n = np.concatenate(([-50.0], thresholds, [50.0])), len(grades)
+
+    def below(k: np.ndarray) -> np.ndarray:
+        """P(grade <= k) for each row's own k."""
+        return 1 / (1 + np.exp(np.clip(score - padded[k + 1], -50, 50)))
+
+    high, low = below(grades), below(grades - 1)
+    chance = np.maximum(high - low, 1e-9)
+    slope_high, slope_low = high * (1 - high) / chance, low * (1 - low) / chance
+    by_threshold = np.array([(-slope_high[grades == k].sum() + slope_low[grades == k + 1].sum()) / n for k in range(len(thresholds))])
+    return float(-np.log(chance).mean()), (slope_high - slope_low) / n, by_threshold
+
+
 def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.ndarray) -> Ordinal:
-    """Accelerated proximal gradient descent; `rows` and `buckets` list the words present."""
+    """Proximal gradient descent with steps scaled by the gradients so far; `rows` and `buckets` list the words present."""
     n = len(grades)
     stay = distinct_rows(rows, buckets, n)
     number = np.full(n, -1, np.int32)
@@ -124,24 +140,16 @@ def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.nd
     held_back, price = np.ones(len(used)), PRICE / n
     steps = [np.zeros_like(weights), np.zeros_like(dense_weights), np.zeros_like(thresholds)]
 
-    def below(score: np.ndarray, k: int) -> np.ndarray:
-        """P(grade <= k) for each row's own k."""
-        padded = np.concatenate(([-50.0], thresholds, [50.0]))
-        return 1 / (1 + np.exp(np.clip(score - padded[k + 1], -50, 50)))
-
     for turn in range(2 * ROUNDS):
         if turn == ROUNDS:  # the chosen words are fitted again without the penalty, which had held their weights down
             held_back, price = (weights != 0).astype(float), 0.0
             steps[0] = np.zeros_like(weights)
         score = np.bincount(rows, weights[columns], n) + dense @ dense_weights
-        high, low = below(score, grades), below(score, grades - 1)
-        chance = np.maximum(high - low, 1e-9)
-        slope_high, slope_low = high * (1 - high) / chance, low * (1 - low) / chance
-        pull = (slope_high - slope_low) / n  # of the loss, by the score
+        _, pull, by_threshold = cumulative_link(score, thresholds, grades)
         gradients = (
             held_back * (np.bincount(columns, pull[rows], len(used)) + L2 * weights),
             dense.T @ pull,
-            np.array([(-slope_high[grades == k].sum() + slope_low[grades == k + 1].sum()) / n for k in range(GRADES - 1)]),
+            by_threshold,
         )
         for held, gradient in zip(steps, gradients, strict=True):
             held += gradient**2
@@ -166,12 +174,16 @@ def graded(labels: DataFrame) -> DataFrame:
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     chosen = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id")  # `sample` ids at most
+    texts = texts.withColumn("digest", F.xxhash64("text"))
+    least = texts.groupBy("doc_id").agg(F.min("digest").alias("digest"))  # a row per id: `sample` rows at most
+    texts = texts.join(F.broadcast(least), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
+    texts = texts.withColumn("place", F.xxhash64("doc_id", "digest"))
 
     def featured(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches(stream, 500):
             found = [(features.words(t), features.shares(t)) for t in batch.column(0).to_pylist()]
-            yield record({"words": pa.array([w for w, _ in found], pa.list_(pa.int32())), "shares": pa.array([s for _, s in found], pa.list_(pa.float64())), "grade": batch.column(1)})
+            yield record({"words": pa.array([w for w, _ in found], pa.list_(pa.int32())), "shares": pa.array([s for _, s in found], pa.list_(pa.float64())), "grade": batch.column(1), "place": batch.column(2)})
 
     def fitted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, buckets, shares, grades, n = [], [], [], [], 0
@@ -189,8 +201,8 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal
             model = fit(*words, np.concatenate(shares), np.concatenate(grades).astype(np.int64))
             yield record({"weights": pa.array([model.weights], pa.list_(pa.float64())), "thresholds": pa.array([model.thresholds], pa.list_(pa.float64()))})
 
-    read = texts.select("text", "grade").mapInArrow(featured, "words array<int>, shares array<double>, grade int")
-    found = read.repartition(1).mapInArrow(fitted, "weights array<double>, thresholds array<double>").first()
+    read = texts.select("text", "grade", "place").mapInArrow(featured, "words array<int>, shares array<double>, grade int, place bigint")
+    found = read.repartition(1).sortWithinPartitions("place").mapInArrow(fitted, "weights array<double>, thresholds array<double>").first()
     if found is None:
         return Ordinal(np.zeros(BUCKETS + SHARES), np.full(GRADES - 1, -50.0))
     return Ordinal(np.array(found["weights"]), np.array(found["thresholds"]))
