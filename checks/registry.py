@@ -693,6 +693,42 @@ def rollup_refresh(spark, folder):
     return rounded(house.rollup("model_performance_arena"), "avg_success")
 
 
+@query(
+    S.with_(
+        S.STAGE + """,
+        tasks AS (SELECT DISTINCT task_type, language, programming_lang, task_category AS category, prompt_hash < '8' AS early FROM stage),
+        first_load AS (SELECT * EXCLUDE (early) FROM tasks WHERE early)""",
+        "SELECT 'first' AS load, * FROM first_load UNION ALL "
+        "SELECT 'second', * FROM (SELECT * EXCLUDE (early) FROM tasks WHERE NOT early EXCEPT SELECT * FROM first_load)",
+    )
+)
+def new_tasks(spark, folder):
+    """Which tasks each of two loads has added to the dimension."""
+    house, prompts = Warehouse(spark, new_folder(spark, "warehouse")), stored(_stage(spark, folder), "stage")
+    house.load(prompts.where(F.col("prompt_hash") < "8"), "prompt", "first")
+    house.load(prompts.where(F.col("prompt_hash") >= "8"), "prompt", "second")
+    return house.added("dim_task").select("load", "task_type", "language", "programming_lang", "category")
+
+
+@query(
+    S.with_(
+        S.STAGE,
+        """SELECT 'fact_promptexecution' AS "table", count(*) AS rows FROM stage
+        UNION ALL SELECT 'fact_model_comparison', 0 UNION ALL SELECT 'dim_prompt', count(DISTINCT prompt_hash) FROM stage
+        UNION ALL SELECT 'dim_model', count(DISTINCT model_name) FROM stage WHERE model_name <> ''
+        UNION ALL SELECT 'dim_time', count(DISTINCT ts) FROM stage UNION ALL SELECT 'dim_session', count(DISTINCT conversation_id) FROM stage
+        UNION ALL SELECT 'dim_source', count(DISTINCT dataset_name) FROM stage
+        UNION ALL SELECT 'dim_task', count(*) FROM (SELECT DISTINCT task_type, language, programming_lang, task_category FROM stage)""",
+    )
+)
+def entity_counts(spark, folder):
+    """Rows of every table after two loads, of which one was replayed."""
+    house, prompts = Warehouse(spark, new_folder(spark, "warehouse")), stored(_stage(spark, folder), "stage")
+    for load, part in (("a", F.col("prompt_hash") < "8"), ("b", F.col("prompt_hash") >= "8"), ("a", F.col("prompt_hash") < "8")):
+        house.load(prompts.where(part), "prompt", load)
+    return house.entity_counts()
+
+
 # --- rollups -----------------------------------------------------------------------------------
 
 
@@ -1436,6 +1472,20 @@ def roc_points(spark, folder):
     return rounded(evaluation.roc_points(_predicted(spark, folder), "p", "label").drop("area"), "threshold", "tpr", "fpr")
 
 
+@query(
+    S.with_(
+        _ROC,
+        "SELECT round(ln((threshold + 0.001) / (1.001 - threshold)), 6) AS threshold, round(tp / all_pos, 9) AS tpr, "
+        "round(fp / all_neg, 9) AS fpr FROM curve",
+    )
+)
+def roc_of_logits(spark, folder):
+    """The same curve on scores that are no probabilities."""
+    logits = _predicted(spark, folder).withColumn("z", F.log((F.col("p") + 0.001) / (1.001 - F.col("p"))))
+    points = evaluation.roc_points(logits, "z", "label").drop("area")
+    return rounded(rounded(points, "tpr", "fpr"), "threshold", digits=6)
+
+
 @query(S.with_(_ROC, "SELECT round(sum(neg / all_neg * (2 * tp - pos) / (2 * all_pos)), 6) AS auc FROM curve"))
 def roc_auc(spark, folder):
     return rounded(evaluation.auc(evaluation.roc_points(_predicted(spark, folder), "p", "label")), "auc", digits=6)

@@ -90,3 +90,22 @@ def test_first_rows_puts_missing_orders_last(spark, n):
     got = [r["id"] for r in ordered.first_rows(df, F.col("v"), [F.asc("id")], n).collect()]
     assert got == [3, 5, 1, 2, 4][:n]
     assert ordered.first_rows(df.where("false"), F.col("v"), [F.asc("id")], 3).count() == 0
+
+
+def test_first_rows_of_whole_numbers_and_heavy_ties(spark):
+    rng = random.Random(12)
+    rows = [(i, rng.choice([None, 5, 5, 5, -(2**40), 2**62, rng.randrange(-(2**62), 2**62)])) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, v long").repartition(5)
+    expected = [i for i, v in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))]
+    for n, low_bits in ((1, 32), (60, 0), (250, 32), (499, 61), (500, 32), (700, 32)):
+        assert [r["id"] for r in ordered.first_rows(df, F.col("v"), [F.asc("id")], n, low_bits).collect()] == expected[:n]
+
+
+def test_roc_of_scores_beyond_one(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([-1e6, 3.5, rng.gauss(0, 1000)]), rng.randint(0, 1)) for _ in range(300)]
+    points = evaluation.roc_points(spark.createDataFrame(rows, "z double, y int").repartition(6), "z", "y")
+    wins = sum((a > b) + 0.5 * (a == b) for a, y in rows if y for b, z in rows if not z)
+    pos = sum(y for _, y in rows)
+    assert math.isclose(evaluation.auc(points).first()["auc"], wins / (pos * (300 - pos)))
+    assert points.count() == len({z for z, _ in rows})

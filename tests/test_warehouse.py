@@ -2,6 +2,8 @@ import bz2
 import datetime as dt
 import gzip
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 import pytest
@@ -9,11 +11,11 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from turnlake import schemas
-from turnlake.operators import star
+from turnlake.operators import rollups, star
 from turnlake.plans import transform
 from turnlake.plans.transform import run_transform, transform_rows
 from turnlake.plans.warehouse import Warehouse, load_name
-from turnlake.session import new_folder
+from turnlake.session import new_folder, put_if_absent
 from turnlake.sources import raw, records
 from turnlake.streaming import load as streaming
 
@@ -251,3 +253,58 @@ def test_json_reads_every_data_file_whatever_its_name(spark, tmp_path):
     rows = raw.read_rows(spark, str(tmp_path / "prompt_library"), "prompt_library", "json")
     assert sorted(r["prompt"] for r in rows.collect()) == sorted(names)
     assert raw.read_rows(spark, str(tmp_path / "prompt_library"), "prompt_library", "json", 3).count() == 3
+
+
+def test_one_writer_of_many_gets_a_name(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: put_if_absent(spark, f"{tmp_path}/log/0001.json", f"writer {i}"), range(16)))
+    assert won.count(True) == 1
+    assert (tmp_path / "log/0001.json").read_text() == f"writer {won.index(True)}"
+    assert [p.name for p in (tmp_path / "log").iterdir() if not p.name.endswith(".crc")] == ["0001.json"]
+    assert put_if_absent(spark, f"file://{tmp_path}/a b/x%20y", "z") and (tmp_path / "a b/x%20y").read_text() == "z"
+
+
+def test_concurrent_loads_get_numbers_of_their_own(spark, arena):
+    """Readers see whole loads only, whatever else is being written."""
+    prompts, comparisons = arena
+    house = Warehouse(spark, new_folder(spark, "wh"))
+    jobs = [(prompts, "prompt", load_name(i, "prompt")) for i in range(3)] + [(comparisons, "comparison", load_name(9, "comparison"))]
+    seen, done = [], threading.Event()
+
+    def watch():
+        while not done.is_set():
+            seen.append((house.log().count(), house.table("fact_promptexecution").count() + house.table("fact_model_comparison").count()))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda job: house.load(*job), jobs))
+    done.set()
+    watcher.join()
+    assert sorted(r["seq"] for r in house.loads().collect()) == [1, 2, 3, 4]
+    assert {n for _, n in seen} <= {48 * a + 24 * b for a in range(4) for b in range(2)}
+    assert house.table("fact_promptexecution").count() == 144 and house.totals().count() == 2
+
+
+def test_a_load_adds_new_tasks_only(spark, arena):
+    prompts, _ = arena
+    house = Warehouse(spark, new_folder(spark, "wh"))
+    house.load(prompts, "prompt", load_name(1, "prompt"))
+    tasks = house.table("dim_task").count()
+    more = prompts.withColumn("domain", F.when(F.col("turn_number") == 1, "d"))
+    house.load(more, "prompt", load_name(2, "prompt"))
+    added = {r["load"]: r["count"] for r in house.added("dim_task").groupBy("load").count().collect()}
+    assert added == {load_name(1, "prompt"): tasks, load_name(2, "prompt"): house.table("dim_task").count() - tasks}
+    before = values(house.added("dim_task"))
+    house.load(prompts, "prompt", load_name(1, "prompt"))  # a replay finds its own tasks new again
+    assert values(house.added("dim_task")) == before
+
+
+def test_current_daily_reads_no_fact(spark, arena):
+    house = Warehouse(spark, new_folder(spark, "wh"))
+    house.load(arena[0], "prompt", load_name(1, "prompt"))
+    house.refresh_rollups()
+    house.load(arena[0], "prompt", load_name(2, "prompt"))
+    assert "fact_" not in "".join(house.current_daily().inputFiles())
+    facts, models = house.table("fact_promptexecution"), house.table("dim_model")
+    assert values(house.current_daily()) == values(rollups.daily_model_success(facts, models))

@@ -6,10 +6,10 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnlake.operators.ordered import score_bin
+from turnlake.operators import scan
 
 
 def regression_metrics(df: DataFrame, predictions: dict[str, str], target: str, by: str | None = None) -> DataFrame:
@@ -138,34 +138,21 @@ def confusion_tests(metrics: DataFrame) -> DataFrame:
 def roc_points(df: DataFrame, probability: str, label: str) -> DataFrame:
     """(threshold, tpr, fpr, area): one point per distinct probability, in falling order.
 
-    Running totals use score bins (a probability has at most 4,097) plus a window inside each bin, so no task
-    orders the whole curve. `area` is the trapezoid to the previous point; the areas sum up to the AUC.
+    Any scores will do, logits as well as probabilities: the distinct ones are laid out in their order over range
+    partitions, and running totals come from one scan of each. `area` is the trapezoid to the previous point; the areas
+    sum up to the AUC.
     """
     counted = df.groupBy(F.col(probability).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    binned = counted.withColumn("bin", score_bin(F.col("threshold")))
-    above = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    bins = binned.groupBy("bin").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    bins = bins.select(
-        F.col("bin").alias("_bin"),
-        F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
-        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
-        F.sum("p").over(every).alias("all_pos"),
-        F.sum("n").over(every).alias("all_neg"),
-    )
-    in_bin = Window.partitionBy("bin").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    # Null-safe, so that no filter is pushed into one side only and both sides share one exchange and one scan.
-    placed = binned.join(bins, F.col("bin").eqNullSafe(F.col("_bin"))).withColumns(
-        {"tp": F.col("p_above") + F.sum("pos").over(in_bin), "fp": F.col("n_above") + F.sum("neg").over(in_bin)}
-    )
-    width = F.col("neg") / F.col("all_neg")
-    height = (2 * F.col("tp") - F.col("pos")) / (2 * F.col("all_pos"))
+    placed = scan.running(scan.laid(counted, [F.desc("threshold")], "curve"), ["pos", "neg"], totals=True)
+    tp, fp = F.col("running_pos"), F.col("running_neg")
+    width = F.col("neg") / F.col("total_neg")
+    height = (2 * tp - F.col("pos")) / (2 * F.col("total_pos"))
     return placed.select(
         "threshold",
-        (F.col("tp") / F.col("all_pos")).alias("tpr"),
-        (F.col("fp") / F.col("all_neg")).alias("fpr"),
+        (tp / F.col("total_pos")).alias("tpr"),
+        (fp / F.col("total_neg")).alias("fpr"),
         (width * height).alias("area"),
     )
 

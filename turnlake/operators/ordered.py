@@ -181,18 +181,29 @@ def with_split(
     return placed.withColumn("split", split.otherwise(names[-1])).select(*df.columns, "split")
 
 
-def first_rows(df: DataFrame, order: Column, ties: list[Column], n: int) -> DataFrame:
+def first_rows(df: DataFrame, order: Column, ties: list[Column], n: int, low_bits: int = 32) -> DataFrame:
     """The n rows with the smallest `order` (a number; NULL and NaN come last), then the smallest `ties`; all rows if
     there are fewer.
 
-    An ordered limit alone would send n candidates from every partition to one task. An approximate quantile a
-    little beyond n rows therefore cuts the table first; where its count shows that it falls short of n, nothing is cut.
+    Two scans: one counts rows by the order's high bits (all but `low_bits` of a whole number; steps of a logarithm of any
+    other), which tells the bin that the n-th row lies in; one takes the bins below it whole and ranks the rows of that
+    bin alone. Bins beyond the order's range don't exist, and their counts are added up in one small window.
     """
-    last = F.lit(math.inf)
-    ranked = df.withColumn("_order", F.coalesce(F.nanvl(order.cast("double"), last), last))
-    total = ranked.count()
-    share = min(1.0, 1.2 * n / max(total, 1) + 0.001)
-    cut = ranked.agg(F.percentile_approx("_order", share, 100_000).alias("cut")).first()["cut"]
-    if cut is None or ranked.where(F.col("_order") <= cut).count() < n:
-        cut = math.inf
-    return ranked.where(F.col("_order") <= cut).orderBy("_order", *ties).limit(n).select(*df.columns)
+    ranked = df.withColumn("_order", order)
+    value, none = F.col("_order"), F.lit(2**63 - 1)
+    if ranked.schema["_order"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        bins = F.shiftright(value.cast("bigint"), low_bits)
+    else:
+        value = F.nanvl(value.cast("double"), F.lit(None))
+        bins = F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * 4096)
+    ranked = ranked.withColumns({"_order": value, "_bin": F.coalesce(bins, none)})
+    counts = ranked.groupBy("_bin").agg(F.count("*").alias("size"))
+    upto = F.sum("size").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    cut = counts.withColumn("before", upto - F.col("size")).where((F.col("before") < n) & (F.col("before") + F.col("size") >= n)).first()
+    by = [F.asc_nulls_last("_order"), *ties]
+    if cut is None:  # nothing is asked for, or all there is
+        found = ranked.limit(0) if n <= 0 else ranked
+    else:
+        inside = ranked.where(F.col("_bin") == cut["_bin"]).orderBy(*by).limit(n - cut["before"])
+        found = ranked.where(F.col("_bin") < cut["_bin"]).unionByName(inside)
+    return found.orderBy(*by).select(*df.columns)

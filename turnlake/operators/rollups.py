@@ -20,19 +20,28 @@ def _named(summary: DataFrame, keys: list[str], count: str, mean: str = "avg_suc
     )
 
 
-def daily_model_success(facts: DataFrame, models: DataFrame) -> DataFrame:
-    """(day, model) with `unknown` for facts without a model.
+def daily_counts(facts: DataFrame) -> DataFrame:
+    """Facts per (day, model_key, score): counts that add up over loads.
 
     A time key is the microsecond itself, so the day needs no join with the (fact-sized) time dimension.
     """
     dated = facts.where(F.col("time_key").isNotNull()).withColumn("day", F.to_date(F.timestamp_micros("time_key")))
-    counts = score_counts(dated, ["day", "model_key"])
+    return score_counts(dated, ["day", "model_key"])
+
+
+def daily_from_counts(counts: DataFrame, models: DataFrame) -> DataFrame:
+    """(day, model) with `unknown` for facts without a model, from `daily_counts`."""
     named = counts.join(models.select("model_key", "model_name"), "model_key", "left")
     named = named.withColumn("model_name", F.coalesce("model_name", F.lit("unknown")))
     keys = ["day", "model_name"]
     return _named(score_summary(named, keys), keys, "attempts")
 
 
+def daily_model_success(facts: DataFrame, models: DataFrame) -> DataFrame:
+    """(day, model) with `unknown` for facts without a model."""
+    return daily_from_counts(daily_counts(facts), models)
+
+
 def arena_model_performance(facts: DataFrame, models: DataFrame, sources: DataFrame) -> DataFrame:
     """Models over the arena sources only."""
     arena = sources.where(F.col("dataset_name").ilike("%arena%")).select("source_key")

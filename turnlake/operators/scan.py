@@ -43,11 +43,17 @@ def ranked(rows: DataFrame) -> DataFrame:
     return rows.join(_before(parts, ["n"]), "part").withColumn("rank", within + F.col("before_n")).drop("before_n")
 
 
-def running(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`laid` rows with `running_<column>`: the sum of the column over this row and all before it."""
+def running(rows: DataFrame, columns: Sequence[str], totals: bool = False) -> DataFrame:
+    """`laid` rows with `running_<column>`: the sum of the column over this row and all before it; with `totals`, also
+    `total_<column>` over all rows.
+    """
     parts = rows.groupBy("part").agg(*(F.sum(c).alias(c) for c in columns))
     here = W.partitionBy("part").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
-    sums = rows.withColumns({f"running_{c}": F.sum(c).over(here) for c in columns}).join(_before(parts, columns), "part")
+    before = _before(parts, columns)
+    if totals:
+        every = parts.withColumns({f"total_{c}": F.sum(c).over(W.partitionBy()) for c in columns}).drop(*columns)
+        before = F.broadcast(before.join(F.broadcast(every), "part"))
+    sums = rows.withColumns({f"running_{c}": F.sum(c).over(here) for c in columns}).join(before, "part")
     return sums.withColumns({f"running_{c}": F.col(f"running_{c}") + F.col(f"before_{c}") for c in columns}).drop(*(f"before_{c}" for c in columns))
 
 

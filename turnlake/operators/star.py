@@ -18,7 +18,7 @@ from turnlake import schemas
 from turnlake.functions.messages import winner_model
 from turnlake.functions.text import sha256
 from turnlake.functions.times import calendar
-from turnlake.operators.ordered import first_rows, hash_order
+from turnlake.operators.ordered import HASH_BITS, ORDER_BITS, first_rows, hash_order
 from turnlake.session import stored
 
 TASK_KEYS = ("task_type", "domain", "language", "programming_lang", "difficulty", "benchmark_id", "category")
@@ -304,5 +304,5 @@ def newest(facts: DataFrame, at: str, key: str, n: int = 100_000) -> DataFrame:
 
 def random_rows(df: DataFrame, key: str, n: int = 25_000, seed: int = 42) -> DataFrame:
     """A reproducible sample of exactly n rows (all, if there are fewer); `key` is unique."""
-    top = first_rows(df.select(key), hash_order(F.col(key), seed), [F.asc(key)], n)
+    top = first_rows(df.select(key), hash_order(F.col(key), seed), [F.asc(key)], n, ORDER_BITS - HASH_BITS)
     return df.join(top, key, "left_semi")

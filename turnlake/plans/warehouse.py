@@ -1,16 +1,21 @@
 """The persisted warehouse: one parquet folder per table, one partition per load.
 
 A load overwrites nothing but its own partitions (facts: one per day and load), so a replayed load leaves the same
-state behind, and it becomes visible with its row in `loads`, which is written last and numbers the loads in the order
-in which they finished; a replay keeps its number. Dimension rows of a load are the load's own distinct rows; reading
-a dimension merges the loads (the latest finished one wins for prompts and sources). `snapshot` stores the merged
-dimension and the list of loads in it, after which reading starts from it and only merges the loads not in that list.
-The same lists tell which loads a version of the rollups has counted.
+state behind. It becomes visible with its entry in the log, which is put there last, as a whole and only if no other load
+has that number: entries are numbered without gaps in the order in which loads finished, however many run at once, and a
+replay keeps its number. Dimension rows of a load are the load's own distinct rows; reading a dimension merges the loads
+(the latest finished one wins for prompts and sources). `snapshot` stores the merged dimension and the table of loads in
+it, after which reading starts from it and only merges the loads not in that table. The same tables tell which loads a
+version of the rollups has counted. Loads are always met by joins; no list of them passes through the driver.
+
+A load also counts its scores by day and model. Such counts add up, so the daily rollup, medians included, is brought up to
+date from counts alone.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -20,9 +25,12 @@ from pyspark.sql import functions as F
 from turnlake import schemas
 from turnlake.operators import rollups, star
 from turnlake.operators.quality import accepted, staged
+from turnlake.session import put_if_absent
 
 STAGES = {"prompt": ("stage_prompts", schemas.PROMPT_STAGE), "comparison": ("stage_comparisons", schemas.COMPARISON_STAGE)}
-LOADS = "target string, processed bigint, staged bigint, loaded bigint, rejected bigint, seq bigint"
+AUDIT = "target string, processed bigint, staged bigint, loaded bigint, rejected bigint"
+LOG = "seq bigint, load string"
+DAILY_COUNTS = "day date, model_key bigint, success_score double, weight bigint"
 FACTS = ("fact_promptexecution", "fact_model_comparison")
 KEYS = {
     "dim_prompt": "prompt_key",
@@ -70,21 +78,25 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], ddl)
 
+    def log(self) -> DataFrame:
+        """`seq, load` of the finished loads."""
+        try:
+            return self.spark.read.schema(LOG).json(f"{self.root}/log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], LOG)
+
     def loads(self) -> DataFrame:
         """The audit of all finished loads."""
-        return self._read("loads", f"{LOADS}, load string")
+        return self._read("loads", f"{AUDIT}, load string").join(self.log(), "load")
 
-    def _rows(self, name: str, among: list[str] | None = None) -> DataFrame:
-        """Rows of the finished (or of the given) loads of a table, with `load` and `seq` (facts: and `day`)."""
+    def _rows(self, name: str, among: DataFrame | None = None) -> DataFrame:
+        """Rows of the finished loads (or of those among the given ones) of a table, with `load` and `seq` (facts: and `day`)."""
         part = "day date, load string" if name in FACTS else "load string"
-        loads = self.loads().select("load", "seq")
-        if among is not None:
-            loads = loads.join(self._names(among), "load", "left_semi")
+        loads = self.log() if among is None else self.log().join(among, "load", "left_semi")
         return self._read(name, f"{schemas.WAREHOUSE[name]}, {part}").join(loads, "load")
 
-    def _names(self, loads: list[str]) -> DataFrame:
-        return self.spark.createDataFrame([(load,) for load in loads], "load string")
-
     # --- versions: derived tables that know which loads they cover ---------------------------------
 
     def _version(self, kind: str) -> str | None:
@@ -97,17 +109,20 @@ class Warehouse:
     def _covered(self, kind: str, version: str) -> DataFrame:
         return self._read(f"covered/{kind}", "load string, version string").where(F.col("version") == version).select("load")
 
-    def _publish(self, kind: str, version: str, names: list[str]) -> None:
-        """Make a stored version the current one: the last write of a refresh."""
-        self._names(names).coalesce(1).write.parquet(f"{self.root}/covered/{kind}/version={version}")
+    def _freeze(self, version: str) -> DataFrame | None:
+        """The loads finished by now, as a table that later loads don't change; None without any."""
+        path = f"{self.root}/covering/version={version}"
+        self.log().select("load").coalesce(1).write.parquet(path)
+        frozen = self.spark.read.schema("load string").parquet(path)
+        return None if frozen.isEmpty() else frozen
 
-    def _finished(self) -> list[str]:
-        """Names of the finished loads (one row of the audit each)."""
-        return sorted(row["load"] for row in self.loads().select("load").distinct().collect())
+    def _publish(self, kind: str, version: str, covered: DataFrame) -> None:
+        """Make a stored version the current one: the last write of a refresh."""
+        covered.coalesce(1).write.parquet(f"{self.root}/covered/{kind}/version={version}")
 
     # --- tables --------------------------------------------------------------------------------
 
-    def table(self, name: str, among: list[str] | None = None) -> DataFrame:
+    def table(self, name: str, among: DataFrame | None = None) -> DataFrame:
         """The current content of a dimension or fact table, or its content as of the given loads."""
         columns = schemas.names(schemas.WAREHOUSE[name])
         rows = self._rows(name, among)
@@ -127,8 +142,8 @@ class Warehouse:
         key = KEYS[name]
         if name not in LATEST_WINS:
             return rows.dropDuplicates([key]).select(*columns)
-        last = rows.groupBy(key).agg(F.max(F.struct("seq", "load")).alias("last")).select(key, "last.*")
-        return rows.join(last, [key, "seq", "load"], "left_semi").select(*columns)
+        last = rows.groupBy(key).agg(F.max("seq").alias("seq"))
+        return rows.join(last, [key, "seq"], "left_semi").select(*columns)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in schemas.WAREHOUSE}
@@ -137,14 +152,18 @@ class Warehouse:
         """Store the merged dimensions (all, if none is named) as of the loads finished by now; bounds what reading them
         merges. Loads that finish meanwhile are merged when read.
         """
-        covered = self._finished()
-        if not covered:
+        covered = self._freeze(self._new_version())
+        if covered is None:
             return
         for name in names or KEYS:
             version = self._new_version()
             self.table(name, covered).write.parquet(f"{self.root}/{name}_snapshots/version={version}")
             self._publish(name, version, covered)
 
+    def added(self, name: str) -> DataFrame:
+        """What each finished load has put into a dimension: its rows, with `load`."""
+        return self._rows(name).select("load", *schemas.names(schemas.WAREHOUSE[name]))
+
     # --- loading -----------------------------------------------------------------------------
 
     def load(self, records: DataFrame, kind: str, load: str, policy: str = "longest", arrival: tuple[str, ...] = ()) -> dict:
@@ -166,9 +185,10 @@ class Warehouse:
         self._write("dim_source", load, star.dim_source(rows))
         if kind == "prompt":
             self._write("dim_model", load, star.dim_model(rows))
-            self._write("dim_task", load, star.dim_task(rows))
+            self._write("dim_task", load, star.new_tasks(self._tasks_before(load), star.dim_task(rows)))
             self._write("dim_session", load, star.dim_session(rows))
             loaded = self._write_facts("fact_promptexecution", load, star.execution_facts(rows))
+            self._write("daily_counts", load, rollups.daily_counts(star.execution_facts(rows)))
         else:
             self._write("dim_model", load, star.dim_model_of_comparisons(rows))
             loaded = self._write_facts("fact_model_comparison", load, star.comparison_facts(rows))
@@ -182,14 +202,25 @@ class Warehouse:
             "loaded": loaded,
             "rejected": unusable + max(usable - loaded, 0),
         }
-        row = self.spark.createDataFrame([(*audit.values(), self._number(load))], LOADS)
-        self._write("loads", load, row)
+        self._write("loads", load, self.spark.createDataFrame([tuple(audit.values())], AUDIT))
+        self._commit(load)
         return audit
 
-    def _number(self, load: str) -> int:
-        """The place of a load among the finished ones; a replay keeps the one it has."""
+    def _tasks_before(self, load: str) -> DataFrame:
+        """The task dimension as the other finished loads have made it: a replay must not find its own tasks."""
+        others = self.log().where(F.col("load") != load).select("load")
+        return self._rows("dim_task", others).select(*schemas.names(schemas.WAREHOUSE["dim_task"]))
+
+    def _commit(self, load: str) -> int:
+        """Enter a load into the log and give its number: the next one that nobody has taken, or, of a replay, its own."""
         mine = F.max(F.when(F.col("load") == load, F.col("seq")))
-        return self.loads().agg(F.coalesce(mine, F.max("seq") + 1, F.lit(1))).first()[0]
+        known, last = self.log().agg(mine, F.coalesce(F.max("seq"), F.lit(0))).first()
+        seq = known
+        while seq is None:
+            last += 1
+            if put_if_absent(self.spark, f"{self.root}/log/{last:012d}.json", json.dumps({"seq": last, "load": load})):
+                seq = last
+        return seq
 
     def totals(self) -> DataFrame:
         """Rows processed, loaded and rejected per target."""
@@ -211,16 +242,25 @@ class Warehouse:
 
     def refresh_rollups(self) -> str | None:
         """Rebuild the five rollups over the loads finished by now as a new version; readers move on when it is whole."""
-        covered = self._finished()
-        if not covered:
-            return None
         version = self._new_version()
+        covered = self._freeze(version)
+        if covered is None:
+            return None
         tables = {name: self.table(name, covered) for name in schemas.WAREHOUSE}
-        for name, rollup in rollups.all_rollups(tables).items():
+        made = rollups.all_rollups(tables) | {"daily_counts": self._added_up(self._daily_counts(covered))}
+        for name, rollup in made.items():
             rollup.write.parquet(f"{self.root}/rollups/{name}/version={version}")
         self._publish("rollups", version, covered)
         return version
 
+    def _daily_counts(self, among: DataFrame | None = None) -> DataFrame:
+        loads = self.log() if among is None else self.log().join(among, "load", "left_semi")
+        return self._read("daily_counts", f"{DAILY_COUNTS}, load string").join(loads, "load")
+
+    @staticmethod
+    def _added_up(counts: DataFrame) -> DataFrame:
+        return counts.groupBy("day", "model_key", "success_score").agg(F.sum("weight").alias("weight"))
+
     def rollup(self, name: str) -> DataFrame:
         """The newest complete version of a rollup."""
         version = self._version("rollups")
@@ -229,17 +269,12 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.root}/rollups/{name}/version={version}")
 
     def current_daily(self) -> DataFrame:
-        """The daily rollup brought up to date: only days that loads outside the stored version touched are counted
-        anew (a median cannot be merged), the others are taken from that version.
+        """The daily rollup brought up to date: the counts of the stored version and of the loads that it doesn't cover are
+        added up, which gives exact medians. No fact is read.
         """
         version = self._version("rollups")
-        models = self.table("dim_model")
-        facts = self._rows("fact_promptexecution")
-        if version is None:
-            return rollups.daily_model_success(facts, models)
-        later = facts.join(self._covered("rollups", version), "load", "left_anti")
-        touched = later.where(F.col("day").isNotNull()).select("day").distinct()
-        # Facts lie in a folder per day: the semi join prunes the folders of days that nothing touched.
-        again = rollups.daily_model_success(facts.join(touched, "day", "left_semi").drop("day"), models)
-        stored = self.rollup("daily_model_success")
-        return stored.join(touched, "day", "left_anti").unionByName(again.select(*stored.columns))
+        counts = self._daily_counts()
+        if version is not None:
+            later = counts.join(self._covered("rollups", version), "load", "left_anti")
+            counts = self.rollup("daily_counts").unionByName(later.drop("load", "seq"))
+        return rollups.daily_from_counts(self._added_up(counts), self.table("dim_model"))

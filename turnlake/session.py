@@ -76,3 +76,33 @@ def stored_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataF
     seen = Observation()
     rows = stored(df.observe(seen, *(measure.alias(key) for key, measure in measures.items())), name)
     return rows, seen.get
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file as a whole, unless one is there already; of several writers at once, one succeeds.
+
+    The text goes to a file of another name first, which then takes the name: by a hard link on a local disk, elsewhere by
+    the store's rename, which refuses a name in use.
+    """
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    sink = store.create(draft, False)
+    try:
+        sink.write(text.encode())
+    finally:
+        sink.close()
+    if store.getScheme() == "file":
+        names = [store.makeQualified(p).toUri().getPath() for p in (draft, target)]
+        try:
+            os.link(*names)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            store.delete(draft, False)
+    if store.rename(draft, target):
+        return True
+    store.delete(draft, False)
+    return False
