@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -1613,6 +1614,20 @@ def cluster_profile(spark, folder):
     return models.cluster_profile(_clustered(spark, folder))
 
 
+@query(
+    S.with_(
+        _TRAINABLE,
+        """SELECT count(*) AS size, round(avg(prompt_length), 6) AS mean_prompt_length, round(avg(complexity_score), 6) AS mean_complexity,
+        round(avg(contains_code::INT), 6) AS has_code_ratio FROM placed""",
+    )
+)
+def cluster_profile_totals(spark, folder):
+    """The clusters' profiles, weighted by their sizes, are those of all rows."""
+    profile = models.cluster_profile(_clustered(spark, folder))
+    whole = {c: F.round(F.sum(F.col(c) * F.col("size")) / F.sum("size"), 6).alias(c) for c in ("mean_prompt_length", "mean_complexity", "has_code_ratio")}
+    return profile.agg(F.sum("size").alias("size"), *whole.values())
+
+
 @query()
 def cluster_quality(spark, folder):
     return models.cluster_quality(_clustered(spark, folder))
@@ -1647,6 +1662,16 @@ def complexity_clusters(spark, folder):
     return models.projection(model.transform(rows))
 
 
+@query(S.with_(S.PROMPTS, "SELECT count(*) AS points, 3 AS clusters, true AS centred, true AS first_axis_wider FROM prompts"))
+def projection_checks(spark, folder):
+    """What must hold for the plane of `complexity_clusters`: a point per row around the origin, the first axis the wider."""
+    plane = stored(complexity_clusters(spark, folder), "plane")
+    return plane.agg(
+        F.count("*").alias("points"), F.count_distinct("cluster").cast("int").alias("clusters"),
+        ((F.abs(F.avg("x")) < 1e-6) & (F.abs(F.avg("y")) < 1e-6)).alias("centred"), (F.stddev("x") >= F.stddev("y")).alias("first_axis_wider"),
+    )
+
+
 def _logistic(spark, folder):
     """Scored prompts with a split, and the success regression fitted on its training part."""
     scored = W.prompts(spark, folder).where(F.col("success_score").isNotNull())
@@ -1842,6 +1867,50 @@ def model_scores(spark, folder):
     return scoring.scored_requests(requests, forest).select("doc_id", "success_probability", "confidence_level")
 
 
+_REQUEST = "coalesce(nullif(CAST({0} AS DOUBLE), 0), {1})".format
+
+
+@query(
+    S.with_(
+        S.PROMPTS + f""",
+        requests AS (SELECT doc_id, prompt_length, {_REQUEST('token_estimate', 100)} AS token_estimate, {_REQUEST('complexity_score', 0.5)} AS complexity,
+          coalesce(contains_code::INT, 0) AS code FROM prompts),
+        answered AS (SELECT doc_id, least(greatest(prompt_length / 2000.0 + code / 4.0 - complexity / token_estimate, 0), 1) AS p FROM requests)""",
+        """SELECT doc_id, round(p, 9) AS success_probability, CASE WHEN p > 0.7 THEN 'high' WHEN p > 0.4 THEN 'medium' ELSE 'low' END
+        AS confidence_level FROM answered""",
+    )
+)
+def request_scores(spark, folder):
+    """Prompts as scoring requests to a model that SQL can repeat: defaults, limits and levels."""
+    requests = W.prompts(spark, folder).select(
+        "doc_id", "prompt_length", "token_count", "instruction_density", "complexity_score", "contains_code", "contains_examples", "contains_constraints"
+    )
+    model = SQLTransformer(
+        statement="SELECT *, prompt_length / 2000.0D + contains_code / 4.0D - complexity_score / token_estimate AS prediction FROM __THIS__"
+    )
+    return rounded(scoring.scored_requests(requests, model).select("doc_id", "success_probability", "confidence_level"), "success_probability")
+
+
+_NAMES = " ".join(f"WHEN {k} THEN {S.lit(v)}" for k, v in scoring.CLUSTER_NAMES.items())
+
+
+@query(
+    S.with_(
+        S.PROMPTS + ", placed AS (SELECT doc_id, CAST(CASE WHEN token_estimate < 50 THEN 0 WHEN token_estimate < 100 THEN 1 WHEN token_estimate < 400 THEN 2 "
+        "WHEN token_estimate < 1000 THEN 3 ELSE 9 END AS INTEGER) AS cluster_id FROM prompts)",
+        f"SELECT doc_id, cluster_id, CASE cluster_id {_NAMES} ELSE 'Unknown' END AS cluster_name FROM placed",
+    )
+)
+def named_clusters(spark, folder):
+    """Prompts assigned by a model that SQL can repeat, with the clusters' names."""
+    prompts = W.prompts(spark, folder).select("doc_id", "token_count")
+    model = SQLTransformer(
+        statement="SELECT *, CASE WHEN token_count < 50 THEN 0 WHEN token_count < 100 THEN 1 WHEN token_count < 400 THEN 2 "
+        "WHEN token_count < 1000 THEN 3 ELSE 9 END AS cluster FROM __THIS__"
+    )
+    return scoring.clustered(prompts, model).select("doc_id", "cluster_id", "cluster_name")
+
+
 @query()
 def cluster_assignment(spark, folder):
     """Prompts with their cluster and its name."""
@@ -1882,6 +1951,88 @@ def transform_counts(spark, folder):
     return run_transform(spark, _write_sources(spark, folder), new_folder(spark, "records"), run_ts=W.RUN_TS)
 
 
+@query(ORACLES["transform_counts"])
+def resumed_transform(spark, folder):
+    """A run with a row limit, one without that goes on from there, and one that finds everything done."""
+    from turnlake.plans.transform import run_transform
+
+    source, out = _write_sources(spark, folder), new_folder(spark, "records")
+    run_transform(spark, source, out, limit=20, run_ts=W.RUN_TS)
+    run_transform(spark, source, out, resume=True, run_ts=W.RUN_TS)
+    return run_transform(spark, source, out, resume=True, run_ts=W.RUN_TS)
+
+
+@query(
+    S.with_(
+        S.LIBRARY,
+        f"""SELECT conversation_id, turn_number, '{W.LIBRARY}' AS dataset_name, 'fixture' AS collection_method, 'test' AS version,
+        '2024-02-01T12:30:00.000' AS ingest_timestamp, '20240201T123000Z' AS batch_id FROM entries""",
+    )
+)
+def lineage(spark, folder):
+    """Where the records of the prompt library come from."""
+    events = adapters.library_events(W.library(spark, folder), W.RUN_TS, W.LIBRARY)
+    lined = with_lineage(events, W.RUN_TS, W.LIBRARY, "fixture", "test")
+    columns = ("conversation_id", "turn_number", "dataset_name", "collection_method", "version", "ingest_timestamp", "batch_id")
+    return as_text(lined.select(*columns), "ingest_timestamp")
+
+
+@query(S.with_(_LINE_SQL, "SELECT count(*) FILTER (WHERE prompt_ok) AS passed, true AS aborted FROM judged"))
+def strict_validation(spark, folder):
+    """The strict form: valid lines pass as a whole, and one invalid line among them ends the job."""
+    lines = _json_lines(spark, folder)
+    valid = quality.validated(lines).where("valid").select("value")
+    try:
+        quality.require_valid(lines).write.format("noop").mode("overwrite").save()
+        aborted = False
+    except SparkRuntimeException as error:
+        aborted = "invalid prompt record" in str(error)
+    return quality.require_valid(valid).agg(F.count("*").alias("passed")).withColumn("aborted", F.lit(aborted))
+
+
+@query(
+    S.with_(
+        S.PROMPTS,
+        """SELECT form, count(*) AS rows, CAST(sum(token_estimate) AS BIGINT) AS tokens, count(DISTINCT prompt_hash) AS prompts
+        FROM prompts, (VALUES ('csv'), ('json'), ('parquet')) AS f(form) GROUP BY 1""",
+    )
+)
+def result_sinks(spark, folder):
+    """The feature table written in three forms and read back."""
+    root, table = new_folder(spark, "results"), stored(W.prompts(spark, folder).select("doc_id", "prompt_hash", "token_estimate"), "features")
+    parts = []
+    for form in ("csv", "json", "parquet"):
+        records.write_result(table, f"{root}/{form}", form)
+        read = spark.read.schema(table.schema).option("header", "true").format(form).load(f"{root}/{form}")
+        sums = read.agg(F.count("*").alias("rows"), F.sum("token_estimate").alias("tokens"), F.count_distinct("prompt_hash").alias("prompts"))
+        parts.append(sums.select(F.lit(form).alias("form"), "rows", "tokens", "prompts"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 5")
+def first_documents(spark, folder):
+    """The first five rows of a table, as its profile shows them."""
+    docs = W.table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    return raw.first_rows(docs.orderBy("doc_id"))
+
+
+@query(
+    S.with_(
+        S.STAGE + "," + S._after_docs(S.COMPARISON_STAGE).replace(S._after_docs(S.BATTLES) + ",", ""),
+        """SELECT 'prompt' AS target, count(*) AS processed, count(*) AS loaded FROM stage
+        UNION ALL SELECT 'comparison', count(*), count(*) FILTER (WHERE model_a <> '' AND model_b <> '') FROM comparison_stage""",
+    )
+)
+def full_stream_load(spark, folder):
+    """Prompts and comparisons as streams, then merged dimensions and rollups: the totals of all micro-batches."""
+    source = new_folder(spark, "records")
+    records.write_records(_stage(spark, folder).repartition(3, "conversation_id"), f"{source}/p")
+    records.write_records(W.comparison_stage(spark, folder).repartition(2, "conversation_id"), f"{source}/c")
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    totals = streaming.load_all(spark, f"{source}/p", f"{source}/c", house, new_folder(spark, "checkpoint"), files_per_trigger=2)
+    return totals.select("target", "processed", "loaded")
+
+
 @query(
     S.with_(
         S.STAGE,

@@ -1,8 +1,10 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import values
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from turnlake.operators import evaluation, models, scoring, training
@@ -170,3 +172,42 @@ def test_category_values(spark, monkeypatch):
     monkeypatch.setattr(training, "MOST_VALUES", 3)
     with pytest.raises(ValueError):
         training.category_values(df)
+
+
+def test_restarts_share_passes_and_equal_plain_kmeans(spark):
+    """All restarts move like plain Lloyd rounds from the same centres; the cheapest wins; the fitted stage can be stored."""
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(c, 1.0, (60, 2)) for c in ((0, 0), (6, 1), (2, 7))])
+    points = spark.createDataFrame([(row.tolist(),) for row in x], "p array<double>").repartition(4)
+    first = models._first_centres(points, 3, 5)
+    centres, costs = models.lloyd(points, 3, 5)
+    for r in range(5):
+        c = first[r].copy()
+        for _ in range(20):
+            nearest = ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
+            c = np.array([x[nearest == j].mean(axis=0) if (nearest == j).any() else c[j] for j in range(3)])
+        assert np.allclose(centres[r], c, atol=1e-3)
+        assert costs[r] == pytest.approx(((x[:, None] - c) ** 2).sum(axis=2).min(axis=1).sum(), rel=1e-6)
+    calls, whole = [], models._assigned
+    df = spark.createDataFrame(x.tolist(), "a double, b double")
+    try:
+        models._assigned = lambda *args: calls.append(1) or whole(*args)
+        model = models.fit_clusters(df, ["a", "b"], k=3, components=None, restarts=20)
+    finally:
+        models._assigned = whole
+    assert len(calls) <= 21
+    assert {r["cluster"] for r in model.transform(df).select("cluster").collect()} == {0, 1, 2}
+
+
+def test_nearest_centre_is_stored_and_read(spark, tmp_path):
+    stage = models.NearestCentre([[0.0, 0.0], [5.0, 5.0]], "v", "c")
+    stage.save(f"{tmp_path}/stage")
+    read = models.NearestCentre.load(f"{tmp_path}/stage")
+    df = spark.createDataFrame([(Vectors.dense(1, 1),), (Vectors.dense(4, 9),)], ["v"])
+    assert [r["c"] for r in read.transform(df).collect()] == [0, 1] and np.allclose(read.clusterCenters(), [[0, 0], [5, 5]])
+
+
+def test_equal_points_need_no_more_clusters(spark):
+    df = spark.createDataFrame([(1.0, 2.0)] * 9 + [(3.0, 4.0)], "a double, b double")
+    model = models.fit_clusters(df, ["a", "b"], k=4, components=None, restarts=2)
+    assert model.transform(df).select("cluster").distinct().count() == 2

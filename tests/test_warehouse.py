@@ -207,6 +207,16 @@ def test_arrow_shards(spark, tmp_path):
         raw.read_rows(spark, str(tmp_path), "prompt_library", "xml")
 
 
+@pytest.mark.parametrize("form", ["parquet", "arrow"])
+def test_other_files_of_a_split_are_an_error(spark, tmp_path, form):
+    folder = tmp_path / "prompt_library" / "train"
+    folder.mkdir(parents=True)
+    (folder / "dataset_info.json").write_text("{}")
+    (folder / f"rows.{form}.gz").write_bytes(b"x")
+    with pytest.raises(ValueError, match=f"rows.{form}.gz"):
+        raw.read_rows(spark, str(tmp_path / "prompt_library"), "prompt_library", form)
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "r.jsonl").write_text('{"conversation_id": "c", "tokens": 3}\n\n{broken\n{"conversation_id": "d"}\n')
     rows = records.read_records(spark, str(tmp_path / "r.jsonl")).select("conversation_id", "tokens", "_corrupt_record").collect()

@@ -13,10 +13,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnlake.session import stored
+
 SCORE_BINS = 4096  # bins per unit of a score; scores lie in [0, 1]
 ORDER_BITS = 60  # bits of a hash order
 HASH_BITS = 12  # 4096 equally likely hash bins
-FEW_STRATA = 100
 
 
 def score_bin(score: Column) -> Column:
@@ -142,15 +143,10 @@ def with_split(
 
     Every stratum is cut at the rounded-up cumulative shares. Counts per hash bin (at most 4096 per stratum) name the
     bins that a cut goes through; only keys of those bins are ranked, which gives the first row of every part. The
-    table itself is then read once and compared with those rows in place.
+    table itself is then read once and compared with those rows in place. What is joined is stored first, so the
+    optimizer knows its size: a few strata are sent along with the rows, many are joined.
     """
     stratum = F.col(strata) if strata else F.lit(0)
-    few = strata is None or df.select(strata).distinct().limit(FEW_STRATA + 1).count() <= FEW_STRATA
-
-    def sent_along(small: DataFrame) -> DataFrame:
-        """At most 4096 rows per stratum: with few strata that is a bounded broadcast, otherwise an ordinary join."""
-        return F.broadcast(small) if few else small
-
     keys = df.select(stratum.alias("_stratum"), F.col(key).alias("_key"), hash_order(F.col(key), seed).alias("_hash"))
     keys = keys.withColumn("_bin", F.shiftright("_hash", ORDER_BITS - HASH_BITS))
     whole = Window.partitionBy("_stratum")
@@ -164,7 +160,7 @@ def with_split(
     sums = [sum(list(shares.values())[: i + 1]) for i in range(len(names) - 1)]
     cuts = [F.ceil(F.round(F.col("_total") * s, 6)) for s in sums]
     crossed = reduce(Column.__or__, [(F.col("_before") <= c) & (c < F.col("_before") + F.col("_size")) for c in cuts])
-    near = keys.join(sent_along(bins.where(crossed)), ["_stratum", "_bin"])
+    near = keys.join(stored(bins.where(crossed), "split-bins"), ["_stratum", "_bin"])
     in_bin = Window.partitionBy("_stratum", "_bin").orderBy("_hash", "_key")
     ranked = near.withColumn("_rank", F.col("_before") + F.row_number().over(in_bin) - 1)
     place = F.struct("_bin", "_hash", "_key")
@@ -174,7 +170,7 @@ def with_split(
 
     hashed = hash_order(F.col(key), seed)
     mine = F.struct(F.shiftright(hashed, ORDER_BITS - HASH_BITS).alias("_bin"), hashed.alias("_hash"), F.col(key).alias("_key"))
-    placed = df.withColumns({"_stratum": stratum, "_place": mine}).join(sent_along(firsts), "_stratum", "left")
+    placed = df.withColumns({"_stratum": stratum, "_place": mine}).join(stored(firsts, "split-cuts"), "_stratum", "left")
     split = F.when(F.col("_first0").isNull() | (F.col("_place") < F.col("_first0")), names[0])
     for i, name in enumerate(names[1:-1], start=1):
         split = split.when(F.col(f"_first{i}").isNull() | (F.col("_place") < F.col(f"_first{i}")), name)

@@ -77,12 +77,22 @@ FILES = {"parquet": "*.parquet", "json": "*", "arrow": "*.arrow"}
 METADATA = ("dataset_info.json", "state.json")
 
 
+def _nothing_else(spark: SparkSession, folder: str, ending: str) -> None:
+    """Raises if files of the folder neither end so nor are metadata: their rows would be lost."""
+    name = F.substring_index("path", "/", -1)
+    about = F.exists(F.split("path", "/"), lambda part: part.isin(*METADATA))
+    others = _files(spark, folder).where(~name.endswith(ending) & ~about).select(name.alias("name")).limit(5).collect()
+    if others:
+        raise ValueError(f"{folder} holds files that aren't *{ending}: {', '.join(sorted(row['name'] for row in others))}")
+
+
 def read_rows(
     spark: SparkSession, path: str, dataset: str, form: str = "parquet", limit: int | None = None
 ) -> DataFrame:
     """Raw rows of the `train` split of a dataset folder under its fixed schema. `form` is parquet, json (lines), or
     arrow (a dataset saved to disk as Arrow shards); the metadata files of the folder, such as `dataset_info.json`, are
-    left alone, and so are other splits. Only the first `limit` rows if one is given.
+    left alone, and so are other splits. Any other file of the split is an error, not a gap. Only the first `limit` rows
+    if one is given.
     """
     use_utc(spark)
     if form not in FILES:
@@ -90,6 +100,8 @@ def read_rows(
     ddl = adapter_for(dataset).raw_schema
     reader = spark.read.option("pathGlobFilter", FILES[form]).option("recursiveFileLookup", "true")
     train = f"{path.rstrip('/')}/train"
+    if FILES[form] != "*":
+        _nothing_else(spark, train, FILES[form].lstrip("*"))
     if form == "arrow":
         from pyspark.sql.pandas.types import to_arrow_schema
 
