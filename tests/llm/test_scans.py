@@ -66,42 +66,92 @@ def test_weak_parts_need_a_complement_nearby(spark, text, weak):
 def test_scans_of_null_ids_repeated_rows_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, "token=abcdef"), (None, "token=abcdef"), (1, "token=abcdef"), (1, "Released under the MIT License.")], "doc_id long, text string")
     assert sorted(r["n_assign"] for r in secret_scan.scanned(docs).collect()) == [0, 1, 1, 1]
-    assert sorted(r["n_passages"] for r in licenses.scanned(docs).collect()) == [0, 0, 0, 1]
+    assert sorted(r["n_licenses"] for r in licenses.scanned(docs).collect()) == [0, 0, 0, 1]
     assert secret_scan.scanned(no_docs(spark)).count() == licenses.scanned(no_docs(spark)).count() == 0
 
 
-def pairs(passage):
-    words = passage.split()
-    return set(zip(words, words[1:], strict=False))
-
-
-def brute_licenses(text):
-    normal = re.sub(r"[^A-Za-z0-9\n]+", " ", text or "").lower()
-    units = normal.split("\n") + [p for p in re.split(r"\n *\n[ \n]*", normal) if "\n" in p] + ([normal] if re.search(r"\n *\n", normal) else [])
-    found = []
-    for unit in units:
-        a, names = pairs(unit), set()
-        for name, template in licenses.TEMPLATES:
-            b = pairs(re.sub(r"[^A-Za-z0-9]+", " ", template).lower())
-            if a and 2 * len(a & b) / (len(a) + len(b)) >= 0.8:
-                found.append((-(2 * len(a & b) / (len(a) + len(b))), name))
-                names.add(name)
+def plain(text):
+    return re.sub(r"[^A-Za-z0-9]+", " ", text or "").lower().split()
+
+
+def brute_licenses(text, templates=licenses.TEMPLATES):
+    """Every window of at most 1.5 times a template's pairs, one by one."""
+    words, found = plain(text), []
+    pairs = list(zip(words, words[1:], strict=False))
+    for name, template in templates:
+        wanted = set(zip(plain(template), plain(template)[1:], strict=False))
+        best, held = 0, [i for i, pair in enumerate(pairs) if pair in wanted]
+        for i in held:
+            seen = set()
+            for j in range(i, min(len(pairs), i + int(1.5 * len(wanted) + 1e-9))):
+                seen.add(pairs[j])
+                if pairs[j] in wanted:
+                    best = max(best, 2 * len(seen & wanted) / (j - i + 1 + len(wanted)))
+        if best >= 0.8:
+            found.append((-best, name))
     best = min(found, default=None)
-    return ",".join(sorted({n for _, n in found})), best and best[1], best and -best[0]
+    return len({n for _, n in found}), ",".join(sorted({n for _, n in found})), best and best[1], best and -best[0]
 
 
-def test_licences_equal_brute_force(spark):
+def license_texts():
     pick = random.Random(12)
-    texts = [None, "", "the of and", "Released under the MIT license!", "é" * 9]
+    texts = [None, "", "the of and", "Released under the MIT license!", "é" * 9, "released under", "the the the the mit mit license"]
     for _, template in licenses.TEMPLATES:
         words = template.split()
-        for edits in (0, 1, 3, 8):
+        for edits in (0, 1, 3, 8, 20):
             changed = list(words)
             for _ in range(edits):
-                changed[pick.randrange(len(changed))] = "other"
-            texts.append("intro line\n" + " ".join(changed) + "\n\nmore text. " + "the license of this " * pick.randrange(4))
+                at = pick.randrange(len(changed))
+                changed[at : at + pick.randrange(2)] = ["other"] * pick.randrange(2)
+            texts.append("intro words " * pick.randrange(9) + " ".join(changed) + pick.choice([" more", "\n\nmore", ". See LICENSE."]) + " the license of this" * pick.randrange(4))
         texts.append("\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9)))
-    texts += texts[5:8] + ["the software is provided as is " * 9000 + "\nReleased under the MIT License."]
+        texts.append(" ".join(words) + " and " + " ".join(words))
+    return texts + texts[7:10] + ["the software is provided as is " * 9000 + "\nReleased under the MIT License."]
+
+
+def test_licences_equal_brute_force(spark):
+    texts = license_texts()
     found = rows_of(licenses.scanned(docs_of(spark, texts).withColumn("pair", F.lit(1)).withColumn("license", F.lit(2))))
     for i, text in enumerate(texts):
-        assert (found[i]["licenses"], found[i]["best_license"], found[i]["best_dice"]) == brute_licenses(text), text[:200]
+        row = found[i]
+        assert (row["n_licenses"], row["licenses"], row["best_license"], row["best_dice"]) == brute_licenses(text), (text or "")[:200]
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ("Licensed under the MIT License.", "MIT"),
+        ("Copyright 2020 The Authors. Licensed under the MIT License.", "MIT"),
+        ("As said before, this work of ours, dear reader, is licensed\nunder the MIT\tLicense; and we go on with other things.", "MIT"),
+        ("This software is released under the MIT License. See LICENSE for details.", "MIT"),
+        ("This file is licensed under the Apache License, Version 2.0. See LICENSE.", "Apache-2.0"),
+        ("x licensed under CC-BY-NC-4.0 y", "CC-BY-NC-4.0"),
+        ("It is under the license of the city.", None),
+    ],
+)
+def test_notices_anywhere_in_a_text(spark, text, name):
+    assert licenses.scanned(docs_of(spark, ["lorem ipsum " * 50 + text + " dolor" * 50])).first()["best_license"] == name
+
+
+def test_the_screen_loses_nothing(spark):
+    """Texts built of parts of the templates pass the screen whenever a window is like one."""
+    pick = random.Random(5)
+    pool = [w for _, t in licenses.TEMPLATES for w in t.split()]
+    texts = [t for t in license_texts() if t]
+    for _, template in licenses.TEMPLATES * 6:
+        words = template.split()
+        texts.append(" ".join(w for w in words if pick.random() > 0.15) + " " + " ".join(pick.choices(pool, k=5)))
+    passed = {r["text"] for r in docs_of(spark, texts).where(F.expr(licenses.screen_sql())).select("text").collect()}
+    for text in texts:
+        assert text in passed or not brute_licenses(text)[0], text
+
+
+def test_whole_licence_text_as_a_template(spark):
+    pick = random.Random(3)
+    body = " ".join(f"clause{pick.randrange(400)} {pick.choice(['shall', 'may', 'must'])}" for _ in range(700))
+    templates = (("Long-1.0", body), ("Plain", "the of and to in it"))
+    texts = ["preface " * 40 + body.replace("clause7", "Clause 7") + " signed", body[: len(body) // 2], "the of and to in it is"]
+    found = rows_of(licenses.scanned(docs_of(spark, texts), templates))
+    for i, text in enumerate(texts):
+        assert (found[i]["n_licenses"], found[i]["licenses"], found[i]["best_license"], found[i]["best_dice"]) == brute_licenses(text, templates)
+    assert found[0]["best_license"] == "Long-1.0" and found[1]["best_license"] is None and found[2]["best_license"] == "Plain"

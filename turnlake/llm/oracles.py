@@ -49,23 +49,24 @@ def secrets() -> str:
 def license_scan() -> str:
     """Ids are taken to be unique here."""
     values = ", ".join(f"({i}, '{name}', {_text(text)})" for i, (name, text) in enumerate(licenses.TEMPLATES))
-    normal = r"lower(regexp_replace(text, '[^A-Za-z0-9\n]+', ' ', 'g'))"
-    return rf"""
-        WITH raw AS (SELECT doc_id, {normal} AS text FROM documents),
-        units AS (SELECT doc_id, 'l' || i AS unit, l[i] AS t FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM raw))
-                  UNION ALL SELECT doc_id, 'p' || i, l[i] FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split_regex(text, '\n *\n[ \n]*') AS l FROM raw)) WHERE contains(l[i], chr(10))
-                  UNION ALL SELECT doc_id, 'w', text FROM raw WHERE regexp_matches(text, '\n *\n')),
-        words AS (SELECT doc_id, unit, list_filter(string_split_regex(t, '[ \n]+'), lambda w: w <> '') AS w FROM units),
-        pairs AS (SELECT DISTINCT doc_id, unit, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT doc_id, unit, w, unnest(range(1, len(w))) AS i FROM words)),
-        sized AS (SELECT *, count(*) OVER (PARTITION BY doc_id, unit) AS n FROM pairs),
-        notices AS (SELECT template, license, list_filter(string_split_regex({normal}, '[ \n]+'), lambda w: w <> '') AS w FROM (VALUES {values}) v(template, license, text)),
+    words = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda w: w <> '')"
+    least = licenses.LEAST
+    return f"""
+        WITH docs AS (SELECT doc_id, {words} AS w FROM documents),
+        notices AS (SELECT template, license, {words} AS w FROM (VALUES {values}) v(template, license, text)),
         known AS (SELECT DISTINCT template, license, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT *, unnest(range(1, len(w))) AS i FROM notices)),
         sizes AS (SELECT *, count(*) OVER (PARTITION BY template) AS m FROM known),
-        shared AS (SELECT doc_id, unit, license, template, 2 * count(*) / (n + m) AS dice FROM sized JOIN sizes USING (pair) GROUP BY doc_id, unit, license, template, n, m),
-        good AS (SELECT * FROM shared WHERE dice >= {licenses.LEAST}),
-        texts AS (SELECT doc_id, count(DISTINCT unit) AS n_passages, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best_dice FROM good GROUP BY doc_id),
+        pairs AS (SELECT doc_id, i AS place, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT *, unnest(range(1, len(w))) AS i FROM docs)),
+        places AS (SELECT * FROM pairs JOIN sizes USING (pair)),
+        enough AS (SELECT doc_id, template FROM places GROUP BY doc_id, template, m HAVING count(DISTINCT pair) >= {least} / (2 - {least}) * m),
+        near AS (SELECT *, lag(place) OVER (PARTITION BY doc_id, template, pair ORDER BY place) AS last FROM places SEMI JOIN enough USING (doc_id, template)),
+        windows AS (SELECT b.doc_id, b.template, b.license, a.place AS start, b.place, b.m, b.place - a.place + 1 AS n,
+                    sum((b.last IS NULL OR b.last < a.place)::INT) OVER (PARTITION BY a.doc_id, a.template, a.place ORDER BY b.place) AS shared
+                    FROM near a JOIN near b ON a.doc_id = b.doc_id AND a.template = b.template AND b.place >= a.place AND b.place < a.place + floor(b.m * (2 - {least}) / {least} + 1e-9)),
+        good AS (SELECT doc_id, template, license, max(2 * shared / (n + m)) AS dice FROM windows WHERE 2 * shared / (n + m) >= {least} GROUP BY ALL),
+        texts AS (SELECT doc_id, count(DISTINCT license) AS n_licenses, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best_dice FROM good GROUP BY doc_id),
         best AS (SELECT doc_id, min(license) AS best_license FROM good JOIN texts USING (doc_id) WHERE dice = best_dice GROUP BY doc_id)
-        SELECT doc_id, coalesce(n_passages, 0) AS n_passages, coalesce(licenses, '') AS licenses, best_license, best_dice
+        SELECT doc_id, coalesce(n_licenses, 0) AS n_licenses, coalesce(licenses, '') AS licenses, best_license, best_dice
         FROM documents LEFT JOIN texts USING (doc_id) LEFT JOIN best USING (doc_id)
     """
 
