@@ -66,3 +66,21 @@ def test_a_filter_that_misses_texts_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(op, "screened", lambda groups, snapshot, size: asked(groups, snapshot, size).where("digest % 2 = 0"))
     with pytest.raises(Exception, match="not in one snapshot but in [23]: text"):
         op.deduplicated(docs).collect()
+
+
+def test_texts_of_equal_digests_are_told_apart(spark, monkeypatch):
+    """Forged digests: the bytes decide, however many texts share a digest."""
+    pick, made = random.Random(6), op.digests
+
+    def forged(docs, *more):
+        low = F.when(F.length("text") > 2, F.lit(7)).otherwise(F.col("digest"))
+        kept = dict.fromkeys([*more, "text"])
+        found = made(docs.withColumn("text", F.coalesce("text", F.lit(""))), *kept).withColumn("digest", low)
+        alike = F.col("digest") == 7
+        found = found.withColumns({"text_sha256": F.when(alike, "00").otherwise(F.col("text_sha256")), "n_bytes": F.when(alike, 9).otherwise(F.col("n_bytes"))})
+        return found if "text" in more else found.drop("text")
+
+    texts = [pick.choice(["aaa", "bbbb", "cccc", "ddddd", "x", "", None]) for _ in range(200)] + ["once only"]
+    monkeypatch.setattr(op, "digests", forged)
+    found = sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in op.deduplicated(docs_of(spark, texts)).collect())
+    assert found == sorted(tuple(r[:4]) for r in brute(list(enumerate(texts))))

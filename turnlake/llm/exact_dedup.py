@@ -1,16 +1,19 @@
 """Exact deduplication of batches against immutable snapshots.
 
 Every batch is first grouped by itself. Its distinct texts are screened by the static binary-fuse filters of the earlier
-snapshots; only texts that pass a filter are joined with that snapshot's exact buckets, where the byte length and the
-256-bit digest of the bytes decide. Texts that are in no snapshot become the next snapshot, which is written once and
-never changed: repeats found later are kept as increments beside it.
+snapshots; only texts that pass a filter are joined with that snapshot's exact buckets, by byte length and 256-bit digest.
+Texts that are in no snapshot become the next snapshot, which is written once and never changed: repeats found later are kept
+as increments beside it. At last the bytes decide: every row of a group of several meets the text of the group's first row,
+and rows that differ from it form groups of their own, which are compared in the same way until none differs.
 
 A filter covers one bucket of digests (`BUCKET` keys on average), so filters are built and asked in many tasks, and no
-task or broadcast holds a whole snapshot. Texts are read once; only digests are shuffled.
+task or broadcast holds a whole snapshot. Digests are shuffled, and the texts of rows that have a partner: one join by row,
+one with the group's first text, in which a hot group is split like any skewed key.
 
 Null texts count as empty. Rows with the same id and the same text all carry the same result. Null ids count in
 `group_size`; a group of null ids only has a null `keep_id` and keeps those rows. Only `doc_id` and `text` are read, so
-other columns may have any name. An empty table gives no rows.
+other columns may have any name; the table must give its rows in the same order when read again, as files do. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -121,9 +124,10 @@ class Snapshot:
     bits: int
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, *more: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
+        *more,
         "doc_id",
         F.xxhash64(text).alias("digest"),
         F.sha2(text, 256).alias("text_sha256"),
@@ -195,7 +199,7 @@ def absorb(batch: DataFrame, snapshots: Iterable[Snapshot], name: str) -> tuple[
 
 
 def exact_duplicates(batch_list: list[DataFrame]) -> DataFrame:
-    """`doc_id, keep_id, group_size, kept, text_sha256` for every row of the batches, taken in order.
+    """`text_sha256, n_bytes, keep_id, group_size` of every distinct text of the batches, taken in order.
 
     Batches have the columns of `digests`. Of equal texts, the row with the largest id is kept. A text's total is its row in
     the one snapshot that holds it and its increments; a text in two snapshots, which a filter would have missed, or an
@@ -207,21 +211,54 @@ def exact_duplicates(batch_list: list[DataFrame]) -> DataFrame:
         snapshots.append(take_snapshot(new, f"dedup-{number}-snapshot"))
         if known is not None:
             increments = known if increments is None else increments.unionByName(known)
-    groups, rows = snapshots[0].groups, batch_list[0]
-    for snapshot, batch in zip(snapshots[1:], batch_list[1:], strict=True):
-        groups, rows = groups.unionByName(snapshot.groups), rows.unionByName(batch)
+    groups = snapshots[0].groups
+    for snapshot in snapshots[1:]:
+        groups = groups.unionByName(snapshot.groups)
     groups = groups.withColumn("held", F.lit(1))
     if increments is not None:
         groups = groups.unionByName(increments.withColumn("held", F.lit(0)))  # each text: its row in one snapshot and its increments
     wrong = F.raise_error(F.concat(F.lit("not in one snapshot but in "), F.sum("held").cast("string"), F.lit(": text "), F.col("text_sha256")))
     size = F.when(F.sum("held") == 1, F.sum("group_size")).otherwise(wrong.cast("bigint"))
-    totals = groups.groupBy("text_sha256", "n_bytes").agg(F.max("keep_id").alias("keep_id"), size.alias("group_size"))
-    return rows.join(totals, ["text_sha256", "n_bytes"]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+    return groups.groupBy("text_sha256", "n_bytes").agg(F.max("keep_id").alias("keep_id"), size.alias("group_size"))
+
+
+def byte_classes(docs: DataFrame, rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """`row, class` of the rows whose bytes differ from those of their group's first row: 1 for the first other text, 2 for
+    the next, and so on. `rows(row, text_sha256, n_bytes)` are the rows of `docs` by number.
+    """
+    several = stored(totals.where("group_size > 1").select("text_sha256", "n_bytes"), "dedup-several")
+    shared = rows.join(several, ["text_sha256", "n_bytes"], "left_semi").select("row", "text_sha256", "n_bytes")
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = digests(texts, "row", "text").select("row", "text", F.col("text_sha256").alias("now"))
+    moved = F.raise_error(F.lit("the table gave its rows in another order than before")).cast("string")
+    here = F.when(F.col("now") == F.col("text_sha256"), F.col("text")).otherwise(moved)
+    left = texts.join(stored(shared, "dedup-shared"), "row").select("row", "text_sha256", "n_bytes", here.alias("text"))
+    left, number, found, key = stored(left, "dedup-texts"), 0, None, ["text_sha256", "n_bytes"]
+    while True:
+        first = left.groupBy(*key).agg(F.min("row").alias("row")).select("row")
+        first = stored(left.join(first, "row").select(*key, F.col("text").alias("first")), "dedup-first")
+        left = stored(left.join(first, key).where("text <> first").drop("first"), "dedup-differs")
+        if left.isEmpty():
+            return rows.select("row", F.lit(0).alias("class")).where("false") if found is None else found
+        number += 1
+        # The rows that differ are of this class or a later one; later rounds overrule.
+        ranked = left.select("row", F.lit(number).alias("class"))
+        found = ranked if found is None else found.unionByName(ranked).groupBy("row").agg(F.max("class").alias("class"))
 
 
 def deduplicated(docs: DataFrame, arrivals: int = 3) -> DataFrame:
-    """A whole table, taken as `arrivals` batches by a hash of the id."""
-    rows = stored(digests(docs).withColumn("arrival", F.pmod(F.xxhash64("doc_id"), F.lit(arrivals))), "dedup-digests")
-    return exact_duplicates([rows.where(F.col("arrival") == i).drop("arrival") for i in range(arrivals)])
+    """`doc_id, keep_id, group_size, kept, text_sha256` for every row of a table, taken as `arrivals` batches by a hash of the id."""
+    rows = digests(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "row")
+    rows = stored(rows.withColumn("arrival", F.pmod(F.xxhash64("doc_id"), F.lit(arrivals))), "dedup-digests")
+    totals = stored(exact_duplicates([rows.where(F.col("arrival") == i).drop("arrival", "row") for i in range(arrivals)]), "dedup-totals")
+    key = ["text_sha256", "n_bytes"]
+    classes = stored(byte_classes(docs, rows, totals), "dedup-classes")
+    if not classes.isEmpty():  # other texts of the same length and digest: their groups are made anew
+        rows = stored(rows.join(classes, "row", "left").withColumn("class", F.coalesce("class", F.lit(0))), "dedup-classed")
+        torn = rows.where("class > 0").select(*key).distinct()
+        again = rows.join(torn, key, "left_semi").groupBy(*key, "class").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        whole = totals.join(torn, key, "left_anti").withColumn("class", F.lit(0))
+        totals, key = stored(whole.unionByName(again), "dedup-totals"), [*key, "class"]
+    return rows.join(totals, key).select(
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+    )
