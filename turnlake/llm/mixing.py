@@ -134,7 +134,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("digest"),
     ).withColumn("same", F.xxhash64("source", "doc_id", "digest"))
-    rows = laid(rows.withColumn("one", F.lit(1)), ["same", "row"], "mix-rows")
+    rows = laid(stored(rows, "mix-words").withColumn("one", F.lit(1)), ["same", "row"], "mix-rows")  # texts are read once
     return running_within(rows, "same", ["one"]).select("row", "doc_id", "source", "size", "digest", F.col("running_one").alias("twin"))
 
 
