@@ -47,7 +47,7 @@ _MARKS = frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 class Features:
     """Buckets of a text's distinct words and its shares; remembers the buckets of words."""
 
-    HELD = 500_000
+    HELD = 150_000
 
     def __init__(self) -> None:
         self.bucket: dict[bytes, int] = {}
@@ -176,7 +176,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal
     texts = docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id")  # `sample` ids at most
     texts = texts.withColumn("digest", F.xxhash64("text"))
     least = texts.groupBy("doc_id").agg(F.min("digest").alias("digest"))  # a row per id: `sample` rows at most
-    texts = texts.join(F.broadcast(least), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
+    texts = texts.join(F.broadcast(least), ["doc_id", "digest"])
     texts = texts.withColumn("place", F.xxhash64("doc_id", "digest"))
 
     def featured(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +202,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal
             yield record({"weights": pa.array([model.weights], pa.list_(pa.float64())), "thresholds": pa.array([model.thresholds], pa.list_(pa.float64()))})
 
     read = texts.select("text", "grade", "place").mapInArrow(featured, "words array<int>, shares array<double>, grade int, place bigint")
+    read = read.dropDuplicates(["place"])  # rows that are equal in id and text
     found = read.repartition(1).sortWithinPartitions("place").mapInArrow(fitted, "weights array<double>, thresholds array<double>").first()
     if found is None:
         return Ordinal(np.zeros(BUCKETS + SHARES), np.full(GRADES - 1, -50.0))
