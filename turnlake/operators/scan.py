@@ -57,44 +57,41 @@ def running(rows: DataFrame, columns: Sequence[str], totals: bool = False) -> Da
     return sums.withColumns({f"running_{c}": F.col(f"running_{c}") + F.col(f"before_{c}") for c in columns}).drop(*(f"before_{c}" for c in columns))
 
 
-def _edges(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per partition its `first` and its `last` row (structs of the columns); one row per partition."""
-    ends = F.broadcast(rows.groupBy("part").agg(F.min("place").alias("least"), F.max("place").alias("most")))
-    edge = F.struct(*columns)
-    found = rows.join(ends, "part").where("place = least or place = most")
-    at = [F.max(F.when(F.col("place") == F.col(c), edge)).alias(name) for c, name in (("least", "first"), ("most", "last"))]
-    return found.groupBy("part").agg(*at)
+def walked(rows: DataFrame, key: str, ahead: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """`laid` rows (ordered by the key first) with what one walk along them tells: `next_<column>` of the row after for the
+    columns `ahead` (NULL on the last row of all), the measures, which may use those, and `running_<measure>`, sums that
+    start anew at every key. For narrow columns.
 
-
-def following(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`laid` rows with `next_<column>` of the row after; NULL on the last row of all. For narrow columns."""
-    after = _edges(rows, columns).select("part", F.lead("first").over(W.orderBy("part")).alias("after"))
-    found = F.coalesce(F.lead(F.struct(*columns)).over(W.partitionBy("part").orderBy("place")), F.col("after"))
-    joined = rows.join(F.broadcast(after), "part").withColumn("after", found)
-    return joined.withColumns({f"next_{c}": F.col("after")[c] for c in columns}).drop("after")
-
-
-def running_within(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """`laid` rows (ordered by the key first) with `running_<column>`: sums that start anew at every key.
-
-    The rows are read a few times: give a stored table. In a partition the sum before the key's first row is taken off;
-    what the key that a partition begins with has in earlier partitions comes from the summary table.
+    In a partition the sum before the key's first row is taken off. The first and last rows of the partitions, one of each,
+    tell what comes after a partition and what its first key has in earlier ones.
     """
-    here = W.partitionBy("part").orderBy("place")
+    here, in_order = W.partitionBy("part").orderBy("place"), W.orderBy("part")
     upto = here.rowsBetween(W.unboundedPreceding, 0)
+    firsts = rows.where(F.col("place") == F.shiftleft(F.col("part").cast("long"), _ROWS))
+    if ahead:
+        after = firsts.select("part", F.lead(F.struct(*ahead)).over(in_order).alias("after_part"))
+        rows = rows.withColumn("after", F.lead(F.struct(*ahead)).over(here)).join(F.broadcast(after), "part")
+        found = F.coalesce("after", "after_part")
+        rows = rows.withColumns({f"next_{c}": found[c] for c in ahead}).drop("after", "after_part")
+    names = list(measures)
+    rows = rows.withColumns(measures)
     begins = F.lag("place").over(here).isNull() | ~F.col(key).eqNullSafe(F.lag(key).over(here))
-    sums = rows.withColumns({"begins": begins} | {f"running_{c}": F.sum(c).over(upto) for c in columns})
-    base = {c: F.last(F.when(F.col("begins"), F.col(f"running_{c}") - F.col(c)), ignorenulls=True).over(upto) for c in columns}
-    sums = sums.withColumns({f"running_{c}": F.col(f"running_{c}") - base[c] for c in columns}).drop("begins")
-
-    ends = _edges(rows, [key]).select("part", F.col("first")[key].alias("first_key"), F.col("last")[key].alias("last_key"))
-    last = rows.join(F.broadcast(ends.select("part", "last_key")), "part").where(F.col(key).eqNullSafe(F.col("last_key")))
-    tails = last.groupBy("part").agg(*(F.sum(c).alias(f"tail_{c}") for c in columns))
-    in_order, same_key = W.orderBy("part"), W.partitionBy("last_key").orderBy("part").rowsBetween(W.unboundedPreceding, 0)
-    chain = ends.join(F.broadcast(tails), "part").withColumns({f"tail_{c}": F.sum(f"tail_{c}").over(same_key) for c in columns})
+    sums = {f"running_{c}": F.sum(c).over(upto) for c in names}
+    rows = rows.withColumns({"begins": begins, "ends": F.lead("place").over(here).isNull()} | sums)
+    base = {c: F.last(F.when(F.col("begins"), F.col(f"running_{c}") - F.col(c)), ignorenulls=True).over(upto) for c in names}
+    rows = rows.withColumns({f"running_{c}": F.col(f"running_{c}") - base[c] for c in names}).drop("begins")
+
+    chain = rows.where("ends").select("part", F.col(key).alias("last_key"), *(F.col(f"running_{c}").alias(f"tail_{c}") for c in names))
+    chain = chain.join(F.broadcast(firsts.select("part", F.col(key).alias("first_key"))), "part")
+    same_key = W.partitionBy("last_key").orderBy("part").rowsBetween(W.unboundedPreceding, 0)
+    chain = chain.withColumns({f"tail_{c}": F.sum(f"tail_{c}").over(same_key) for c in names})
     goes_on = F.lag("part").over(in_order).isNotNull() & F.col("first_key").eqNullSafe(F.lag("last_key").over(in_order))
-    carried = chain.select("part", "first_key", *(F.when(goes_on, F.lag(f"tail_{c}").over(in_order)).alias(f"carried_{c}") for c in columns))
+    carried = chain.select("part", "first_key", *(F.when(goes_on, F.lag(f"tail_{c}").over(in_order)).alias(f"carried_{c}") for c in names))
     begun = F.col(key).eqNullSafe(F.col("first_key"))
-    sums = sums.join(F.broadcast(carried), "part")
-    total = {f"running_{c}": F.col(f"running_{c}") + F.when(begun, F.coalesce(f"carried_{c}", F.lit(0))).otherwise(0) for c in columns}
-    return sums.withColumns(total).drop("first_key", *(f"carried_{c}" for c in columns))
+    total = {f"running_{c}": F.col(f"running_{c}") + F.when(begun, F.coalesce(f"carried_{c}", F.lit(0))).otherwise(0) for c in names}
+    return rows.drop("ends").join(F.broadcast(carried), "part").withColumns(total).drop("first_key", *(f"carried_{c}" for c in names))
+
+
+def running_within(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """`laid` rows (ordered by the key first) with `running_<column>`: sums that start anew at every key."""
+    return walked(rows, key, [], {c: F.col(c) for c in columns})

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from turnlake.functions.messages import body_sql, side_sql
 from turnlake.operators import scan
-from turnlake.session import stored
 
 PLACE = ["conversation_id", "turn"]
 
@@ -39,12 +38,13 @@ def turn_pairs(messages: DataFrame) -> DataFrame:
     rows = scan.laid(texts.select(*PLACE, "side", (F.col("body") != "").alias("filled")), PLACE, "turns")
     asked = (F.col("side") == "user") & F.col("filled")
     answered = F.col("next_conversation_id").eqNullSafe(F.col("conversation_id")) & (F.col("next_side") == "assistant")
-    pairs = scan.following(rows, [*PLACE, "side"]).where(asked & answered).select(*PLACE, "next_turn", "part", "place", F.lit(1).alias("n"))
-    numbered = scan.running_within(stored(pairs, "turn-pairs"), "conversation_id", ["n"])
+    pair = F.coalesce(asked & answered, F.lit(False)).cast("int")
+    numbered = scan.walked(rows, "conversation_id", [*PLACE, "side"], {"pair": pair}).where("pair = 1")
+    numbered = numbered.select(*PLACE, "next_turn", "running_pair")
     prompts = texts.where((F.col("side") == "user") & (F.col("body") != "")).select(*PLACE, F.col("body").alias("prompt_text"))
     replies = texts.where(F.col("side") == "assistant").select(*PLACE, F.nullif(F.col("body"), F.lit("")).alias("response_text"))
     return _with_text(_with_text(numbered, prompts), replies, "next_turn").select(
-        "conversation_id", F.col("running_n").cast("int").alias("turn_number"), "prompt_text", "response_text"
+        "conversation_id", F.col("running_pair").cast("int").alias("turn_number"), "prompt_text", "response_text"
     )
 
 

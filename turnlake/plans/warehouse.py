@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -180,18 +181,26 @@ class Warehouse:
         accepted(stage).write.mode("overwrite").parquet(f"{self.root}/{folder}/load={load}")
         rows = self.spark.read.schema(ddl).parquet(f"{self.root}/{folder}/load={load}")
 
-        self._write("dim_prompt", load, star.dim_prompt(rows, policy, arrival, at_rest=True))
-        self._write("dim_time", load, star.dim_time(rows))
-        self._write("dim_source", load, star.dim_source(rows))
+        tables = {
+            "dim_prompt": lambda: star.dim_prompt(rows, policy, arrival, at_rest=True),
+            "dim_time": lambda: star.dim_time(rows),
+            "dim_source": lambda: star.dim_source(rows),
+        }
         if kind == "prompt":
-            self._write("dim_model", load, star.dim_model(rows))
-            self._write("dim_task", load, star.new_tasks(self._tasks_before(load), star.dim_task(rows)))
-            self._write("dim_session", load, star.dim_session(rows))
-            loaded = self._write_facts("fact_promptexecution", load, star.execution_facts(rows))
-            self._write("daily_counts", load, rollups.daily_counts(star.execution_facts(rows)))
+            fact, facts = "fact_promptexecution", star.execution_facts(rows)
+            tables["dim_model"] = lambda: star.dim_model(rows)
+            tables["dim_task"] = lambda: star.new_tasks(self._tasks_before(load), star.dim_task(rows))
+            tables["dim_session"] = lambda: star.dim_session(rows)
+            tables["daily_counts"] = lambda: rollups.daily_counts(facts)
         else:
-            self._write("dim_model", load, star.dim_model_of_comparisons(rows))
-            loaded = self._write_facts("fact_model_comparison", load, star.comparison_facts(rows))
+            fact, facts = "fact_model_comparison", star.comparison_facts(rows)
+            tables["dim_model"] = lambda: star.dim_model_of_comparisons(rows)
+        # The tables don't depend on each other: their jobs share the cluster.
+        with ThreadPoolExecutor(len(tables) + 1) as pool:
+            written = [pool.submit(lambda name=name, made=made: self._write(name, load, made())) for name, made in tables.items()]
+            loaded = pool.submit(self._write_facts, fact, load, facts).result()
+            for one in written:
+                one.result()
 
         processed, unusable = seen.get["processed"], seen.get["unusable"]
         usable = processed - unusable
