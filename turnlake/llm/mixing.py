@@ -7,8 +7,9 @@ of a node among its children by multivariate-hypergeometric draws, level by leve
 every source and the shares add up exactly. A shard then draws its own, disjoint run of each source's permuted draws and
 shuffles the documents inside itself.
 
-The tree and the block table are small (shards x sources, at most `BLOCKS` rows a source) and are made by Spark tasks
-over bounded groups; documents are only joined with their block's draws, so no text is shuffled before the mix itself.
+The tree's nodes and the block table are small (shards x sources, at most `BLOCKS` rows a source). What runs along a source
+(permuted blocks, draws, runs of draws) is laid out over range partitions and scanned, so a hot source is no hot task;
+documents are only joined with their block's draws, so no text is shuffled before the mix itself.
 
 All randomness comes from hashes of `seed`, so reruns agree. Null texts have no words; they and other texts without
 words are dealt like any document and take no words. The null source is a source of its own and comes last. Rows that are
@@ -150,40 +151,42 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: in
     blocks = documents.groupBy("source_no", "block").agg(
         F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target")
     )
-    # At most BLOCKS rows in each of these windows.
-    permuted = W.partitionBy("source_no").orderBy(_order("source_no", "block", seed=seed + 1), "block")
-    whole = W.partitionBy("source_no")
-    blocks = blocks.withColumn("place", F.row_number().over(permuted).cast("long") - 1).withColumn("upto", F.sum("words").over(permuted.rowsBetween(W.unboundedPreceding, 0)))
+    order = ["source_no", _order("source_no", "block", seed=seed + 1), "block"]  # a permutation of each source's blocks
+    blocks = running_within(laid(blocks.withColumn("one", F.lit(1)), order, "mix-permuted"), "source_no", ["one", "words"])
+    blocks = blocks.withColumnsRenamed({"running_words": "upto"}).withColumn("place", F.col("running_one").cast("long") - 1)
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     blocks = blocks.withColumn("rounds", rounds).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
     # A block belongs to the prefix when taking it too comes nearer the rest of the target than stopping before it.
     nearer = F.col("upto") - F.col("words") / 2 <= F.col("rest")
     blocks = blocks.withColumn("more", ((F.col("rest") > 0) & nearer & (F.col("words") > 0)).cast("long"))
-    blocks = blocks.withColumn("n_blocks", F.count(F.lit(1)).over(whole)).withColumn("quota", F.sum(F.col("rounds") + F.col("more")).over(whole))
-    blocks = stored(blocks.select("source_no", "block", "place", "words", "rounds", "more", "n_blocks", "quota"), "mix-blocks")
-    quotas = blocks.select("source_no", "quota").distinct().where("quota > 0")
+    blocks = stored(blocks.select("source_no", "block", "place", "words", "rounds", "more"), "mix-blocks")
+    quotas = blocks.groupBy("source_no").agg(F.sum(F.col("rounds") + F.col("more")).alias("quota")).where("quota > 0")
     total, words = blocks.agg(F.sum(F.col("rounds") + F.col("more")), F.sum((F.col("rounds") + F.col("more")) * F.col("words"))).first()
     shards = max(1, -(-int(words or 0) // shard_words))
     shares = splitting_tree(quotas, int(total or 0), shards, seed) if total else quotas.select(F.lit(0).cast("long").alias("shard"), "source_no", "quota")
-    # Draw t of a source is round t div n_blocks, place t mod n_blocks, in the order round, place; a prefix comes last.
-    ends = F.sum("quota").over(W.partitionBy("source_no").orderBy("shard"))
-    runs = shares.withColumn("end", ends).withColumn("begin", F.col("end") - F.col("quota")).select("source_no", "shard", "begin", "end")
+    # A source's draws are in the order of round and place; the prefix comes last and has no gaps but for blocks without
+    # words, which take no draw.
     draws = blocks.where("rounds + more > 0").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rounds") + F.col("more") - 1)))
-    # The prefix has no gaps but for blocks without words, which take no draw.
-    in_round = W.partitionBy("source_no").orderBy("copy", "place")
-    draws = draws.withColumn("draw", F.row_number().over(in_round).cast("long") - 1).select("source_no", "block", "copy", "draw")
-    draws = _within(draws, runs)
+    draws = laid(draws.select("source_no", "copy", "place", "block", F.lit(1).alias("one")), ["source_no", "copy", "place"], "mix-rounds")
+    draws = running_within(draws, "source_no", ["one"]).withColumn("draw", F.col("running_one").cast("long") - 1)
+    draws = _within(draws.select("source_no", "block", "copy", "draw"), shares)
     return Plan(documents, stored(draws, "mix-draws"), shards)
 
 
-def _within(draws: DataFrame, runs: DataFrame) -> DataFrame:
-    """The shard in whose run a draw lies: both are laid on one line per source and the last run begun is carried on."""
-    line = W.partitionBy("source_no").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
+def _within(draws: DataFrame, shares: DataFrame) -> DataFrame:
+    """`source_no, block, copy, shard` of draws: a source's shards take runs of its draws one after another (`shares`).
+
+    The beginnings of runs are laid among the draws; how many a draw has before it is the number of its run.
+    """
+    runs = laid(shares.withColumn("one", F.lit(1)), ["source_no", "shard"], "mix-runs")
+    runs = running_within(runs, "source_no", ["one", "quota"])
+    runs = stored(runs.select("source_no", "shard", (F.col("running_quota") - F.col("quota")).alias("at"), F.col("running_one").alias("run")), "mix-begun")
     none = F.lit(None).cast("long")
-    marks = runs.select("source_no", F.col("begin").alias("at"), F.lit(0).alias("kind"), "shard", none.alias("block"), none.alias("copy"))
-    points = draws.select("source_no", F.col("draw").alias("at"), F.lit(1).alias("kind"), none.alias("shard"), "block", "copy")
-    laid = marks.unionByName(points).withColumn("shard", F.last("shard", ignorenulls=True).over(line))
-    return laid.where("kind = 1").select("source_no", "block", "copy", "shard")
+    marks = runs.select("source_no", "at", F.lit(1).alias("mark"), none.alias("block"), none.alias("copy"))
+    points = draws.select("source_no", F.col("draw").alias("at"), F.lit(0).alias("mark"), "block", "copy")
+    line = laid(marks.unionByName(points), ["source_no", "at", F.desc("mark")], "mix-line")
+    found = running_within(line, "source_no", ["mark"]).where("mark = 0").withColumn("run", F.col("running_mark"))
+    return found.select("source_no", "block", "copy", "run").join(runs.select("source_no", "run", "shard"), ["source_no", "run"]).select("source_no", "block", "copy", "shard")
 
 
 def taken(plan: Plan) -> DataFrame:
