@@ -83,6 +83,14 @@ def _distinct_pairs(text: str) -> set[tuple[str, str]]:
     return set(zip(words, words[1:], strict=False))
 
 
+def _balanced(parts: list[str], operator: str) -> str:
+    """The parts under one operator, nested by halves: a long chain would be too deep to parse."""
+    if len(parts) < 2:
+        return "".join(parts)
+    half = len(parts) // 2
+    return f"({_balanced(parts[:half], operator)} {operator} {_balanced(parts[half:], operator)})"
+
+
 def screen_sql(texts=TEMPLATES, least: float = LEAST) -> str:
     """SQL that holds for every text with a window like a template; most others fail it.
 
@@ -103,13 +111,13 @@ def screen_sql(texts=TEMPLATES, least: float = LEAST) -> str:
                 break
             chosen.add(word)
         known = [sorted(tested.index(w) for w in set(pair) & set(tested)) for pair in sorted(pairs)]
-        both = " + ".join(f"IF({' AND '.join(f'p[{i}]' for i in places) or 'true'}, 1, 0)" for places in known)
-        tests.append(f"{both or '0'} >= {ratio * len(pairs) - 1e-9}")
+        both = _balanced([f"IF({' AND '.join(f'p[{i}]' for i in places) or 'true'}, 1, 0)" for places in known], "+") or "0"
+        tests.append(f"{both} >= {ratio * len(pairs) - 1e-9}")
     if any(sum(x in chosen or y in chosen for x, y in _distinct_pairs(t)) <= (1 - ratio) * len(_distinct_pairs(t)) + 1e-9 for _, t in texts):
         chosen = set()  # a template of common words only: no first test
-    first = " OR ".join(map(there, sorted(chosen))) or "true"
-    enough = f"get(transform(array(array({', '.join(map(there, tested))})), p -> {' OR '.join(tests)}), 0)" if texts else "false"
-    return f"get(transform(array(lower(text)), t -> ({first}) AND {enough}), 0)"
+    first = _balanced(list(map(there, sorted(chosen))), "OR") or "true"
+    enough = f"get(transform(array(array({', '.join(map(there, tested))})), p -> {_balanced(tests, 'OR')}), 0)" if texts else "false"
+    return f"get(transform(array(lower(text)), t -> {first} AND {enough}), 0)"
 
 
 def occurrences(docs: DataFrame, known: DataFrame, texts=TEMPLATES, least: float = LEAST) -> DataFrame:
