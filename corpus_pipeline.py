@@ -1,4 +1,12 @@
-"""A corpus run from raw documents to token files: every stage works on all that the stage before kept."""
+"""A corpus run from raw documents to token files: every stage works on all that the stage before kept.
+
+Documents may have null or repeated ids, null or empty texts of any length, any further columns, or be none at all. A null
+text counts as empty; without two grades among the ratings no document is rejected; of documents whose fingerprints are
+linked (texts without words among them) one row stays, by the smallest id, null ids last, then by text; texts without words
+are never contaminated and take no words of the mixture. Rows that are equal in id and text are one document to
+the near-duplicate stage, so every document left is a row of its own from there on. Each stage but the last keeps the columns
+of the documents; the last gives a row for each document of the mixture, repeats included.
+"""
 
 from __future__ import annotations
 

@@ -42,3 +42,34 @@ def test_every_stage_works_on_what_the_one_before_kept(spark):
         ids = [*tokenizer.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1]
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_awkward_documents_go_through_every_stage(spark, tmp_path, n):
+    """Null and repeated ids, null, empty and long texts, repeated rows, columns with clashing names; and an empty table."""
+    rows = [
+        (None, "no id at all here"), (None, "no id at all here"), (None, "another text without an id"), (None, None), (1, None), (2, ""), (3, " \n"),
+        (4, "some plain words of a text"), (4, "some plain words of a text"), (4, "other words under the same id"), (5, "word " * 40_000), (6, "é" * 3000), (7, "short"),
+    ]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, block string, row string, shard string"
+    docs = spark.createDataFrame([(i, t, "en", ["a", None, "b"][k % 3], 1, "x", "y", "z") for k, (i, t) in enumerate(rows * n)], columns)
+    folder = str(tmp_path)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(7, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "some benchmark item"), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    kept = spark.read.parquet(f"{folder}/documents.parquet")
+    counts = []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, kept, folder)
+        assert name == corpus_pipeline.STAGES[-1][0] or out.columns == docs.columns
+        out.write.parquet(f"{folder}/{k}")
+        kept = spark.read.parquet(f"{folder}/{k}")
+        counts.append(kept.count())
+    assert counts[0] == len(rows) * n
+    if n:
+        dedup = spark.read.parquet(f"{folder}/1").select("doc_id", "text").collect()
+        assert len(dedup) == len(set(dedup)) and {(4, "some plain words of a text"), (None, "no id at all here"), (7, "short")} <= {tuple(r) for r in dedup}
+        assert counts[2] == counts[1] and counts[4] == counts[3] > 0
+    else:
+        assert counts == [0] * 5
+    assert corpus_pipeline.run(spark, folder).count() == counts[-1]

@@ -10,8 +10,8 @@ bits that all their members share; runs of nodes form upper nodes. A pair of nod
 more than the limit is dropped with everything below it. Leaves give links that span their components, not all pairs.
 
 A text without words has the fingerprint zero and is linked like any other. Null texts count as empty; rows with a null
-id are linked, but their `component_id` is null if no linked row has an id. Repeated rows give repeated results. Only
-`doc_id` and `text` are read.
+id are linked, but their `component_id` is null if no linked row has an id. Repeated rows give repeated results. Texts of
+any length are read whole, and an empty table gives no rows. Only `doc_id` and `text` are read.
 """
 
 from __future__ import annotations
