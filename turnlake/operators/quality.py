@@ -11,7 +11,9 @@ from turnlake import schemas
 from turnlake.functions.text import clean_label, clean_payload, sha256, strip
 from turnlake.functions.times import contract_timestamp, iso_timestamp, utc_timestamp
 
+# The fields of the event contract.
 CONTRACT_FIELDS = ("prompt_text", "task_type", "model", "timestamp", "tokens", "success_score")
+# The text columns of the stages that are labels, not payloads.
 LABEL_FIELDS = (
     "conversation_id", "prompt_type", "language", "type", "quality_label", "task_type", "domain",
     "programming_lang", "difficulty", "benchmark_id", "task_category", "session_id", "dataset_name",

@@ -70,6 +70,7 @@ def scoring_features(df: DataFrame, text: str = "prompt_text") -> DataFrame:
     return with_average.withColumns(columns)
 
 
+# The columns the scorer feeds its models, in their order.
 SCORING_COLUMNS = (
     "prompt_length", "instruction_density", "complexity_score", "tokens_used", "latency_ms", "attempt_count",
     "prompt_word_count", "avg_word_length", "question_marks", "code_blocks", "list_items", "capital_ratio",

@@ -9,6 +9,7 @@ from turnlake.functions.text import normalize, word_count
 from turnlake.operators.ordered import exact_quantiles, with_split
 from turnlake.session import stored
 
+# Defaults, imputed columns, categories and numbers of the training set, in their order.
 DEFAULT_LATENCY, DEFAULT_TOKENS = 100.0, 10
 IMPUTED = ("prompt_length", "token_count", "instruction_density")
 CATEGORIES = ("language", "prompt_type", "contains_code", "contains_examples", "contains_constraints")
