@@ -115,14 +115,23 @@ def cumulative_link(score: np.ndarray, thresholds: np.ndarray, grades: np.ndarra
     return float(-np.log(chance).mean()), (slope_high - slope_low) / n, by_threshold
 
 
+def _summed(to: np.ndarray, of: np.ndarray, values: np.ndarray, size: int, step: int = 1 << 20) -> np.ndarray:
+    """Sums of `values[of]` by `to`, a piece at a time: the list of words present is long, its values need not all be there."""
+    out = np.zeros(size)
+    for at in range(0, len(to), step):
+        out += np.bincount(to[at : at + step], values[of[at : at + step]], size)
+    return out
+
+
 def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.ndarray) -> Ordinal:
     """Proximal gradient descent with steps scaled by the gradients so far; `rows` and `buckets` list the words present."""
     n = len(grades)
     stay = distinct_rows(rows, buckets, n)
     number = np.full(n, -1, np.int32)
     number[stay] = np.arange(len(stay), dtype=np.int32)
-    known = number[rows] >= 0
-    rows, buckets, shares, grades, n = number[rows][known], buckets[known], shares[stay], grades[stay], len(stay)
+    rows = number[rows]
+    known = rows >= 0
+    rows, buckets, shares, grades, n = rows[known], buckets[known], shares[stay], grades[stay], len(stay)
     if len(np.unique(grades)) < 2:
         return Ordinal(np.zeros(BUCKETS + SHARES), np.full(GRADES - 1, -50.0))
     counts = np.bincount(buckets, minlength=BUCKETS)
@@ -130,7 +139,9 @@ def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.nd
     column = np.full(BUCKETS, -1, np.int32)
     column[used] = np.arange(len(used), dtype=np.int32)
     columns = column[buckets]
-    rows, columns, size = rows[columns >= 0], columns[columns >= 0], counts[used]
+    known = columns >= 0
+    rows, columns, size = rows[known], columns[known], counts[used]
+    del buckets, known, column, number
     scale = 1 / np.sqrt(np.maximum(size, 1) / n + 0.01)  # rarer words take larger steps
     spread = shares.std(axis=0) + 1e-6
     dense = shares / spread
@@ -144,10 +155,10 @@ def fit(rows: np.ndarray, buckets: np.ndarray, shares: np.ndarray, grades: np.nd
         if turn == ROUNDS:  # the chosen words are fitted again without the penalty, which had held their weights down
             held_back, price = (weights != 0).astype(float), 0.0
             steps[0] = np.zeros_like(weights)
-        score = np.bincount(rows, weights[columns], n) + dense @ dense_weights
+        score = _summed(rows, columns, weights, n) + dense @ dense_weights
         _, pull, by_threshold = cumulative_link(score, thresholds, grades)
         gradients = (
-            held_back * (np.bincount(columns, pull[rows], len(used)) + L2 * weights),
+            held_back * (_summed(columns, rows, pull, len(used)) + L2 * weights),
             dense.T @ pull,
             by_threshold,
         )
@@ -196,9 +207,10 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal
             grades.append(batch.column(2).to_numpy())
             n += batch.num_rows
         if n:
-            words = np.concatenate(rows), np.concatenate(buckets)
-            del rows, buckets
-            model = fit(*words, np.concatenate(shares), np.concatenate(grades).astype(np.int64))
+            parts = [rows, buckets, shares, grades]
+            del rows, buckets, shares, grades
+            words = [np.concatenate(parts.pop(0)) for _ in range(2)]
+            model = fit(words.pop(0), words.pop(0), np.concatenate(parts[0]), np.concatenate(parts[1]).astype(np.int64))
             yield record({"weights": pa.array([model.weights], pa.list_(pa.float64())), "thresholds": pa.array([model.thresholds], pa.list_(pa.float64()))})
 
     read = texts.select("text", "grade", "place").mapInArrow(featured, "words array<int>, shares array<double>, grade int, place bigint")
