@@ -143,3 +143,18 @@ def test_rollups_and_extract(spark):
     assert (row["avg_latency"], row["avg_tokens"], row["avg_tokens_once"], row["execution_count"], row["latency_samples"]) == (3.0, 11.0, 10.0, 4, 2)
     extract = star.training_extract(tables["fact_promptexecution"], tables["dim_prompt"], tables["dim_model"], tables["dim_task"])
     assert extract.count() == 6 and extract.where("execution_status = 'failure'").count() == 1
+
+
+def test_prompts_keep_their_rows_when_files_are_read_in_other_pieces(spark):
+    """A scan's pieces follow the cores and settings at hand when it runs, which may change between two reads."""
+    rows = [{"prompt_hash": f"h{i}", "prompt_text": f"text {i}", "prompt_length": i, "language": f"l{i}"} for i in range(40)]
+    dim = star.dim_prompt(stage(spark, rows).repartition(8))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = values(dim, "prompt_hash", "prompt_text", "language")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == sorted((f"h{i}", f"text {i}", f"l{i}") for i in range(40))

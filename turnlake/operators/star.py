@@ -72,6 +72,11 @@ PROMPT_DEFAULTS = {
 }
 
 
+def numbered(stage: DataFrame) -> DataFrame:
+    """Rows about to be written, with the number by which `dim_prompt` finds them again: fixed once written."""
+    return stage.withColumn("_row", F.monotonically_increasing_id())
+
+
 def dim_prompt(
     stage: DataFrame,
     policy: str = "longest",
@@ -85,7 +90,8 @@ def dim_prompt(
     columns. The winner is found on narrow rows, the distinct variants of a hash, with a digest in place of the text.
     Texts are fetched by row: those of the variants that tie, where a hash has several, and then those of the winners.
 
-    The stage is read a few times, by row number, so it is written first unless it is a table of files (`at_rest`).
+    The stage is read a few times, by row number, so it is written first, numbered, unless it is a table of files with the
+    numbers in it (`at_rest`; see `numbered`). Numbers that a scan gives would change with the cores that are there.
     """
     named = [name for name in schemas.names(schemas.DIM_PROMPT) if name not in ("prompt_key", "prompt_hash")]
     attributes = [name for name in named if only is None or name in only]
@@ -100,8 +106,7 @@ def dim_prompt(
     if not at_rest:
         needed = {"prompt_hash", "prompt_text", "prompt_length", *attributes, *arrival}
         needed |= {d for name in attributes for d in PROMPT_DEFAULTS.get(name, ()) if d in stage.columns}
-        kept = stored(kept.select(*[name for name in stage.columns if name in needed]), "prompt-stage")
-    kept = kept.withColumn("_row", F.monotonically_increasing_id())
+        kept = stored(numbered(kept.select(*[name for name in stage.columns if name in needed])), "prompt-stage")
     rows = kept.select("prompt_hash", *[c.alias(n) for n, c in order.items()], *carried, F.xxhash64("prompt_text").alias("_digest"), "_row")
     variants = rows.groupBy("prompt_hash", *order, "_digest", *carried).agg(F.min("_row").alias("_row"))
     if policy == "longest":  # a hash has few lengths

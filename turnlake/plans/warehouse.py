@@ -178,8 +178,8 @@ class Warehouse:
         stage = stage.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if("rejected").alias("unusable"))
         if set(arrival) - set(schemas.names(ddl)):
             raise ValueError(f"arrival columns must be staged columns: {', '.join(arrival)}")
-        accepted(stage).write.mode("overwrite").parquet(f"{self.root}/{folder}/load={load}")
-        rows = self.spark.read.schema(ddl).parquet(f"{self.root}/{folder}/load={load}")
+        star.numbered(accepted(stage)).write.mode("overwrite").parquet(f"{self.root}/{folder}/load={load}")
+        rows = self.spark.read.schema(f"{ddl}, _row bigint").parquet(f"{self.root}/{folder}/load={load}")
 
         tables = {
             "dim_prompt": lambda: star.dim_prompt(rows, policy, arrival, at_rest=True),

@@ -239,7 +239,7 @@ def execution_star(spark: SparkSession, folder: str, only: Sequence[str] | None
     """
     columns = None if only is None else ["doc_id", "prompt_hash", "prompt_length", *only]
     texts = prompts(spark, folder)
-    texts = stored(texts if columns is None else texts.select(*columns), "prompts")
+    texts = stored(star.numbered(texts if columns is None else texts.select(*columns)), "prompts")
     hashes = texts.select("doc_id", F.col("prompt_hash").alias("prompt_key"))
     return {
         "fact_promptexecution": run_facts(spark, folder).join(hashes, "doc_id"),
