@@ -2026,10 +2026,11 @@ def first_documents(spark, folder):
 def full_stream_load(spark, folder):
     """Prompts and comparisons as streams, then merged dimensions and rollups: the totals of all micro-batches."""
     source = new_folder(spark, "records")
-    records.write_records(_stage(spark, folder).repartition(3, "conversation_id"), f"{source}/p")
-    records.write_records(W.comparison_stage(spark, folder).repartition(2, "conversation_id"), f"{source}/c")
+    files = records.write_parts(_stage(spark, folder), f"{source}/p", 3, "conversation_id")
+    records.write_parts(W.comparison_stage(spark, folder), f"{source}/c", 2, "conversation_id")
     house = Warehouse(spark, new_folder(spark, "warehouse"))
-    totals = streaming.load_all(spark, f"{source}/p", f"{source}/c", house, new_folder(spark, "checkpoint"), files_per_trigger=2)
+    each = -(-files // 2)
+    totals = streaming.load_all(spark, f"{source}/p", f"{source}/c", house, new_folder(spark, "checkpoint"), files_per_trigger=each)
     return totals.select("target", "processed", "loaded")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from turnlake import schemas
 
@@ -37,6 +38,15 @@ def write_records(records: DataFrame, path: str, append: bool = False, form: str
     records.write.mode("append" if append else "overwrite").format(form).save(path)
 
 
+def write_parts(records: DataFrame, path: str, parts: int, *columns: str) -> int:
+    """Records in so many folders, dealt by the columns; returns the number of files. A part's rows are split over as many
+    tasks and files as their size asks for, so no task's share grows with the input.
+    """
+    part = F.pmod(F.xxhash64(*columns), F.lit(parts))
+    records.withColumn("part", part).hint("rebalance", "part").write.partitionBy("part").json(path)
+    return len(records.sparkSession.read.text(path).inputFiles())
+
+
 def write_result(df: DataFrame, path: str, form: str = "parquet") -> None:
     """Feature tables (parquet), summaries and rules (json), importances and rules (csv)."""
     writer = df.write.mode("overwrite").format(form)
