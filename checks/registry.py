@@ -2044,9 +2044,9 @@ def full_stream_load(spark, folder):
 def stream_load(spark, folder):
     """Record files loaded as a stream in several micro-batches; the facts of the resulting warehouse."""
     source = new_folder(spark, "records")
-    records.write_records(_stage(spark, folder).repartition(6, "conversation_id", "turn_number"), source)
+    files = records.write_parts(_stage(spark, folder), source, 6, "conversation_id", "turn_number")
     house = Warehouse(spark, new_folder(spark, "warehouse"))
-    stream = streaming.record_stream(spark, source, "prompt", files_per_trigger=2)
+    stream = streaming.record_stream(spark, source, "prompt", files_per_trigger=-(-files // 3))
     streaming.start_load(stream, "prompt", house, new_folder(spark, "checkpoint")).awaitTermination()
     facts, sources = house.table("fact_promptexecution"), house.table("dim_source")
     joined = facts.join(sources.select("source_key", "dataset_name"), "source_key")
