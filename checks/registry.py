@@ -1914,7 +1914,7 @@ def named_clusters(spark, folder):
 @query()
 def cluster_assignment(spark, folder):
     """Prompts with their cluster and its name."""
-    prompts = scoring.scoring_features(_scorable(spark, folder)).select("id", *scoring.SCORING_COLUMNS)
+    prompts = stored(scoring.scoring_features(_scorable(spark, folder)).select("id", *scoring.SCORING_COLUMNS), "scoring-features")
     model = models.fit_clusters(prompts, scoring.SCORING_COLUMNS)
     return scoring.clustered(prompts, model).select("id", "cluster_id", "cluster_name")
 
