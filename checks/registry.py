@@ -1862,6 +1862,7 @@ def model_scores(spark, folder):
         "doc_id", "prompt_length", "token_count", "instruction_density", "complexity_score", "contains_code",
         "contains_examples", "contains_constraints", "success_score",
     )
+    requests = stored(requests, "requests")
     known = scoring.with_request_defaults(requests.where(F.col("success_score").isNotNull()))
     forest = models.fit_forest(known, _request_features(), "success_score")
     return scoring.scored_requests(requests, forest).select("doc_id", "success_probability", "confidence_level")

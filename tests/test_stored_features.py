@@ -9,7 +9,7 @@ class Seen(Exception):
     pass
 
 
-@pytest.mark.parametrize(("query", "fit"), [("cluster_assignment", "fit_clusters")])
+@pytest.mark.parametrize(("query", "fit"), [("cluster_assignment", "fit_clusters"), ("model_scores", "fit_forest")])
 def test_models_are_fitted_on_stored_features(spark, monkeypatch, query, fit):
     def caught(df, *_):
         raise Seen(df.inputFiles())
