@@ -11,7 +11,8 @@ BLANKS = (
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-BLANK_RUN = r"(?U)[\s\x1c-\x1f]+"  # the same characters
+# The same characters; a single space between others is passed over, as it would become a space.
+BLANK_RUN = r"(?U)(?! [^\s\x1c-\x1f])[\s\x1c-\x1f]+"
 
 # Patterns of the feature definitions. (?iU) = ignore case, Unicode word boundaries. The lookahead for a
 # first letter changes no match; it spares the costly word-boundary test at most places of a text.
@@ -110,7 +111,7 @@ def token_estimate(normalized: Column) -> Column:
 
 def word_count(normalized: Column) -> Column:
     """Words of an already normalized text."""
-    spaces = F.length(normalized) - F.length(F.translate(normalized, " ", ""))
+    spaces = F.length(normalized) - F.length(F.replace(normalized, F.lit(" "), F.lit("")))
     return F.when(normalized == "", 0).otherwise(spaces + 1)
 
 
@@ -163,7 +164,10 @@ def _detected(normalized: str) -> str:
     )
     most = f"""reduce(array({scores}), named_struct('hits', 0, 'code', 'unknown'),
         (top, one) -> CASE WHEN one.hits > top.hits THEN one ELSE top END).code"""
-    return _once(normalized, "n", f"coalesce({by_script_sql('n')}, {_once('split(lower(n), \' \')', 'words', most)})")
+    # One pass over the words leaves those that any language counts.
+    every = ", ".join(map(literal, sorted({word for known in STOP_WORDS.values() for word in known.split()})))
+    counted = f"filter(split(lower(n), ' '), w -> w IN ({every}))"
+    return _once(normalized, "n", f"coalesce({by_script_sql('n')}, {_once(counted, 'words', most)})")
 
 
 def by_script_sql(text: str) -> str:
