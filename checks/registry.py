@@ -1075,13 +1075,18 @@ def eda_extract(spark, folder):
 
 
 def _extract(spark, folder):
-    """Scored executions with their prompt's features, stored: the training extract."""
+    """Scored executions with those of their prompt's features that cleaning and the text columns read; the features are
+    stored by prompt, so that none is made once more for each of its executions.
+    """
     runs = W.executions(spark, folder).where(F.col("success_score").isNotNull())
-    unused = ("success_score", "tokens", "response_tokens", "response_text", "prompt_text")
+    unused = (
+        "success_score", "tokens", "response_tokens", "response_text", "prompt_text", "prompt_hash", "programming_lang", "complexity_score",
+        "contains_code", "contains_examples", "contains_constraints", "example_count", "constraint_count", "length", "type",
+    )
     docs = training.with_training_features(W.prompts(spark, folder)).drop(*unused)
     renamed = runs.withColumnsRenamed({"success_score": "success_rate", "latency": "latency_ms", "tokens": "tokens_used"})
     extra = {"attempt_count": F.lit(1), "task_type": F.lit(None).cast("string")}
-    return stored(renamed.drop("response_tokens").join(docs, "doc_id").withColumns(extra), "extract")
+    return renamed.drop("response_tokens").join(stored(docs, "prompt-features"), "doc_id").withColumns(extra)
 
 
 _EXTRACTED = ("prompt_length", "token_estimate", "prompt_type", "language", "contains_code", "complexity_score", "instruction_density")

@@ -23,6 +23,12 @@ def test_models_are_fitted_on_stored_features(spark, monkeypatch, query, fit):
     assert files and not any("testdata" in file for file in files)
 
 
+def test_the_extract_makes_no_unread_features(spark):
+    made = registry._extract(spark, SMALL).columns
+    assert {"prompt_word_count", "language", "latency_ms", "prompt_length"} <= set(made)
+    assert not {"programming_lang", "prompt_hash", "constraint_count", "example_count", "complexity_score"} & set(made)
+
+
 def test_blanks_beside_single_spaces(spark):
     texts = ["a b", "a  b", " a ", "a \tb", "a\t b", "a \x1fb", "a\x1f b", "a \x1f\u3000 b", "\xa0a b\xa0", " ", "", None, "a b c  d e"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.normalize(F.col("t")).alias("n"))
