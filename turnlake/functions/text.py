@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,17 +14,27 @@ BLANKS = (
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same characters; a single space between others is passed over, as it would become a space.
+# The same characters; a single space between others is passed over, as it would become a space. Texts of ASCII
+# characters alone take the second form, whose character class is a table.
 BLANK_RUN = r"(?U)(?! [^\s\x1c-\x1f])[\s\x1c-\x1f]+"
+ASCII_BLANK_RUN = r"[\t-\r\x1c-\x20](?:(?<! )|(?=[\t-\r\x1c-\x20]))[\t-\r\x1c-\x20]*+"
 
-# Patterns of the feature definitions. (?iU) = ignore case, Unicode word boundaries. The lookahead for a
-# first letter changes no match; it spares the costly word-boundary test at most places of a text.
+# Patterns of the feature definitions. (?iU) = ignore case, Unicode word boundaries.
 CODE_BLOCK = r"(?U)```[\w+-]*\n[\s\S]*?```"
 FENCE_LABEL = r"```([A-Za-z0-9_+#-]+)"
-EXAMPLES = r"(?iU)(?=e)(?:\bexamples?\b|e\.g\.)"
-CONSTRAINTS = r"(?iU)(?=[smod])\b(?:step by step|must|should|only|do not)\b"
-VERBS = r"(?iU)(?=[cgfwieo])\b(?:create|generate|fix|write|improve|explain|optimize|convert)\b"
-ROLEPLAY = r"(?iU)\bact as\b"
+# The words that features and task rules count, found in one pass (see `marks`). The first two lookarounds change no match;
+# they spare the costly word-boundary test at most places. A mark leaves out a last letter that another one may begin
+# with ("write.g." holds "write" and "e.g."), or that tells "prefix" (`fi`) from "fix" and "debugger" (`debu`) from "debug".
+MARKS = (
+    r"(?=[acdefgimosw])(?:(?<![a-z])\b(?:(?:step by step|must|should|only|do not|examples?|act as|explain|convert|sql|debug|fix)\b"
+    r"|(?:creat|generat|writ|improv|optimiz)(?=e\b)|debu(?=g))|e\.g\.|fi(?=x\b))"
+)
+EXAMPLES = ("example", "examples", "e.g.")
+CONSTRAINTS = ("step by step", "must", "should", "only", "do not")
+VERBS = ("creat", "generat", "fix", "writ", "improv", "explain", "optimiz", "convert")
+ROLEPLAY = "act as"
+# Letters of a text in lower case that patterns which ignore case take for s and i.
+ODD_LETTERS = {"\u017f": "s", "\u0131": "i", "i\u0307": "i"}
 
 # Spoken-language aliases.
 LANGUAGE_ALIASES = {
@@ -79,6 +92,7 @@ SCRIPTS = {
     "zh": r"[\x{4e00}-\x{9fff}]",
 }
 ANY_SCRIPT = r"[\x{0900}-\x{097f}\x{3040}-\x{30ff}\x{4e00}-\x{9fff}\x{ac00}-\x{d7af}]"
+SCRIPT_RANGE = r"[\x{0900}-\x{d7af}]"
 
 
 def literal(text: str) -> str:
@@ -97,7 +111,9 @@ def strip_sql(text: str) -> str:
 
 def normalize(text: Column) -> Column:
     """Runs of whitespace to one space, then strip; NULL becomes the empty string."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), BLANK_RUN, " "))
+    text = F.coalesce(text, F.lit(""))
+    one_space = [F.regexp_replace(text, run, " ") for run in (ASCII_BLANK_RUN, BLANK_RUN)]
+    return F.trim(F.when(F.octet_length(text) == F.length(text), one_space[0]).otherwise(one_space[1]))
 
 
 def sha256(text: Column) -> Column:
@@ -111,8 +127,7 @@ def token_estimate(normalized: Column) -> Column:
 
 def word_count(normalized: Column) -> Column:
     """Words of an already normalized text."""
-    spaces = F.length(normalized) - F.length(F.replace(normalized, F.lit(" "), F.lit("")))
-    return F.when(normalized == "", 0).otherwise(spaces + 1)
+    return F.when(normalized == "", 0).otherwise(F.size(F.split(normalized, " ")))
 
 
 def has_code(text: Column) -> Column:
@@ -121,14 +136,35 @@ def has_code(text: Column) -> Column:
     return F.contains(text, F.lit("```")) & text.rlike(CODE_BLOCK)
 
 
-def count_matches(text: Column, pattern: str) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(pattern))
+def _plain_letters(lowered: Column) -> Column:
+    for odd, letter in ODD_LETTERS.items():
+        lowered = F.replace(lowered, F.lit(odd), F.lit(letter))
+    return lowered
+
+
+def marks(text: Column) -> Column:
+    """The words of `MARKS` in a text, in order, whatever their case.
+
+    They are looked for in the text in lower case, where patterns are cheap; but for texts with odd letters, which some of
+    these words may have been written with.
+    """
+    text = F.coalesce(text, F.lit(""))
+    lowered = F.lower(text)
+    odd = reduce(Column.__or__, [F.contains(lowered, F.lit(letter)) for letter in ODD_LETTERS])
+    written = F.regexp_extract_all(text, F.lit("(?iU)" + MARKS), F.lit(0))
+    plain = F.transform(written, lambda word: _plain_letters(F.lower(word)))
+    return F.when(odd, plain).otherwise(F.regexp_extract_all(lowered, F.lit("(?U)" + MARKS), F.lit(0)))
+
+
+def count_marks(found: Column, words: Sequence[str]) -> Column:
+    return F.size(F.filter(found, lambda word: word.isin(*words)))
 
 
-def prompt_type(text: Column, source_type: Column) -> Column:
+def prompt_type(text: Column, source_type: Column, found: Column | None = None) -> Column:
+    """`found`: the text's marks, if there are any at hand."""
     given = F.replace(F.lower(normalize(source_type)), F.lit(" "), F.lit("_"))
     return (
-        F.when(F.coalesce(text, F.lit("")).rlike(ROLEPLAY), "roleplay")
+        F.when(F.array_contains(marks(text) if found is None else found, ROLEPLAY), "roleplay")
         .when(source_type != "", given)
         .otherwise("standard")
     )
@@ -157,7 +193,7 @@ def programming_language(prompt: str, response: str = "NULL") -> Column:
           {keyword})""")
 
 
-def _detected(normalized: str) -> str:
+def detected_sql(normalized: str) -> str:
     scores = ", ".join(
         f"named_struct('hits', size(filter(words, w -> w IN ({', '.join(map(literal, known.split()))}))), 'code', '{code}')"
         for code, known in sorted(STOP_WORDS.items())
@@ -173,16 +209,19 @@ def _detected(normalized: str) -> str:
 def by_script_sql(text: str) -> str:
     """SQL for the language that a text's script names, else NULL."""
     scripts = " ".join(f"WHEN {text} RLIKE {literal(script)} THEN '{code}'" for code, script in SCRIPTS.items())
-    return f"CASE WHEN {text} RLIKE {literal(ANY_SCRIPT)} THEN CASE {scripts} END END"
+    # Their characters have three bytes; one range is tested faster than four.
+    may = f"octet_length({text}) > length({text}) + 1 AND {text} RLIKE {literal(SCRIPT_RANGE)}"
+    return f"CASE WHEN {may} AND {text} RLIKE {literal(ANY_SCRIPT)} THEN CASE {scripts} END END"
 
 
 def normalize_sql(text: str) -> str:
-    return f"trim(regexp_replace(coalesce({text}, ''), {literal(BLANK_RUN)}, ' '))"
+    one_space = [f"regexp_replace(coalesce({text}, ''), {literal(run)}, ' ')" for run in (ASCII_BLANK_RUN, BLANK_RUN)]
+    return f"trim(CASE WHEN octet_length({text}) = length({text}) THEN {one_space[0]} ELSE {one_space[1]} END)"
 
 
 def detected_language(text: str) -> Column:
     """Script first, then most stop words (ties by language code); `unknown` without any hit."""
-    return F.expr(_detected(normalize_sql(text)))
+    return F.expr(detected_sql(normalize_sql(text)))
 
 
 def spoken_language(text: str, label: str, detected: str | None = None) -> Column:
@@ -191,7 +230,7 @@ def spoken_language(text: str, label: str, detected: str | None = None) -> Colum
     """
     given = f"lower({normalize_sql(label)})"
     aliased = f"coalesce({_lookup(LANGUAGE_ALIASES, given)}, nullif({given}, ''), 'unknown')"
-    return F.expr(f"CASE WHEN {label} <> '' THEN {aliased} ELSE {detected or _detected(normalize_sql(text))} END")
+    return F.expr(f"CASE WHEN {label} <> '' THEN {aliased} ELSE {detected or detected_sql(normalize_sql(text))} END")
 
 
 def clean_payload(text: Column) -> Column:
