@@ -23,21 +23,33 @@ MIX = (7919, 131, 1)
 UNSEEN = -1  # the bucket of what a language has not shown
 
 
+def words_sql(text: str) -> str:
+    """SQL for the distinct words of a text."""
+    return rf"filter(array_distinct(split(lower(coalesce({text}, '')), '[^\\p{{L}}]+')), w -> length(w) BETWEEN 1 AND {LONGEST})"
+
+
+def word_trigrams_sql(word: str) -> str:
+    """SQL for the buckets of a word's trigrams. A character's code point is taken once, not once for each trigram."""
+    points = f"transform(split(concat(' ', {word}, ' '), ''), c -> ascii(c))"
+    bucket = " + ".join(f"get(p, i + {k}) * {factor}L" for k, factor in enumerate(MIX))
+    return f"get(transform(array({points}), p -> transform(sequence(0, size(p) - 3), i -> cast(({bucket}) % {BUCKETS} AS int))), 0)"
+
+
 def trigrams_sql(text: str) -> str:
     """SQL for the buckets of a text's trigrams."""
-    words = rf"filter(array_distinct(split(lower(coalesce({text}, '')), '[^\\p{{L}}]+')), w -> length(w) BETWEEN 1 AND {LONGEST})"
-    points = " + ".join(f"ascii(substring(p, i + {k}, 1)) * {factor}L" for k, factor in enumerate(MIX))
-    grams = f"transform(sequence(1, length(p) - 2), i -> cast(({points}) % {BUCKETS} AS int))"
-    return f"flatten(transform(transform({words}, w -> concat(' ', w, ' ')), p -> {grams}))"
+    return f"flatten(transform({words_sql(text)}, w -> {word_trigrams_sql('w')}))"
 
 
 def fitted(texts: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The profile of labelled texts: `lang, bucket, weight`, the log-probability in thousandths.
 
-    One aggregation, combined map-side to languages x buckets; buckets that a language has not shown share one row.
+    Texts are counted by word first, so a word's trigrams are made once for a language, not once for a text. The second
+    aggregation is combined map-side to languages x buckets; buckets that a language has not shown share one row.
     """
-    seen = texts.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.explode(F.expr(trigrams_sql(f"`{text}`"))).alias("bucket"))
-    counts = stored(seen.groupBy("lang", "bucket").agg(F.count("*").alias("n")), "language-counts")
+    words = texts.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.explode(F.expr(words_sql(f"`{text}`"))).alias("word"))
+    known = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    seen = known.select("lang", "n", F.explode(F.expr(word_trigrams_sql("word"))).alias("bucket"))
+    counts = stored(seen.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
     totals = counts.groupBy("lang").agg((F.sum("n") + 0.5 * BUCKETS).alias("total"))
 
     def weight(n: Column) -> Column:
