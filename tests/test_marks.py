@@ -73,4 +73,4 @@ def test_a_prompt_is_searched_by_few_patterns(spark, label):
     rows = spark.createDataFrame([("write it", label)], "prompt_text string, language string")
     plan = prompt_records(schemas.conform(rows, schemas.PROMPT_EVENT))._jdf.queryExecution().optimizedPlan().toString()
     searches = len(re.findall(r"regexp_extract_all\(|RLIKE\(prompt_text", plan))
-    assert searches <= 4  # marks (two forms), fence labels, code blocks; 13 before
+    assert searches <= 4  # marks (two forms), fence labels, code blocks; 10 before
