@@ -14,10 +14,12 @@ BLANKS = (
     "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same characters; a single space between others is passed over, as it would become a space. Texts of ASCII
-# characters alone take the second form, whose character class is a table.
-BLANK_RUN = r"(?U)(?! [^\s\x1c-\x1f])[\s\x1c-\x1f]+"
-ASCII_BLANK_RUN = r"[\t-\r\x1c-\x20](?:(?<! )|(?=[\t-\r\x1c-\x20]))[\t-\r\x1c-\x20]*+"
+# The same characters; a single space between others is passed over, as it would become a space. They are named one by one,
+# as a table tells them then, and those beyond Latin-1 stand behind a test of their range. Texts of ASCII characters alone
+# take the second form.
+_ASCII_BLANK = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f ]"
+_BLANK = _ASCII_BLANK[:-1] + r"\x85\xa0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
+BLANK_RUN, ASCII_BLANK_RUN = (f"{one}(?:(?<! )|(?={one})){one}*+" for one in (_BLANK, _ASCII_BLANK))
 
 # Patterns of the feature definitions. (?iU) = ignore case, Unicode word boundaries.
 CODE_BLOCK = r"(?U)```[\w+-]*\n[\s\S]*?```"
@@ -101,12 +103,20 @@ def literal(text: str) -> str:
 
 
 def strip(text: Column) -> Column:
-    """Unicode-aware strip (Spark's one-argument `trim` removes spaces only)."""
-    return F.trim(text, F.lit(BLANKS))
+    """Unicode-aware strip (Spark's one-argument `trim` removes spaces only).
+
+    Spark's trim at the end of a text takes note of each of its characters, so it is left to texts whose last byte may be of
+    a blank: of ASCII up to the space, of others 0x80 to 0xAF.
+    """
+    last = F.substring(text.cast("string").cast("binary"), -1, 1)
+    blank = (last <= F.expr("X'20'")) | last.between(F.expr("X'80'"), F.expr("X'AF'"))
+    return F.when(blank, F.trim(text, F.lit(BLANKS))).otherwise(F.ltrim(text, F.lit(BLANKS)))
 
 
 def strip_sql(text: str) -> str:
-    return f"btrim({text}, {literal(BLANKS)})"
+    last = f"substring(cast(cast({text} AS string) AS binary), -1, 1)"
+    blank = f"{last} <= X'20' OR {last} BETWEEN X'80' AND X'AF'"
+    return f"CASE WHEN {blank} THEN btrim({text}, {literal(BLANKS)}) ELSE ltrim({literal(BLANKS)}, {text}) END"
 
 
 def normalize(text: Column) -> Column:
@@ -234,9 +244,10 @@ def spoken_language(text: str, label: str, detected: str | None = None) -> Colum
 
 
 def clean_payload(text: Column) -> Column:
-    """Drop NUL, carriage returns to line feeds; the text is not stripped."""
+    """Drop NUL, carriage returns to line feeds; the text is not stripped. Texts without either are spared the replacing."""
     unix = F.replace(F.replace(text, F.lit("\x00"), F.lit("")), F.lit("\r\n"), F.lit("\n"))
-    return F.replace(unix, F.lit("\r"), F.lit("\n"))
+    unix = F.replace(unix, F.lit("\r"), F.lit("\n"))
+    return F.when(F.contains(text, F.lit("\x00")) | F.contains(text, F.lit("\r")), unix).otherwise(text)
 
 
 def clean_label(text: Column) -> Column:
