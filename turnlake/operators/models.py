@@ -23,6 +23,14 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
+def _over_cores(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns that a fit reads, dealt over all cores: tables of features are so narrow that few files hold them, and each
+    of a fit's many passes would run on as many cores as there are files.
+    """
+    narrow = train.select(*dict.fromkeys(columns))
+    return narrow.repartition(max(train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions()))
+
+
 def fit_forest(
     train: DataFrame, features: Sequence[str], target: str = "success_rate", trees: int = 100, depth: int = 15
 ) -> PipelineModel:
@@ -30,7 +38,7 @@ def fit_forest(
     forest = RandomForestRegressor(
         labelCol=target, numTrees=trees, maxDepth=depth, minInstancesPerNode=5, featureSubsetStrategy="all", seed=SEED
     )
-    return Pipeline(stages=[_assembler(features), forest]).fit(train)
+    return Pipeline(stages=[_assembler(features), forest]).fit(_over_cores(train, [*features, target]))
 
 
 def fit_boosted(
@@ -39,7 +47,7 @@ def fit_boosted(
     boosted = GBTRegressor(
         labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=SEED, checkpointInterval=10
     )
-    return Pipeline(stages=[_assembler(features), boosted]).fit(train)
+    return Pipeline(stages=[_assembler(features), boosted]).fit(_over_cores(train, [*features, target]))
 
 
 def ensemble_predictions(
