@@ -18,7 +18,7 @@ from turnlake.operators import star, training, turns
 from turnlake.operators.features import comparison_records, prompt_records, with_lineage
 from turnlake.plans import workload as W
 from turnlake.plans.warehouse import Warehouse, load_name
-from turnlake.session import new_folder, stored
+from turnlake.session import PACKED, brief_shuffles, new_folder, removed, stored, stored_halves
 from turnlake.sources import raw, records
 from turnlake.streaming import load as streaming
 
@@ -2036,7 +2036,9 @@ def full_stream_load(spark, folder):
     records.write_parts(W.comparison_stage(spark, folder), f"{source}/c", 2, "conversation_id")
     house = Warehouse(spark, new_folder(spark, "warehouse"))
     each = -(-files // 2)
-    totals = streaming.load_all(spark, f"{source}/p", f"{source}/c", house, new_folder(spark, "checkpoint"), files_per_trigger=each)
+    totals = streaming.load_all(
+        spark, f"{source}/p", f"{source}/c", house, new_folder(spark, "checkpoint"), files_per_trigger=each, consumed=True
+    )
     return totals.select("target", "processed", "loaded")
 
 
@@ -2052,7 +2054,7 @@ def stream_load(spark, folder):
     source = new_folder(spark, "records")
     files = records.write_parts(_stage(spark, folder), source, 6, "conversation_id", "turn_number")
     house = Warehouse(spark, new_folder(spark, "warehouse"))
-    stream = streaming.record_stream(spark, source, "prompt", files_per_trigger=-(-files // 3))
+    stream = streaming.record_stream(spark, source, "prompt", files_per_trigger=-(-files // 3), consumed=True)
     streaming.start_load(stream, "prompt", house, new_folder(spark, "checkpoint")).awaitTermination()
     facts, sources = house.table("fact_promptexecution"), house.table("dim_source")
     joined = facts.join(sources.select("source_key", "dataset_name"), "source_key")
@@ -2064,6 +2066,7 @@ def stream_load(spark, folder):
     )
     return rounded(counted, "score_sum", digits=6)
 
+    removed(spark, source)
 
 @query(
     S.with_(

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from turnlake import schemas
 from turnlake.operators import rollups, star
 from turnlake.operators.quality import accepted, staged
-from turnlake.session import put_if_absent
+from turnlake.session import PACKED, brief_shuffles, put_if_absent, removed
 
 STAGES = {"prompt": ("stage_prompts", schemas.PROMPT_STAGE), "comparison": ("stage_comparisons", schemas.COMPARISON_STAGE)}
 AUDIT = "target string, processed bigint, staged bigint, loaded bigint, rejected bigint"
@@ -56,7 +56,7 @@ class Warehouse:
     # --- storage -----------------------------------------------------------------------------
 
     def _write(self, table: str, load: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/load={load}")
+        df.write.mode("overwrite").options(**PACKED).parquet(f"{self.root}/{table}/load={load}")
 
     def _write_facts(self, table: str, load: str, facts: DataFrame) -> int:
         """Facts by day and load. The rebalancing makes few files per day and splits a day with a large share of them;
@@ -66,7 +66,7 @@ class Warehouse:
         day = F.to_date(F.timestamp_micros("time_key"))
         dated = facts.observe(seen, F.count(F.lit(1)).alias("loaded")).withColumns({"day": day, "load": F.lit(load)})
         writer = dated.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("day", "load").parquet(f"{self.root}/{table}")
+        writer.options(**PACKED).partitionBy("day", "load").parquet(f"{self.root}/{table}")
         return seen.get["loaded"]
 
     def _read(self, folder: str, ddl: str) -> DataFrame:
@@ -138,13 +138,15 @@ class Warehouse:
         return merge(stored, later, KEYS[name])
 
     def _merged(self, name: str, rows: DataFrame) -> DataFrame:
-        """One row per key: a key's latest load is found on numbers alone, its row by a join."""
+        """One row per key: a key's latest load is found on numbers alone, its row by a join. That is a join on the key with a
+        condition on the number, so joins on the key that follow don't shuffle the rows once more.
+        """
         columns = schemas.names(schemas.WAREHOUSE[name])
         key = KEYS[name]
         if name not in LATEST_WINS:
             return rows.dropDuplicates([key]).select(*columns)
-        last = rows.groupBy(key).agg(F.max("seq").alias("seq"))
-        return rows.join(last, [key, "seq"], "left_semi").select(*columns)
+        last = rows.groupBy(F.col(key).alias("_key")).agg(F.max("seq").alias("_last"))
+        return rows.join(last, (F.col(key) == F.col("_key")) & (F.col("seq") >= F.col("_last")), "left_semi").select(*columns)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in schemas.WAREHOUSE}
@@ -156,10 +158,11 @@ class Warehouse:
         covered = self._freeze(self._new_version())
         if covered is None:
             return
-        for name in names or KEYS:
-            version = self._new_version()
-            self.table(name, covered).write.parquet(f"{self.root}/{name}_snapshots/version={version}")
-            self._publish(name, version, covered)
+        with brief_shuffles(self.spark):
+            for name in names or KEYS:
+                version = self._new_version()
+                self.table(name, covered).write.options(**PACKED).parquet(f"{self.root}/{name}_snapshots/version={version}")
+                self._publish(name, version, covered)
 
     def added(self, name: str) -> DataFrame:
         """What each finished load has put into a dimension: its rows, with `load`."""
@@ -167,18 +170,40 @@ class Warehouse:
 
     # --- loading -----------------------------------------------------------------------------
 
-    def load(self, records: DataFrame, kind: str, load: str, policy: str = "longest", arrival: tuple[str, ...] = ()) -> dict:
+    def load(
+        self,
+        records: DataFrame,
+        kind: str,
+        load: str,
+        policy: str = "longest",
+        arrival: tuple[str, ...] = (),
+        consumed: str | None = None,
+    ) -> dict:
         """Stage, merge and audit one batch of records.
 
-        The cleaned rows are written once as the staging table; dimensions and facts are built from that.
+        The cleaned rows are written once as the staging table; dimensions and facts are built from that. A load's staged rows
+        go when it is finished, its shuffle files when each table is written, and a folder `consumed`, which holds records that
+        nothing else reads, when they are staged.
         """
+        with brief_shuffles(self.spark), brief_shuffles(records.sparkSession):
+            audit = self._loaded(records, kind, load, policy, arrival, consumed)
+            self._commit(load)
+            removed(self.spark, f"{self.root}/{STAGES[kind][0]}/load={load}")
+        return audit
+
+    def _loaded(
+        self, records: DataFrame, kind: str, load: str, policy: str, arrival: tuple[str, ...], consumed: str | None
+    ) -> dict:
+        """All tables of a load, its audit included: whole but not in the log yet."""
         folder, ddl = STAGES[kind]
         seen = Observation()
         stage = staged(records, kind)
         stage = stage.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if("rejected").alias("unusable"))
         if set(arrival) - set(schemas.names(ddl)):
             raise ValueError(f"arrival columns must be staged columns: {', '.join(arrival)}")
-        star.numbered(accepted(stage)).write.mode("overwrite").parquet(f"{self.root}/{folder}/load={load}")
+        self._write(folder, load, star.numbered(accepted(stage)))
+        if consumed is not None:
+            removed(self.spark, consumed)
         rows = self.spark.read.schema(f"{ddl}, _row bigint").parquet(f"{self.root}/{folder}/load={load}")
 
         tables = {
@@ -195,10 +220,10 @@ class Warehouse:
         else:
             fact, facts = "fact_model_comparison", star.comparison_facts(rows)
             tables["dim_model"] = lambda: star.dim_model_of_comparisons(rows)
-        # The tables don't depend on each other: their jobs share the cluster.
-        with ThreadPoolExecutor(len(tables) + 1) as pool:
+        # The tables don't depend on each other: their jobs share the cluster. Facts go first, as they and the prompts shuffle texts.
+        loaded = self._write_facts(fact, load, facts)
+        with ThreadPoolExecutor(len(tables)) as pool:
             written = [pool.submit(lambda name=name, made=made: self._write(name, load, made())) for name, made in tables.items()]
-            loaded = pool.submit(self._write_facts, fact, load, facts).result()
             for one in written:
                 one.result()
 
@@ -212,7 +237,6 @@ class Warehouse:
             "rejected": unusable + max(usable - loaded, 0),
         }
         self._write("loads", load, self.spark.createDataFrame([tuple(audit.values())], AUDIT))
-        self._commit(load)
         return audit
 
     def _tasks_before(self, load: str) -> DataFrame:
@@ -257,8 +281,9 @@ class Warehouse:
             return None
         tables = {name: self.table(name, covered) for name in schemas.WAREHOUSE}
         made = rollups.all_rollups(tables) | {"daily_counts": self._added_up(self._daily_counts(covered))}
-        for name, rollup in made.items():
-            rollup.write.parquet(f"{self.root}/rollups/{name}/version={version}")
+        with brief_shuffles(self.spark):
+            for name, rollup in made.items():
+                rollup.write.options(**PACKED).parquet(f"{self.root}/rollups/{name}/version={version}")
         self._publish("rollups", version, covered)
         return version
 

@@ -89,6 +89,19 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return docs.withColumn("text", F.concat("text", chosen(PROMPT_SNIPPETS, "doc_id")))
 
 
+def plain_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of `documents` without what labels say: a document comes once for each of its labels, at least once. Only
+    labels of the same document are joined, if there are any, so texts stay where they lie.
+    """
+    docs = text_table(spark, folder, "documents", "doc_id")
+    several = table(spark, folder, "labels").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1")
+    if not several.isEmpty():
+        docs = docs.join(stored(several, "several-labels"), "doc_id", "left")
+        again = F.explode(F.array_repeat(F.lit(0), F.coalesce("_n", F.lit(1)).cast("int")))
+        docs = docs.withColumn("_again", again).drop("_n", "_again")
+    return docs.withColumn("text", F.concat("text", chosen(PROMPT_SNIPPETS, "doc_id")))
+
+
 ROLES = ("human", "gpt", " User ", "BOT", "system", "user", "assistant")
 
 
@@ -101,7 +114,7 @@ def code_chats(spark: SparkSession, folder: str) -> DataFrame:
             F.get(roles, F.pmod(i + F.col("doc_id"), F.lit(len(ROLES))).cast("int")).alias("from"), line.alias("value")
         ),
     )
-    return documents(spark, folder).select(messages.alias("conversations"))
+    return plain_documents(spark, folder).select(messages.alias("conversations"))
 
 
 def battles(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +131,7 @@ def battles(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     a = F.when(F.pmod(number, F.lit(9)) == 4, side(lines, -1)).otherwise(side(lines, 0))
-    return documents(spark, folder).select(
+    return plain_documents(spark, folder).select(
         F.when(F.pmod(number, F.lit(13)) != 5, number.cast("string")).alias("question_id"),
         F.concat(F.lit("m"), F.pmod(number, F.lit(7)).cast("string")).alias("model_a"),
         F.concat(F.lit(" m"), F.pmod(number, F.lit(5)).cast("string"), F.lit(" ")).alias("model_b"),
@@ -133,7 +146,7 @@ def battles(spark: SparkSession, folder: str) -> DataFrame:
 
 def library(spark: SparkSession, folder: str) -> DataFrame:
     """Each document as a library entry."""
-    return documents(spark, folder).select(
+    return plain_documents(spark, folder).select(
         F.concat(F.lit("Act #"), "source", F.lit(" (v1)!")).alias("act"),
         F.col("text").alias("prompt"),
         F.when(F.pmod("doc_id", F.lit(4)) > 0, F.concat(F.lit("Type "), F.upper("lang"))).alias("type"),

@@ -11,17 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from turnlake.plans.warehouse import Warehouse, load_name
+from turnlake.session import removed
 from turnlake.sources.records import record_schema
 
 log = logging.getLogger(__name__)
 
 
-def record_stream(spark: SparkSession, path: str, kind: str = "prompt", files_per_trigger: int = 16) -> DataFrame:
-    """Record files as a stream; a micro-batch is the unit that is loaded and audited."""
+def record_stream(
+    spark: SparkSession, path: str, kind: str = "prompt", files_per_trigger: int = 16, consumed: bool = False
+) -> DataFrame:
+    """Record files as a stream; a micro-batch is the unit that is loaded and audited. `consumed`: files go once their batch
+    is done.
+    """
     return (
         spark.readStream.schema(record_schema(kind))
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("recursiveFileLookup", "true")
+        .option("cleanSource", "delete" if consumed else "off")
         .json(path)
     )
 
@@ -55,9 +61,10 @@ def load_all(
     checkpoints: str,
     files_per_trigger: int = 16,
     run: int = 1,
+    consumed: bool = False,
 ) -> DataFrame:
     """Prompts (must exist), then comparisons (skipped when missing), then merged dimensions and rollups; returns the
-    load totals.
+    load totals. `consumed`: the records are there for this load only, so they go as they are loaded.
     """
     if not _exists(spark, prompts):
         raise FileNotFoundError(f"prompt records not found: {prompts}")
@@ -65,8 +72,10 @@ def load_all(
     if comparisons and _exists(spark, comparisons):
         sources.append(("comparison", comparisons))
     for kind, path in sources:
-        stream = record_stream(spark, path, kind, files_per_trigger)
+        stream = record_stream(spark, path, kind, files_per_trigger, consumed)
         start_load(stream, kind, warehouse, f"{checkpoints}/{kind}", run).awaitTermination()
+        if consumed:
+            removed(spark, path)
     warehouse.snapshot()
     warehouse.refresh_rollups()
     return warehouse.totals()
