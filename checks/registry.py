@@ -426,6 +426,12 @@ def _stage(spark, folder):
     return W.prompt_stage(spark, folder)
 
 
+def _stage_halves(spark, folder, condition) -> list[tuple[DataFrame, str]]:
+    """The stage worked out once, in two tables that can go one by one."""
+    with brief_shuffles(spark):
+        return stored_halves(_stage(spark, folder), condition, "stage", **PACKED)
+
+
 _PROMPT_COLUMNS = [name for name in schemas.names(schemas.DIM_PROMPT) if name not in ("prompt_key", "type")]
 
 
@@ -658,11 +664,11 @@ def dim_prompt_after_second_load(spark, folder):
 def _loaded_late(spark, folder) -> Warehouse:
     """A warehouse whose rollups were refreshed before a load with rows of an earlier day came."""
     house = Warehouse(spark, new_folder(spark, "warehouse"))
-    prompts = stored(_stage(spark, folder), "stage")
     early = F.col("timestamp") < F.lit("2024-01-21").cast("timestamp")
-    house.load(prompts.where(~F.coalesce(early, F.lit(False))), "prompt", load_name(2, "prompt"))
+    (early_rows, early_at), (other_rows, other_at) = _stage_halves(spark, folder, early)
+    house.load(other_rows, "prompt", load_name(2, "prompt"), consumed=other_at)
     house.refresh_rollups()
-    house.load(prompts.where(early), "prompt", load_name(1, "prompt"))
+    house.load(early_rows, "prompt", load_name(1, "prompt"), consumed=early_at)
     return house
 
 
