@@ -711,9 +711,10 @@ def rollup_refresh(spark, folder):
 )
 def new_tasks(spark, folder):
     """Which tasks each of two loads has added to the dimension."""
-    house, prompts = Warehouse(spark, new_folder(spark, "warehouse")), stored(_stage(spark, folder), "stage")
-    house.load(prompts.where(F.col("prompt_hash") < "8"), "prompt", "first")
-    house.load(prompts.where(F.col("prompt_hash") >= "8"), "prompt", "second")
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    halves = _stage_halves(spark, folder, F.col("prompt_hash") < "8")
+    for load, (rows, at) in zip(("first", "second"), halves, strict=True):
+        house.load(rows.where("prompt_hash IS NOT NULL"), "prompt", load, consumed=at)
     return house.added("dim_task").select("load", "task_type", "language", "programming_lang", "category")
 
 
