@@ -731,9 +731,11 @@ def new_tasks(spark, folder):
 )
 def entity_counts(spark, folder):
     """Rows of every table after two loads, of which one was replayed."""
-    house, prompts = Warehouse(spark, new_folder(spark, "warehouse")), stored(_stage(spark, folder), "stage")
-    for load, part in (("a", F.col("prompt_hash") < "8"), ("b", F.col("prompt_hash") >= "8"), ("a", F.col("prompt_hash") < "8")):
-        house.load(prompts.where(part), "prompt", load)
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    (low, low_at), (high, high_at) = _stage_halves(spark, folder, F.col("prompt_hash") < "8")
+    house.load(low, "prompt", "a")
+    house.load(high.where("prompt_hash IS NOT NULL"), "prompt", "b", consumed=high_at)
+    house.load(low, "prompt", "a", consumed=low_at)
     return house.entity_counts()
 
 
