@@ -654,10 +654,10 @@ def dim_prompt_after_second_load(spark, folder):
     house = Warehouse(spark, new_folder(spark, "warehouse"))
     house.load(W.comparison_stage(spark, folder), "comparison", load_name(2, "comparison"))
     house.snapshot("dim_prompt")
-    prompts = stored(_stage(spark, folder), "stage")
-    house.load(prompts, "prompt", load_name(1, "prompt", 2))
-    again = prompts.where(F.col("prompt_hash") < "8").withColumn("language", F.lit("zz"))
-    house.load(again, "prompt", load_name(1, "prompt", 1))
+    (low, low_at), (high, high_at) = _stage_halves(spark, folder, F.col("prompt_hash") < "8")
+    house.load(low.unionByName(high), "prompt", load_name(1, "prompt", 2))
+    removed(spark, high_at)
+    house.load(low.withColumn("language", F.lit("zz")), "prompt", load_name(1, "prompt", 1), consumed=low_at)
     return house.table("dim_prompt").select("prompt_hash", "prompt_text", "language")
 
 
