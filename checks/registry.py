@@ -1945,7 +1945,8 @@ def _write_sources(spark, folder) -> str:
     sources = {W.CHAT: W.nested_chats, **W.RAW}
     for name, rows in sources.items():
         for split in ("train", "test"):
-            rows(spark, folder).write.parquet(f"{root}/{name}/{split}")
+            with brief_shuffles(spark):
+                rows(spark, folder).write.options(**PACKED).parquet(f"{root}/{name}/{split}")
         info = spark.createDataFrame([(("1.0.0",),)], "version struct<version_str: string>")
         info.coalesce(1).write.json(f"{root}/{name}/train/dataset_info.json")
     return root
@@ -2065,6 +2066,7 @@ def stream_load(spark, folder):
     house = Warehouse(spark, new_folder(spark, "warehouse"))
     stream = streaming.record_stream(spark, source, "prompt", files_per_trigger=-(-files // 3), consumed=True)
     streaming.start_load(stream, "prompt", house, new_folder(spark, "checkpoint")).awaitTermination()
+    removed(spark, source)
     facts, sources = house.table("fact_promptexecution"), house.table("dim_source")
     joined = facts.join(sources.select("source_key", "dataset_name"), "source_key")
     counted = joined.groupBy("dataset_name").agg(
@@ -2075,7 +2077,6 @@ def stream_load(spark, folder):
     )
     return rounded(counted, "score_sum", digits=6)
 
-    removed(spark, source)
 
 @query(
     S.with_(
